@@ -13,7 +13,7 @@ import ast
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -43,21 +43,28 @@ def literal_to_json(texts: pd.Series) -> pd.Series:
     return texts.map(_literal_list_to_json, na_action="ignore")
 
 
+def _list_ok(text: Column, parsed: Column) -> Column:
+    # A lone object parses as a one-element list; only list text counts.
+    return (F.ltrim(text).startswith("[") & parsed.isNotNull()
+            & ~F.exists(parsed, lambda x: x.isNull()))
+
+
 def json_array_parse(c: Column, schema: str = COMPANY_ARRAY, default: str = "[]",
                      label: str = "json") -> tuple[Column, Column]:
-    """Parse a literal/JSON list column into ``schema``.
+    """Parse a literal/JSON list column into ``schema`` as pure expressions.
 
     Returns ``(array, reason)``.  NULL input becomes ``default``; text that is
     not a list of objects gets a reject reason instead of aborting the load.
+    Convenient for one column; for whole tables prefer ``with_json_lists``,
+    which evaluates each parse once per row.
     """
     text = F.coalesce(c, F.lit(default))
     first = F.from_json(text, schema)
     looks_list = F.ltrim(text).startswith("[")
-    # A lone object parses as a one-element list; only list text counts.
-    first_ok = looks_list & first.isNotNull() & ~F.exists(first, lambda x: x.isNull())
+    first_ok = _list_ok(text, first)
     fallback = F.from_json(literal_to_json(F.when(~first_ok & looks_list, text)), schema)
-    fallback_ok = fallback.isNotNull() & ~F.exists(fallback, lambda x: x.isNull())
-    parsed = F.when(first_ok, first).when(looks_list & fallback_ok, fallback)
+    fallback_ok = _list_ok(text, fallback)
+    parsed = F.when(first_ok, first).when(fallback_ok, fallback)
     reason = (
         F.when(first_ok, F.lit(None).cast("string"))
         .when(~looks_list, F.lit(f"{label}:not_a_list"))
@@ -66,6 +73,41 @@ def json_array_parse(c: Column, schema: str = COMPANY_ARRAY, default: str = "[]"
     return parsed, reason
 
 
+def with_json_lists(df: DataFrame, specs: list[tuple[Column, str, str, str]],
+                    schema: str = COMPANY_ARRAY) -> DataFrame:
+    """Add parsed list columns to ``df`` in three narrow projections.
+
+    ``specs``: ``(text column, output name, default text, reject label)``.
+    Adds ``<name>`` (the array) and ``<name>__reason``.  Each text is parsed
+    by ``from_json`` once; the Arrow UDF sees text only where that failed.
+    """
+    firsts = {}
+    for i, (c, name, default, _) in enumerate(specs):
+        firsts[f"__jt{i}"] = F.coalesce(c, F.lit(default))
+    df = df.withColumns(firsts)
+    df = df.withColumns({f"__jf{i}": F.from_json(F.col(f"__jt{i}"), schema)
+                         for i in range(len(specs))})
+    df = df.withColumns({f"__jo{i}": _list_ok(F.col(f"__jt{i}"), F.col(f"__jf{i}"))
+                         for i in range(len(specs))})
+    df = df.withColumns({
+        f"__ju{i}": literal_to_json(F.when(~F.col(f"__jo{i}") & F.ltrim(F.col(f"__jt{i}")).startswith("["),
+                                           F.col(f"__jt{i}")))
+        for i in range(len(specs))})
+    df = df.withColumns({f"__jb{i}": F.from_json(F.col(f"__ju{i}"), schema)
+                         for i in range(len(specs))})
+    out = {}
+    for i, (_, name, _, label) in enumerate(specs):
+        t, f, ok, b = (F.col(f"__jt{i}"), F.col(f"__jf{i}"), F.col(f"__jo{i}"), F.col(f"__jb{i}"))
+        b_ok = _list_ok(t, b)
+        out[name] = F.when(ok, f).when(b_ok, b)
+        out[f"{name}__reason"] = (
+            F.when(ok, F.lit(None).cast("string"))
+            .when(~F.ltrim(t).startswith("["), F.lit(f"{label}:not_a_list"))
+            .when(~b_ok, F.lit(f"{label}:unparseable")))
+    helpers = [c for c in df.columns if c.startswith("__j")]
+    return df.withColumns(out).drop(*helpers)
+
+
 def canonical_json(arr: Column) -> Column:
     """Compact JSON text with keys in schema order and NULL fields kept, so
     equal lists compare and deduplicate equal."""

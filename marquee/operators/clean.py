@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from marquee import contracts as K
 from marquee.functions.dates import parse_ymd_date
-from marquee.functions.jsoncols import canonical_json, json_array_parse
+from marquee.functions.jsoncols import canonical_json, with_json_lists
 from marquee.functions.text import strip_leading_chars
 from marquee.functions.validators import numeric_int, strict_float, strict_int
 
@@ -30,8 +30,12 @@ class Cleaned:
     annotated: DataFrame  # typed columns + raw columns + reasons, every row
 
 
+def _raw(col: K.Col):
+    return F.col(f"`{col.source}`").cast("string")
+
+
 def _typed(col: K.Col):
-    raw = F.col(f"`{col.source}`").cast("string")
+    raw = _raw(col)
     if col.strip_leading:
         raw = strip_leading_chars(raw, col.strip_leading)
     if col.kind == K.STRICT_INT:
@@ -43,8 +47,8 @@ def _typed(col: K.Col):
     if col.kind == K.DATE:
         return parse_ymd_date(raw), F.lit(None).cast("string")
     if col.kind == K.JSON_LIST:
-        arr, reason = json_array_parse(raw, default=col.default or "[]", label=col.name)
-        return canonical_json(arr), reason
+        parsed = F.col(f"__json_{col.name}")
+        return canonical_json(parsed), F.col(f"__json_{col.name}__reason")
     value = raw if col.dtype == "string" else raw.try_cast(col.dtype)
     if col.default is not None:
         value = F.coalesce(value, F.lit(col.default).cast(col.dtype))
@@ -53,6 +57,10 @@ def _typed(col: K.Col):
 
 def annotate(df: DataFrame, contract: K.TableContract) -> DataFrame:
     """Raw columns -> typed contract columns + ``reject_reasons`` array."""
+    specs = [(_raw(c), f"__json_{c.name}", c.default or "[]", c.name)
+             for c in contract.columns if c.kind == K.JSON_LIST]
+    if specs:
+        df = with_json_lists(df, specs)
     typed, reasons = [], []
     for col in contract.columns:
         value, reason = _typed(col)
@@ -74,7 +82,13 @@ def apply_contract(df: DataFrame, contract: K.TableContract, distinct: bool = Tr
     missing = [c for c in contract.sources if c not in df.columns]
     if missing:
         raise ValueError(f"{contract.name}: input lacks columns {missing}")
-    ann = annotate(df, contract)
+    return split_annotated(annotate(df, contract), contract, distinct)
+
+
+def split_annotated(ann: DataFrame, contract: K.TableContract, distinct: bool = True) -> Cleaned:
+    """Valid rows and rejects of an annotated frame.  When both halves are
+    written, write ``ann`` once first and split the written copy, so the
+    parsing is not done twice."""
     valid = ann.filter(F.size(REASONS) == 0).select(*contract.names)
     if distinct:
         valid = valid.dropDuplicates()

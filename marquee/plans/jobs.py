@@ -26,7 +26,7 @@ from marquee.functions.ratio import guarded_ratio
 from marquee.functions.text import clean_feed_title
 from marquee.functions.validators import INT_SENTINEL
 from marquee.operators.aggregate import mean_rating
-from marquee.operators.clean import Cleaned, apply_contract
+from marquee.operators.clean import Cleaned, annotate, apply_contract, split_annotated
 from marquee.operators.dedup import distinct_rows
 from marquee.operators.rank import dense_top_k
 from marquee.sources.csv import read_csv_positional, read_csv_text, read_csv_union
@@ -159,22 +159,51 @@ def build_all(spark: SparkSession, metadata_csv: str, link_csvs: list[str],
     return FilmTables(links.valid, meta.valid, ratings, feed, top, links.rejects, meta.rejects)
 
 
-def run_all(spark: SparkSession, out_dir: str, **inputs) -> FilmTables:
-    """Build and write every table (Parquet, contract schemas), staging
-    tables first so the final job reads written tables, not re-derived ones."""
-    t = build_all(spark, **inputs)
+def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: list[str],
+            ratings_glob: str, feed_xml: str, k: int = TOP_K,
+            ratio_mode: str = "decimal") -> FilmTables:
+    """Stage every table, then build ``top_movies`` from the written tables.
+
+    Each raw input is parsed once: the annotated rows (typed values, raw text,
+    reasons) are written first and both the table and its quarantine are cut
+    from that written copy.  Later steps read written tables, so a lost
+    executor never re-runs the parsing and the lineage stays short.
+    """
+    out = out_dir.rstrip("/")
+    staged = {
+        "movie_links": (read_csv_union(spark, link_csvs, columns=K.MOVIE_LINKS.sources),
+                        K.MOVIE_LINKS),
+        "movies_metadata": (read_csv_text(spark, metadata_csv,
+                                          columns=K.MOVIES_METADATA.sources),
+                            K.MOVIES_METADATA),
+    }
+    for name, (raw, contract) in staged.items():
+        annotate(raw, contract).write.mode("overwrite").parquet(f"{out}/_annotated/{name}")
+        cleaned = split_annotated(spark.read.parquet(f"{out}/_annotated/{name}"), contract)
+        write_table(cleaned.valid, f"{out}/{name}", contract)
+        cleaned.rejects.write.mode("overwrite").parquet(f"{out}/quarantine/{name}")
+    write_table(stage_ratings(spark, ratings_glob), f"{out}/movie_ratings", K.MOVIE_RATINGS)
+    t = read_tables(spark, out)
+    movies = linked_movies(t.links, t.metadata, t.ratings)
+    write_table(top_movies(movies, read_clean_feed(spark, feed_xml), k, ratio_mode),
+                f"{out}/top_movies", K.TOP_MOVIES)
+    return read_tables(spark, out, feed_xml)
+
+
+def read_tables(spark: SparkSession, out_dir: str, feed_xml: str | None = None) -> FilmTables:
+    """The tables written by ``run_all`` (the feed is re-read from its XML)."""
     out = out_dir.rstrip("/")
-    write_table(t.links, f"{out}/movie_links", K.MOVIE_LINKS)
-    write_table(t.metadata, f"{out}/movies_metadata", K.MOVIES_METADATA)
-    write_table(t.ratings, f"{out}/movie_ratings", K.MOVIE_RATINGS)
-    t.link_rejects.write.mode("overwrite").parquet(f"{out}/quarantine/movie_links")
-    t.metadata_rejects.write.mode("overwrite").parquet(f"{out}/quarantine/movies_metadata")
-    links = spark.read.parquet(f"{out}/movie_links")
-    meta = spark.read.parquet(f"{out}/movies_metadata")
-    ratings = spark.read.parquet(f"{out}/movie_ratings")
-    movies = linked_movies(links, meta, ratings)
-    top = top_movies(movies, t.feed, inputs.get("k", TOP_K), inputs.get("ratio_mode", "decimal"))
-    write_table(top, f"{out}/top_movies", K.TOP_MOVIES)
-    return FilmTables(links, meta, ratings, t.feed, spark.read.parquet(f"{out}/top_movies"),
-                      spark.read.parquet(f"{out}/quarantine/movie_links"),
-                      spark.read.parquet(f"{out}/quarantine/movies_metadata"))
+
+    def rd(name):
+        path = f"{out}/{name}"
+        return spark.read.parquet(path) if _exists(spark, path) else None
+    feed = read_clean_feed(spark, feed_xml) if feed_xml else None
+    return FilmTables(rd("movie_links"), rd("movies_metadata"), rd("movie_ratings"), feed,
+                      rd("top_movies"), rd("quarantine/movie_links"),
+                      rd("quarantine/movies_metadata"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

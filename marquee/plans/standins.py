@@ -196,14 +196,20 @@ def stage_film_files(spark: SparkSession, sf_dir: str) -> FilmFiles:
     done = f"{files.base}/_STAGED"
     if _exists(spark, done):
         return files
-    write_csv(raw_metadata(spark, sf_dir), files.metadata)
+    # Real dumps arrive as many files; write each input as several parts so
+    # readers that cannot split a file (multiLine CSV) still run in parallel.
+    parts = spark.sparkContext.defaultParallelism
+
+    def spread(df: DataFrame) -> DataFrame:
+        return df.repartition(parts)
+    write_csv(spread(raw_metadata(spark, sf_dir)), files.metadata)
     full, small = raw_links(spark, sf_dir)
-    write_csv(full, files.links_full)
-    write_csv(small, files.links_small)
+    write_csv(spread(full), files.links_full)
+    write_csv(spread(small), files.links_small)
     rfull, rsmall = raw_ratings(spark, sf_dir)
-    write_csv(rfull, files.ratings_full)
-    write_csv(rsmall, files.ratings_small)
-    write_xml_feed(raw_feed(spark, sf_dir), files.feed)
+    write_csv(spread(rfull), files.ratings_full)
+    write_csv(spread(rsmall), files.ratings_small)
+    write_xml_feed(spread(raw_feed(spark, sf_dir)), files.feed)
     spark.createDataFrame([("ok",)], "s string").coalesce(1).write.mode("overwrite").text(done)
     return files
 
