@@ -42,12 +42,19 @@ def ranked_top_values(df: DataFrame, col: str, k: int, descending: bool = True)
 
 
 def dense_top_k(df: DataFrame, col: str, k: int, descending: bool = True,
-                rank_col: str | None = None) -> DataFrame:
+                rank_col: str | None = None, materialize_input: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``col`` is among the ``k`` best distinct values.
 
     Output: the columns of ``df`` (plus ``rank_col`` holding the dense rank,
     if given).  NULL sorts last in both directions, as in Spark SQL.
+
+    ``df`` is read twice (values, then rows).  When it is expensive to
+    produce (joins/aggregates), pass ``materialize_input=True`` to compute it
+    once into the checkpoint dir instead of twice.
     """
+    if materialize_input:
+        from marquee.session import materialize
+        df = materialize(df)
     ranked = ranked_top_values(df, col, k, descending)
     if k <= BROADCAST_MAX_K:
         ranked = F.broadcast(ranked)

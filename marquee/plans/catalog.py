@@ -72,7 +72,7 @@ def _tables(spark, sf_dir) -> J.FilmTables:
                   ratings_glob=f.ratings_glob, feed_xml=f.feed)
         spark.createDataFrame([("ok",)], "s string").coalesce(1).write.mode("overwrite").text(
             f"{out}/_DONE")
-    return J.read_tables(spark, out, f.feed)
+    return J.read_tables(spark, out)
 
 
 def _movies(spark, sf_dir):
@@ -122,7 +122,7 @@ def top_ratio_dense_rank(spark: SparkSession, sf_dir: str, k: int = J.TOP_K) ->
         F.col("o_totalprice").alias("budget"), F.year("o_orderdate").alias("year"),
         "revenue", "rating",
         guarded_ratio(F.col("o_totalprice"), F.col("revenue"), "double").alias("ratio"))
-    return distinct_rows(dense_top_k(films, "ratio", k))
+    return distinct_rows(dense_top_k(films, "ratio", k, materialize_input=True))
 
 
 # ---- sources, cleaning, staging (E1-E4) -----------------------------------
@@ -264,7 +264,7 @@ FROM movies mv JOIN feed f ON f.title = mv.title
 def xml_feed_title_join(spark, sf_dir):
     """Films x feed entries by exact title, many-to-many (every pair kept)."""
     mv = _movies(spark, sf_dir).select("movie_id", "title")
-    return mv.join(_feed(spark, sf_dir), "title").select("movie_id", "title", "wiki_url",
+    return mv.join(_tables(spark, sf_dir).feed, "title").select("movie_id", "title", "wiki_url",
                                                          "wiki_abstract")
 
 
@@ -277,7 +277,7 @@ _TOP_CTES = O.FILM_ALL
 def top_movies(spark, sf_dir):
     """E5: the top-ratio table computed from the staged tables and the XML
     feed (decimal ratio, dense top 1000, distinct)."""
-    return J.top_movies(_movies(spark, sf_dir), _feed(spark, sf_dir), J.TOP_K, "decimal")
+    return J.top_movies(_movies(spark, sf_dir), _tables(spark, sf_dir).feed, J.TOP_K, "decimal")
 
 
 @register("ratio_decimal_ties", W(O.RAW_META, O.META_ANN, O.META, O.LINKS, O.RATINGS, O.MOVIES) + f"""

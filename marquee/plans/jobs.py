@@ -28,6 +28,7 @@ from marquee.functions.validators import INT_SENTINEL
 from marquee.operators.aggregate import mean_rating
 from marquee.operators.clean import Cleaned, annotate, apply_contract, split_annotated
 from marquee.operators.dedup import distinct_rows
+from marquee.operators.joins import join_small_side
 from marquee.operators.rank import dense_top_k
 from marquee.sources.csv import read_csv_positional, read_csv_text, read_csv_union
 from marquee.sources.tables import conform, write_table
@@ -94,7 +95,7 @@ def movie_ratios(movies: DataFrame, ratio_mode: str = "decimal") -> DataFrame:
 
 
 def top_movies(movies: DataFrame, feed: DataFrame, k: int = TOP_K,
-               ratio_mode: str = "decimal") -> DataFrame:
+               ratio_mode: str = "decimal", materialize: bool = True) -> DataFrame:
     """E5: films matched to the feed by title whose ratio is among the ``k``
     highest distinct ratios, one row per (film, feed entry), distinct.
 
@@ -105,8 +106,14 @@ def top_movies(movies: DataFrame, feed: DataFrame, k: int = TOP_K,
     """
     titles = feed.select("title").distinct()
     candidates = movie_ratios(movies.join(titles, "title", "left_semi"), ratio_mode)
-    winners = dense_top_k(candidates, "ratio", k)
-    out = winners.join(feed.select("title", "wiki_url", "wiki_abstract"), "title", "inner")
+    winners = dense_top_k(candidates, "ratio", k, materialize_input=materialize)
+    entries = feed.select("title", "wiki_url", "wiki_abstract")
+    if materialize:
+        # winners is a cheap read of the materialized candidates: measure it
+        # and broadcast it if small, so the feed is streamed, not shuffled.
+        out = join_small_side(entries, winners, "title", "inner")
+    else:
+        out = winners.join(entries, "title", "inner")
     final = out.select(
         "title", F.col("budget").cast("double").alias("budget"),
         F.coalesce(F.col("year"), F.lit(INT_SENTINEL)).cast("int").alias("year"),
@@ -183,22 +190,21 @@ def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: lis
         write_table(cleaned.valid, f"{out}/{name}", contract)
         cleaned.rejects.write.mode("overwrite").parquet(f"{out}/quarantine/{name}")
     write_table(stage_ratings(spark, ratings_glob), f"{out}/movie_ratings", K.MOVIE_RATINGS)
+    read_clean_feed(spark, feed_xml).write.mode("overwrite").parquet(f"{out}/wiki_feed")
     t = read_tables(spark, out)
     movies = linked_movies(t.links, t.metadata, t.ratings)
-    write_table(top_movies(movies, read_clean_feed(spark, feed_xml), k, ratio_mode),
-                f"{out}/top_movies", K.TOP_MOVIES)
-    return read_tables(spark, out, feed_xml)
+    write_table(top_movies(movies, t.feed, k, ratio_mode), f"{out}/top_movies", K.TOP_MOVIES)
+    return read_tables(spark, out)
 
 
-def read_tables(spark: SparkSession, out_dir: str, feed_xml: str | None = None) -> FilmTables:
-    """The tables written by ``run_all`` (the feed is re-read from its XML)."""
+def read_tables(spark: SparkSession, out_dir: str) -> FilmTables:
+    """The tables written by ``run_all`` (the cleaned feed as Parquet)."""
     out = out_dir.rstrip("/")
 
     def rd(name):
         path = f"{out}/{name}"
         return spark.read.parquet(path) if _exists(spark, path) else None
-    feed = read_clean_feed(spark, feed_xml) if feed_xml else None
-    return FilmTables(rd("movie_links"), rd("movies_metadata"), rd("movie_ratings"), feed,
+    return FilmTables(rd("movie_links"), rd("movies_metadata"), rd("movie_ratings"), rd("wiki_feed"),
                       rd("top_movies"), rd("quarantine/movie_links"),
                       rd("quarantine/movies_metadata"))
 

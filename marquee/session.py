@@ -67,3 +67,15 @@ def staging_dir(spark: SparkSession, name: str, key: str | None = None) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     suffix = hashlib.sha1(key.encode()).hexdigest()[:12] if key else uuid.uuid4().hex[:12]
     return f"{base}/marquee-staging/{name}-{suffix}"
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint dir and cut its lineage.
+
+    Used where a costly intermediate (e.g. an aggregate over the largest
+    table) feeds several branches of one plan; re-reading the checkpoint is
+    cheaper than re-running the scan and shuffle, and survives lost
+    executors.  Never a local checkpoint: the files live on shared storage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
