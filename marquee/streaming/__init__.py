@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The source system reads every input as a bounded batch (CSV files, one XML
+dump, database tables) and keeps no state between runs, so there is no
+stream, watermark or stateful operator to rebuild.  The batch jobs in
+:mod:`marquee.plans.jobs` are written over DataFrames, so they would run
+unchanged inside ``foreachBatch`` if inputs ever arrived incrementally.
+"""
