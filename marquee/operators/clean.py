@@ -72,16 +72,27 @@ def annotate(df: DataFrame, contract: K.TableContract) -> DataFrame:
     return df.select(*typed, *raw, F.array_compact(F.array(*reasons)).alias(REASONS))
 
 
+def add_missing_columns(df: DataFrame, contract: K.TableContract) -> DataFrame:
+    """Column defaults: a contract column absent from the input is added as
+    NULL text, which its validator then turns into the column's default
+    (``[]`` for JSON lists, NULL for dates, the sentinel for numbers).
+    A NOT NULL column without a default cannot be defaulted."""
+    missing = [c for c in contract.columns if c.source not in df.columns]
+    bad = [c.source for c in missing if not c.nullable and c.default is None]
+    if bad:
+        raise ValueError(f"{contract.name}: input lacks required columns {bad}")
+    return df.withColumns({c.source: F.lit(None).cast("string") for c in missing}) if missing else df
+
+
 def apply_contract(df: DataFrame, contract: K.TableContract, distinct: bool = True) -> Cleaned:
     """Validate, type and fill ``df`` against ``contract``.
 
     ``valid`` keeps the contract columns of rows without reasons, de-duplicated
     over all columns when ``distinct`` (full-row distinct runs after typing, as
     the source system did).  ``rejects`` keeps the raw text and the reasons.
+    Columns the input lacks take their defaults (``add_missing_columns``).
     """
-    missing = [c for c in contract.sources if c not in df.columns]
-    if missing:
-        raise ValueError(f"{contract.name}: input lacks columns {missing}")
+    df = add_missing_columns(df, contract)
     return split_annotated(annotate(df, contract), contract, distinct)
 
 

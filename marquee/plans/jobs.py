@@ -86,16 +86,20 @@ def linked_movies(links: DataFrame, metadata: DataFrame, ratings: DataFrame) ->
                     "production_companies", "rating"))
 
 
-def movie_ratios(movies: DataFrame, ratio_mode: str = "decimal") -> DataFrame:
-    """Add ``year`` and ``ratio`` (budget per unit of revenue)."""
+def movie_ratios(movies: DataFrame, ratio_mode: str = "decimal",
+                 numerator: str = "budget", denominator: str = "revenue") -> DataFrame:
+    """Add ``year`` and ``ratio`` (by default budget per unit of revenue, so
+    the "top" films are the weakest returns; swap the columns for the
+    strongest)."""
     return movies.select(
         "title", "budget", F.year("release_date").alias("year"), "revenue", "rating",
-        guarded_ratio(F.col("budget"), F.col("revenue"), ratio_mode).alias("ratio"),
+        guarded_ratio(F.col(numerator), F.col(denominator), ratio_mode).alias("ratio"),
         "production_companies")
 
 
 def top_movies(movies: DataFrame, feed: DataFrame, k: int = TOP_K,
-               ratio_mode: str = "decimal", materialize: bool = True) -> DataFrame:
+               ratio_mode: str = "decimal", materialize: bool = True,
+               numerator: str = "budget", denominator: str = "revenue") -> DataFrame:
     """E5: films matched to the feed by title whose ratio is among the ``k``
     highest distinct ratios, one row per (film, feed entry), distinct.
 
@@ -105,7 +109,8 @@ def top_movies(movies: DataFrame, feed: DataFrame, k: int = TOP_K,
     many-to-many title join runs only for the winners, not the whole table.
     """
     titles = feed.select("title").distinct()
-    candidates = movie_ratios(movies.join(titles, "title", "left_semi"), ratio_mode)
+    candidates = movie_ratios(movies.join(titles, "title", "left_semi"), ratio_mode,
+                              numerator, denominator)
     winners = dense_top_k(candidates, "ratio", k, materialize_input=materialize)
     entries = feed.select("title", "wiki_url", "wiki_abstract")
     if materialize:

@@ -52,9 +52,15 @@ def null_tokens_to_null(df: DataFrame, columns: list[str] | None = None,
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = None,
-                  partitions: int | None = None, null_tokens: bool = True) -> DataFrame:
-    """One CSV (file or folder) as STRING columns chosen by header name."""
-    df = (spark.read.option("header", True).option("multiLine", True)
+                  partitions: int | None = None, null_tokens: bool = True,
+                  multiline: bool = True) -> DataFrame:
+    """One CSV (file or folder) as STRING columns chosen by header name.
+
+    A multiLine file is one task; when the scan yields fewer than half the
+    cluster's cores worth of tasks the rows are spread right after the scan
+    (round-robin, deterministic on retry), unless ``partitions`` says otherwise.
+    """
+    df = (spark.read.option("header", True).option("multiLine", multiline)
           .option("quote", '"').option("escape", '"').option("inferSchema", False)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("mode", "PERMISSIVE").csv(path))
@@ -65,6 +71,10 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = No
         df = df.select(*[F.col(f"`{c}`") for c in columns])
     if null_tokens:
         df = null_tokens_to_null(df)
+    if partitions is None and multiline:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() * 2 < cores:
+            partitions = cores
     if partitions:
         df = df.repartition(partitions)
     return df
@@ -77,7 +87,7 @@ def read_csv_union(spark: SparkSession, paths: list[str] | str,
         paths = _expand(spark, paths)
     if not paths:
         raise FileNotFoundError("no CSV matched")
-    frames = [read_csv_text(spark, p, columns, null_tokens=True) for p in paths]
+    frames = [read_csv_text(spark, p, columns, partitions=0, null_tokens=True) for p in paths]
     df = union_by_name(frames)
     return df.repartition(partitions) if partitions else df
 

@@ -80,3 +80,33 @@ def test_contract_split_is_complete_and_distinct(spark):
                               "original_title:null", "budget:not_decimal",
                               "revenue:not_decimal", "production_companies:not_a_list"])
     assert distinct_rows(c.valid).count() == c.valid.count()
+
+
+def test_missing_columns_take_defaults(spark):
+    raw = spark.createDataFrame([("862", "tt1", "T", "T", "5", "6")],
+                                "id string, imdb_id string, original_title string, title string, "
+                                "budget string, revenue string")
+    row = apply_contract(raw, K.MOVIES_METADATA).valid.collect()[0]
+    assert row.genres == "[]" and row.production_companies == "[]" and row.release_date is None
+
+
+def test_run_all_end_to_end(spark, tmp_dir):
+    write_text(f"{tmp_dir}/in/movies_metadata.csv",
+               "adult,id,imdb_id,genres,original_title,title,budget,release_date,revenue,production_companies\n"
+               "False,862,tt0114709,\"[{'id': 16, 'name': 'Animation'}]\",Toy Story,Toy Story,30000000,1995-10-30,373554033,\"[{'name': 'Pixar', 'id': 3}]\"\n"
+               "False,8844,tt0113497,[],Jumanji,Jumanji,65000000,1995-12-15,262797249,[]\n"
+               "False,x,tt1,[],Bad,Bad,1,1995-12-15,1,[]\n")
+    write_text(f"{tmp_dir}/in/links.csv", "movieId,imdbId,tmdbId\n1,114709,862\n2,113497,8844\n")
+    write_text(f"{tmp_dir}/in/links_small.csv", "movieId,imdbId,tmdbId\n1,114709,862\n")
+    write_text(f"{tmp_dir}/in/ratings.csv", "userId,movieId,rating,timestamp\n1,1,4.0,1\n2,1,5.0,1\n1,2,3.0,1\n")
+    feed = spark.createDataFrame([("Wikipedia: Toy Story", "https://w/1", "A toy film."),
+                                  ("Wikipedia: Jumanji", "https://w/2", "A game film.")],
+                                 "title string, url string, abstract string")
+    write_xml_feed(feed, f"{tmp_dir}/in/feed")
+    t = J.run_all(spark, f"{tmp_dir}/out", metadata_csv=f"{tmp_dir}/in/movies_metadata.csv",
+                  link_csvs=[f"{tmp_dir}/in/links.csv", f"{tmp_dir}/in/links_small.csv"],
+                  ratings_glob=f"{tmp_dir}/in/ratings*.csv", feed_xml=f"{tmp_dir}/in/feed", k=1)
+    assert t.links.count() == 2 and t.metadata.count() == 2 and t.metadata_rejects.count() == 1
+    top = t.top.collect()
+    assert [(r.title, r.rating, r.year, r.wiki_url) for r in top] == [("Jumanji", 3.0, 1995, "https://w/2")]
+    assert t.top.columns == K.TOP_MOVIES.names
