@@ -47,13 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     given.  Only when nothing is configured (local tests) do we make one.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None) \
-        or sc.getConf().get(CHECKPOINT_CONF, None)
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    current = sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
+        # Unset: only in local runs (tests).  A cluster names shared storage.
         current = tempfile.mkdtemp(prefix="marquee-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
