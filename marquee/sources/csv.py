@@ -31,14 +31,7 @@ def _expand(spark: SparkSession, path: str) -> list[str]:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
-    found = fs.globStatus(p) or []
-    out = []
-    for st in found:
-        if st.isDirectory():
-            out.append(st.getPath().toString())
-        else:
-            out.append(st.getPath().toString())
-    return sorted(out)
+    return sorted(st.getPath().toString() for st in (fs.globStatus(p) or []))
 
 
 def null_tokens_to_null(df: DataFrame, columns: list[str] | None = None,
