@@ -280,6 +280,27 @@ def top_movies(spark, sf_dir):
     return J.top_movies(_movies(spark, sf_dir), _tables(spark, sf_dir).feed, J.TOP_K, "decimal")
 
 
+@register("top_movies_double_ratio", W(*O.FILM_ALL[:-1], O.TOP_DOUBLE) + "\nSELECT * FROM top_movies\n")
+def top_movies_double_ratio(spark, sf_dir):
+    """E5 with ``ratio_type="double"``: ratios rank as doubles (no 6-place ties)."""
+    return J.top_movies(_movies(spark, sf_dir), _tables(spark, sf_dir).feed, J.TOP_K, "double")
+
+
+@register("json_explode_ordinality", W(O.RAW_META, O.META_ANN, O.META) + f"""
+SELECT tmdb_id, title, CAST(pos AS INTEGER) AS position, el.id AS genre_id, el.name AS genre
+FROM (SELECT tmdb_id, title, unnest(arr) AS el, unnest(range(1, len(arr) + 1)) AS pos
+      FROM (SELECT tmdb_id, title, from_json(genres, {{JSON_LIST_TYPE}}) AS arr FROM meta))
+""".replace("{JSON_LIST_TYPE}", """'[{"id":"BIGINT","name":"VARCHAR"}]'"""))
+def json_explode_ordinality(spark, sf_dir):
+    """Every genre of every film as a row with its 1-based
+    position (``jsonb_array_elements ... WITH ORDINALITY``); empty lists vanish."""
+    from marquee.operators.explode import explode_json_list
+    m = _tables(spark, sf_dir).metadata
+    out = explode_json_list(m, "genres", ["tmdb_id", "title"], "el", "position")
+    return out.select("tmdb_id", "title", "position", F.col("el.id").alias("genre_id"),
+                      F.col("el.name").alias("genre"))
+
+
 @register("ratio_decimal_ties", W(O.RAW_META, O.META_ANN, O.META, O.LINKS, O.RATINGS, O.MOVIES) + f"""
 , r AS (
   SELECT {O.RATIO6} AS ratio6,

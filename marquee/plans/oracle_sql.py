@@ -186,25 +186,30 @@ _P = "CAST(round(revenue * 1000) AS HUGEINT)"
 RATIO6 = (f"CASE WHEN revenue > 0 THEN sign({_B}) * ((2000000 * abs({_B}) + {_P}) // (2 * {_P})) "
           f"ELSE -999999000 END")
 
-TOP = f"""
+def top_cte(ratio_key: str, ratio_out: str, name: str = "top_movies") -> str:
+    """E5 in SQL: join, ratio, global DENSE_RANK window, distinct."""
+    return f"""
 joined AS (
   SELECT mv.*, f.wiki_url, f.wiki_abstract FROM movies mv JOIN feed f ON f.title = mv.title
 ),
 ratioed AS (
-  SELECT title, budget, year(release_date) AS year, revenue, rating, {RATIO6} AS ratio6,
+  SELECT title, budget, year(release_date) AS year, revenue, rating, {ratio_key} AS ratio_key,
          production_companies, wiki_url, wiki_abstract
   FROM joined
 ),
-ranked AS (SELECT *, DENSE_RANK() OVER (ORDER BY ratio6 DESC) AS rk FROM ratioed),
-top_movies AS (
+ranked AS (SELECT *, DENSE_RANK() OVER (ORDER BY ratio_key DESC) AS rk FROM ratioed),
+{name} AS (
   SELECT DISTINCT title, CAST(budget AS DOUBLE) AS budget,
          CAST(COALESCE(year, -9999) AS INTEGER) AS year, CAST(revenue AS DOUBLE) AS revenue,
-         rating, CAST(ratio6 AS DOUBLE) / 1000000.0 AS ratio, production_companies,
-         wiki_url, wiki_abstract
+         rating, {ratio_out} AS ratio, production_companies, wiki_url, wiki_abstract
   FROM ranked WHERE rk <= 1000
 )"""
 
 
+TOP = top_cte(RATIO6, "CAST(ratio_key AS DOUBLE) / 1000000.0")
+TOP_DOUBLE = top_cte("CASE WHEN revenue > 0 THEN budget / revenue ELSE -999.999 END", "ratio_key")
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 

@@ -38,3 +38,39 @@ def write_table(df: DataFrame, path: str, contract: TableContract | None = None,
         raise ValueError(mode)
     out = conform(df, contract) if contract else df
     out.write.mode(mode).parquet(path)
+
+
+class ConstraintError(ValueError):
+    """A load was refused because the result would violate table constraints."""
+
+    def __init__(self, table: str, violations):
+        self.violations = violations  # DataFrame of (constraint, key, num_rows)
+        super().__init__(f"{table}: load refused, constraints violated")
+
+
+def load_table(spark: SparkSession, df: DataFrame, path: str, contract: TableContract,
+               mode: str = "append") -> None:
+    """All-or-nothing load: conform ``df``, check the contract's constraints
+    on what the table *would* hold (existing rows plus the new ones for an
+    append), and write only if nothing is violated.
+
+    The check is aggregations over the table; only the existence of a
+    violation reaches the driver.  On refusal the violations come back as a
+    lazy DataFrame on the exception, nothing is written.
+    """
+    from marquee.operators.quality import constraint_violations
+
+    new = conform(df, contract)
+    would_hold = new
+    if mode == "append" and _exists(spark, path):
+        would_hold = spark.read.parquet(path).unionByName(new)
+    violations = constraint_violations(would_hold, contract)
+    if violations.limit(1).count() > 0:
+        raise ConstraintError(contract.name, violations)
+    write_table(new, path, None, mode)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -77,3 +77,18 @@ def test_constraint_violations(spark):
     ratings = spark.createDataFrame([(1, 5.5), (2, None), (2, 3.0)], "movie_id int, rating double")
     got = sorted(map(tuple, constraint_violations(ratings, K.MOVIE_RATINGS).collect()))
     assert got == [("check:rating_at_most_5", "1", 1), ("primary_key_duplicate", "2", 2)]
+
+
+def test_load_table_is_all_or_nothing(spark, tmp_dir):
+    import pytest
+    from marquee.sources.tables import ConstraintError, load_table
+    path = f"{tmp_dir}/ratings"
+    first = spark.createDataFrame([(1, 3.0), (2, 4.0)], "movie_id int, rating double")
+    load_table(spark, first, path, K.MOVIE_RATINGS, mode="overwrite")
+    dup = spark.createDataFrame([(2, 1.0), (3, 2.0)], "movie_id int, rating double")
+    with pytest.raises(ConstraintError) as err:
+        load_table(spark, dup, path, K.MOVIE_RATINGS, mode="append")
+    assert [tuple(r) for r in err.value.violations.collect()] == [("primary_key_duplicate", "2", 2)]
+    assert spark.read.parquet(path).count() == 2  # nothing was written
+    load_table(spark, dup.filter("movie_id = 3"), path, K.MOVIE_RATINGS, mode="append")
+    assert spark.read.parquet(path).count() == 3
