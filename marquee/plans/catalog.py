@@ -388,6 +388,25 @@ def json_explode_dense_rank(spark, sf_dir):
     return R.top_rank_companies(_top(spark, sf_dir), 5)
 
 
+# ---- the same reports as Spark SQL text -----------------------------------
+
+def _sql_report(report: str, genre: str = "URGENT") -> Builder:
+    def build(spark, sf_dir):
+        from marquee.plans import sql_reports
+        t = _tables(spark, sf_dir)
+        sql_reports.register_views(t.top, t.metadata)
+        return sql_reports.run_report(spark, report, genre)
+    build.__doc__ = f"R-report {report!r} written as Spark SQL over temp views."
+    return build
+
+
+for _name, _report in [("sql_empty_schema_probe", "schema_probe"), ("sql_row_count", "loaded_rows"),
+                       ("sql_shared_ratio_groups", "shared_ratios"), ("sql_top_n_join", "top_genres"),
+                       ("sql_json_explode_filter", "top_in_genre"),
+                       ("sql_json_explode_dense_rank", "top_rank_companies")]:
+    register(_name, REGISTRY[_name[4:]][1])(_sql_report(_report))
+
+
 # ---- constraints and table writes ----------------------------------------
 
 def _key(cols):

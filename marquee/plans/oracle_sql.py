@@ -9,7 +9,7 @@ the Spark side must recover the same lists by parsing the literal text.
 
 from __future__ import annotations
 
-from marquee.plans.standins import DIRT, FEED_URL
+from marquee.plans.standins import DIRT, FEED_DOCS_PER_TITLE, FEED_URL
 
 INT_PAT = "^[0-9]+$"
 FLOAT_PAT = r"^[0-9]+\.?[0-9]*$"
@@ -158,7 +158,7 @@ rating_rows AS (
 )"""
 
 DK = "doc_id"
-_NAME = f"printf('Customer#%09d', {DK})"
+_NAME = f"printf('Customer#%09d', {DK} // {FEED_DOCS_PER_TITLE})"
 FEED = f"""
 feed AS (
   SELECT trim(regexp_replace(

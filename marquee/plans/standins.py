@@ -18,8 +18,8 @@ id-link CSVs           ``orders`` keys (full file) and the urgent orders
 ratings CSVs           every ``lineitem`` row is one rating (``l_quantity``)
                        of film ``l_orderkey``; returned items again (small)
 encyclopedia XML       one ``<doc>`` per ``documents`` row; its title names
-                       the customer whose id equals ``doc_id``; the abstract
-                       is the whole document text
+                       customer ``doc_id div 2`` (two entries per title);
+                       the abstract is the whole document text
 =====================  =====================================================
 
 Dirty values are placed deterministically by key (``DIRT`` below); the same
@@ -54,6 +54,9 @@ DIRT = {
 }
 
 FEED_URL = "https://en.wikipedia.example/wiki/Doc_"
+# Documents per feed title: doc d describes customer d div FEED_DOCS_PER_TITLE,
+# so every matched film fans out to several feed entries.
+FEED_DOCS_PER_TITLE = 2
 
 
 def _hit(key: Column, name: str) -> Column:
@@ -159,7 +162,7 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encyclopedia-feed rows (title, url, abstract), one per document."""
     d = read_table(spark, sf_dir, "documents")
     k = F.col("doc_id")
-    name = F.format_string("Customer#%09d", k)
+    name = F.format_string("Customer#%09d", F.expr(f"doc_id div {FEED_DOCS_PER_TITLE}"))
     title = (F.when(_hit(k, "feed_prefix_space"), F.concat(F.lit(" Wikipedia: "), name))
              .when(_hit(k, "feed_title_padded"), F.concat(F.lit("Wikipedia:  "), name, F.lit("   ")))
              .otherwise(F.concat(F.lit("Wikipedia: "), name)))
