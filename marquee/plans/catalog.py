@@ -336,8 +336,7 @@ def row_count(spark, sf_dir):
 
 
 @register("shared_ratio_groups", W(*_TOP_CTES) + """
-SELECT * FROM (SELECT ratio, COUNT(*) AS num_rec FROM top_movies GROUP BY ratio) r
-WHERE r.num_rec > 1
+SELECT ratio, COUNT(*) AS num_rec FROM top_movies GROUP BY ratio HAVING COUNT(*) > 1
 """)
 def shared_ratio_groups(spark, sf_dir):
     """R3."""
@@ -373,7 +372,7 @@ def json_explode_filter(spark, sf_dir):
 
 
 @register("json_explode_dense_rank", W(*_TOP_CTES) + f"""
-, rr AS (
+, exploded AS (
   SELECT title, wiki_url, wiki_abstract, el.name AS production_company_name,
          DENSE_RANK() OVER (ORDER BY ratio DESC) AS ratio_rank
   FROM (SELECT *, unnest(from_json(production_companies, {JSON_LIST_TYPE})) AS el
@@ -381,7 +380,7 @@ def json_explode_filter(spark, sf_dir):
 )
 SELECT title, wiki_url, wiki_abstract, production_company_name,
        CAST(ratio_rank AS INTEGER) AS ratio_rank
-FROM rr WHERE ratio_rank <= 5
+FROM exploded WHERE ratio_rank <= 5
 """)
 def json_explode_dense_rank(spark, sf_dir):
     """Companies of the 5 best ratio ranks, ranked after the explode."""

@@ -16,36 +16,37 @@ from pyspark.sql import DataFrame, SparkSession
 LIST_TYPE = "array<struct<id:bigint,name:string>>"
 
 REPORTS = {
-    "schema_probe": "SELECT * FROM top_movies WHERE 1 = 2",
+    "schema_probe": "SELECT * FROM top_movies WHERE false",
     "loaded_rows": "SELECT count(1) AS num_rows FROM top_movies",
     "shared_ratios": """
-        SELECT * FROM (SELECT ratio, count(1) AS num_rec FROM top_movies GROUP BY ratio) r
-        WHERE r.num_rec > 1""",
+        SELECT ratio, count(1) AS num_rec FROM top_movies
+        GROUP BY ratio HAVING count(1) >= 2""",
     "top_genres": """
-        SELECT top.title, top.ratio, m.genres
-        FROM top_movies top JOIN movies_metadata m ON m.title = top.title
-        ORDER BY top.ratio DESC, top.title, m.genres LIMIT 5""",
+        SELECT t.title, t.ratio, meta.genres
+        FROM top_movies t JOIN movies_metadata meta ON meta.title = t.title
+        ORDER BY t.ratio DESC, t.title, meta.genres LIMIT 5""",
     "top_in_genre": f"""
-        SELECT top.title, g.genre, top.wiki_url
-        FROM (SELECT title, arr.g_object.name AS genre
-              FROM movies_metadata
-              LATERAL VIEW posexplode(from_json(genres, '{LIST_TYPE}')) arr AS position, g_object
-              WHERE arr.g_object.name = :genre) g
-        JOIN top_movies top ON g.title = top.title
-        ORDER BY top.ratio DESC, top.title, top.wiki_url LIMIT 10""",
+        WITH tagged AS (
+          SELECT meta.title, item.name AS genre
+          FROM movies_metadata meta
+          LATERAL VIEW posexplode(from_json(meta.genres, '{LIST_TYPE}')) lst AS pos, item
+          WHERE item.name = :genre)
+        SELECT t.title, tagged.genre, t.wiki_url
+        FROM tagged JOIN top_movies t ON t.title = tagged.title
+        ORDER BY t.ratio DESC, t.title, t.wiki_url LIMIT 10""",
     "top_rank_companies": f"""
-        WITH ex AS (
-          SELECT title, wiki_url, wiki_abstract, ratio,
-                 arr.pc_object.name AS production_company_name
-          FROM top_movies
-          LATERAL VIEW posexplode(from_json(production_companies, '{LIST_TYPE}')) arr
-            AS position, pc_object),
+        WITH companies AS (
+          SELECT t.title, t.wiki_url, t.wiki_abstract, t.ratio,
+                 company.name AS production_company_name
+          FROM top_movies t
+          LATERAL VIEW posexplode(from_json(t.production_companies, '{LIST_TYPE}')) lst
+            AS pos, company),
         best AS (
           SELECT v, CAST(row_number() OVER (ORDER BY v DESC NULLS LAST) AS INT) AS ratio_rank
-          FROM (SELECT DISTINCT ratio AS v FROM ex ORDER BY v DESC NULLS LAST LIMIT 5))
-        SELECT /*+ BROADCAST(best) */ ex.title, ex.wiki_url, ex.wiki_abstract,
-               ex.production_company_name, best.ratio_rank
-        FROM ex JOIN best ON ex.ratio <=> best.v""",
+          FROM (SELECT DISTINCT ratio AS v FROM companies ORDER BY v DESC NULLS LAST LIMIT 5))
+        SELECT /*+ BROADCAST(best) */ c.title, c.wiki_url, c.wiki_abstract,
+               c.production_company_name, best.ratio_rank
+        FROM companies c JOIN best ON c.ratio <=> best.v""",
 }
 
 
