@@ -38,15 +38,27 @@ def _literal_list_to_json(text: str | None) -> str | None:
 
 
 @F.pandas_udf(StringType())
-def literal_to_json(texts: pd.Series) -> pd.Series:
-    """Python-literal list of dicts -> JSON text; anything else -> NULL."""
+def _literal_to_json(texts: pd.Series) -> pd.Series:
     return texts.map(_literal_list_to_json, na_action="ignore")
 
 
+# The function is deterministic; it is flagged otherwise only as a planner
+# barrier: predicates over parsed values (e.g. "row has no reject reason")
+# must not be inlined below the parse, which would plan a second Python pass.
+literal_to_json = _literal_to_json.asNondeterministic()
+literal_to_json.__doc__ = "Python-literal list of dicts -> JSON text; anything else -> NULL."
+
+
+def has_null_element(arr: Column) -> Column:
+    """True when the array holds a NULL element.  ``sort_array`` puts NULL
+    elements first; unlike ``exists(arr, x -> x IS NULL)`` this keeps the
+    projection inside whole-stage codegen (lambdas force interpretation)."""
+    return (F.size(arr) > 0) & F.try_element_at(F.sort_array(arr), F.lit(1)).isNull()
+
+
 def _list_ok(text: Column, parsed: Column) -> Column:
     # A lone object parses as a one-element list; only list text counts.
-    return (F.ltrim(text).startswith("[") & parsed.isNotNull()
-            & ~F.exists(parsed, lambda x: x.isNull()))
+    return (F.ltrim(text).startswith("[") & parsed.isNotNull() & ~has_null_element(parsed))
 
 
 def json_array_parse(c: Column, schema: str = COMPANY_ARRAY, default: str = "[]",

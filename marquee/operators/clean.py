@@ -69,7 +69,10 @@ def annotate(df: DataFrame, contract: K.TableContract) -> DataFrame:
             reason = F.coalesce(reason, F.when(value.isNull(), F.lit(f"{col.name}:null")))
         reasons.append(reason)
     raw = [F.col(f"`{c}`").cast("string").alias(f"raw_{c}") for c in dict.fromkeys(contract.sources)]
-    return df.select(*typed, *raw, F.array_compact(F.array(*reasons)).alias(REASONS))
+    # array_except drops the NULLs (no lambda, so the select stays codegen'd);
+    # reasons are distinct by construction, so its de-duplication is moot.
+    no_reason = F.array(F.lit(None).cast("string"))
+    return df.select(*typed, *raw, F.array_except(F.array(*reasons), no_reason).alias(REASONS))
 
 
 def add_missing_columns(df: DataFrame, contract: K.TableContract) -> DataFrame:
