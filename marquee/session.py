@@ -79,3 +79,24 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Suggested settings for a large cluster.  The library never sets these
+# itself (the cluster's owner does); they are what the jobs were shaped for.
+# Sizing for ~100 TB of input: scans split at 256 MB (~400k map tasks); the
+# largest shuffle is the per-film partial aggregate of the ratings/lineitem
+# table (~6 TB), so 32k shuffle partitions land near the 256 MB advisory size
+# and AQE coalesces the smaller shuffles.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "32000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
