@@ -31,7 +31,8 @@ from marquee.operators.dedup import distinct_rows
 from marquee.operators.joins import join_small_side
 from marquee.operators.rank import dense_top_k
 from marquee.sources.csv import read_csv_positional, read_csv_text, read_csv_union
-from marquee.sources.tables import conform, write_table
+from marquee.sources.tables import write_table
+from marquee.session import path_exists
 from marquee.sources.xml import read_xml_feed
 
 TOP_K = 1000
@@ -208,13 +209,8 @@ def read_tables(spark: SparkSession, out_dir: str) -> FilmTables:
 
     def rd(name):
         path = f"{out}/{name}"
-        return spark.read.parquet(path) if _exists(spark, path) else None
+        return spark.read.parquet(path) if path_exists(spark, path) else None
     return FilmTables(rd("movie_links"), rd("movies_metadata"), rd("movie_ratings"), rd("wiki_feed"),
                       rd("top_movies"), rd("quarantine/movie_links"),
                       rd("quarantine/movies_metadata"))
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -32,8 +32,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import staging_dir
-from marquee.sources.csv import read_csv_positional, read_csv_union, read_csv_text, write_csv
+from marquee.session import path_exists, staging_dir
+from marquee.sources.csv import write_csv
 from marquee.sources.tables import read_table
 from marquee.sources.xml import read_xml_feed, write_xml_feed
 
@@ -172,11 +172,6 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- staged files --------------------------------------------------------
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
 
 class FilmFiles:
     """Paths of the staged film inputs for one driver folder."""
@@ -197,7 +192,7 @@ def stage_film_files(spark: SparkSession, sf_dir: str) -> FilmFiles:
     checkpoint dir) and return their paths; later calls reuse them."""
     files = FilmFiles(staging_dir(spark, "film-inputs", key=sf_dir.rstrip("/")))
     done = f"{files.base}/_STAGED"
-    if _exists(spark, done):
+    if path_exists(spark, done):
         return files
     # Real dumps arrive as many files; write each input as several parts so
     # readers that cannot split a file (multiLine CSV) still run in parallel.

@@ -69,6 +69,13 @@ def staging_dir(spark: SparkSession, name: str, key: str | None = None) -> str:
     return f"{base}/marquee-staging/{name}-{suffix}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def materialize(df):
     """Compute ``df`` once into the shared checkpoint dir and cut its lineage.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.contracts import TableContract
+from marquee.session import path_exists
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -62,15 +63,10 @@ def load_table(spark: SparkSession, df: DataFrame, path: str, contract: TableCon
 
     new = conform(df, contract)
     would_hold = new
-    if mode == "append" and _exists(spark, path):
+    if mode == "append" and path_exists(spark, path):
         would_hold = spark.read.parquet(path).unionByName(new)
     violations = constraint_violations(would_hold, contract)
     if violations.limit(1).count() > 0:
         raise ConstraintError(contract.name, violations)
     write_table(new, path, None, mode)
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
