@@ -110,3 +110,26 @@ def test_run_all_end_to_end(spark, tmp_dir):
     top = t.top.collect()
     assert [(r.title, r.rating, r.year, r.wiki_url) for r in top] == [("Jumanji", 3.0, 1995, "https://w/2")]
     assert t.top.columns == K.TOP_MOVIES.names
+
+
+
+
+def test_valid_plus_rejects_is_input_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = st.one_of(st.none(), st.sampled_from(
+        ["862", "tt0114709", "-9999", "1e6", "1.", "", "x", "[]", "{}", "junk",
+         "[{'id': 1, 'name': 'A'}]", "[{'name': None, 'id': 2}]", "1995-1-3", " 1995-10-30",
+         "99999999999", "-999.999", "-999x999"]), st.text(max_size=6))
+    row = st.tuples(*[texts] * len(K.MOVIES_METADATA.sources))
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=25))
+    def check(rows):
+        df = _raw_meta(spark, rows)
+        c = apply_contract(df, K.MOVIES_METADATA, distinct=False)
+        assert c.valid.count() + c.rejects.count() == len(rows)
+        once = apply_contract(df, K.MOVIES_METADATA).valid
+        assert distinct_rows(once).count() == once.count()  # distinct is idempotent
+    check()
