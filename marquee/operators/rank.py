@@ -49,12 +49,13 @@ def dense_top_k(df: DataFrame, col: str, k: int, descending: bool = True,
     if given).  NULL sorts last in both directions, as in Spark SQL.
 
     ``df`` is read twice (values, then rows).  When it is expensive to
-    produce (joins/aggregates), pass ``materialize_input=True`` to compute it
-    once into the checkpoint dir instead of twice.
+    produce (joins/aggregates), pass ``materialize_input=True`` to write it
+    once as Parquet under the checkpoint dir; the values pass then reads only
+    the ranked column.
     """
     if materialize_input:
         from marquee.session import materialize
-        df = materialize(df)
+        df = materialize(df, "topk-input")
     ranked = ranked_top_values(df, col, k, descending)
     if k <= BROADCAST_MAX_K:
         ranked = F.broadcast(ranked)

@@ -76,16 +76,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def materialize(df):
-    """Compute ``df`` once into the shared checkpoint dir and cut its lineage.
+def materialize(df, name: str = "materialized"):
+    """Compute ``df`` once into a Parquet table under the shared checkpoint
+    dir and continue from that table (lineage cut).
 
     Used where a costly intermediate (e.g. an aggregate over the largest
-    table) feeds several branches of one plan; re-reading the checkpoint is
-    cheaper than re-running the scan and shuffle, and survives lost
-    executors.  Never a local checkpoint: the files live on shared storage.
+    table) feeds several branches of one plan: re-reading is cheaper than
+    re-running the scan and shuffle, survives lost executors, and being
+    columnar a branch that needs one column reads one column.  Never a
+    local checkpoint, never a machine-local folder.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = staging_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 # Suggested settings for a large cluster.  The library never sets these

@@ -22,7 +22,7 @@ def main() -> None:
     out = ["# Physical plans", "",
            f"Final adaptive plans of every registered query on `{os.path.basename(sf_dir)}`, "
            "`local[8]`, 16 shuffle partitions (generated by `scripts/dump_plans.py`). "
-           "`Scan ExistingRDD` marks a materialized (checkpointed) input; "
+           "`FileScan parquet` over `marquee-staging/topk-input-…` marks a materialized input; "
            "`FileScan parquet` lines show the pruned `ReadSchema`.", ""]
     for name, fn in E.queries().items():
         df = fn(spark, sf_dir)
