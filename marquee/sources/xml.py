@@ -7,6 +7,11 @@ tasks — keeps each record from its ``<doc`` on, and parses it with
 ``from_xml`` against an explicit schema (one pass, no inference scan).
 Compressed input (gzip) cannot be split by any reader; pass
 ``partitions`` to spread the rows right after the scan.
+
+The split form assumes what an escaped feed guarantees: no record holds a
+literal ``</doc>`` (e.g. inside CDATA) and rows are not self-closing
+``<doc/>``.  For files that break either rule use ``split=False`` (the
+built-in reader, one task per file).
 """
 
 from __future__ import annotations
