@@ -23,7 +23,7 @@ from marquee.plans import jobs as J
 from marquee.plans import oracle_sql as O
 from marquee.plans import reports as R
 from marquee.plans import standins as S
-from marquee.session import path_exists, staging_dir
+from marquee.session import mark_done, path_exists, staging_dir
 from marquee.sources.csv import read_csv_positional, read_csv_text
 from marquee.sources.tables import read_table, write_table
 
@@ -70,8 +70,7 @@ def _tables(spark, sf_dir) -> J.FilmTables:
     if not path_exists(spark, f"{out}/_DONE"):
         J.run_all(spark, out, metadata_csv=f.metadata, link_csvs=[f.links_full, f.links_small],
                   ratings_glob=f.ratings_glob, feed_xml=f.feed)
-        spark.createDataFrame([("ok",)], "s string").coalesce(1).write.mode("overwrite").text(
-            f"{out}/_DONE")
+        mark_done(spark, f"{out}/_DONE")
     return J.read_tables(spark, out)
 
 

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import path_exists, staging_dir
+from marquee.session import mark_done, path_exists, staging_dir
 from marquee.sources.csv import write_csv
 from marquee.sources.tables import read_table
 from marquee.sources.xml import read_xml_feed, write_xml_feed
@@ -208,7 +208,7 @@ def stage_film_files(spark: SparkSession, sf_dir: str) -> FilmFiles:
     write_csv(spread(rfull), files.ratings_full)
     write_csv(spread(rsmall), files.ratings_small)
     write_xml_feed(spread(raw_feed(spark, sf_dir)), files.feed)
-    spark.createDataFrame([("ok",)], "s string").coalesce(1).write.mode("overwrite").text(done)
+    mark_done(spark, done)
     return files
 
 

@@ -76,6 +76,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def mark_done(spark: SparkSession, path: str) -> None:
+    """Write a completion marker (after every output of a step is written)."""
+    spark.range(1).selectExpr("'ok' AS s").write.mode("overwrite").text(path)
+
+
 def materialize(df, name: str = "materialized"):
     """Compute ``df`` once into a Parquet table under the shared checkpoint
     dir and continue from that table (lineage cut).
