@@ -29,6 +29,8 @@ All rows of every table flow through; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,13 +189,21 @@ class FilmFiles:
         self.feed = f"{base}/feed_xml"
 
 
+STAGING_LOCK = threading.RLock()
+
+
 def stage_film_files(spark: SparkSession, sf_dir: str) -> FilmFiles:
     """Write the film inputs once per driver folder (under the shared
     checkpoint dir) and return their paths; later calls reuse them."""
     files = FilmFiles(staging_dir(spark, "film-inputs", key=sf_dir.rstrip("/")))
     done = f"{files.base}/_STAGED"
-    if path_exists(spark, done):
-        return files
+    with STAGING_LOCK:  # concurrent callers in one driver stage once
+        if not path_exists(spark, done):
+            _write_film_files(spark, sf_dir, files, done)
+    return files
+
+
+def _write_film_files(spark: SparkSession, sf_dir: str, files: FilmFiles, done: str) -> None:
     # Real dumps arrive as many files; write each input as several parts so
     # readers that cannot split a file (multiLine CSV) still run in parallel.
     parts = spark.sparkContext.defaultParallelism
@@ -209,7 +219,6 @@ def stage_film_files(spark: SparkSession, sf_dir: str) -> FilmFiles:
     write_csv(spread(rsmall), files.ratings_small)
     write_xml_feed(spread(raw_feed(spark, sf_dir)), files.feed)
     mark_done(spark, done)
-    return files
 
 
 def read_feed(spark: SparkSession, files: FilmFiles) -> DataFrame:
