@@ -133,3 +133,19 @@ def test_valid_plus_rejects_is_input_property(spark):
         once = apply_contract(df, K.MOVIES_METADATA).valid
         assert distinct_rows(once).count() == once.count()  # distinct is idempotent
     check()
+
+
+def test_command_line_runs_e6(spark, tmp_dir):
+    from marquee.__main__ import main
+    write_text(f"{tmp_dir}/c/meta.csv",
+               "id,imdb_id,genres,original_title,title,budget,release_date,revenue,production_companies\n"
+               "862,tt0114709,[],Toy Story,Toy Story,30000000,1995-10-30,373554033,[]\n")
+    write_text(f"{tmp_dir}/c/links.csv", "movieId,imdbId,tmdbId\n1,114709,862\n")
+    write_text(f"{tmp_dir}/c/ratings.csv", "userId,movieId,rating,timestamp\n1,1,4.0,1\n")
+    write_text(f"{tmp_dir}/c/feed.xml", "<feed>\n<doc>\n<title>Wikipedia: Toy Story</title>\n"
+               "<url>https://w/1</url>\n<abstract>A toy film.</abstract>\n</doc>\n</feed>\n")
+    main(["all", "--metadata", f"{tmp_dir}/c/meta.csv", "--links", f"{tmp_dir}/c/links.csv",
+          "--ratings", f"{tmp_dir}/c/ratings*.csv", "--feed", f"{tmp_dir}/c/feed.xml",
+          "--out", f"{tmp_dir}/c/out"])
+    rows = spark.read.parquet(f"{tmp_dir}/c/out/top_movies").collect()
+    assert [(r.title, r.wiki_abstract, r.year) for r in rows] == [("Toy Story", "A toy film.", 1995)]
