@@ -44,3 +44,24 @@ def test_plan_has_no_single_partition_window(spark):
 def test_top_n_total_order(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 2.0)], "t string, r double")
     assert [r.t for r in top_n(df, 2, F.col("r").desc(), F.col("t")).collect()] == ["c", "a"]
+
+
+def test_above_broadcast_bound_uses_planner_join(spark, monkeypatch):
+    import marquee.operators.rank as rank
+    df = spark.range(0, 300).select((F.col("id") % 17).alias("v"), "id")
+    want = rows(dense_top_k_window(df, "v", 6))
+    monkeypatch.setattr(rank, "BROADCAST_MAX_K", 1)
+    got_df = rank.dense_top_k(df, "v", 6)
+    assert rows(got_df) == want
+
+
+def test_join_small_side_measures_before_broadcast(spark):
+    from marquee.operators.joins import join_small_side, measured_bytes
+    big = spark.range(0, 1000).select((F.col("id") % 10).alias("k"), "id")
+    small = spark.createDataFrame([(i, f"name{i}") for i in range(10)], "k long, name string")
+    assert measured_bytes(small) == 10 * (16 + 8) + sum(len(f"name{i}") for i in range(10))
+    a = join_small_side(big, small, "k")
+    b = join_small_side(big, small, "k", max_bytes=0)  # too big -> planner's join
+    assert "BroadcastHint" in a._jdf.queryExecution().logical().toString() or \
+        "broadcast" in a._jdf.queryExecution().logical().toString().lower()
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
