@@ -11,7 +11,8 @@ checked (and the offenders quarantined) before it is published:
 * CHECK        -> rows where the predicate is false (NULL passes)
 
 Output columns: ``constraint`` STRING, ``key`` STRING, ``num_rows`` BIGINT.
-Each key check is one partial+final aggregation on the key.
+All row-level checks share one pass over the table; each key check is one
+partial+final aggregation on the key.
 """
 
 from __future__ import annotations
@@ -36,26 +37,32 @@ def _duplicates(df: DataFrame, cols: list[str], label: str) -> DataFrame:
         F.lit(label).alias("constraint"), key_text(cols).alias("key"), "num_rows")
 
 
-def _row_level(df: DataFrame, predicate: Column, label: str, key_cols: list[str]) -> DataFrame:
-    return df.filter(predicate).select(
-        F.lit(label).alias("constraint"), key_text(key_cols).alias("key"),
-        F.lit(1).cast("bigint").alias("num_rows"))
+def _row_level(df: DataFrame, checks: list[tuple[str, Column]], key_cols: list[str]) -> DataFrame:
+    """All row-level checks in one pass: each row carries the labels of the
+    checks it fails; rows failing none are dropped before the explode."""
+    labels = F.array_except(
+        F.array(*[F.when(pred, F.lit(label)) for label, pred in checks]),
+        F.array(F.lit(None).cast("string")))
+    tagged = df.select(key_text(key_cols).alias("key"), labels.alias("labels"))
+    return tagged.filter(F.size("labels") > 0).select(
+        F.explode("labels").alias("constraint"), "key", F.lit(1).cast("bigint").alias("num_rows"))
 
 
 def constraint_violations(df: DataFrame, contract: TableContract) -> DataFrame:
     """Union of every violated constraint of ``contract`` found in ``df``."""
     pk = list(contract.primary_key) or [contract.columns[0].name]
+    row_checks: list[tuple[str, Column]] = []
     parts: list[DataFrame] = []
     if contract.primary_key:
-        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
-        parts.append(_row_level(df, any_null, "primary_key_null", pk))
+        row_checks.append(("primary_key_null",
+                           reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])))
         parts.append(_duplicates(df, pk, "primary_key_duplicate"))
     for cols in contract.unique:
         parts.append(_duplicates(df, list(cols), "unique:" + ",".join(cols)))
-    for col in contract.columns:
-        if not col.nullable:
-            parts.append(_row_level(df, F.col(col.name).isNull(), f"not_null:{col.name}", pk))
-    for chk in contract.checks:
-        parts.append(_row_level(df, F.coalesce(~F.expr(chk.sql), F.lit(False)),
-                                f"check:{chk.name}", pk))
+    row_checks += [(f"not_null:{c.name}", F.col(c.name).isNull())
+                   for c in contract.columns if not c.nullable]
+    row_checks += [(f"check:{chk.name}", F.coalesce(~F.expr(chk.sql), F.lit(False)))
+                   for chk in contract.checks]
+    if row_checks:
+        parts.insert(0, _row_level(df, row_checks, pk))
     return reduce(lambda a, b: a.unionByName(b), parts)
