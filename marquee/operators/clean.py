@@ -3,8 +3,9 @@
 For every contract column we build a typed expression and a reject-reason
 expression (see :mod:`marquee.functions.validators`).  The reasons are gathered
 into one array per row; a row is valid when the array is empty.  Everything is
-a single narrow ``select`` — no shuffle, no driver round trip — and the caller
-gets both halves lazily, so valid + rejects always equals the input.
+a chain of narrow projections (JSON lists are parsed first, once per row) —
+no shuffle, no driver round trip — and the caller gets both halves lazily, so
+valid + rejects always equals the input.
 """
 
 from __future__ import annotations
