@@ -7,9 +7,10 @@
 * ``multiLine`` + ``escape='"'`` reads doubled quotes and embedded newlines
   the way the CSV writer of the source system produced them.  multiLine files
   cannot be split, so the reader repartitions once after the scan.
-* Several files whose headers may differ are read one by one and combined
-  with ``unionByName``; a single glob read would take one file's header for
-  all of them.
+* Files whose headers may differ are grouped by header line (read from the
+  first bytes of each file) and each group is read in one scan; the groups
+  are combined with ``unionByName``.  A single read would take one file's
+  header for all of them and silently swap values.
 """
 
 from __future__ import annotations
@@ -25,13 +26,48 @@ NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
                "n/a", "nan", "null")
 
 
-def _expand(spark: SparkSession, path: str) -> list[str]:
-    """Expand a glob into files via the Hadoop file system (works on any store)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+def _hadoop(spark: SparkSession):
+    return spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+
+def list_data_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
+    """Files behind paths, globs and folders (hidden ``_``/``.`` files skipped)."""
+    jvm, conf = _hadoop(spark)
+    out = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        for st in fs.globStatus(p) or []:
+            found = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+            for f in found:
+                name = f.getPath().getName()
+                if f.isFile() and not name.startswith(("_", ".")):
+                    out.append(f.getPath().toString())
+    return sorted(set(out))
+
+
+def header_line(spark: SparkSession, path: str) -> str:
+    """First line of a (possibly compressed) text file, read by the driver:
+    a few bytes per file, never the data."""
+    jvm, conf = _hadoop(spark)
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    return sorted(st.getPath().toString() for st in (fs.globStatus(p) or []))
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        raw = codec.createInputStream(stream) if codec is not None else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8"))
+        return (reader.readLine() or "").lstrip("\ufeff")
+    finally:
+        stream.close()
+
+
+def files_by_header(spark: SparkSession, paths: list[str] | str) -> dict[str, list[str]]:
+    """Group files by their header line, so each group can be read in one
+    scan and groups are aligned by column name."""
+    groups: dict[str, list[str]] = {}
+    for f in list_data_files(spark, paths):
+        groups.setdefault(header_line(spark, f), []).append(f)
+    return groups
 
 
 def null_tokens_to_null(df: DataFrame, columns: list[str] | None = None,
@@ -44,7 +80,7 @@ def null_tokens_to_null(df: DataFrame, columns: list[str] | None = None,
         for c in df.columns])
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = None,
+def read_csv_text(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
                   partitions: int | None = None, null_tokens: bool = True,
                   multiline: bool = True) -> DataFrame:
     """One CSV (file or folder) as STRING columns chosen by header name.
@@ -75,12 +111,14 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = No
 
 def read_csv_union(spark: SparkSession, paths: list[str] | str,
                    columns: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """Several CSVs aligned by column name and appended (union all)."""
-    if isinstance(paths, str):
-        paths = _expand(spark, paths)
-    if not paths:
-        raise FileNotFoundError("no CSV matched")
-    frames = [read_csv_text(spark, p, columns, partitions=0, null_tokens=True) for p in paths]
+    """CSV files (paths, globs or folders) aligned by column name and appended
+    (union all).  Files are grouped by header line: one scan per distinct
+    header, so a folder mixing column orders is still read correctly."""
+    groups = files_by_header(spark, paths)
+    if not groups:
+        raise FileNotFoundError(f"no CSV matched {paths}")
+    frames = [read_csv_text(spark, files, columns, partitions=0, null_tokens=True)
+              for _, files in sorted(groups.items())]
     df = union_by_name(frames)
     return df.repartition(partitions) if partitions else df
 

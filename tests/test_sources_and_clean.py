@@ -149,3 +149,12 @@ def test_command_line_runs_e6(spark, tmp_dir):
           "--out", f"{tmp_dir}/c/out"])
     rows = spark.read.parquet(f"{tmp_dir}/c/out/top_movies").collect()
     assert [(r.title, r.wiki_abstract, r.year) for r in rows] == [("Toy Story", "A toy film.", 1995)]
+
+
+def test_folder_with_mixed_headers_aligns_by_name(spark, tmp_dir):
+    write_text(f"{tmp_dir}/mixed/a.csv", "movieId,imdbId,tmdbId\n1,10,100\n")
+    write_text(f"{tmp_dir}/mixed/b.csv", "tmdbId,movieId,imdbId\n200,2,20\n")
+    write_text(f"{tmp_dir}/mixed/c.csv", "movieId,imdbId,tmdbId\n3,30,300\n")
+    df = read_csv_union(spark, f"{tmp_dir}/mixed", ["movieId", "imdbId", "tmdbId"])
+    assert sorted(map(tuple, df.collect())) == [("1", "10", "100"), ("2", "20", "200"),
+                                                ("3", "30", "300")]
