@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 
 def mean_rating(ratings: DataFrame, key: str = "movie_id", value: str = "rating",
-                digits: int = 1, out: str = "rating") -> DataFrame:
-    """Per-key mean rounded half-up to ``digits`` (NULL ratings are ignored).
+                digits: int = 1, out: str = "rating", count_out: str | None = None) -> DataFrame:
+    """Per-key mean rounded half-up to ``digits`` (NULL ratings are ignored),
+    plus the number of rating rows as ``count_out`` if given.
 
     Planned as partial + final hash aggregation: a key held by a third of the
     rows is reduced to one (sum, count) pair per task before the shuffle.
     """
-    return ratings.groupBy(key).agg(F.round(F.avg(value), digits).alias(out))
+    aggs = [F.round(F.avg(value), digits).alias(out)]
+    if count_out:
+        aggs.append(F.count(F.lit(1)).alias(count_out))
+    return ratings.groupBy(key).agg(*aggs)
 
 
 def row_count(df: DataFrame, out: str = "num_rows") -> DataFrame:
