@@ -158,3 +158,13 @@ def test_folder_with_mixed_headers_aligns_by_name(spark, tmp_dir):
     df = read_csv_union(spark, f"{tmp_dir}/mixed", ["movieId", "imdbId", "tmdbId"])
     assert sorted(map(tuple, df.collect())) == [("1", "10", "100"), ("2", "20", "200"),
                                                 ("3", "30", "300")]
+
+
+def test_gzip_csv_headers_are_read_through_the_codec(spark, tmp_dir):
+    import gzip
+    os.makedirs(f"{tmp_dir}/gz", exist_ok=True)
+    with gzip.open(f"{tmp_dir}/gz/a.csv.gz", "wt", encoding="utf-8") as fh:
+        fh.write("imdbId,movieId,tmdbId\n10,1,100\n")
+    write_text(f"{tmp_dir}/gz/b.csv", "movieId,imdbId,tmdbId\n2,20,200\n")
+    df = read_csv_union(spark, f"{tmp_dir}/gz", ["movieId", "imdbId", "tmdbId"])
+    assert sorted(map(tuple, df.collect())) == [("1", "10", "100"), ("2", "20", "200")]
