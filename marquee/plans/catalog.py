@@ -296,6 +296,13 @@ def top_movies(spark, sf_dir):
     return J.top_movies(_movies(spark, sf_dir), _tables(spark, sf_dir).feed, J.TOP_K, "decimal")
 
 
+@register("sql_top_movies", W(*_TOP_CTES) + "\nSELECT * FROM top_movies\n")
+def sql_top_movies(spark, sf_dir):
+    """E5 written in Spark SQL over temp views (same result as ``top_movies``)."""
+    from marquee.plans import sql_reports
+    return sql_reports.top_movies_sql(spark, _movies(spark, sf_dir), _tables(spark, sf_dir).feed)
+
+
 @register("top_movies_double_ratio", W(*O.FILM_ALL[:-1], O.TOP_DOUBLE) + "\nSELECT * FROM top_movies\n")
 def top_movies_double_ratio(spark, sf_dir):
     """E5 with ``ratio_type="double"``: ratios rank as doubles (no 6-place ties)."""

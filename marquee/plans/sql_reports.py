@@ -50,6 +50,39 @@ REPORTS = {
 }
 
 
+# E5 as SQL over the views ``linked_movies`` (links x metadata x ratings) and
+# ``feed`` (cleaned encyclopedia entries): semi-join on distinct titles, rank
+# on the distinct ratios (DECIMAL(38,6) like the database path), broadcast the
+# k best back, fan out to the feed last.
+TOP_MOVIES_SQL = """
+WITH matched AS (
+  SELECT m.* FROM linked_movies m LEFT SEMI JOIN (SELECT DISTINCT title FROM feed) t
+    ON m.title = t.title),
+scored AS (
+  SELECT title, budget, year(release_date) AS year, revenue, rating, production_companies,
+         CASE WHEN revenue > 0
+              THEN CAST(budget AS DECIMAL(38,18)) / CAST(revenue AS DECIMAL(38,18))
+              ELSE CAST(-999.999 AS DECIMAL(38,6)) END AS ratio
+  FROM matched),
+best AS (SELECT DISTINCT ratio FROM scored ORDER BY ratio DESC NULLS LAST LIMIT {k})
+SELECT /*+ BROADCAST(best) */ DISTINCT s.title, CAST(s.budget AS DOUBLE) AS budget,
+       CAST(coalesce(s.year, -9999) AS INT) AS year, CAST(s.revenue AS DOUBLE) AS revenue,
+       s.rating, CAST(s.ratio AS DOUBLE) AS ratio, s.production_companies,
+       f.wiki_url, f.wiki_abstract
+FROM scored s
+JOIN best b ON s.ratio <=> b.ratio
+JOIN feed f ON f.title = s.title
+"""
+
+
+def top_movies_sql(spark: SparkSession, movies: DataFrame, feed: DataFrame,
+                   k: int = 1000) -> DataFrame:
+    """E5 written in Spark SQL (see ``TOP_MOVIES_SQL``)."""
+    movies.createOrReplaceTempView("linked_movies")
+    feed.createOrReplaceTempView("feed")
+    return spark.sql(TOP_MOVIES_SQL.format(k=int(k)))
+
+
 def register_views(top: DataFrame, metadata: DataFrame) -> None:
     top.createOrReplaceTempView("top_movies")
     metadata.createOrReplaceTempView("movies_metadata")
