@@ -31,7 +31,7 @@ from marquee.operators.dedup import distinct_rows
 from marquee.operators.joins import join_small_side
 from marquee.operators.rank import dense_top_k
 from marquee.sources.csv import read_csv_positional, read_csv_text, read_csv_union
-from marquee.sources.tables import write_table
+from marquee.sources.tables import load_table, write_table
 from marquee.session import path_exists
 from marquee.sources.xml import read_xml_feed
 
@@ -174,15 +174,26 @@ def build_all(spark: SparkSession, metadata_csv: str, link_csvs: list[str],
 
 def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: list[str],
             ratings_glob: str, feed_xml: str, k: int = TOP_K,
-            ratio_mode: str = "decimal") -> FilmTables:
+            ratio_mode: str = "decimal", enforce_constraints: bool = False) -> FilmTables:
     """Stage every table, then build ``top_movies`` from the written tables.
 
     Each raw input is parsed once: the annotated rows (typed values, raw text,
     reasons) are written first and both the table and its quarantine are cut
     from that written copy.  Later steps read written tables, so a lost
     executor never re-runs the parsing and the lineage stays short.
+
+    With ``enforce_constraints`` every table is loaded all-or-nothing
+    (``sources.tables.load_table``): a table whose keys or checks would be
+    violated is not written and ``ConstraintError`` is raised.
     """
     out = out_dir.rstrip("/")
+
+    def publish(df: DataFrame, path: str, contract: K.TableContract) -> None:
+        if enforce_constraints:
+            load_table(spark, df, path, contract, mode="overwrite")
+        else:
+            write_table(df, path, contract)
+
     staged = {
         "movie_links": (read_csv_union(spark, link_csvs, columns=K.MOVIE_LINKS.sources),
                         K.MOVIE_LINKS),
@@ -193,13 +204,13 @@ def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: lis
     for name, (raw, contract) in staged.items():
         annotate(raw, contract).write.mode("overwrite").parquet(f"{out}/_annotated/{name}")
         cleaned = split_annotated(spark.read.parquet(f"{out}/_annotated/{name}"), contract)
-        write_table(cleaned.valid, f"{out}/{name}", contract)
+        publish(cleaned.valid, f"{out}/{name}", contract)
         cleaned.rejects.write.mode("overwrite").parquet(f"{out}/quarantine/{name}")
-    write_table(stage_ratings(spark, ratings_glob), f"{out}/movie_ratings", K.MOVIE_RATINGS)
+    publish(stage_ratings(spark, ratings_glob), f"{out}/movie_ratings", K.MOVIE_RATINGS)
     read_clean_feed(spark, feed_xml).write.mode("overwrite").parquet(f"{out}/wiki_feed")
     t = read_tables(spark, out)
     movies = linked_movies(t.links, t.metadata, t.ratings)
-    write_table(top_movies(movies, t.feed, k, ratio_mode), f"{out}/top_movies", K.TOP_MOVIES)
+    publish(top_movies(movies, t.feed, k, ratio_mode), f"{out}/top_movies", K.TOP_MOVIES)
     return read_tables(spark, out)
 
 

@@ -92,3 +92,27 @@ def test_load_table_is_all_or_nothing(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 2  # nothing was written
     load_table(spark, dup.filter("movie_id = 3"), path, K.MOVIE_RATINGS, mode="append")
     assert spark.read.parquet(path).count() == 3
+
+
+def test_run_all_can_enforce_constraints(spark, tmp_dir):
+    import os
+
+    import pytest
+    from marquee.sources.tables import ConstraintError
+    os.makedirs(f"{tmp_dir}/in", exist_ok=True)
+    with open(f"{tmp_dir}/in/meta.csv", "w") as fh:
+        fh.write("id,imdb_id,genres,original_title,title,budget,release_date,revenue,production_companies\n"
+                 "862,tt1,[],A,A,10,1995-10-30,5,[]\n")
+    with open(f"{tmp_dir}/in/links.csv", "w") as fh:
+        fh.write("movieId,imdbId,tmdbId\n1,1,862\n")
+    with open(f"{tmp_dir}/in/ratings.csv", "w") as fh:
+        fh.write("userId,movieId,rating,timestamp\n1,1,9.0,1\n")  # breaks CHECK rating <= 5
+    feed = spark.createDataFrame([("Wikipedia: A", "u", "a")], "title string, url string, abstract string")
+    from marquee.sources.xml import write_xml_feed
+    write_xml_feed(feed, f"{tmp_dir}/in/feed")
+    args = dict(metadata_csv=f"{tmp_dir}/in/meta.csv", link_csvs=[f"{tmp_dir}/in/links.csv"],
+                ratings_glob=f"{tmp_dir}/in/ratings*.csv", feed_xml=f"{tmp_dir}/in/feed")
+    with pytest.raises(ConstraintError):
+        J.run_all(spark, f"{tmp_dir}/strict", enforce_constraints=True, **args)
+    t = J.run_all(spark, f"{tmp_dir}/lenient", **args)
+    assert t.top.count() == 1
