@@ -29,12 +29,19 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("--out", required=True, help="output folder on shared storage")
     run.add_argument("--k", type=int, default=jobs.TOP_K)
     run.add_argument("--ratio", choices=["decimal", "double"], default="decimal")
+    run.add_argument("--numerator", default="budget", choices=["budget", "revenue"],
+                     help="ratio = numerator / denominator (default budget per revenue)")
+    run.add_argument("--denominator", default="revenue", choices=["budget", "revenue"])
+    run.add_argument("--enforce-constraints", action="store_true",
+                     help="load every table all-or-nothing; refuse on key/check violations")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("marquee").getOrCreate()
     ensure_checkpoint_dir(spark)
     jobs.run_all(spark, args.out, metadata_csv=args.metadata, link_csvs=args.links,
-                 ratings_glob=args.ratings, feed_xml=args.feed, k=args.k, ratio_mode=args.ratio)
+                 ratings_glob=args.ratings, feed_xml=args.feed, k=args.k, ratio_mode=args.ratio,
+                 enforce_constraints=args.enforce_constraints, numerator=args.numerator,
+                 denominator=args.denominator)
 
 
 if __name__ == "__main__":

@@ -174,7 +174,8 @@ def build_all(spark: SparkSession, metadata_csv: str, link_csvs: list[str],
 
 def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: list[str],
             ratings_glob: str, feed_xml: str, k: int = TOP_K,
-            ratio_mode: str = "decimal", enforce_constraints: bool = False) -> FilmTables:
+            ratio_mode: str = "decimal", enforce_constraints: bool = False,
+            numerator: str = "budget", denominator: str = "revenue") -> FilmTables:
     """Stage every table, then build ``top_movies`` from the written tables.
 
     Each raw input is parsed once: the annotated rows (typed values, raw text,
@@ -210,7 +211,8 @@ def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: lis
     read_clean_feed(spark, feed_xml).write.mode("overwrite").parquet(f"{out}/wiki_feed")
     t = read_tables(spark, out)
     movies = linked_movies(t.links, t.metadata, t.ratings)
-    publish(top_movies(movies, t.feed, k, ratio_mode), f"{out}/top_movies", K.TOP_MOVIES)
+    publish(top_movies(movies, t.feed, k, ratio_mode, numerator=numerator,
+                       denominator=denominator), f"{out}/top_movies", K.TOP_MOVIES)
     return read_tables(spark, out)
 
 
