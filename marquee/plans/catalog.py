@@ -61,7 +61,7 @@ def _feed(spark, sf_dir):
     return J.read_clean_feed(spark, _files(spark, sf_dir).feed)
 
 
-def _tables(spark, sf_dir) -> J.FilmTables:
+def film_tables(spark, sf_dir) -> J.FilmTables:
     """E6 run once per driver folder: the staged tables and ``top_movies``,
     written under the shared checkpoint dir.  Joins and reports read these
     written tables, as the analyst queries read the loaded database tables."""
@@ -76,13 +76,13 @@ def _tables(spark, sf_dir) -> J.FilmTables:
 
 
 def _movies(spark, sf_dir):
-    t = _tables(spark, sf_dir)
+    t = film_tables(spark, sf_dir)
     return J.linked_movies(t.links, t.metadata, t.ratings)
 
 
 def _top(spark, sf_dir):
     """The written top_movies table (reports read it)."""
-    return _tables(spark, sf_dir).top
+    return film_tables(spark, sf_dir).top
 
 
 W = O.with_
@@ -257,7 +257,7 @@ FROM links lnk JOIN meta m ON m.tmdb_id = lnk.tmdb_id AND m.imdb_id = lnk.imdb_i
 def sentinel_key_join(spark, sf_dir):
     """Missing ids kept as NULL and matched null-safely (<=>) give the same
     pairs as the sentinel-filled equi-join: two missing ids do join."""
-    t = _tables(spark, sf_dir)
+    t = film_tables(spark, sf_dir)
     lk, m = t.links, t.metadata
 
     def unfill(df, cols):
@@ -280,7 +280,7 @@ FROM movies mv JOIN feed f ON f.title = mv.title
 def xml_feed_title_join(spark, sf_dir):
     """Films x feed entries by exact title, many-to-many (every pair kept)."""
     mv = _movies(spark, sf_dir).select("movie_id", "title")
-    return mv.join(_tables(spark, sf_dir).feed, "title").select("movie_id", "title", "wiki_url",
+    return mv.join(film_tables(spark, sf_dir).feed, "title").select("movie_id", "title", "wiki_url",
                                                          "wiki_abstract")
 
 
@@ -293,20 +293,20 @@ _TOP_CTES = O.FILM_ALL
 def top_movies(spark, sf_dir):
     """E5: the top-ratio table computed from the staged tables and the XML
     feed (decimal ratio, dense top 1000, distinct)."""
-    return J.top_movies(_movies(spark, sf_dir), _tables(spark, sf_dir).feed, J.TOP_K, "decimal")
+    return J.top_movies(_movies(spark, sf_dir), film_tables(spark, sf_dir).feed, J.TOP_K, "decimal")
 
 
 @register("sql_top_movies", W(*_TOP_CTES) + "\nSELECT * FROM top_movies\n")
 def sql_top_movies(spark, sf_dir):
     """E5 written in Spark SQL over temp views (same result as ``top_movies``)."""
     from marquee.plans import sql_reports
-    return sql_reports.top_movies_sql(spark, _movies(spark, sf_dir), _tables(spark, sf_dir).feed)
+    return sql_reports.top_movies_sql(spark, _movies(spark, sf_dir), film_tables(spark, sf_dir).feed)
 
 
 @register("top_movies_double_ratio", W(*O.FILM_ALL[:-1], O.TOP_DOUBLE) + "\nSELECT * FROM top_movies\n")
 def top_movies_double_ratio(spark, sf_dir):
     """E5 with ``ratio_type="double"``: ratios rank as doubles (no 6-place ties)."""
-    return J.top_movies(_movies(spark, sf_dir), _tables(spark, sf_dir).feed, J.TOP_K, "double")
+    return J.top_movies(_movies(spark, sf_dir), film_tables(spark, sf_dir).feed, J.TOP_K, "double")
 
 
 @register("json_explode_ordinality", W(O.RAW_META, O.META_ANN, O.META) + f"""
@@ -318,7 +318,7 @@ def json_explode_ordinality(spark, sf_dir):
     """Every genre of every film as a row with its 1-based
     position (``jsonb_array_elements ... WITH ORDINALITY``); empty lists vanish."""
     from marquee.operators.explode import explode_json_list
-    m = _tables(spark, sf_dir).metadata
+    m = film_tables(spark, sf_dir).metadata
     out = explode_json_list(m, "genres", ["tmdb_id", "title"], "el", "position")
     return out.select("tmdb_id", "title", "position", F.col("el.id").alias("genre_id"),
                       F.col("el.name").alias("genre"))
@@ -373,7 +373,7 @@ ORDER BY top.ratio DESC, top.title, m.genres LIMIT 5
 """)
 def top_n_join(spark, sf_dir):
     """Genres of the 5 highest ratios (metadata matched on its raw title)."""
-    return R.top_genres(_top(spark, sf_dir), _tables(spark, sf_dir).metadata, 5)
+    return R.top_genres(_top(spark, sf_dir), film_tables(spark, sf_dir).metadata, 5)
 
 
 JSON_LIST_TYPE = """'[{"id":"BIGINT","name":"VARCHAR"}]'"""
@@ -391,7 +391,7 @@ ORDER BY top.ratio DESC, top.title, top.wiki_url LIMIT 10
 """)
 def json_explode_filter(spark, sf_dir):
     """Top films in one genre (genre 'URGENT' plays 'Comedy')."""
-    return R.top_in_genre(_top(spark, sf_dir), _tables(spark, sf_dir).metadata, "URGENT", 10)
+    return R.top_in_genre(_top(spark, sf_dir), film_tables(spark, sf_dir).metadata, "URGENT", 10)
 
 
 @register("json_explode_dense_rank", W(*_TOP_CTES) + f"""
@@ -415,7 +415,7 @@ def json_explode_dense_rank(spark, sf_dir):
 def _sql_report(report: str, genre: str = "URGENT") -> Builder:
     def build(spark, sf_dir):
         from marquee.plans import sql_reports
-        t = _tables(spark, sf_dir)
+        t = film_tables(spark, sf_dir)
         sql_reports.register_views(t.top, t.metadata)
         return sql_reports.run_report(spark, report, genre)
     build.__doc__ = f"R-report {report!r} written as Spark SQL over temp views."
@@ -468,7 +468,7 @@ def _constraint_sql(table, src, contract):
               _constraint_sql("movie_ratings", "ratings", K.MOVIE_RATINGS)]))
 def constraint_violations_q(spark, sf_dir):
     """C1-C4 on the three staged tables."""
-    t = _tables(spark, sf_dir)
+    t = film_tables(spark, sf_dir)
     parts = [
         constraint_violations(t.metadata, K.MOVIES_METADATA)
         .select(F.lit("movies_metadata").alias("table_name"), "*"),
