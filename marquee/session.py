@@ -19,10 +19,13 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "marquee") -> SparkSession:
+                  app_name: str = "marquee", extra_conf: dict | None = None) -> SparkSession:
     """A local session for tests and benchmarks (AQE on, UI off, UTC)."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
