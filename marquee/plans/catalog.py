@@ -251,8 +251,8 @@ def composite_key_join(spark, sf_dir):
 
 
 @register("sentinel_key_join", W(O.RAW_META, O.META_ANN, O.META, O.LINKS) + """
-SELECT lnk.movie_id, lnk.imdb_id, lnk.tmdb_id, m.title
-FROM links lnk JOIN meta m ON m.tmdb_id = lnk.tmdb_id AND m.imdb_id = lnk.imdb_id
+SELECT k.movie_id, k.imdb_id, k.tmdb_id, md.title
+FROM links k JOIN meta md USING (tmdb_id, imdb_id)
 """)
 def sentinel_key_join(spark, sf_dir):
     """Missing ids kept as NULL and matched null-safely (<=>) give the same
@@ -367,9 +367,9 @@ def shared_ratio_groups(spark, sf_dir):
 
 
 @register("top_n_join", W(*_TOP_CTES) + """
-SELECT top.title, top.ratio, m.genres
-FROM top_movies top JOIN meta m ON m.title = top.title
-ORDER BY top.ratio DESC, top.title, m.genres LIMIT 5
+SELECT t.title, t.ratio, md.genres
+FROM top_movies t, meta md WHERE md.title = t.title
+ORDER BY t.ratio DESC, t.title, md.genres LIMIT 5
 """)
 def top_n_join(spark, sf_dir):
     """Genres of the 5 highest ratios (metadata matched on its raw title)."""
@@ -380,14 +380,14 @@ JSON_LIST_TYPE = """'[{"id":"BIGINT","name":"VARCHAR"}]'"""
 
 
 @register("json_explode_filter", W(*_TOP_CTES) + f"""
-, g AS (
+, tagged AS (
   SELECT title, el.name AS genre
   FROM (SELECT title, unnest(from_json(genres, {JSON_LIST_TYPE})) AS el FROM meta)
   WHERE el.name = 'URGENT'
 )
-SELECT top.title, g.genre, top.wiki_url
-FROM g JOIN top_movies top ON g.title = top.title
-ORDER BY top.ratio DESC, top.title, top.wiki_url LIMIT 10
+SELECT t.title, tagged.genre, t.wiki_url
+FROM tagged JOIN top_movies t USING (title)
+ORDER BY t.ratio DESC, t.title, t.wiki_url LIMIT 10
 """)
 def json_explode_filter(spark, sf_dir):
     """Top films in one genre (genre 'URGENT' plays 'Comedy')."""

@@ -172,11 +172,11 @@ feed AS (
 
 MOVIES = """
 movies AS (
-  SELECT lnk.movie_id, lnk.imdb_id, trim(m.title) AS title, m.budget, m.release_date,
-         m.revenue, m.production_companies, r.rating
-  FROM links lnk
-  JOIN meta m ON m.tmdb_id = lnk.tmdb_id AND lnk.imdb_id = m.imdb_id
-  JOIN ratings r ON r.movie_id = lnk.movie_id
+  SELECT k.movie_id, k.imdb_id, trim(md.title) AS title, md.budget, md.release_date,
+         md.revenue, md.production_companies, rt.rating
+  FROM links k
+  JOIN ratings rt USING (movie_id)
+  JOIN meta md ON (md.tmdb_id, md.imdb_id) = (k.tmdb_id, k.imdb_id)
 )"""
 
 # ratio = HALF_UP(budget / revenue, 6) computed exactly on integers (money
