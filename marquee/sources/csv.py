@@ -61,12 +61,20 @@ def header_line(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def files_by_header(spark: SparkSession, paths: list[str] | str) -> dict[str, list[str]]:
+def files_by_header(spark: SparkSession, paths: list[str] | str,
+                    threads: int = 16) -> dict[str, list[str]]:
     """Group files by their header line, so each group can be read in one
-    scan and groups are aligned by column name."""
+    scan and groups are aligned by column name.  Headers are fetched by a
+    few driver threads (one small read per file, latency-bound on object
+    stores), never by scanning the data."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    files = list_data_files(spark, paths)
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        headers = list(pool.map(lambda f: header_line(spark, f), files))
     groups: dict[str, list[str]] = {}
-    for f in list_data_files(spark, paths):
-        groups.setdefault(header_line(spark, f), []).append(f)
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
     return groups
 
 
