@@ -48,3 +48,11 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [dcols.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert got == want
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_query_types_match_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF)
+    mine = {f.name: str(f.type) for f in df.toArrow().schema}
+    theirs = {f.name: str(f.type) for f in duck.sql(E.oracle_sql()[name]).to_arrow_table().schema}
+    assert mine == theirs
