@@ -222,14 +222,15 @@ SELECT order_key, genres_json AS genres, companies_json AS production_companies
 """)
 def literal_to_json(spark, sf_dir):
     """Python-literal lists -> canonical JSON (NULL when unreadable)."""
-    from marquee.functions.jsoncols import canonical_json, json_array_parse
+    from marquee.functions.jsoncols import canonical_json, with_json_lists
     raw = read_csv_text(spark, _files(spark, sf_dir).metadata,
                         ["order_key", "genres", "production_companies"])
-    g, _ = json_array_parse(F.col("genres"), label="genres")
-    p, _ = json_array_parse(F.col("production_companies"), label="production_companies")
-    return raw.select(F.col("order_key").cast("bigint").alias("order_key"),
-                      canonical_json(g).alias("genres"),
-                      canonical_json(p).alias("production_companies"))
+    parsed = with_json_lists(raw, [(F.col("genres"), "g", "[]", "genres"),
+                                   (F.col("production_companies"), "p", "[]",
+                                    "production_companies")])
+    return parsed.select(F.col("order_key").cast("bigint").alias("order_key"),
+                         canonical_json(F.col("g")).alias("genres"),
+                         canonical_json(F.col("p")).alias("production_companies"))
 
 
 @register("xml_feed_clean", W(O.FEED) + """
