@@ -56,3 +56,24 @@ def test_query_types_match_oracle(spark, duck, name):
     mine = {f.name: str(f.type) for f in df.toArrow().schema}
     theirs = {f.name: str(f.type) for f in duck.sql(E.oracle_sql()[name]).to_arrow_table().schema}
     assert mine == theirs
+
+
+def test_entry_without_checkpoint_dir(tmp_path):
+    """With no spark.checkpoint.dir configured, entry() sets a local one and runs."""
+    import os
+    import subprocess
+    import sys
+    conf_dir = tmp_path / "conf"
+    conf_dir.mkdir()
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+            ".getOrCreate()\n"
+            "assert not s.sparkContext.getCheckpointDir()\n"
+            "import __spark_entry__ as E\n"
+            "print('ROWS', E.entry(s).count())\n") % repo
+    env = dict(os.environ, SPARK_CONF_DIR=str(conf_dir))
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
+                         timeout=600)
+    assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
