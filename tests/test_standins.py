@@ -1,0 +1,32 @@
+"""The derived film inputs carry every injected defect (sf0.001)."""
+
+from pyspark.sql import functions as F
+
+from marquee.plans import catalog as C
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_every_defect_reaches_a_reason(spark):
+    reasons = {r.reason for r in C.queries()["reject_reasons"](spark, SF).collect()}
+    assert {"tmdb_id:not_integer", "tmdb_id:out_of_range", "imdb_id:not_integer",
+            "genres:not_a_list", "original_title:null", "budget:not_decimal",
+            "production_companies:not_a_list", "tmdb_id:not_numeric"} <= reasons
+
+
+def test_fills_and_fallback_parses_happen(spark):
+    valid = C.queries()["clean_valid_rows"](spark, SF)
+    assert valid.filter(F.col("tmdb_id") == -9999).count() > 0          # NULL id -> sentinel
+    assert valid.filter(F.col("budget") == -999.999).count() > 0       # NULL budget
+    assert valid.filter(F.col("revenue") == 0.0).count() > 0           # ratio -999.999 path
+    assert valid.filter(F.col("release_date").isNull()).count() > 0    # padded date -> NULL
+    assert valid.filter(F.col("production_companies").contains('"name":null')).count() > 0
+    assert valid.filter(F.col("production_companies").contains("café")).count() > 0
+    assert valid.filter(F.col("genres") == "[]").count() > 0
+
+
+def test_feed_has_two_entries_per_title_and_prefix_traps(spark):
+    feed = C.queries()["xml_feed_clean"](spark, SF)
+    per_title = feed.groupBy("title").count()
+    assert per_title.filter(F.col("count") == 2).count() > 0
+    assert feed.filter(F.col("title").startswith("Wikipedia:")).count() > 0  # leading-space trap
