@@ -13,15 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import contracts as K
+from marquee.functions.dates import parse_ymd_date
+from marquee.functions.jsoncols import canonical_json, with_json_lists
 from marquee.functions.ratio import guarded_ratio
 from marquee.operators.aggregate import mean_rating
 from marquee.operators.clean import reject_rows
 from marquee.operators.dedup import distinct_rows
+from marquee.operators.explode import explode_json_list
 from marquee.operators.quality import constraint_violations
 from marquee.operators.rank import dense_top_k
 from marquee.plans import jobs as J
 from marquee.plans import oracle_sql as O
 from marquee.plans import reports as R
+from marquee.plans import sql_reports
 from marquee.plans import standins as S
 from marquee.session import mark_done, path_exists, staging_dir
 from marquee.sources.csv import read_csv_positional, read_csv_text
@@ -209,7 +213,6 @@ FROM raw_meta
 """)
 def date_parse_coerce(spark, sf_dir):
     """F9 + P9 + F7 over every raw row: strict yyyy-M-d, else NULL; year or -9999."""
-    from marquee.functions.dates import parse_ymd_date
     raw = read_csv_text(spark, _files(spark, sf_dir).metadata, ["order_key", "release_date"])
     d = parse_ymd_date(F.col("release_date"))
     return raw.select(F.col("order_key").cast("bigint").alias("order_key"),
@@ -222,7 +225,6 @@ SELECT order_key, genres_json AS genres, companies_json AS production_companies
 """)
 def literal_to_json(spark, sf_dir):
     """Python-literal lists -> canonical JSON (NULL when unreadable)."""
-    from marquee.functions.jsoncols import canonical_json, with_json_lists
     raw = read_csv_text(spark, _files(spark, sf_dir).metadata,
                         ["order_key", "genres", "production_companies"])
     parsed = with_json_lists(raw, [(F.col("genres"), "g", "[]", "genres"),
@@ -300,8 +302,8 @@ def top_movies(spark, sf_dir):
 @register("sql_top_movies", W(*_TOP_CTES) + "\nSELECT * FROM top_movies\n")
 def sql_top_movies(spark, sf_dir):
     """E5 written in Spark SQL over temp views (same result as ``top_movies``)."""
-    from marquee.plans import sql_reports
-    return sql_reports.top_movies_sql(spark, _movies(spark, sf_dir), film_tables(spark, sf_dir).feed)
+    return sql_reports.top_movies_sql(spark, _movies(spark, sf_dir),
+                                      film_tables(spark, sf_dir).feed)
 
 
 @register("top_movies_double_ratio", W(*O.FILM_ALL[:-1], O.TOP_DOUBLE) + "\nSELECT * FROM top_movies\n")
@@ -318,7 +320,6 @@ FROM (SELECT tmdb_id, title, unnest(arr) AS el, unnest(range(1, len(arr) + 1)) A
 def json_explode_ordinality(spark, sf_dir):
     """Every genre of every film as a row with its 1-based
     position (``jsonb_array_elements ... WITH ORDINALITY``); empty lists vanish."""
-    from marquee.operators.explode import explode_json_list
     m = film_tables(spark, sf_dir).metadata
     out = explode_json_list(m, "genres", ["tmdb_id", "title"], "el", "position")
     return out.select("tmdb_id", "title", "position", F.col("el.id").alias("genre_id"),
@@ -415,7 +416,6 @@ def json_explode_dense_rank(spark, sf_dir):
 
 def _sql_report(report: str, genre: str = "URGENT") -> Builder:
     def build(spark, sf_dir):
-        from marquee.plans import sql_reports
         t = film_tables(spark, sf_dir)
         sql_reports.register_views(t.top, t.metadata)
         return sql_reports.run_report(spark, report, genre)
