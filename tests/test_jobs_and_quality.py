@@ -116,3 +116,11 @@ def test_run_all_can_enforce_constraints(spark, tmp_dir):
         J.run_all(spark, f"{tmp_dir}/strict", enforce_constraints=True, **args)
     t = J.run_all(spark, f"{tmp_dir}/lenient", **args)
     assert t.top.count() == 1
+
+
+def test_driver_tables_by_name(spark):
+    from marquee.sources.tables import register_views
+    register_views(spark, "/root/testdata/sf0.001", ["orders", "lineitem"])
+    n = spark.sql("SELECT count(*) AS n FROM orders o JOIN lineitem l "
+                  "ON l.l_orderkey = o.o_orderkey").first().n
+    assert n == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
