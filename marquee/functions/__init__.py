@@ -5,8 +5,10 @@ from marquee.functions.dates import parse_ymd_date
 from marquee.functions.jsoncols import (
     COMPANY_ARRAY,
     canonical_json,
+    has_null_element,
     json_array_parse,
     literal_to_json,
+    with_json_lists,
 )
 from marquee.functions.ratio import guarded_ratio
 from marquee.functions.text import clean_feed_title, strip_leading_chars
@@ -20,7 +22,8 @@ from marquee.functions.validators import (
 
 __all__ = [
     "COMPANY_ARRAY", "FLOAT_SENTINEL", "INT_SENTINEL", "canonical_json",
-    "clean_feed_title", "guarded_ratio", "json_array_parse", "literal_to_json",
+    "clean_feed_title", "guarded_ratio", "has_null_element", "json_array_parse",
+    "literal_to_json", "with_json_lists",
     "numeric_int", "parse_ymd_date", "strict_float", "strict_int",
     "strip_leading_chars",
 ]
