@@ -168,3 +168,14 @@ def test_gzip_csv_headers_are_read_through_the_codec(spark, tmp_dir):
     write_text(f"{tmp_dir}/gz/b.csv", "movieId,imdbId,tmdbId\n2,20,200\n")
     df = read_csv_union(spark, f"{tmp_dir}/gz", ["movieId", "imdbId", "tmdbId"])
     assert sorted(map(tuple, df.collect())) == [("1", "10", "100"), ("2", "20", "200")]
+
+
+def test_jdbc_arguments_are_checked(spark):
+    import pytest
+    from marquee.sources.jdbc import read_jdbc
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://x")  # neither table nor query
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://x", table="t", query="select 1")
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://x", table="t", partition_column="id")  # no bounds
