@@ -306,6 +306,14 @@ def sql_top_movies(spark, sf_dir):
                                       film_tables(spark, sf_dir).feed)
 
 
+@register("top_movies_best_returns", W(*O.FILM_ALL[:-1], O.TOP_RETURNS) + "\nSELECT * FROM top_movies\n")
+def top_movies_best_returns(spark, sf_dir):
+    """E5 in the other direction (T13): revenue per unit of budget, so the
+    top films are the strongest returns."""
+    return J.top_movies(_movies(spark, sf_dir), film_tables(spark, sf_dir).feed, J.TOP_K,
+                        "decimal", numerator="revenue", denominator="budget")
+
+
 @register("top_movies_double_ratio", W(*O.FILM_ALL[:-1], O.TOP_DOUBLE) + "\nSELECT * FROM top_movies\n")
 def top_movies_double_ratio(spark, sf_dir):
     """E5 with ``ratio_type="double"``: ratios rank as doubles (no 6-place ties)."""

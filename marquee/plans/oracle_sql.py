@@ -206,7 +206,12 @@ ranked AS (SELECT *, DENSE_RANK() OVER (ORDER BY ratio_key DESC) AS rk FROM rati
 )"""
 
 
+# Same rounding with numerator and denominator swapped (revenue per budget).
+RATIO6_RETURNS = (f"CASE WHEN budget > 0 THEN sign({_P}) * ((2000000 * abs({_P}) + {_B}) // (2 * {_B})) "
+                  f"ELSE -999999000 END")
+
 TOP = top_cte(RATIO6, "CAST(ratio_key AS DOUBLE) / 1000000.0")
+TOP_RETURNS = top_cte(RATIO6_RETURNS, "CAST(ratio_key AS DOUBLE) / 1000000.0")
 TOP_DOUBLE = top_cte("CASE WHEN revenue > 0 THEN budget / revenue ELSE -999.999 END", "ratio_key")
 
 
