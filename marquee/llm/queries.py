@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chat, token_files
+from marquee.llm import bpe, chat, langid, token_files, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,15 @@ FROM sized GROUP BY conv_id
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole document, learned from the labels of those
+    that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~langid.held_out()).select("text", "lang"))
+    rows = docs.select("doc_id", langid.held_out().alias("held_out"), "text")
+    return langid.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document encoded by the rank file and decoded again."""
     out = bpe.encode_documents(table(spark, sf_dir, "documents"))
@@ -71,9 +80,34 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best other rows of every hundredth vector."""
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.top_k(vectors.filter(F.col("vec_id") % 100 == 0), vectors, k=10)
+
+
+OP10_SQL = """
+WITH own AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM own
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_chat_format, op4_byte_bpe, op9_token_files)}
+    return {f.__name__: f for f in (
+        op2_chat_format, op3_language_id, op4_byte_bpe, op9_token_files, op10_exact_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": OP2_SQL}
+    return {"op2_chat_format": OP2_SQL, "op10_exact_top_k": OP10_SQL}
