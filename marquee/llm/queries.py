@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chat, jaccard, langid, token_files, topk
+from marquee.llm import bpe, chat, jaccard, langid, repeats, token_files, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,12 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents without the bytes of 200-byte strings that also start
+    elsewhere."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document written to token files and read back."""
     return token_files.token_files(spark, table(spark, sf_dir, "documents"))
@@ -112,7 +118,7 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_chat_format, op3_language_id, op4_byte_bpe, op5_ngram_jaccard, op9_token_files, op10_exact_top_k)}
+        op2_chat_format, op3_language_id, op4_byte_bpe, op5_ngram_jaccard, op6_suffix_repeats, op9_token_files, op10_exact_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
