@@ -8,13 +8,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chat, jaccard, langid, repeats, token_files, topk
+from marquee.llm import (bpe, chat, decontam, jaccard, langid, licences, lines, repeats,
+                         token_files, topk)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents without later copies of repeated runs of two lines or
+    more."""
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("line_count").alias("n_lines"), F.col("removed_lines").alias("n_removed"),
+                      F.col("removed_runs").alias("n_runs"),
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP1_SQL = """
+WITH cut AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS place
+    FROM documents WHERE text IS NOT NULL
+), two AS (
+    SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY place) AS next FROM cut
+), later AS (
+    SELECT doc_id, place, next IS NOT NULL
+        AND row_number() OVER (PARTITION BY line, next ORDER BY doc_id, place) > 1 AS goes
+    FROM two
+), marked AS (
+    SELECT cut.doc_id, cut.place, cut.line,
+           later.goes OR coalesce(lag(later.goes) OVER (PARTITION BY cut.doc_id ORDER BY cut.place), false) AS gone
+    FROM cut JOIN later USING (doc_id, place)
+), runs AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY place), false) AS begins FROM marked
+)
+SELECT doc_id, count(place) AS n_lines, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_runs,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM runs GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, 0, sha256('') FROM documents WHERE text IS NULL
+"""
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -7, formatted and read back."""
     hard = r"\### Assistant: </turn> ok"
@@ -87,6 +122,46 @@ def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of whole documents by known sentences and ordered rules."""
+    return licences.find_licences(table(spark, sf_dir, "documents"))
+
+
+def _op7_sql() -> str:
+    steps = ", ".join(f"replace(s{i}, '{rule}', '-') AS s{i + 1}" for i, (_, rule) in enumerate(licences.RULES))
+
+    def count(i: int, rule: str) -> str:
+        if len(rule) == 1:
+            return f"length(s{i}) - length(replace(s{i}, '{rule}', ''))"
+        return f"(length(s{i}) - length(s{i + 1})) // {len(rule) - 1}"
+    names = dict.fromkeys(name for name, _ in licences.RULES)
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, '{name}' AS licence, "
+        + " + ".join(count(i, rule) for i, (own, rule) in enumerate(licences.RULES) if own == name)
+        + " AS n_matches FROM steps" for name in names)
+    known = ", ".join(f"('{letter}', '{text}')" for letter, text in licences.SENTENCES)
+    return rf"""
+WITH known(sentence, normal) AS (VALUES {known}),
+cut AS (
+    SELECT doc_id, string_split(regexp_replace(text, '{licences.SPLIT}', '\1' || chr(10), 'g'), chr(10)) AS parts
+    FROM documents
+), parts AS (
+    SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM cut
+), found AS (
+    SELECT doc_id, place, sentence FROM parts
+    JOIN known ON trim(regexp_replace(lower(part), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) = normal
+), ids AS (
+    SELECT doc_id, string_agg(sentence, '' ORDER BY place) AS s0 FROM found GROUP BY doc_id
+), steps AS (SELECT doc_id, s0, {steps} FROM ids)
+SELECT * FROM ({found}) WHERE n_matches > 0
+"""
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of benchmark items, and the items."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document written to token files and read back."""
     return token_files.token_files(spark, table(spark, sf_dir, "documents"))
@@ -118,8 +193,10 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_chat_format, op3_language_id, op4_byte_bpe, op5_ngram_jaccard, op6_suffix_repeats, op9_token_files, op10_exact_top_k)}
+        op1_line_dedup, op2_chat_format, op3_language_id, op4_byte_bpe, op5_ngram_jaccard, op6_suffix_repeats,
+        op7_licence_scan, op8_decontamination, op9_token_files, op10_exact_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": OP2_SQL, "op10_exact_top_k": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_chat_format": OP2_SQL, "op7_licence_scan": _op7_sql(),
+            "op10_exact_top_k": OP10_SQL}
