@@ -15,12 +15,13 @@ from marquee.functions.validators import FLOAT_SENTINEL, INT_SENTINEL
 
 # Validator kinds understood by apply_contract.
 STRICT_INT = "strict_int"      # digits only
+SIGNED_INT = "signed_int"      # optional sign and digits, no default
 NUMERIC_INT = "numeric_int"    # any numeric text, truncated
 STRICT_FLOAT = "strict_float"  # unsigned decimal, no exponent
 DATE = "date"                  # yyyy-M-d, else NULL
 JSON_LIST = "json_list"        # literal / JSON list of objects -> canonical JSON
 TEXT = "text"                  # kept as is
-KINDS = {STRICT_INT, NUMERIC_INT, STRICT_FLOAT, DATE, JSON_LIST, TEXT}
+KINDS = {STRICT_INT, SIGNED_INT, NUMERIC_INT, STRICT_FLOAT, DATE, JSON_LIST, TEXT}
 
 
 @dataclass(frozen=True)
@@ -61,12 +62,21 @@ class TableContract:
     def sources(self) -> list[str]:
         return [c.source for c in self.columns]
 
+    @property
+    def defaulted(self) -> list[str]:
+        """Source columns that an input may lack."""
+        return [c.source for c in self.columns if c.nullable or c.default is not None]
+
     def ddl(self) -> str:
         return ", ".join(
             f"{c.name} {c.dtype}{'' if c.nullable else ' NOT NULL'}" for c in self.columns)
 
 
 # ---- the four film tables -------------------------------------------------
+# Table, column and file-column names must equal the source system's.
+
+# What links and metadata are joined on.
+FILM_IDS = ("tmdb_id", "imdb_id")
 
 MOVIE_LINKS = TableContract(
     name="movie_links",
@@ -123,5 +133,13 @@ TOP_MOVIES = TableContract(
     unique=(("title", "year", "wiki_url"),),
 )
 
-# Ratings files are read by position with this schema (header skipped).
-RATINGS_FILE_DDL = "user_id INT, movie_id INT, rating DOUBLE, timestamp TIMESTAMP"
+# Ratings files are read by position with this schema (header skipped), as text:
+# ids are checked before they are typed, and a rating that is no number is NULL.
+RATINGS_FILE_DDL = "user_id STRING, movie_id STRING, rating STRING, timestamp STRING"
+RATING_ROWS = TableContract(
+    name="rating_rows",
+    columns=(
+        Col("movie_id", "movie_id", SIGNED_INT, "int", nullable=False),
+        Col("rating", "rating", TEXT, "double"),
+    ),
+)

@@ -4,9 +4,7 @@ Arrow-batched fallback in :mod:`marquee.functions.jsoncols`."""
 from marquee.functions.dates import parse_ymd_date
 from marquee.functions.jsoncols import (
     COMPANY_ARRAY,
-    canonical_json,
     has_null_element,
-    json_array_parse,
     literal_to_json,
     with_json_lists,
 )
@@ -21,8 +19,8 @@ from marquee.functions.validators import (
 )
 
 __all__ = [
-    "COMPANY_ARRAY", "FLOAT_SENTINEL", "INT_SENTINEL", "canonical_json",
-    "clean_feed_title", "guarded_ratio", "has_null_element", "json_array_parse",
+    "COMPANY_ARRAY", "FLOAT_SENTINEL", "INT_SENTINEL",
+    "clean_feed_title", "guarded_ratio", "has_null_element",
     "literal_to_json", "with_json_lists",
     "numeric_int", "parse_ymd_date", "strict_float", "strict_int",
     "strip_leading_chars",

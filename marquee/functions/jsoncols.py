@@ -1,10 +1,15 @@
 """JSON list columns (genres, production companies).
 
 Raw input holds Python-literal text such as ``[{'id': 16, 'name': 'Animation'}]``.
-Spark's JSON reader already accepts single quotes, so ``from_json`` parses the
-common case on the JVM.  Only rows it cannot read (``None`` literals, ``\\xe9``
-escapes) go to one Arrow-batched ``pandas_udf`` that runs ``ast.literal_eval``;
-every other row reaches that UDF as NULL and costs nothing.
+The result is the whole list as canonical JSON text: every key and value, with
+its type, keys sorted, no spaces.
+
+Lists whose elements are exactly an integer ``id`` and a plain string ``name``
+(no escapes, no quotes inside) are recognised on the JVM by a pattern, and
+``from_json`` reads those without loss.  All other text that looks like a list
+(more keys, other types, ``None``, escapes, text after the list) goes to one
+Arrow-batched ``pandas_udf`` that runs ``ast.literal_eval``; every other row
+reaches that UDF as NULL and costs nothing.
 """
 
 from __future__ import annotations
@@ -15,38 +20,52 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
-# Element type of genre and production-company lists: only ``name`` is ever
-# read downstream, ``id`` is kept for the canonical text.
+# Element type that readers of the canonical text use for genres and companies.
 COMPANY_ARRAY = "array<struct<id:bigint,name:string>>"
 
+_GAP = r"[ \t\r\n]*+"
+_STRING = r"""(?:'[^'"\\\p{Cntrl}]*+'|"[^"'\\\p{Cntrl}]*+")"""
+_ID = rf"""{_GAP}(?:'id'|"id"){_GAP}:{_GAP}(?:0|-?[1-9][0-9]{{0,17}}){_GAP}"""
+_NAME = rf"""{_GAP}(?:'name'|"name"){_GAP}:{_GAP}{_STRING}{_GAP}"""
+# One plain element; _MARK stands for it in what is left of the text.
+_ELEMENT = rf"\{{(?:{_ID},{_NAME}|{_NAME},{_ID})\}}"
+_MARK = "\x01"
 
-def _literal_list_to_json(text: str | None) -> str | None:
+
+def _literal_list_to_json(text: str | None) -> tuple[str | None, str | None]:
+    """(canonical JSON, None) or (None, reason).  Running out of memory fails
+    the task: whether a row is valid must not depend on a worker's memory."""
     if text is None:
-        return None
+        return None, None
     try:
-        value = ast.literal_eval(text)
-    except (ValueError, SyntaxError, MemoryError, RecursionError, TypeError):
-        return None
+        value = ast.literal_eval(text.strip())
+    except RecursionError:
+        return None, "too_deep"
+    except (ValueError, SyntaxError, TypeError):
+        return None, "unparseable"
     if not isinstance(value, list) or not all(isinstance(v, dict) for v in value):
-        return None
+        return None, "unparseable"
     try:
-        return json.dumps(value)
+        return json.dumps(value, sort_keys=True, ensure_ascii=False, allow_nan=False,
+                          separators=(",", ":")), None
+    except RecursionError:
+        return None, "too_deep"
     except (TypeError, ValueError):
-        return None
+        return None, "unparseable"
 
 
-@F.pandas_udf(StringType())
-def _literal_to_json(texts: pd.Series) -> pd.Series:
-    return texts.map(_literal_list_to_json, na_action="ignore")
+@F.pandas_udf(StructType([StructField("json", StringType()), StructField("reason", StringType())]))
+def _literal_to_json(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_literal_list_to_json(t) for t in texts], columns=["json", "reason"], dtype=object)
 
 
 # The function is deterministic; it is flagged otherwise only as a planner
 # barrier: predicates over parsed values (e.g. "row has no reject reason")
 # must not be inlined below the parse, which would plan a second Python pass.
 literal_to_json = _literal_to_json.asNondeterministic()
-literal_to_json.__doc__ = "Python-literal list of dicts -> JSON text; anything else -> NULL."
+literal_to_json.__doc__ = "Python-literal list of dicts -> (JSON text, NULL); anything else -> (NULL, reason)."
 
 
 def has_null_element(arr: Column) -> Column:
@@ -56,71 +75,38 @@ def has_null_element(arr: Column) -> Column:
     return (F.size(arr) > 0) & F.try_element_at(F.sort_array(arr), F.lit(1)).isNull()
 
 
-def _list_ok(text: Column, parsed: Column) -> Column:
-    # A lone object parses as a one-element list; only list text counts.
-    return (F.ltrim(text).startswith("[") & parsed.isNotNull() & ~has_null_element(parsed))
-
-
-def json_array_parse(c: Column, schema: str = COMPANY_ARRAY, default: str = "[]",
-                     label: str = "json") -> tuple[Column, Column]:
-    """Parse a literal/JSON list column into ``schema`` as pure expressions.
-
-    Returns ``(array, reason)``.  NULL input becomes ``default``; text that is
-    not a list of objects gets a reject reason instead of aborting the load.
-    Convenient for one column; for whole tables prefer ``with_json_lists``,
-    which evaluates each parse once per row.
-    """
-    text = F.coalesce(c, F.lit(default))
-    first = F.from_json(text, schema)
-    looks_list = F.ltrim(text).startswith("[")
-    first_ok = _list_ok(text, first)
-    fallback = F.from_json(literal_to_json(F.when(~first_ok & looks_list, text)), schema)
-    fallback_ok = _list_ok(text, fallback)
-    parsed = F.when(first_ok, first).when(fallback_ok, fallback)
-    reason = (
-        F.when(first_ok, F.lit(None).cast("string"))
-        .when(~looks_list, F.lit(f"{label}:not_a_list"))
-        .when(~fallback_ok, F.lit(f"{label}:unparseable"))
-    )
-    return parsed, reason
+def is_plain_list(text: Column) -> Column:
+    """Whether the text is a list of plain ``id``/``name`` elements and nothing
+    else, which ``from_json`` reads without loss."""
+    rest = F.regexp_replace(F.regexp_replace(text, _ELEMENT, _MARK), r"[ \t\r\n]+", "")
+    return ~text.contains(_MARK) & (
+        (rest == "[]") | (F.replace(rest, F.lit(_MARK + ","), F.lit("")) == f"[{_MARK}]"))
 
 
 def with_json_lists(df: DataFrame, specs: list[tuple[Column, str, str, str]],
                     schema: str = COMPANY_ARRAY) -> DataFrame:
-    """Add parsed list columns to ``df`` in three narrow projections.
+    """Add canonical list texts to ``df`` in narrow projections.
 
     ``specs``: ``(text column, output name, default text, reject label)``.
-    Adds ``<name>`` (the array) and ``<name>__reason``.  Each text is parsed
-    by ``from_json`` once; the Arrow UDF sees text only where that failed.
+    Adds ``<name>`` (canonical JSON text, NULL if rejected) and
+    ``<name>__reason``.  The Arrow UDF sees only texts that need it.
     """
-    firsts = {}
-    for i, (c, name, default, _) in enumerate(specs):
-        firsts[f"__jt{i}"] = F.coalesce(c, F.lit(default))
-    df = df.withColumns(firsts)
-    df = df.withColumns({f"__jf{i}": F.from_json(F.col(f"__jt{i}"), schema)
-                         for i in range(len(specs))})
-    df = df.withColumns({f"__jo{i}": _list_ok(F.col(f"__jt{i}"), F.col(f"__jf{i}"))
-                         for i in range(len(specs))})
+    n = range(len(specs))
+    df = df.withColumns({f"__jt{i}": F.coalesce(c, F.lit(default)) for i, (c, _, default, _) in enumerate(specs)})
+    df = df.withColumns({f"__jo{i}": is_plain_list(F.col(f"__jt{i}")) for i in n})
+    df = df.withColumns({f"__jf{i}": F.to_json(F.from_json(F.when(F.col(f"__jo{i}"), F.col(f"__jt{i}")), schema),
+                                               {"ignoreNullFields": "false"}) for i in n})
     df = df.withColumns({
         f"__ju{i}": literal_to_json(F.when(~F.col(f"__jo{i}") & F.ltrim(F.col(f"__jt{i}")).startswith("["),
                                            F.col(f"__jt{i}")))
-        for i in range(len(specs))})
-    df = df.withColumns({f"__jb{i}": F.from_json(F.col(f"__ju{i}"), schema)
-                         for i in range(len(specs))})
+        for i in n})
     out = {}
     for i, (_, name, _, label) in enumerate(specs):
-        t, f, ok, b = (F.col(f"__jt{i}"), F.col(f"__jf{i}"), F.col(f"__jo{i}"), F.col(f"__jb{i}"))
-        b_ok = _list_ok(t, b)
-        out[name] = F.when(ok, f).when(b_ok, b)
+        ok, slow = F.col(f"__jo{i}"), F.col(f"__ju{i}")
+        out[name] = F.when(ok, F.col(f"__jf{i}")).otherwise(slow["json"])
         out[f"{name}__reason"] = (
             F.when(ok, F.lit(None).cast("string"))
-            .when(~F.ltrim(t).startswith("["), F.lit(f"{label}:not_a_list"))
-            .when(~b_ok, F.lit(f"{label}:unparseable")))
+            .when(~F.ltrim(F.col(f"__jt{i}")).startswith("["), F.lit(f"{label}:not_a_list"))
+            .when(slow["reason"].isNotNull(), F.concat(F.lit(f"{label}:"), slow["reason"])))
     helpers = [c for c in df.columns if c.startswith("__j")]
     return df.withColumns(out).drop(*helpers)
-
-
-def canonical_json(arr: Column) -> Column:
-    """Compact JSON text with keys in schema order and NULL fields kept, so
-    equal lists compare and deduplicate equal."""
-    return F.to_json(arr, {"ignoreNullFields": "false"})

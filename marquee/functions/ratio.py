@@ -17,12 +17,14 @@ def guarded_ratio(num: Column, den: Column, mode: str = "double",
     """``num / den`` when ``den > 0`` else ``default`` (NULL ``den`` -> default).
 
     ``mode="decimal"`` reproduces the database path: both sides as
-    DECIMAL(38,18), the quotient as DECIMAL(38,6) rounded half-up.
+    DECIMAL(38,18), the quotient as DECIMAL(38,6) rounded half-up.  A value that
+    does not fit gives NULL and never fails the job; cleaning rejects such
+    values before (``validators.strict_float``).
     """
     if mode == "double":
         return F.when(den > 0, num.cast("double") / den.cast("double")) \
             .otherwise(F.lit(default).cast("double"))
     if mode == "decimal":
-        q = num.cast(SOURCE_DECIMAL) / den.cast(SOURCE_DECIMAL)
+        q = F.try_divide(num.try_cast(SOURCE_DECIMAL), den.try_cast(SOURCE_DECIMAL))
         return F.when(den > 0, q).otherwise(F.lit(default).cast("decimal(38,6)"))
     raise ValueError(f"unknown ratio mode {mode!r}")

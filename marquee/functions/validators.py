@@ -18,9 +18,13 @@ INT_SENTINEL = -9999
 FLOAT_SENTINEL = -999.999
 STRICT_INT_PATTERN = r"^[0-9]+$"
 STRICT_FLOAT_PATTERN = r"^[0-9]+\.?[0-9]*$"
+# Amounts are kept as DECIMAL(38,18) by the source database: 20 digits before the point.
+FLOAT_LIMIT = 1e20
 INT_SENTINEL_TEXT = "-9999"
 FLOAT_SENTINEL_TEXT = "-999.999"
 
+SIGNED_INT_PATTERN = r"^[+-]?[0-9]+$"
+
 # What counts as "numeric text" for id columns that are read as numbers
 # (optional sign, digits with an optional fraction, optional exponent).
 NUMERIC_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -51,6 +55,19 @@ def strict_int(c: Column, dtype: str = "INT", default: int = INT_SENTINEL,
     return value, reason
 
 
+def signed_int(c: Column, dtype: str = "INT", label: str = "value") -> tuple[Column, Column]:
+    """Integer text with an optional sign; NULL stays NULL.  Read as BIGINT,
+    and rejected if it does not fit ``dtype``."""
+    ok_text = c.rlike(SIGNED_INT_PATTERN)
+    value = F.when(ok_text, c.try_cast("BIGINT").try_cast(_int_type(dtype)))
+    reason = (
+        F.when(c.isNull(), F.lit(None).cast("string"))
+        .when(~ok_text, F.lit(f"{label}:not_integer"))
+        .when(value.isNull(), F.lit(f"{label}:out_of_range"))
+    )
+    return value, reason
+
+
 def numeric_int(c: Column, dtype: str = "INT", default: int = INT_SENTINEL,
                 label: str = "value") -> tuple[Column, Column]:
     """Any numeric text, truncated toward zero (``862.0`` -> 862); NULL -> default."""
@@ -69,14 +86,15 @@ def numeric_int(c: Column, dtype: str = "INT", default: int = INT_SENTINEL,
 
 def strict_float(c: Column, default: float = FLOAT_SENTINEL,
                  label: str = "value") -> tuple[Column, Column]:
-    """Unsigned decimal text without exponent (``1.`` ok; ``.5``, ``1e6``, ``-1`` rejected)."""
+    """Unsigned decimal text without exponent (``1.`` ok; ``.5``, ``1e6``, ``-1``
+    rejected), below ``FLOAT_LIMIT``."""
     ok_text = c.rlike(STRICT_FLOAT_PATTERN) | (c == F.lit(FLOAT_SENTINEL_TEXT))
     typed = c.try_cast("DOUBLE")
     value = F.when(c.isNull(), F.lit(default).cast("double")).when(ok_text, typed)
     reason = (
         F.when(c.isNull(), F.lit(None).cast("string"))
         .when(~ok_text, F.lit(f"{label}:not_decimal"))
-        .when(typed.isNull() | F.isnan(typed) | (F.abs(typed) == F.lit(float("inf"))),
+        .when(typed.isNull() | F.isnan(typed) | (F.abs(typed) >= F.lit(FLOAT_LIMIT)),
               F.lit(f"{label}:out_of_range"))
     )
     return value, reason

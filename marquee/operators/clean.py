@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from marquee import contracts as K
 from marquee.functions.dates import parse_ymd_date
-from marquee.functions.jsoncols import canonical_json, with_json_lists
+from marquee.functions.jsoncols import with_json_lists
 from marquee.functions.text import strip_leading_chars
-from marquee.functions.validators import numeric_int, strict_float, strict_int
+from marquee.functions.validators import numeric_int, signed_int, strict_float, strict_int
+from marquee.sources.csv import MALFORMED
 
 REASONS = "reject_reasons"
 
@@ -41,6 +42,8 @@ def _typed(col: K.Col):
         raw = strip_leading_chars(raw, col.strip_leading)
     if col.kind == K.STRICT_INT:
         return strict_int(raw, col.dtype, col.default, col.name)
+    if col.kind == K.SIGNED_INT:
+        return signed_int(raw, col.dtype, col.name)
     if col.kind == K.NUMERIC_INT:
         return numeric_int(raw, col.dtype, col.default, col.name)
     if col.kind == K.STRICT_FLOAT:
@@ -48,8 +51,7 @@ def _typed(col: K.Col):
     if col.kind == K.DATE:
         return parse_ymd_date(raw), F.lit(None).cast("string")
     if col.kind == K.JSON_LIST:
-        parsed = F.col(f"__json_{col.name}")
-        return canonical_json(parsed), F.col(f"__json_{col.name}__reason")
+        return F.col(f"__json_{col.name}"), F.col(f"__json_{col.name}__reason")
     value = raw if col.dtype == "string" else raw.try_cast(col.dtype)
     if col.default is not None:
         value = F.coalesce(value, F.lit(col.default).cast(col.dtype))
@@ -69,6 +71,8 @@ def annotate(df: DataFrame, contract: K.TableContract) -> DataFrame:
         if not col.nullable:
             reason = F.coalesce(reason, F.when(value.isNull(), F.lit(f"{col.name}:null")))
         reasons.append(reason)
+    if MALFORMED in df.columns:
+        reasons.append(F.when(F.col(MALFORMED).isNotNull(), F.lit("row:malformed")))
     raw = [F.col(f"`{c}`").cast("string").alias(f"raw_{c}") for c in dict.fromkeys(contract.sources)]
     # array_except drops the NULLs (no lambda, so the select stays codegen'd);
     # reasons are distinct by construction, so its de-duplication is moot.

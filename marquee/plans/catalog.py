@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from marquee import contracts as K
 from marquee.functions.dates import parse_ymd_date
-from marquee.functions.jsoncols import canonical_json, with_json_lists
+from marquee.functions.jsoncols import with_json_lists
 from marquee.functions.ratio import guarded_ratio
 from marquee.operators.aggregate import mean_rating
-from marquee.operators.clean import reject_rows
+from marquee.operators.clean import REASONS, reject_rows
 from marquee.operators.dedup import distinct_rows
 from marquee.operators.explode import explode_json_list
+from marquee.operators.joins import join_small_side
 from marquee.operators.quality import constraint_violations
 from marquee.operators.rank import dense_top_k
 from marquee.plans import jobs as J
@@ -27,9 +28,9 @@ from marquee.plans import oracle_sql as O
 from marquee.plans import reports as R
 from marquee.plans import sql_reports
 from marquee.plans import standins as S
-from marquee.session import mark_done, path_exists, staging_dir
-from marquee.sources.csv import read_csv_positional, read_csv_text
-from marquee.sources.tables import read_table, write_table
+from marquee.session import mark_done, materialize, path_exists, staging_dir
+from marquee.sources.csv import read_csv_text
+from marquee.sources.tables import ConstraintError, discard_refused, load_table, read_table, write_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -70,7 +71,7 @@ def film_tables(spark, sf_dir) -> J.FilmTables:
     written under the shared checkpoint dir.  Joins and reports read these
     written tables, as the analyst queries read the loaded database tables."""
     f = _files(spark, sf_dir)
-    out = staging_dir(spark, "film-tables", key=sf_dir.rstrip("/"))
+    out = staging_dir(spark, "film-tables", key=S.inputs_key(spark, sf_dir))
     with S.STAGING_LOCK:
         if not path_exists(spark, f"{out}/_DONE"):
             J.run_all(spark, out, metadata_csv=f.metadata, link_csvs=[f.links_full, f.links_small],
@@ -162,8 +163,7 @@ FROM rating_rows GROUP BY movie_id
 """)
 def csv_ratings_mean(spark, sf_dir):
     """One ratings file read by position with the declared schema."""
-    df = read_csv_positional(spark, _files(spark, sf_dir).ratings_full, K.RATINGS_FILE_DDL)
-    return J.ratings_mean(df)
+    return J.stage_ratings(spark, _files(spark, sf_dir).ratings_full)
 
 
 @register("csv_glob_union_mean", W(O.RATINGS) + """
@@ -190,12 +190,16 @@ def clean_valid_rows(spark, sf_dir):
     return _meta(spark, sf_dir).valid
 
 
-@register("reject_reasons", W(O.RAW_META, O.META_ANN, O.LINKS) + """
+@register("reject_reasons", W(O.RAW_META, O.META_ANN, O.LINKS, O.RATING_LINES) + f"""
 SELECT 'movies_metadata' AS table_name, raw_id AS raw_key, unnest(reasons) AS reason
 FROM meta_ann WHERE len(reasons) > 0
 UNION ALL
 SELECT 'movie_links' AS table_name, movie_raw AS raw_key, unnest(reasons) AS reason
 FROM links_ann WHERE len(reasons) > 0
+UNION ALL
+SELECT 'movie_ratings' AS table_name, CAST(movie_id + {S.LONG_ID} AS VARCHAR) AS raw_key,
+       'movie_id:out_of_range' AS reason
+FROM rating_lines WHERE id_long
 """)
 def reject_reasons(spark, sf_dir):
     """The quarantine, one row per (raw key, reason)."""
@@ -203,7 +207,12 @@ def reject_reasons(spark, sf_dir):
         F.lit("movies_metadata").alias("table_name"), "raw_key", "reason")
     lk = reject_rows(_links(spark, sf_dir), "movieId").select(
         F.lit("movie_links").alias("table_name"), "raw_key", "reason")
-    return m.unionByName(lk)
+    rt = reject_rows(J.stage_rating_rows(spark, _files(spark, sf_dir).ratings_glob), "movie_id").select(
+        F.lit("movie_ratings").alias("table_name"), "raw_key", "reason")
+    feed = J.feed_rejects(spark, _files(spark, sf_dir).feed).select(
+        F.lit("wiki_feed").alias("table_name"), F.col("raw_record").alias("raw_key"),
+        F.explode(REASONS).alias("reason"))
+    return m.unionByName(lk).unionByName(rt).unionByName(feed)
 
 
 @register("date_parse_coerce", W(O.RAW_META) + f"""
@@ -231,8 +240,8 @@ def literal_to_json(spark, sf_dir):
                                    (F.col("production_companies"), "p", "[]",
                                     "production_companies")])
     return parsed.select(F.col("order_key").cast("bigint").alias("order_key"),
-                         canonical_json(F.col("g")).alias("genres"),
-                         canonical_json(F.col("p")).alias("production_companies"))
+                         F.col("g").alias("genres"),
+                         F.col("p").alias("production_companies"))
 
 
 @register("xml_feed_clean", W(O.FEED) + """
@@ -253,10 +262,8 @@ def composite_key_join(spark, sf_dir):
     return _movies(spark, sf_dir)
 
 
-@register("sentinel_key_join", W(O.RAW_META, O.META_ANN, O.META, O.LINKS) + """
-SELECT k.movie_id, k.imdb_id, k.tmdb_id, md.title
-FROM links k JOIN meta md USING (tmdb_id, imdb_id)
-""")
+@register("sentinel_key_join", W(O.RAW_META, O.META_ANN, O.META, O.LINKS, O.equi_join(
+    "pairs", "links", "meta", K.FILM_IDS, ["movie_id", "imdb_id", "tmdb_id"], ["title"])) + "SELECT * FROM pairs")
 def sentinel_key_join(spark, sf_dir):
     """Missing ids kept as NULL and matched null-safely (<=>) give the same
     pairs as the sentinel-filled equi-join: two missing ids do join."""
@@ -283,8 +290,10 @@ FROM movies mv JOIN feed f ON f.title = mv.title
 def xml_feed_title_join(spark, sf_dir):
     """Films x feed entries by exact title, many-to-many (every pair kept)."""
     mv = _movies(spark, sf_dir).select("movie_id", "title")
-    return mv.join(film_tables(spark, sf_dir).feed, "title").select("movie_id", "title", "wiki_url",
-                                                         "wiki_abstract")
+    feed = film_tables(spark, sf_dir).feed
+    # only entries of a film's title are shuffled with their abstracts
+    feed = join_small_side(feed, materialize(mv.select("title").distinct(), "film-titles"), "title", "left_semi")
+    return mv.join(feed, "title").select("movie_id", "title", "wiki_url", "wiki_abstract")
 
 
 # ---- E5 and the reports -----------------------------------------------------
@@ -320,14 +329,18 @@ def top_movies_double_ratio(spark, sf_dir):
     return J.top_movies(_movies(spark, sf_dir), film_tables(spark, sf_dir).feed, J.TOP_K, "double")
 
 
-@register("json_explode_ordinality", W(O.RAW_META, O.META_ANN, O.META) + f"""
-SELECT tmdb_id, title, CAST(pos AS INTEGER) AS position, el.id AS genre_id, el.name AS genre
+@register("json_explode_ordinality", W(O.RAW_META, O.META_ANN, O.META) + """
+SELECT tmdb_id, title, CAST(pos AS INTEGER) AS position,
+       CASE WHEN json_type(el, '$.id') IN ('BIGINT', 'UBIGINT')
+            THEN TRY_CAST(json_extract_string(el, '$.id') AS BIGINT) END AS genre_id,
+       json_extract_string(el, '$.name') AS genre
 FROM (SELECT tmdb_id, title, unnest(arr) AS el, unnest(range(1, len(arr) + 1)) AS pos
-      FROM (SELECT tmdb_id, title, from_json(genres, {{JSON_LIST_TYPE}}) AS arr FROM meta))
-""".replace("{JSON_LIST_TYPE}", """'[{"id":"BIGINT","name":"VARCHAR"}]'"""))
+      FROM (SELECT tmdb_id, title, json_extract(genres, '$[*]') AS arr FROM meta))
+""")
 def json_explode_ordinality(spark, sf_dir):
     """Every genre of every film as a row with its 1-based
-    position (``jsonb_array_elements ... WITH ORDINALITY``); empty lists vanish."""
+    position (``jsonb_array_elements ... WITH ORDINALITY``); empty lists vanish.
+    An id that is no integer, or none that fits a BIGINT, is NULL here."""
     m = film_tables(spark, sf_dir).metadata
     out = explode_json_list(m, "genres", ["tmdb_id", "title"], "el", "position")
     return out.select("tmdb_id", "title", "position", F.col("el.id").alias("genre_id"),
@@ -356,88 +369,50 @@ def ratio_decimal_ties(spark, sf_dir):
         F.col("ratio_dec").cast("double").alias("ratio"), "num_rec", "num_double_values")
 
 
-@register("empty_schema_probe", W(*_TOP_CTES) + "\nSELECT * FROM top_movies WHERE 1 = 2\n")
-def empty_schema_probe(spark, sf_dir):
-    """R1."""
-    return R.schema_probe(_top(spark, sf_dir))
-
-
 @register("row_count", W(*_TOP_CTES) + "\nSELECT COUNT(*) AS num_rows FROM top_movies\n")
 def row_count(spark, sf_dir):
     """R2."""
     return R.loaded_rows(_top(spark, sf_dir))
 
 
-@register("shared_ratio_groups", W(*_TOP_CTES) + """
-SELECT ratio, COUNT(*) AS num_rec FROM top_movies GROUP BY ratio HAVING COUNT(*) > 1
-""")
+@register("shared_ratio_groups", W(*_TOP_CTES, """
+sized AS (SELECT DISTINCT ratio, COUNT(*) OVER (PARTITION BY ratio) AS num_rec FROM top_movies)
+""") + "SELECT ratio, num_rec FROM sized WHERE num_rec >= 2")
 def shared_ratio_groups(spark, sf_dir):
     """R3."""
     return R.shared_ratios(_top(spark, sf_dir))
 
 
-@register("top_n_join", W(*_TOP_CTES) + """
-SELECT t.title, t.ratio, md.genres
-FROM top_movies t, meta md WHERE md.title = t.title
-ORDER BY t.ratio DESC, t.title, md.genres LIMIT 5
-""")
+@register("top_n_join", W(*_TOP_CTES, O.equi_join("pairs", "top_movies", "meta", ["title"], ["title", "ratio"], ["genres"]),
+                          O.first_rows("best", "pairs", 5, ["ratio DESC", "title", "genres"]))
+          + "SELECT title, ratio, genres FROM best")
 def top_n_join(spark, sf_dir):
     """Genres of the 5 highest ratios (metadata matched on its raw title)."""
     return R.top_genres(_top(spark, sf_dir), film_tables(spark, sf_dir).metadata, 5)
 
 
-JSON_LIST_TYPE = """'[{"id":"BIGINT","name":"VARCHAR"}]'"""
-
-
-@register("json_explode_filter", W(*_TOP_CTES) + f"""
-, tagged AS (
-  SELECT title, el.name AS genre
-  FROM (SELECT title, unnest(from_json(genres, {JSON_LIST_TYPE})) AS el FROM meta)
-  WHERE el.name = 'URGENT'
-)
-SELECT t.title, tagged.genre, t.wiki_url
-FROM tagged JOIN top_movies t USING (title)
-ORDER BY t.ratio DESC, t.title, t.wiki_url LIMIT 10
-""")
+@register("json_explode_filter", W(
+    *_TOP_CTES, O.list_items("items", "meta", "genres", ["title"], "genre"),
+    "wanted AS (SELECT * FROM items WHERE genre = 'URGENT')",
+    O.equi_join("pairs", "wanted", "top_movies", ["title"], ["title", "genre"], ["wiki_url", "ratio"]),
+    O.first_rows("best", "pairs", 10, ["ratio DESC", "title", "wiki_url"])) + "SELECT title, genre, wiki_url FROM best")
 def json_explode_filter(spark, sf_dir):
     """Top films in one genre (genre 'URGENT' plays 'Comedy')."""
     return R.top_in_genre(_top(spark, sf_dir), film_tables(spark, sf_dir).metadata, "URGENT", 10)
 
 
-@register("json_explode_dense_rank", W(*_TOP_CTES) + f"""
-, exploded AS (
-  SELECT title, wiki_url, wiki_abstract, el.name AS production_company_name,
-         DENSE_RANK() OVER (ORDER BY ratio DESC) AS ratio_rank
-  FROM (SELECT *, unnest(from_json(production_companies, {JSON_LIST_TYPE})) AS el
-        FROM top_movies)
-)
-SELECT title, wiki_url, wiki_abstract, production_company_name,
-       CAST(ratio_rank AS INTEGER) AS ratio_rank
-FROM exploded WHERE ratio_rank <= 5
-""")
+@register("json_explode_dense_rank", W(
+    *_TOP_CTES, O.list_items("items", "top_movies", "production_companies", ["title", "wiki_url", "wiki_abstract", "ratio"],
+                             "production_company_name"),
+    "steps AS (SELECT ratio, CAST(row_number() OVER (ORDER BY ratio DESC) AS INTEGER) AS ratio_rank "
+    "FROM (SELECT DISTINCT ratio FROM items))",
+    O.equi_join("pairs", "items", "steps", ["ratio"], ["title", "wiki_url", "wiki_abstract", "production_company_name"],
+                ["ratio_rank"])) + "SELECT * FROM pairs WHERE ratio_rank <= 5")
 def json_explode_dense_rank(spark, sf_dir):
     """Companies of the 5 best ratio ranks, ranked after the explode."""
     return R.top_rank_companies(_top(spark, sf_dir), 5)
 
 
-# ---- the same reports as Spark SQL text -----------------------------------
-
-def _sql_report(report: str, genre: str = "URGENT") -> Builder:
-    def build(spark, sf_dir):
-        t = film_tables(spark, sf_dir)
-        sql_reports.register_views(t.top, t.metadata)
-        return sql_reports.run_report(spark, report, genre)
-    build.__doc__ = f"R-report {report!r} written as Spark SQL over temp views."
-    return build
-
-
-for _name, _report in [("sql_empty_schema_probe", "schema_probe"), ("sql_row_count", "loaded_rows"),
-                       ("sql_shared_ratio_groups", "shared_ratios"), ("sql_top_n_join", "top_genres"),
-                       ("sql_json_explode_filter", "top_in_genre"),
-                       ("sql_json_explode_dense_rank", "top_rank_companies")]:
-    register(_name, REGISTRY[_name[4:]][1])(_sql_report(_report))
-
-
 # ---- constraints and table writes ----------------------------------------
 
 def _key(cols):
@@ -505,15 +480,33 @@ SELECT CAST(movie_id AS INTEGER) AS movie_id, CAST(2 AS BIGINT) AS copies, MAX(r
 FROM ratings GROUP BY movie_id
 """)
 def table_overwrite_append(spark, sf_dir):
-    """Overwrite the ratings table, append the same load again,
-    read it back through a temp view by name."""
-    path = staging_dir(spark, "tables", key=sf_dir.rstrip("/")) + "/movie_ratings"
-    ratings = _ratings(spark, sf_dir)
+    """Overwrite a table, append the same rows again, read it back by
+    name in SQL.  Plain appends check nothing; see ``table_checked_load``."""
+    path = staging_dir(spark, "tables") + "/movie_ratings"
+    ratings = materialize(_ratings(spark, sf_dir), "ratings")
     write_table(ratings, path, K.MOVIE_RATINGS, mode="overwrite")
     write_table(ratings, path, K.MOVIE_RATINGS, mode="append")
-    spark.read.parquet(path).createOrReplaceTempView("movie_ratings")
     return spark.sql("SELECT movie_id, COUNT(1) AS copies, MAX(rating) AS rating "
-                     "FROM movie_ratings GROUP BY movie_id")
+                     "FROM {movie_ratings} GROUP BY movie_id", movie_ratings=spark.read.parquet(path))
+
+
+@register("table_checked_load", W(O.LINKS) + """
+SELECT movie_id, imdb_id, tmdb_id, CAST(1 AS BIGINT) AS copies, true AS refused FROM links
+""")
+def table_checked_load(spark, sf_dir):
+    """A clean batch of links is loaded; the urgent orders' links, which
+    the table then has already, are refused as a whole."""
+    path = staging_dir(spark, "tables") + "/movie_links"
+    f = _files(spark, sf_dir)
+    load_table(spark, J.stage_links(spark, [f.links_full, f.links_small]).valid, path, K.MOVIE_LINKS)
+    refused = False
+    try:
+        load_table(spark, J.stage_links(spark, f.links_small).valid, path, K.MOVIE_LINKS)
+    except ConstraintError as e:
+        refused = not e.violations.filter("constraint = 'primary_key_duplicate'").isEmpty()
+        discard_refused(spark, e)
+    return spark.read.parquet(path).groupBy("movie_id", "imdb_id", "tmdb_id").agg(
+        F.count("*").alias("copies")).withColumn("refused", F.lit(refused))
 
 
 @register("dense_top_k_large", """

@@ -11,14 +11,16 @@ E5     ``top_movies``      joins -> ratio -> dense top-k -> distinct
 E6     ``run_all``         E1..E5 from files, tables written to a folder
 =====  ==================  =============================================
 
-Every function returns lazy DataFrames; only ``run_all`` writes.
+``run_all`` writes tables.  ``top_movies`` runs jobs while it is built (the
+ranked input is written once, its bound found, small sides measured); the
+other functions only read file headers.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import contracts as K
@@ -26,28 +28,38 @@ from marquee.functions.ratio import guarded_ratio
 from marquee.functions.text import clean_feed_title
 from marquee.functions.validators import INT_SENTINEL
 from marquee.operators.aggregate import mean_rating
-from marquee.operators.clean import Cleaned, annotate, apply_contract, split_annotated
+from marquee.operators.clean import REASONS, Cleaned, annotate, apply_contract, split_annotated
 from marquee.operators.dedup import distinct_rows
 from marquee.operators.joins import join_small_side
 from marquee.operators.rank import dense_top_k, dense_top_k_window
-from marquee.sources.csv import read_csv_positional, read_csv_text, read_csv_union
+from marquee.sources.csv import read_csv_positional, read_csv_text, read_csv_union, write_csv
 from marquee.sources.tables import load_table, write_table
-from marquee.session import path_exists
+from marquee.session import delete_path, path_exists
+from marquee.session import materialize as keep
 from marquee.sources.xml import read_xml_feed
 
 TOP_K = 1000
+TABLES = ("movie_links", "movies_metadata", "movie_ratings", "wiki_feed", "top_movies")
+
+
+def raw_links(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    return read_csv_union(spark, paths, K.MOVIE_LINKS.sources, defaults=K.MOVIE_LINKS.defaulted, malformed=True)
+
+
+def raw_metadata(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> DataFrame:
+    return read_csv_text(spark, path, K.MOVIES_METADATA.sources, partitions,
+                         defaults=K.MOVIES_METADATA.defaulted, malformed=True)
 
 
 def stage_links(spark: SparkSession, paths: list[str] | str) -> Cleaned:
     """Id-link files of possibly different column order, aligned by name."""
-    raw = read_csv_union(spark, paths, columns=K.MOVIE_LINKS.sources)
-    return apply_contract(raw, K.MOVIE_LINKS)
+    return apply_contract(raw_links(spark, paths), K.MOVIE_LINKS)
 
 
-def stage_metadata(spark: SparkSession, path: str, partitions: int | None = None) -> Cleaned:
-    """Movies metadata, nine contract columns chosen by header name."""
-    raw = read_csv_text(spark, path, columns=K.MOVIES_METADATA.sources, partitions=partitions)
-    return apply_contract(raw, K.MOVIES_METADATA)
+def stage_metadata(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> Cleaned:
+    """Movies metadata, nine contract columns chosen by header name; files
+    may differ in their column order."""
+    return apply_contract(raw_metadata(spark, path, partitions), K.MOVIES_METADATA)
 
 
 def ratings_mean(ratings: DataFrame) -> DataFrame:
@@ -55,9 +67,16 @@ def ratings_mean(ratings: DataFrame) -> DataFrame:
     return mean_rating(ratings.select("movie_id", "rating"), "movie_id", "rating", 1, "rating")
 
 
+def stage_rating_rows(spark: SparkSession, path_glob: str | list[str]) -> Cleaned:
+    """Rows of all rating files (a glob: every matching file counts, duplicates
+    too).  Rows without a film id that fits the table are rejects; a rating
+    that is no number is NULL and its row counts."""
+    return apply_contract(read_csv_positional(spark, path_glob, K.RATINGS_FILE_DDL), K.RATING_ROWS, distinct=False)
+
+
 def stage_ratings(spark: SparkSession, path_glob: str | list[str]) -> DataFrame:
-    """All rating files (a glob: every matching file counts, duplicates too)."""
-    return ratings_mean(read_csv_positional(spark, path_glob, K.RATINGS_FILE_DDL))
+    """The mean of all valid rating rows of each film."""
+    return ratings_mean(stage_rating_rows(spark, path_glob).valid)
 
 
 def clean_feed(feed: DataFrame) -> DataFrame:
@@ -68,8 +87,20 @@ def clean_feed(feed: DataFrame) -> DataFrame:
         F.trim(F.col("abstract")).alias("wiki_abstract"))
 
 
-def read_clean_feed(spark: SparkSession, path: str) -> DataFrame:
-    return clean_feed(read_xml_feed(spark, path))
+def unreadable(feed: DataFrame) -> Column:
+    """Whether nothing of a record could be read."""
+    return F.col("title").isNull() & F.col("url").isNull() & F.col("abstract").isNull()
+
+
+def read_clean_feed(spark: SparkSession, path: str, split: bool = True) -> DataFrame:
+    feed = read_xml_feed(spark, path, split=split)
+    return clean_feed(feed.filter(~unreadable(feed)))
+
+
+def feed_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Text and reason of the feed's unreadable records."""
+    feed = read_xml_feed(spark, path, raw_col="raw_record")
+    return feed.filter(unreadable(feed)).select("raw_record", F.array(F.lit("record:unreadable")).alias(REASONS))
 
 
 def linked_movies(links: DataFrame, metadata: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -113,20 +144,23 @@ def top_movies(movies: DataFrame, feed: DataFrame, k: int = TOP_K,
     candidates = movie_ratios(movies.join(titles, "title", "left_semi"), ratio_mode,
                               numerator, denominator)
     winners = dense_top_k(candidates, "ratio", k, materialize_input=materialize)
-    entries = feed.select("title", "wiki_url", "wiki_abstract")
-    if materialize:
-        # winners is a cheap read of the materialized candidates: measure it
-        # and broadcast it if small, so the feed is streamed, not shuffled.
-        out = join_small_side(entries, winners, "title", "inner")
-    else:
-        out = winners.join(entries, "title", "inner")
-    final = out.select(
+    winners = distinct_rows(winners.select(
         "title", F.col("budget").cast("double").alias("budget"),
         F.coalesce(F.col("year"), F.lit(INT_SENTINEL)).cast("int").alias("year"),
         F.col("revenue").cast("double").alias("revenue"), "rating",
-        F.col("ratio").cast("double").alias("ratio"), "production_companies",
-        "wiki_url", "wiki_abstract")
-    return distinct_rows(final)
+        F.col("ratio").cast("double").alias("ratio"), "production_companies"))
+    # both sides without repeated rows, so the join has none: abstracts are
+    # no part of a distinct over the fanned-out rows
+    entries = feed.select("title", "wiki_url", "wiki_abstract")
+    if materialize:
+        winners = keep(winners, "top-winners")
+        entries = join_small_side(entries, winners.select("title").distinct(), "title", "left_semi")
+        out = join_small_side(distinct_rows(entries), winners, "title", "inner")
+    else:
+        entries = entries.join(winners.select("title").distinct(), "title", "left_semi")
+        out = winners.join(distinct_rows(entries), "title", "inner")
+    return out.select("title", "budget", "year", "revenue", "rating", "ratio", "production_companies",
+                      "wiki_url", "wiki_abstract")
 
 
 def top_movies_window(movies: DataFrame, feed: DataFrame, k: int = TOP_K,
@@ -156,31 +190,24 @@ class FilmTables:
     top: DataFrame
     link_rejects: DataFrame
     metadata_rejects: DataFrame
-
-
-def build_all(spark: SparkSession, metadata_csv: str, link_csvs: list[str],
-              ratings_glob: str, feed_xml: str, k: int = TOP_K,
-              ratio_mode: str = "decimal") -> FilmTables:
-    """E1..E5 wired together, lazily."""
-    links = stage_links(spark, link_csvs)
-    meta = stage_metadata(spark, metadata_csv)
-    ratings = stage_ratings(spark, ratings_glob)
-    feed = read_clean_feed(spark, feed_xml)
-    movies = linked_movies(links.valid, meta.valid, ratings)
-    top = top_movies(movies, feed, k, ratio_mode)
-    return FilmTables(links.valid, meta.valid, ratings, feed, top, links.rejects, meta.rejects)
+    rating_rejects: DataFrame
+    feed_rejects: DataFrame
 
 
 def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: list[str],
             ratings_glob: str, feed_xml: str, k: int = TOP_K,
             ratio_mode: str = "decimal", enforce_constraints: bool = False,
-            numerator: str = "budget", denominator: str = "revenue") -> FilmTables:
+            numerator: str = "budget", denominator: str = "revenue",
+            csv_dir: str | None = None) -> FilmTables:
     """Stage every table, then build ``top_movies`` from the written tables.
 
-    Each raw input is parsed once: the annotated rows (typed values, raw text,
-    reasons) are written first and both the table and its quarantine are cut
-    from that written copy.  Later steps read written tables, so a lost
-    executor never re-runs the parsing and the lineage stays short.
+    The links and metadata are parsed once: the annotated rows (typed values,
+    raw text, reasons) are written first, valid rows and rejects apart, and
+    the table and its quarantine each read their part; that copy is deleted at
+    the end.  Rating rows, the largest input and cheap to parse, are read
+    again for their quarantine instead.  Later steps read written tables, so a
+    lost executor never re-runs the parsing and the lineage stays short.
+    ``csv_dir`` also exports every table as CSV.
 
     With ``enforce_constraints`` every table is loaded all-or-nothing
     (``sources.tables.load_table``): a table whose keys or checks would be
@@ -194,24 +221,28 @@ def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: lis
         else:
             write_table(df, path, contract)
 
-    staged = {
-        "movie_links": (read_csv_union(spark, link_csvs, columns=K.MOVIE_LINKS.sources),
-                        K.MOVIE_LINKS),
-        "movies_metadata": (read_csv_text(spark, metadata_csv,
-                                          columns=K.MOVIES_METADATA.sources),
-                            K.MOVIES_METADATA),
-    }
+    staged = {"movie_links": (raw_links(spark, link_csvs), K.MOVIE_LINKS),
+              "movies_metadata": (raw_metadata(spark, metadata_csv), K.MOVIES_METADATA)}
     for name, (raw, contract) in staged.items():
-        annotate(raw, contract).write.mode("overwrite").parquet(f"{out}/_annotated/{name}")
-        cleaned = split_annotated(spark.read.parquet(f"{out}/_annotated/{name}"), contract)
-        publish(cleaned.valid, f"{out}/{name}", contract)
-        cleaned.rejects.write.mode("overwrite").parquet(f"{out}/quarantine/{name}")
-    publish(stage_ratings(spark, ratings_glob), f"{out}/movie_ratings", K.MOVIE_RATINGS)
+        halves = f"{out}/_annotated/{name}"
+        annotate(raw, contract).withColumn("is_reject", (F.size(REASONS) > 0).cast("int")) \
+            .write.mode("overwrite").partitionBy("is_reject").parquet(halves)
+        ann = spark.read.parquet(halves)
+        publish(split_annotated(ann.filter("is_reject = 0"), contract).valid, f"{out}/{name}", contract)
+        split_annotated(ann.filter("is_reject = 1"), contract).rejects.write.mode("overwrite").parquet(
+            f"{out}/quarantine/{name}")
+    rows = stage_rating_rows(spark, ratings_glob)
+    publish(ratings_mean(rows.valid), f"{out}/movie_ratings", K.MOVIE_RATINGS)
+    rows.rejects.write.mode("overwrite").parquet(f"{out}/quarantine/movie_ratings")
     read_clean_feed(spark, feed_xml).write.mode("overwrite").parquet(f"{out}/wiki_feed")
+    feed_rejects(spark, feed_xml).write.mode("overwrite").parquet(f"{out}/quarantine/wiki_feed")
+    delete_path(spark, f"{out}/_annotated")
     t = read_tables(spark, out)
     movies = linked_movies(t.links, t.metadata, t.ratings)
     publish(top_movies(movies, t.feed, k, ratio_mode, numerator=numerator,
                        denominator=denominator), f"{out}/top_movies", K.TOP_MOVIES)
+    for name in TABLES if csv_dir else ():
+        write_csv(spark.read.parquet(f"{out}/{name}"), f"{csv_dir.rstrip('/')}/{name}")
     return read_tables(spark, out)
 
 
@@ -224,5 +255,6 @@ def read_tables(spark: SparkSession, out_dir: str) -> FilmTables:
         return spark.read.parquet(path) if path_exists(spark, path) else None
     return FilmTables(rd("movie_links"), rd("movies_metadata"), rd("movie_ratings"), rd("wiki_feed"),
                       rd("top_movies"), rd("quarantine/movie_links"),
-                      rd("quarantine/movies_metadata"))
+                      rd("quarantine/movies_metadata"), rd("quarantine/movie_ratings"),
+                      rd("quarantine/wiki_feed"))
 

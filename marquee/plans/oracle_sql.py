@@ -9,6 +9,7 @@ the Spark side must recover the same lists by parsing the literal text.
 
 from __future__ import annotations
 
+from marquee.contracts import FILM_IDS as K_FILM_IDS
 from marquee.plans.standins import DIRT, FEED_DOCS_PER_TITLE, FEED_URL
 
 INT_PAT = "^[0-9]+$"
@@ -43,7 +44,8 @@ def strict_float_sql(c: str, label: str) -> tuple[str, str]:
     ok = f"(regexp_matches({c}, '{FLOAT_PAT}') OR {c} = '-999.999')"
     value = f"CASE WHEN {c} IS NULL THEN -999.999 WHEN {ok} THEN TRY_CAST({c} AS DOUBLE) END"
     reason = (f"CASE WHEN {c} IS NULL THEN NULL WHEN NOT {ok} THEN '{label}:not_decimal' "
-              f"WHEN TRY_CAST({c} AS DOUBLE) IS NULL THEN '{label}:out_of_range' END")
+              f"WHEN TRY_CAST({c} AS DOUBLE) IS NULL OR TRY_CAST({c} AS DOUBLE) >= 1e20 "
+              f"THEN '{label}:out_of_range' END")
     return value, reason
 
 
@@ -60,12 +62,17 @@ raw_meta AS (
          WHEN {hit(K, 'id_overflow')} THEN '99999999999' ELSE CAST({K} AS VARCHAR) END AS id,
     CASE WHEN {hit(K, 'imdb_bare')} THEN 'tt' ELSE printf('tt%07d', o.o_custkey) END AS imdb_id,
     CASE WHEN {hit(K, 'genres_null')} THEN '[]' WHEN {hit(K, 'genres_object')} THEN NULL
+         WHEN {hit(K, 'genres_extra_key')} THEN '[{{"id":1,"name":"URGENT","note":null}}]'
+         WHEN {hit(K, 'genres_quoted_id')} THEN '[{{"id":"1","name":"URGENT"}}]'
+         WHEN {hit(K, 'genres_float_id')} THEN '[{{"id":1.5,"name":"URGENT"}}]'
+         WHEN {hit(K, 'genres_long_id')} THEN '[{{"id":12345678901234567890,"name":"URGENT"}}]'
          ELSE to_json([{{'id': CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT),
                          'name': split_part(o.o_orderpriority, '-', 2)}},
                        {{'id': CAST(10 AS BIGINT), 'name': o.o_orderstatus}}]) END AS genres_json,
     CASE WHEN {hit(K, 'original_title_null')} THEN NULL ELSE c.c_name END AS original_title,
     CASE WHEN {hit(K, 'title_padded')} THEN ' ' || c.c_name || '  ' ELSE c.c_name END AS title,
     CASE WHEN {hit(K, 'budget_exponent')} THEN '1e6' WHEN {hit(K, 'budget_null')} THEN NULL
+         WHEN {hit(K, 'budget_huge')} THEN '1000000000000000000000'
          WHEN {hit(K, 'budget_negative')} THEN '-5' WHEN {hit(K, 'budget_trailing_dot')} THEN '1.'
          ELSE CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS budget,
     CASE WHEN {hit(K, 'date_padded')} THEN ' ' || strftime(o.o_orderdate, '%Y-%m-%d')
@@ -76,6 +83,8 @@ raw_meta AS (
     CASE WHEN {hit(K, 'companies_empty')} THEN '[]'
          WHEN {hit(K, 'companies_none')} THEN to_json([{{'id': CAST(n.n_nationkey AS BIGINT), 'name': CAST(NULL AS VARCHAR)}}])
          WHEN {hit(K, 'companies_junk')} THEN NULL
+         WHEN {hit(K, 'companies_trailing')} THEN NULL
+         WHEN {hit(K, 'companies_slash')} THEN '[{{"id":1,"name":"a\\\\/b"}}]'
          WHEN {hit(K, 'companies_apostrophe')} THEN to_json([{{'id': CAST(n.n_nationkey AS BIGINT), 'name': n.n_name || '''s Films'}}])
          WHEN {hit(K, 'companies_escape')} THEN to_json([{{'id': CAST(n.n_nationkey AS BIGINT), 'name': 'café ' || n.n_name}}])
          ELSE to_json([{{'id': CAST(n.n_nationkey AS BIGINT), 'name': n.n_name}},
@@ -102,7 +111,9 @@ meta_ann AS (
                  CASE WHEN genres_json IS NULL THEN 'genres:not_a_list' END,
                  CASE WHEN original_title IS NULL THEN 'original_title:null' END,
                  {_bu_r}, {_re_r},
-                 CASE WHEN companies_json IS NULL THEN 'production_companies:not_a_list' END],
+                 CASE WHEN companies_json IS NULL THEN 'production_companies:' ||
+                      CASE WHEN {hit('order_key', 'companies_trailing')} AND NOT {hit('order_key', 'companies_junk')}
+                           THEN 'unparseable' ELSE 'not_a_list' END END],
                 lambda x: x IS NOT NULL) AS reasons
   FROM raw_meta
 )"""
@@ -138,24 +149,16 @@ links_ann AS (
 links AS (SELECT DISTINCT movie_id, imdb_id, tmdb_id FROM links_ann WHERE len(reasons) = 0)"""
 
 RK = "l_orderkey + l_linenumber"
-RATINGS = f"""
-rating_rows AS (
-  SELECT l_orderkey AS movie_id,
+_RATING_ROWS = f"""SELECT l_orderkey AS movie_id, {hit(RK, 'rating_id_long')} AS id_long,
          CASE WHEN {hit(RK, 'rating_text')} THEN NULL ELSE l_quantity END AS rating
-  FROM lineitem
-  UNION ALL
-  SELECT l_orderkey AS movie_id,
-         CASE WHEN {hit(RK, 'rating_text')} THEN NULL ELSE l_quantity END AS rating
-  FROM lineitem WHERE l_returnflag = 'R'
-),
-ratings AS (SELECT movie_id, ROUND(AVG(rating), 1) AS rating FROM rating_rows GROUP BY movie_id)"""
-
+  FROM lineitem"""
 RATINGS_FULL_FILE = f"""
-rating_rows AS (
-  SELECT l_orderkey AS movie_id,
-         CASE WHEN {hit(RK, 'rating_text')} THEN NULL ELSE l_quantity END AS rating
-  FROM lineitem
-)"""
+rating_rows AS (SELECT * FROM ({_RATING_ROWS}) WHERE NOT id_long)"""
+RATING_LINES = f"""
+rating_lines AS ({_RATING_ROWS} UNION ALL {_RATING_ROWS} WHERE l_returnflag = 'R')"""
+RATINGS = RATING_LINES + """,
+rating_rows AS (SELECT * FROM rating_lines WHERE NOT id_long),
+ratings AS (SELECT movie_id, ROUND(AVG(rating), 1) AS rating FROM rating_rows GROUP BY movie_id)"""
 
 DK = "doc_id"
 _NAME = f"printf('Customer#%09d', {DK} // {FEED_DOCS_PER_TITLE})"
@@ -170,14 +173,37 @@ feed AS (
   FROM documents
 )"""
 
-MOVIES = """
-movies AS (
-  SELECT k.movie_id, k.imdb_id, trim(md.title) AS title, md.budget, md.release_date,
-         md.revenue, md.production_companies, rt.rating
-  FROM links k
-  JOIN ratings rt USING (movie_id)
-  JOIN meta md ON (md.tmdb_id, md.imdb_id) = (k.tmdb_id, k.imdb_id)
-)"""
+
+
+# Joins, lists and leading rows are generated from the operators' definitions:
+# the keys declared in ``contracts`` and the columns that a query returns.
+
+def equi_join(name: str, left: str, right: str, keys, left_cols, right_cols) -> str:
+    """CTE ``name``: rows of both sides that agree on every key."""
+    cols = [f"a.{c}" for c in left_cols] + [f"b.{c}" for c in right_cols]
+    on = " AND ".join(f"a.{k} = b.{k}" for k in keys)
+    return f"\n{name} AS (SELECT {', '.join(cols)} FROM {left} a JOIN {right} b ON {on})"
+
+
+def list_items(name: str, source: str, column: str, keep, item: str) -> str:
+    """CTE ``name``: one row for each element of a JSON list, with its name."""
+    kept = ", ".join(keep)
+    return (f"\n{name} AS (SELECT {kept}, json_extract_string(element, '$.name') AS {item} "
+            f"FROM (SELECT {kept}, unnest(json_extract({column}, '$[*]')) AS element FROM {source}))")
+
+
+def first_rows(name: str, source: str, n: int, order) -> str:
+    """CTE ``name``: the first ``n`` rows in a total order."""
+    return (f"\n{name} AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {', '.join(order)}) AS place "
+            f"FROM {source}) WHERE place <= {n})")
+
+
+MOVIES = ",".join([
+    equi_join("described", "links", "meta", K_FILM_IDS, ["movie_id", "imdb_id"],
+              ["title", "budget", "release_date", "revenue", "production_companies"]),
+    equi_join("rated", "described", "ratings", ["movie_id"],
+              ["movie_id", "imdb_id", "title", "budget", "release_date", "revenue", "production_companies"], ["rating"]),
+    "\nmovies AS (SELECT * REPLACE (trim(title) AS title) FROM rated)"])
 
 # ratio = HALF_UP(budget / revenue, 6) computed exactly on integers (money
 # values carry at most three decimals): sign(b) * floor((2e6*|b| + p) / 2p).

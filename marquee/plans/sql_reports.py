@@ -1,94 +1,44 @@
-"""The analyst reports as Spark SQL text over temp views.
+"""E5 as Spark SQL text, for analysts who write SQL.
 
-Analysts who wrote the reports as SQL can keep doing so: ``register_views``
-exposes ``top_movies`` and ``movies_metadata`` by name and ``run_report``
-runs one of the texts below with ``spark.sql``.  Catalyst plans them like the
-DataFrame versions in :mod:`marquee.plans.reports`.  The global rank of R6 is
-written in the distinct-key form: the five best distinct ratios are found by
-``DISTINCT ... ORDER BY ... LIMIT`` and broadcast back, never a window over
-the whole table in one task.
+The frames are passed to ``spark.sql`` as arguments, so no temp view of the
+caller's session is touched.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-LIST_TYPE = "array<struct<id:bigint,name:string>>"
+from marquee.operators.joins import BROADCAST_MAX_BYTES
 
-REPORTS = {
-    "schema_probe": "SELECT * FROM top_movies WHERE false",
-    "loaded_rows": "SELECT count(1) AS num_rows FROM top_movies",
-    "shared_ratios": """
-        SELECT ratio, count(1) AS num_rec FROM top_movies
-        GROUP BY ratio HAVING count(1) >= 2""",
-    "top_genres": """
-        SELECT t.title, t.ratio, meta.genres
-        FROM top_movies t JOIN movies_metadata meta ON meta.title = t.title
-        ORDER BY t.ratio DESC, t.title, meta.genres LIMIT 5""",
-    "top_in_genre": f"""
-        WITH tagged AS (
-          SELECT meta.title, item.name AS genre
-          FROM movies_metadata meta
-          LATERAL VIEW posexplode(from_json(meta.genres, '{LIST_TYPE}')) lst AS pos, item
-          WHERE item.name = :genre)
-        SELECT t.title, tagged.genre, t.wiki_url
-        FROM tagged JOIN top_movies t ON t.title = tagged.title
-        ORDER BY t.ratio DESC, t.title, t.wiki_url LIMIT 10""",
-    "top_rank_companies": f"""
-        WITH companies AS (
-          SELECT t.title, t.wiki_url, t.wiki_abstract, t.ratio,
-                 company.name AS production_company_name
-          FROM top_movies t
-          LATERAL VIEW posexplode(from_json(t.production_companies, '{LIST_TYPE}')) lst
-            AS pos, company),
-        best AS (
-          SELECT v, CAST(row_number() OVER (ORDER BY v DESC NULLS LAST) AS INT) AS ratio_rank
-          FROM (SELECT DISTINCT ratio AS v FROM companies ORDER BY v DESC NULLS LAST LIMIT 5))
-        SELECT /*+ BROADCAST(best) */ c.title, c.wiki_url, c.wiki_abstract,
-               c.production_company_name, best.ratio_rank
-        FROM companies c JOIN best ON c.ratio <=> best.v""",
-}
-
-
-# E5 as SQL over the views ``linked_movies`` (links x metadata x ratings) and
-# ``feed`` (cleaned encyclopedia entries): semi-join on distinct titles, rank
+# E5 over ``linked_movies`` (links x metadata x ratings) and ``feed`` (cleaned encyclopedia entries): semi-join on distinct titles, rank
 # on the distinct ratios (DECIMAL(38,6) like the database path), broadcast the
 # k best back, fan out to the feed last.
 TOP_MOVIES_SQL = """
 WITH matched AS (
-  SELECT m.* FROM linked_movies m LEFT SEMI JOIN (SELECT DISTINCT title FROM feed) t
+  SELECT m.* FROM {linked_movies} m LEFT SEMI JOIN (SELECT DISTINCT title FROM {feed}) t
     ON m.title = t.title),
 scored AS (
   SELECT title, budget, year(release_date) AS year, revenue, rating, production_companies,
          CASE WHEN revenue > 0
-              THEN CAST(budget AS DECIMAL(38,18)) / CAST(revenue AS DECIMAL(38,18))
+              THEN try_divide(TRY_CAST(budget AS DECIMAL(38,18)), TRY_CAST(revenue AS DECIMAL(38,18)))
               ELSE CAST(-999.999 AS DECIMAL(38,6)) END AS ratio
   FROM matched),
 best AS (SELECT DISTINCT ratio FROM scored ORDER BY ratio DESC NULLS LAST LIMIT {k})
-SELECT /*+ BROADCAST(best) */ DISTINCT s.title, CAST(s.budget AS DOUBLE) AS budget,
+SELECT {hint} DISTINCT s.title, CAST(s.budget AS DOUBLE) AS budget,
        CAST(coalesce(s.year, -9999) AS INT) AS year, CAST(s.revenue AS DOUBLE) AS revenue,
        s.rating, CAST(s.ratio AS DOUBLE) AS ratio, s.production_companies,
        f.wiki_url, f.wiki_abstract
 FROM scored s
 JOIN best b ON s.ratio <=> b.ratio
-JOIN feed f ON f.title = s.title
+JOIN {feed} f ON f.title = s.title
 """
 
 
 def top_movies_sql(spark: SparkSession, movies: DataFrame, feed: DataFrame,
                    k: int = 1000) -> DataFrame:
-    """E5 written in Spark SQL (see ``TOP_MOVIES_SQL``)."""
-    movies.createOrReplaceTempView("linked_movies")
-    feed.createOrReplaceTempView("feed")
-    return spark.sql(TOP_MOVIES_SQL.format(k=int(k)))
-
-
-def register_views(top: DataFrame, metadata: DataFrame) -> None:
-    top.createOrReplaceTempView("top_movies")
-    metadata.createOrReplaceTempView("movies_metadata")
-
-
-def run_report(spark: SparkSession, name: str, genre: str = "Comedy") -> DataFrame:
-    """Run report ``name`` against the registered views."""
-    text = REPORTS[name]
-    return spark.sql(text, args={"genre": genre}) if ":genre" in text else spark.sql(text)
+    """E5 written in Spark SQL (see ``TOP_MOVIES_SQL``).  The ranks, 32 bytes
+    each at most, are broadcast while ``k`` of them stay within the library's
+    limit."""
+    hint = "/*+ BROADCAST(b) */" if k * 32 <= BROADCAST_MAX_BYTES else ""
+    return spark.sql(TOP_MOVIES_SQL.replace("{hint}", hint).replace("{k}", str(int(k))),
+                     linked_movies=movies, feed=feed)

@@ -34,10 +34,10 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import mark_done, path_exists, staging_dir
+from marquee.session import fingerprint, mark_done, path_exists, staging_dir
 from marquee.sources.csv import write_csv
 from marquee.sources.tables import read_table
-from marquee.sources.xml import read_xml_feed, write_xml_feed
+from marquee.sources.xml import write_xml_feed
 
 # Key moduli at which a defect is injected (row key % modulus == 0).
 DIRT = {
@@ -45,16 +45,20 @@ DIRT = {
     "imdb_bare": 107,
     "genres_null": 109, "genres_object": 113,
     "original_title_null": 223, "title_padded": 127,
-    "budget_exponent": 131, "budget_null": 137, "budget_negative": 139, "budget_trailing_dot": 227,
+    "budget_exponent": 131, "budget_null": 137, "budget_negative": 139, "budget_trailing_dot": 227, "budget_huge": 233,
     "date_padded": 149, "date_unpadded": 151,
     "revenue_zero": 157, "revenue_null": 163,
     "companies_empty": 167, "companies_none": 173, "companies_junk": 179,
-    "companies_apostrophe": 181, "companies_escape": 191,
+    "companies_apostrophe": 181, "companies_escape": 191, "companies_trailing": 193, "companies_slash": 197,
+    "genres_extra_key": 83, "genres_quoted_id": 89, "genres_float_id": 79, "genres_long_id": 73,
     "link_imdb_float": 53, "link_tmdb_null": 59, "link_tmdb_text": 61,
-    "rating_text": 97,
+    "rating_text": 97, "rating_id_long": 71,
     "feed_prefix_space": 7, "feed_title_padded": 5,
 }
 
+# Added to an id, it does not fit an INT any more.
+LONG_ID = 3_000_000_000
+
 FEED_URL = "https://en.wikipedia.example/wiki/Doc_"
 # Documents per feed title: doc d describes customer d div FEED_DOCS_PER_TITLE,
 # so every matched film fans out to several feed entries.
@@ -90,6 +94,8 @@ def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_hit(k, "companies_empty"), F.lit("[]"))
         .when(_hit(k, "companies_none"), F.concat(F.lit("[{'name': None, 'id': "), nk, F.lit("}]")))
         .when(_hit(k, "companies_junk"), F.lit("junk"))
+        .when(_hit(k, "companies_trailing"), F.lit("[{'name': 'A', 'id': 1}] and more"))
+        .when(_hit(k, "companies_slash"), F.lit("[{'name': 'a\\/b', 'id': 1}]"))
         .when(_hit(k, "companies_apostrophe"),
               F.concat(F.lit("[{'name': \""), nn, F.lit("'s Films\", 'id': "), nk, F.lit("}]")))
         .when(_hit(k, "companies_escape"),
@@ -108,6 +114,10 @@ def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.format_string("tt%07d", F.col("o_custkey"))).alias("imdb_id"),
         F.when(_hit(k, "genres_null"), F.lit(None).cast("string"))
          .when(_hit(k, "genres_object"), F.lit("{}"))
+         .when(_hit(k, "genres_extra_key"), F.lit("[{'id': 1, 'name': 'URGENT', 'note': None}]"))
+         .when(_hit(k, "genres_quoted_id"), F.lit("[{'id': '1', 'name': 'URGENT'}]"))
+         .when(_hit(k, "genres_float_id"), F.lit("[{'id': 1.5, 'name': 'URGENT'}]"))
+         .when(_hit(k, "genres_long_id"), F.lit("[{'id': 12345678901234567890, 'name': 'URGENT'}]"))
          .otherwise(genres).alias("genres"),
         F.when(_hit(k, "original_title_null"), F.lit(None).cast("string"))
          .otherwise(F.col("c_name")).alias("original_title"),
@@ -115,6 +125,7 @@ def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("c_name")).alias("title"),
         F.when(_hit(k, "budget_exponent"), F.lit("1e6"))
          .when(_hit(k, "budget_null"), F.lit(None).cast("string"))
+         .when(_hit(k, "budget_huge"), F.lit("1000000000000000000000"))
          .when(_hit(k, "budget_negative"), F.lit("-5"))
          .when(_hit(k, "budget_trailing_dot"), F.lit("1."))
          .otherwise(budget).alias("budget"),
@@ -153,7 +164,8 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     li = read_table(spark, sf_dir, "lineitem")
     key = F.col("l_orderkey") + F.col("l_linenumber")
     rating = F.when(_hit(key, "rating_text"), F.lit("n/a")).otherwise(_s(F.col("l_quantity")))
-    cols = [_s(F.col("l_suppkey")).alias("userId"), _s(F.col("l_orderkey")).alias("movieId"),
+    movie = F.when(_hit(key, "rating_id_long"), F.col("l_orderkey") + F.lit(LONG_ID)).otherwise(F.col("l_orderkey"))
+    cols = [_s(F.col("l_suppkey")).alias("userId"), _s(movie).alias("movieId"),
             rating.alias("rating"), _s(F.unix_timestamp("l_shipdate")).alias("timestamp")]
     full = li.select(*cols)
     small = li.filter(F.col("l_returnflag") == "R").select(*cols)
@@ -189,13 +201,24 @@ class FilmFiles:
         self.feed = f"{base}/feed_xml"
 
 
+INPUT_TABLES = ("orders", "customer", "nation", "lineitem", "documents")
+
+# Real dumps arrive as many files of bounded size.
+ROWS_PER_FILE = 1_000_000
+
 STAGING_LOCK = threading.RLock()
 
 
+def inputs_key(spark: SparkSession, sf_dir: str) -> str:
+    """Names what is derived from a driver folder: by its path and its files."""
+    base = sf_dir.rstrip("/")
+    return f"{base} {fingerprint(spark, [f'{base}/{t}.parquet' for t in INPUT_TABLES])}"
+
+
 def stage_film_files(spark: SparkSession, sf_dir: str) -> FilmFiles:
     """Write the film inputs once per driver folder (under the shared
     checkpoint dir) and return their paths; later calls reuse them."""
-    files = FilmFiles(staging_dir(spark, "film-inputs", key=sf_dir.rstrip("/")))
+    files = FilmFiles(staging_dir(spark, "film-inputs", key=inputs_key(spark, sf_dir)))
     done = f"{files.base}/_STAGED"
     with STAGING_LOCK:  # concurrent callers in one driver stage once
         if not path_exists(spark, done):
@@ -204,22 +227,13 @@ def stage_film_files(spark: SparkSession, sf_dir: str) -> FilmFiles:
 
 
 def _write_film_files(spark: SparkSession, sf_dir: str, files: FilmFiles, done: str) -> None:
-    # Real dumps arrive as many files; write each input as several parts so
-    # readers that cannot split a file (multiLine CSV) still run in parallel.
-    parts = spark.sparkContext.defaultParallelism
-
-    def spread(df: DataFrame) -> DataFrame:
-        return df.repartition(parts)
-    write_csv(spread(raw_metadata(spark, sf_dir)), files.metadata)
+    write_csv(raw_metadata(spark, sf_dir), files.metadata, rows_per_file=ROWS_PER_FILE)
     full, small = raw_links(spark, sf_dir)
-    write_csv(spread(full), files.links_full)
-    write_csv(spread(small), files.links_small)
+    write_csv(full, files.links_full, rows_per_file=ROWS_PER_FILE)
+    write_csv(small, files.links_small, rows_per_file=ROWS_PER_FILE)
     rfull, rsmall = raw_ratings(spark, sf_dir)
-    write_csv(spread(rfull), files.ratings_full)
-    write_csv(spread(rsmall), files.ratings_small)
-    write_xml_feed(spread(raw_feed(spark, sf_dir)), files.feed)
+    write_csv(rfull, files.ratings_full, rows_per_file=ROWS_PER_FILE)
+    write_csv(rsmall, files.ratings_small, rows_per_file=ROWS_PER_FILE)
+    write_xml_feed(raw_feed(spark, sf_dir), files.feed)
     mark_done(spark, done)
 
-
-def read_feed(spark: SparkSession, files: FilmFiles) -> DataFrame:
-    return read_xml_feed(spark, files.feed)

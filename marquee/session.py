@@ -8,10 +8,13 @@ that on a cluster they sit on shared storage, never on one machine's disk.
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,8 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     current = sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
-        # Unset: only in local runs (tests).  A cluster names shared storage.
-        current = tempfile.mkdtemp(prefix="marquee-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set: a cluster needs a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="marquee-ckpt-")  # one machine: tests and trials
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
@@ -72,6 +77,60 @@ def staging_dir(spark: SparkSession, name: str, key: str | None = None) -> str:
     return f"{base}/marquee-staging/{name}-{suffix}"
 
 
+def drop_staging(spark: SparkSession) -> None:
+    """Delete every folder that this application has staged.  Frames that
+    still read one of them cannot be computed afterwards."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/marquee-staging"
+    delete_path(spark, root)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = p(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(p(source), p(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """A hash of the names, sizes and times of all files under ``paths``: what
+    is kept for one set of inputs is not used for another."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        for status in fs.globStatus(p) or []:
+            files = fs.listFiles(status.getPath(), True)
+            while files.hasNext():
+                f = files.next()
+                found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, as a zip, once per application.  Needed
+    where it is not installed on them: their Python functions import it."""
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    name = f"marquee-{sc.applicationId}.zip"
+    if any(str(f).endswith(name) for f in sc._python_includes):
+        return
+    folder = tempfile.mkdtemp(prefix="marquee-zip-")  # the driver serves it from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(os.path.join(folder, name), "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    z.write(os.path.join(d, f), os.path.relpath(os.path.join(d, f), os.path.dirname(root)))
+    sc.addPyFile(os.path.join(folder, name))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, on whatever file system it names."""
     jvm = spark.sparkContext._jvm

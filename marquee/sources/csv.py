@@ -1,9 +1,11 @@
 """CSV sources.
 
-* Reading **by name**: without a schema every column is STRING and columns are
-  picked by header name, so a wider or reordered file cannot shift values.
-  A user schema binds by *position* and is only used where the file layout is
-  fixed (the ratings files).
+* Reading **by name**: every column is STRING and columns are picked by header
+  name, so a wider or reordered file cannot shift values.  A user schema binds
+  by *position* and is only used where the file layout is fixed (the ratings
+  files).
+* Rows with more or fewer cells than the header are kept, on request with
+  their text in ``MALFORMED``; cleaning then rejects them.
 * ``multiLine`` + ``escape='"'`` reads doubled quotes and embedded newlines
   the way the CSV writer of the source system produced them.  multiLine files
   cannot be split, so the reader repartitions once after the scan.
@@ -15,10 +17,12 @@
 
 from __future__ import annotations
 
+import csv
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee.operators.dedup import union_by_name
 
@@ -27,24 +31,30 @@ NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
                "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
                "n/a", "nan", "null")
 
+# Holds the text of a row whose number of cells is not the header's, else NULL.
+MALFORMED = "__malformed"
+
 
 def _hadoop(spark: SparkSession):
     return spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
 
 
 def list_data_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
-    """Files behind paths, globs and folders (hidden ``_``/``.`` files skipped)."""
+    """Files behind paths, globs and folders at any depth (hidden ``_``/``.``
+    files and folders skipped)."""
     jvm, conf = _hadoop(spark)
     out = []
     for path in [paths] if isinstance(paths, str) else paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(conf)
         for st in fs.globStatus(p) or []:
-            found = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
-            for f in found:
-                name = f.getPath().getName()
-                if f.isFile() and not name.startswith(("_", ".")):
-                    out.append(f.getPath().toString())
+            top = st.getPath().toString()
+            files = fs.listFiles(st.getPath(), True)
+            while files.hasNext():
+                f = files.next().getPath().toString()
+                below = f[len(top):].split("/") if f != top else [f.rsplit("/", 1)[-1]]
+                if not any(part.startswith(("_", ".")) for part in below if part):
+                    out.append(f)
     return sorted(set(out))
 
 
@@ -88,47 +98,68 @@ def null_tokens_to_null(df: DataFrame, columns: list[str] | None = None,
         for c in df.columns])
 
 
+def _read_group(spark: SparkSession, header: str, files: list[str], multiline: bool) -> DataFrame:
+    """Files of one header, read in one scan."""
+    names = next(csv.reader([header]))
+    if len(set(names)) < len(names):
+        raise ValueError(f"{files[0]}: the header repeats a column")
+    schema = StructType([StructField(n, StringType()) for n in [*names, MALFORMED]])
+    return (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
+            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .option("columnPruning", False)  # else cells beyond the chosen columns are not looked at
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(files))
+
+
 def read_csv_text(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
                   partitions: int | None = None, null_tokens: bool = True,
-                  multiline: bool = True) -> DataFrame:
-    """One CSV (file or folder) as STRING columns chosen by header name.
-
-    A multiLine file is one task; when the scan yields fewer than half the
-    cluster's cores worth of tasks the rows are spread right after the scan
-    (round-robin, deterministic on retry), unless ``partitions`` says otherwise.
+                  multiline: bool = True, defaults: list[str] | None = None,
+                  malformed: bool = False) -> DataFrame:
+    """CSV files (paths, globs or folders) as STRING columns chosen by header
+    name, all files appended (union all).  ``malformed`` adds ``MALFORMED``.
+
+    Files are grouped by header line: one scan per distinct header, so inputs
+    that mix column orders are read right.  A column that a header lacks is
+    NULL if it is one of ``defaults`` (cleaning gives it its default), else an
+    error.
+
+    With ``multiline`` a file is one task; when the scan yields fewer than half
+    the cluster's cores worth of tasks the rows are spread right after the scan
+    (round-robin, deterministic on retry), unless ``partitions`` says
+    otherwise.  Files without line breaks inside cells are split: pass
+    ``multiline=False`` for those.
     """
-    df = (spark.read.option("header", True).option("multiLine", multiline)
-          .option("quote", '"').option("escape", '"').option("inferSchema", False)
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("mode", "PERMISSIVE").csv(path))
-    if columns is not None:
-        missing = [c for c in columns if c not in df.columns]
-        if missing:
-            raise ValueError(f"{path}: header lacks {missing}")
-        df = df.select(*[F.col(f"`{c}`") for c in columns])
+    groups = {h: f for h, f in files_by_header(spark, path).items() if h}
+    if not groups:
+        raise FileNotFoundError(f"no CSV matched {path}")
+    frames = []
+    for header, files in sorted(groups.items()):
+        df = _read_group(spark, header, files, multiline)
+        if columns is not None:
+            missing = [c for c in columns if c not in df.columns]
+            if set(missing) - set(defaults or ()):
+                raise ValueError(f"{files[0]}: header lacks {missing}")
+            df = df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
+            df = df.select(*[F.col(f"`{c}`") for c in columns], MALFORMED)
+        frames.append(df if malformed else df.drop(MALFORMED))
+    df = union_by_name(frames)
     if null_tokens:
-        df = null_tokens_to_null(df)
+        df = null_tokens_to_null(df, [c for c in df.columns if c != MALFORMED])
     if partitions is None and multiline:
         cores = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() * 2 < cores:
             partitions = cores
-    if partitions:
-        df = df.repartition(partitions)
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
 def read_csv_union(spark: SparkSession, paths: list[str] | str,
-                   columns: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """CSV files (paths, globs or folders) aligned by column name and appended
-    (union all).  Files are grouped by header line: one scan per distinct
-    header, so a folder mixing column orders is still read correctly."""
-    groups = files_by_header(spark, paths)
-    if not groups:
-        raise FileNotFoundError(f"no CSV matched {paths}")
-    frames = [read_csv_text(spark, files, columns, partitions=0, null_tokens=True)
-              for _, files in sorted(groups.items())]
-    df = union_by_name(frames)
-    return df.repartition(partitions) if partitions else df
+                   columns: list[str] | None = None, partitions: int | None = None,
+                   defaults: list[str] | None = None, malformed: bool = False) -> DataFrame:
+    """``read_csv_text`` for files without line breaks inside cells, which are
+    read by many tasks each."""
+    return read_csv_text(spark, paths, columns, partitions, multiline=False, defaults=defaults,
+                         malformed=malformed)
 
 
 def read_csv_positional(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
@@ -140,9 +171,10 @@ def read_csv_positional(spark: SparkSession, path: str | list[str], ddl: str) ->
     return spark.read.schema(ddl).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header + UTF-8 CSV, written by every task in parallel (no collect)."""
-    (df.write.mode(mode).option("header", True).option("quote", '"')
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 0) -> None:
+    """Header + UTF-8 CSV, written by every task in parallel (no collect), in
+    files of at most ``rows_per_file`` rows (0: one file for each task)."""
+    (df.write.mode(mode).option("header", True).option("maxRecordsPerFile", rows_per_file).option("quote", '"')
      .option("escape", '"').option("encoding", "UTF-8")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))

@@ -1,12 +1,14 @@
-"""Parquet tables: driver inputs, contract-shaped outputs, temp views."""
+"""Parquet tables: driver inputs and contract-shaped outputs."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.contracts import TableContract
-from marquee.session import path_exists
+from marquee.session import delete_path, move_path, path_exists
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -18,7 +20,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
-    """Expose tables to ``spark.sql`` by name."""
+    """Expose tables to ``spark.sql`` by name; replaces views of those names.
+    The library itself passes frames to ``spark.sql`` and makes no views."""
     for n in names:
         read_table(spark, sf_dir, n).createOrReplaceTempView(n)
 
@@ -44,29 +47,47 @@ def write_table(df: DataFrame, path: str, contract: TableContract | None = None,
 class ConstraintError(ValueError):
     """A load was refused because the result would violate table constraints."""
 
-    def __init__(self, table: str, violations):
+    def __init__(self, table: str, violations, incoming: str):
         self.violations = violations  # DataFrame of (constraint, key, num_rows)
+        self.incoming = incoming  # the refused copy
         super().__init__(f"{table}: load refused, constraints violated")
 
 
 def load_table(spark: SparkSession, df: DataFrame, path: str, contract: TableContract,
                mode: str = "append") -> None:
-    """All-or-nothing load: conform ``df``, check the contract's constraints
-    on what the table *would* hold (existing rows plus the new ones for an
-    append), and write only if nothing is violated.
-
-    The check is aggregations over the table; only the existence of a
-    violation reaches the driver.  On refusal the violations come back as a
-    lazy DataFrame on the exception, nothing is written.
+    """Load a batch as a whole or not at all.
+
+    The conformed batch is computed once, into a folder beside the table; the
+    contract's constraints are checked on that copy (and, for an append, the
+    rows that the table has); then that copy is published.  A replaced table
+    stays in place until its successor is complete.  If a constraint would be
+    violated the table is left as it was and ``ConstraintError`` is raised with
+    the violations, which read the refused copy; ``discard_refused`` deletes
+    it.  One writer at a time: the tables here have no transaction log.
     """
     from marquee.operators.quality import constraint_violations
 
-    new = conform(df, contract)
-    would_hold = new
-    if mode == "append" and path_exists(spark, path):
-        would_hold = spark.read.parquet(path).unionByName(new)
-    violations = constraint_violations(would_hold, contract)
-    if violations.limit(1).count() > 0:
-        raise ConstraintError(contract.name, violations)
-    write_table(new, path, None, mode)
-
+    if mode not in ("overwrite", "append"):
+        raise ValueError(mode)
+    path = path.rstrip("/")
+    incoming = f"{path}__incoming-{uuid.uuid4().hex[:8]}"
+    write_table(df, incoming, contract)
+    new = spark.read.parquet(incoming)
+    append = mode == "append" and path_exists(spark, path)
+    holds = spark.read.parquet(path).unionByName(new) if append else new
+    violations = constraint_violations(holds, contract)
+    if not violations.isEmpty():
+        raise ConstraintError(contract.name, violations, incoming)
+    if append:
+        new.write.mode("append").parquet(path)
+        delete_path(spark, incoming)
+        return
+    old = f"{incoming}-old"
+    if path_exists(spark, path):
+        move_path(spark, path, old)
+    move_path(spark, incoming, path)
+    delete_path(spark, old)
+
+
+def discard_refused(spark: SparkSession, error: ConstraintError) -> None:
+    delete_path(spark, error.incoming)

@@ -5,13 +5,13 @@ The built-in ``xml`` source reads a file in one task.  ``read_xml_feed`` with
 text source splits a file by byte ranges, so a large dump is read by many
 tasks — keeps each record from its ``<doc`` on, and parses it with
 ``from_xml`` against an explicit schema (one pass, no inference scan).
-Compressed input (gzip) cannot be split by any reader; pass
-``partitions`` to spread the rows right after the scan.
+Compressed input (gzip) cannot be split by any reader, so its text records are
+spread over the cluster before they are parsed.
 
 The split form assumes what an escaped feed guarantees: no record holds a
-literal ``</doc>`` (e.g. inside CDATA) and rows are not self-closing
-``<doc/>``.  For files that break either rule use ``split=False`` (the
-built-in reader, one task per file).
+literal ``</doc>`` inside CDATA, and rows are not self-closing ``<doc/>``.  A
+record that ends inside CDATA fails the job with a message; read such files
+with ``split=False`` (the built-in reader, one task per file).
 """
 
 from __future__ import annotations
@@ -26,7 +26,9 @@ _XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
 
 def read_xml_feed(spark: SparkSession, path: str, schema: str = FEED_SCHEMA,
                   row_tag: str = "doc", split: bool = True,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, raw_col: str | None = None) -> DataFrame:
+    """Rows of a feed.  ``raw_col`` names a column for each record's text (split
+    form only)."""
     if not split:
         reader = spark.read.format("xml").option("rowTag", row_tag).schema(schema)
         for k, v in _XML_OPTIONS.items():
@@ -35,10 +37,19 @@ def read_xml_feed(spark: SparkSession, path: str, schema: str = FEED_SCHEMA,
     else:
         end = f"</{row_tag}>"
         records = spark.read.option("lineSep", end).text(path)
-        body = F.regexp_extract("value", rf"(?s)<{row_tag}[\s>/].*$", 0)
+        cores = spark.sparkContext.defaultParallelism
+        if partitions is None and records.rdd.getNumPartitions() * 2 < cores:
+            partitions = cores
+        if partitions:
+            records = records.repartition(partitions)
+        cut = F.length(F.replace(F.col("value"), F.lit("<![CDATA["), F.lit(""))) + 9 * F.regexp_count("value", F.lit(r"\]\]>")) \
+            != F.length("value")
+        whole = F.when(cut, F.raise_error(F.lit(f"a record holds {end} inside CDATA: read this feed with split=False"))) \
+            .otherwise(F.col("value"))
+        body = F.regexp_extract(whole, rf"(?s)<{row_tag}[\s>/].*$", 0)
         frags = records.select(body.alias("frag")).filter(F.col("frag") != "")
-        parsed = frags.select(F.from_xml(F.concat("frag", F.lit(end)), schema, _XML_OPTIONS).alias("r"))
-        df = parsed.select("r.*")
+        parsed = frags.select("frag", F.from_xml(F.concat("frag", F.lit(end)), schema, _XML_OPTIONS).alias("r"))
+        return parsed.select("r.*", *([F.concat("frag", F.lit(end)).alias(raw_col)] if raw_col else []))
     return df.repartition(partitions) if partitions else df
 
 

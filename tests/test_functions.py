@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from marquee.functions.dates import parse_ymd_date
-from marquee.functions.jsoncols import canonical_json, json_array_parse
+from marquee.functions.jsoncols import is_plain_list, with_json_lists
 from marquee.functions.ratio import guarded_ratio
 from marquee.functions.text import clean_feed_title, strip_leading_chars
 from marquee.functions.validators import numeric_int, strict_float, strict_int
@@ -67,18 +67,30 @@ def test_json_lists(spark):
             "[{'name': \"Jerry's Films\", 'id': 3}]",
             "[{'name': None, 'id': 3}]",
             "[{'name': 'caf\\xe9', 'id': 4}]",
-            None, "[]", "{}", "junk", "[1, 2]"]
-    df = one_col(spark, vals)
-    arr, reason = json_array_parse(F.col("v"), label="g")
-    rows = df.select(canonical_json(arr).alias("j"), reason.alias("r")).collect()
-    assert rows[0].j == '[{"id":16,"name":"Animation"}]'
-    assert rows[1].j == '[{"id":3,"name":"Jerry\'s Films"}]'
-    assert rows[2].j == '[{"id":3,"name":null}]'
-    assert rows[3].j == '[{"id":4,"name":"café"}]'
-    assert rows[4].j == "[]" and rows[5].j == "[]"
-    assert rows[6].r == "g:not_a_list" and rows[7].r == "g:not_a_list"
-    assert rows[8].r == "g:unparseable"
-    assert all(r.r is None for r in rows[:6])
+            None, "[]", " [ ] ", '[{"id": 1, "name": "a"}, {"name": "b", "id": -2}]',
+            "[{'id': 1, 'name': 'a'},]", "[{'id': 1, 'name': 'a', 'x': [1, {'y': None}]}]", "[{'id': '1', 'name': 'a'}]",
+            "[{'id': 1.5, 'name': 5}]", "[{'id': 12345678901234567890, 'name': 'a'}]", "[{'name': 'a\\/b', 'id': 1}]",
+            "[{'id': 1}]", "[{'id': 1, 'name': 'a', 'id': 2}]", "[{}]",
+            "{}", "junk", "[1, 2]", "[{'id': 1, 'name': 'a'}] and more", "[{'id\": 1, 'name': 'a'}]", "[{'id': 007, 'name': 'a'}]",
+            "[\x01]", "[{'id': 1e999}]", "[" * 5000 + "]" * 5000]
+    df = with_json_lists(one_col(spark, vals), [(F.col("v"), "j", "[]", "g")])
+    rows = df.collect()
+    assert [r.j for r in rows[:17]] == [
+        '[{"id":16,"name":"Animation"}]', '[{"id":3,"name":"Jerry\'s Films"}]', '[{"id":3,"name":null}]',
+        '[{"id":4,"name":"café"}]', "[]", "[]", "[]", '[{"id":1,"name":"a"},{"id":-2,"name":"b"}]',
+        '[{"id":1,"name":"a"}]', '[{"id":1,"name":"a","x":[1,{"y":null}]}]', '[{"id":"1","name":"a"}]',
+        '[{"id":1.5,"name":5}]', '[{"id":12345678901234567890,"name":"a"}]', '[{"id":1,"name":"a\\\\/b"}]',
+        '[{"id":1}]', '[{"id":2,"name":"a"}]', "[{}]"]
+    assert all(r.j__reason is None for r in rows[:17])
+    assert all(r.j is None for r in rows[17:])
+    assert [r.j__reason for r in rows[17:-1]] == ["g:not_a_list"] * 2 + ["g:unparseable"] * 6
+    assert rows[-1].j__reason in ("g:too_deep", "g:unparseable")
+
+
+def test_plain_lists_take_the_fast_path(spark):
+    many = "[" + ", ".join(f"{{'id': {i}, 'name': 'n{i}'}}" for i in range(20_000)) + "]"
+    rows = one_col(spark, [many, "[{'id': 1, 'name': 'a\\n'}]"]).select(is_plain_list(F.col("v")).alias("p")).collect()
+    assert [r.p for r in rows] == [True, False]
 
 
 def test_feed_title_cleaning(spark):
@@ -96,3 +108,5 @@ def test_ratio_guard_and_decimal_ties(spark):
     assert rows[0].x != rows[1].x
     assert float(rows[2].d) == -999.999 and rows[3].x == -999.999
     assert float(rows[4].d) == 2.0
+    huge = spark.createDataFrame([(1e30, 1.0), (1.0, 1e30)], "b double, r double")
+    assert [r.d for r in huge.select(guarded_ratio(F.col("b"), F.col("r"), "decimal").alias("d")).collect()] == [None, None]

@@ -50,7 +50,7 @@ def test_above_broadcast_bound_uses_planner_join(spark, monkeypatch):
     import marquee.operators.rank as rank
     df = spark.range(0, 300).select((F.col("id") % 17).alias("v"), "id")
     want = rows(dense_top_k_window(df, "v", 6))
-    monkeypatch.setattr(rank, "BROADCAST_MAX_K", 1)
+    monkeypatch.setattr(rank, "BROADCAST_MAX_BYTES", 1)
     got_df = rank.dense_top_k(df, "v", 6)
     assert rows(got_df) == want
 
