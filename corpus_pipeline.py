@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written and read again as the next stage's input.  All but the last return the
-columns of ``documents``.
+columns of their input, which has those of ``documents``; further columns are
+carried along whatever their names.
 """
 
 from __future__ import annotations
@@ -15,28 +16,44 @@ from marquee.operators.joins import join_small_side
 from marquee.session import materialize
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _carried(docs: DataFrame) -> DataFrame:
+    """``docs`` with names for its further columns that no operator uses."""
+    return docs.toDF(*[c if c in COLUMNS else f"__further_{i}" for i, c in enumerate(docs.columns)])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; those without any (no text, or no letter in
     it) go.  Learned from the labelled documents themselves."""
     model = langid.fit(docs.select("text", "lang"))
-    kept = langid.predict(docs, model).filter(F.col("lang_pred") != langid.UNKNOWN)
-    return kept.select(*docs.columns)
+    own = _carried(docs)
+    kept = langid.predict(own, model).filter(F.col("lang_pred") != langid.UNKNOWN)
+    return kept.select(*own.columns).toDF(*docs.columns)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated runs of lines; those of
     which no line is left go."""
-    out = lines.dedup_lines(docs)
+    own = _carried(docs)
+    out = lines.dedup_lines(own)
     out = out.filter((F.col("line_count") == 0) | (F.col("removed_lines") < F.col("line_count")))
     return out.withColumn("n_chars", F.when(F.col("removed_lines") > 0, F.length("text").cast("long"))
-                          .otherwise(F.col("n_chars"))).select(*docs.columns)
+                          .otherwise(F.col("n_chars"))).select(*own.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of near
     duplicates."""
     others = jaccard.near_duplicates(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return join_small_side(docs, materialize(others, "pipeline-copies"), "doc_id", "left_anti")
+    kept = join_small_side(docs, materialize(others, "pipeline-copies"), "doc_id", "left_anti")
+    again = materialize(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
+    if again.isEmpty():
+        return kept
+    # an id that occurs repeatedly: rows of one text are one document
+    rows = join_small_side(kept, again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return join_small_side(kept, again, "doc_id", "left_anti").unionByName(rows)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,7 +100,17 @@ def test_stages_keep_the_columns(spark):
 
 def test_pipeline_stages_on_edges(spark):
     from helpers import EDGES, table
-    docs = table(spark, EDGES)
+    extra = ("lang_pred", "score", "line_count", "content", "n", "rank", "ids")
+    docs = table(spark, EDGES, extra=extra)
+    left = {}
     for name, stage in corpus_pipeline.STAGES:
-        stage(spark, docs, SF).collect()
-        stage(spark, docs.limit(0), SF).collect()
+        out = stage(spark, docs, SF)
+        left[name] = out.collect()
+        if name != "encode":
+            assert out.columns == docs.columns, name
+            assert all(r[c] == "clash" for r in left[name] for c in extra)
+        assert stage(spark, docs.limit(0), SF).collect() == []
+    assert {r["doc_id"] for r in left["language"]} == {4, None, 5, 6, 7, 8, 9, 11}
+    assert sorted(str(r["doc_id"]) for r in left["near_duplicates"]) == sorted(
+        map(str, [1, 2, 3, 4, None, 5, 7, 9, 10, 11]))  # 6 and 8 are copies, 7 is there once
+    assert len(left["encode"]) == len(EDGES)
