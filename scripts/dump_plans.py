@@ -1,6 +1,9 @@
 """Write PLANS.md: the final (post-AQE) physical plan of every registered query.
 
 usage: python scripts/dump_plans.py [sf_dir]
+
+The library's queries are planned twice: as they are, and with automatic
+broadcasting off, which is what larger inputs get.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
+from marquee.plans import catalog  # noqa: E402
 from marquee.session import local_session  # noqa: E402
 
 WIDTH = 170
@@ -24,12 +28,17 @@ def main() -> None:
            "`local[8]`, 16 shuffle partitions (generated by `scripts/dump_plans.py`). "
            "`FileScan parquet` over `marquee-staging/topk-input-…` marks a materialized input; "
            "`FileScan parquet` lines show the pruned `ReadSchema`.", ""]
-    for name, fn in E.queries().items():
-        df = fn(spark, sf_dir)
-        df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
-        lines = [ln if len(ln) <= WIDTH else ln[:WIDTH] + " …" for ln in plan.splitlines()]
-        out += [f"## {name}", "", "```", *lines, "```", ""]
+    for title, threshold in (("as they are", None), ("without automatic broadcasts", "-1")):
+        out += [f"# {title.capitalize()}", ""]
+        if threshold:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+        for name, fn in (E.queries() if not threshold else catalog.queries()).items():
+            df = fn(spark, sf_dir)
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+            lines = [ln if len(ln) <= WIDTH else ln[:WIDTH] + " …" for ln in plan.splitlines()]
+            out += [f"## {name}", "", "```", *lines, "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"),
               "w", encoding="utf-8") as fh:
         fh.write("\n".join(out))
