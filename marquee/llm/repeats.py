@@ -22,9 +22,10 @@ The different stretches around one anchor form a group.  Groups are dealt to
 tasks, which sort the suffixes of each, and take common prefixes, smaller
 positions and LPFs from that order.  A group of more than ``GROUP_STRETCHES``
 (the border of a passage that a third of all documents share) is dealt by
-hashes of its suffixes' first ``length`` bytes: the order of suffixes that
-differ within those does not matter for an LPF of ``length``, and among equal
-ones the earliest position is found by partial minima.
+hashes, first of blocks of suffixes and then, where those differ in part, of
+single suffixes' first ``length`` bytes: the order of suffixes that differ
+within those does not matter for an LPF of ``length``, and among equal ones
+the earliest position is found by partial minima.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ from marquee.session import materialize
 LENGTH = 200
 GRAM = 64
 GROUP_STRETCHES = 256
+BLOCK = 16
 SLICE_BYTES = 2 << 20
 BUFFER_BYTES = 2 << 20
 _POSITION = np.uint64((1 << 31) - 1)
@@ -201,8 +203,9 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram
         "repeats-anchors")
     rows = found.select("doc_id", "content", F.explode(F.arrays_zip("lo", "hi", "anchor", "stretch")).alias("x")) \
         .select("doc_id", "content", "x.*")
-    often = (rows.groupBy("anchor").agg(F.count("*").alias("n"), F.min("stretch").alias("a"), F.max("stretch").alias("b"))
-             .filter("n > 1").select("anchor", (F.col("a") == F.col("b")).alias("alike")))
+    often = materialize(
+        rows.groupBy("anchor").agg(F.count("*").alias("n"), F.min("stretch").alias("a"), F.max("stretch").alias("b"))
+        .filter("n > 1").select("anchor", (F.col("a") == F.col("b")).alias("alike")), "repeats-often")
     rows = materialize(rows.join(often, "anchor"), "repeats-rows")
     # one row for each different stretch: how many, and the first
     place = F.struct("doc_id", "content", "lo", "hi")
@@ -267,16 +270,35 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", gram
     small = small.select("anchor", "doc_id", "content", "lo", "n", "bytes").mapInArrow(
         sort_groups, "doc_id long, content long, lo int, hi int")
 
-    starts = parts.filter("large").dropDuplicates(["anchor", "doc_id", "content", "lo"]).select(
-        "doc_id", "content", "lo", "n", "bytes").mapInArrow(
-        _names(length), "doc_id long, content long, lo int, n long, name_1 long, name_2 long")
-    starts = materialize(starts, "repeats-starts")
+    # large groups: blocks of starts by their place to the anchor.  Strings of one block share a
+    # core; equal blocks stand for each other, and only blocks that share a core with different
+    # ones are taken apart into single starts.
+    blocks = materialize(parts.filter("large").dropDuplicates(["anchor", "doc_id", "content", "lo"]).select(
+        "anchor", "doc_id", "content", "lo", "n", "bytes").mapInArrow(
+        _blocks(length, gram), "doc_id long, content long, lo int, hi int, n long, core long, whole_1 long, "
+        "whole_2 long, name_1 array<long>, name_2 array<long>"), "repeats-blocks")
+    cores = materialize(blocks.groupBy("core").agg(
+        F.sum("n").alias("n"), (F.min("whole_1") == F.max("whole_1")).alias("alike")).filter("n > 1").drop("n"), "repeats-cores")
+    blocks = materialize(blocks.join(cores, "core"), "repeats-cored")
+    equal_blocks = materialize(blocks.groupBy("core", "whole_1", "whole_2", "alike").agg(
+        F.sum("n").alias("n"), F.min(F.struct("doc_id", "content", "lo", "hi", "name_1", "name_2")).alias("first")),
+        "repeats-equal")
+    large = blocks.join(equal_blocks.filter("n > 1").select(
+        "core", "whole_1", "whole_2", F.struct("first.doc_id", "first.content", "first.lo").alias("first")),
+        ["core", "whole_1", "whole_2"])
     own = F.struct("doc_id", "content", "lo")
-    equal = starts.groupBy("name_1", "name_2").agg(F.sum("n").alias("total"), F.min(own).alias("first")).filter("total > 1")
-    large = starts.join(equal, ["name_1", "name_2"])
     if keep == "first":
         large = large.filter(own != F.col("first"))
-    large = large.select("doc_id", "content", "lo", F.col("lo").alias("hi"))
+    large = large.select("doc_id", "content", "lo", "hi")
+    starts = materialize(equal_blocks.filter("not alike").select(
+        "n", "first.*").select("n", "doc_id", "content", F.col("lo").alias("base"), F.posexplode(F.arrays_zip("name_1", "name_2")))
+        .select("n", "doc_id", "content", (F.col("base") + F.col("pos")).alias("lo"), "col.*"), "repeats-starts")
+    equal = materialize(starts.groupBy("name_1", "name_2").agg(F.sum("n").alias("total"), F.min(own).alias("first"))
+                        .filter("total > 1"), "repeats-names")
+    single = starts.join(equal, ["name_1", "name_2"])
+    if keep == "first":
+        single = single.filter(own != F.col("first"))
+    large = large.unionByName(single.select("doc_id", "content", "lo", F.col("lo").alias("hi")))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,31 +337,53 @@ def _cut(length: int):
     return run
 
 
-def _names(length: int):
-    """Suffix rows with two hashes of their first ``length`` bytes."""
+def _blocks(length: int, gram: int):
+    """Blocks of up to ``BLOCK`` starts around their anchor, with hashes of
+    the bytes that all strings of a whole block share, of all bytes that the
+    starts at hand cover, and two of each start's string."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
-        for batch in slices(batches, "bytes", SLICE_BYTES // 64):
+        for batch in slices(batches, "bytes", SLICE_BYTES // 16):
             stretches = batch.column("bytes").to_pylist()
-            data = np.frombuffer(b"".join(stretches), np.uint8)
             size = np.array([len(x) for x in stretches])
-            count = size - length + 1
+            begin = np.cumsum(size) - size
+            hashes.load(np.frombuffer(b"".join(stretches), np.uint8))
+            total = int(size.sum())
+            grams = hashes.of(np.arange(total - gram + 1), np.arange(gram, total + 1))
+            row = np.repeat(np.arange(len(size)), size)[:len(grams)]
+            hit = np.flatnonzero(grams == batch.column("anchor").to_numpy().view(np.uint64)[row])
+            at = hit[np.searchsorted(hit, begin)]  # the anchor is the first such gram of its stretch
+            last = begin + size - length  # of the starts
+            far, near = (at - begin) // BLOCK, (at - last) // BLOCK
+            count = far - near + 1
             part = np.repeat(np.arange(len(size)), count)
-            shift = np.arange(len(part)) - np.repeat(np.cumsum(count) - count, count)
-            at = (np.cumsum(size) - size)[part] + shift
-            hashes.load(data)
-            one = hashes.of(at, at + length)
-            half = hashes.of(at, at + length // 2)
-            two = _mix(half ^ _mix(hashes.of(at + length // 2, at + length) + np.uint64(1)))
-            take = pa.array(part)
+            k = near[part] + np.arange(len(part)) - np.repeat(np.cumsum(count) - count, count)
+            lo = np.maximum(begin[part], at[part] - k * BLOCK - BLOCK + 1)
+            hi = np.minimum(last[part], at[part] - k * BLOCK)
+            middle = at[part] - k * BLOCK
+            core = _mix(hashes.of(middle, middle + length - BLOCK + 1) ^ _mix(k.astype(np.uint64)))
+            where = _mix(((middle - lo) << 32 | (middle - hi)).astype(np.uint64))
+            whole = [_mix(h ^ where) for h in _two(hashes, lo, hi + length)]
+            steps = hi - lo + 1
+            each = np.repeat(np.arange(len(part)), steps)
+            start = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(steps) - steps, steps)
+            to = pa.array(np.concatenate(([0], np.cumsum(steps))).astype(np.int32))
+            names = [pa.ListArray.from_arrays(to, pa.array(h.view(np.int64))) for h in _two(hashes, start, start + length)]
+            take, base = pa.array(part), batch.column("lo").to_numpy()[part] - begin[part]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(take), batch.column("content").take(take),
-                 pa.array((batch.column("lo").to_numpy()[part] + shift).astype(np.int32)), batch.column("n").take(take),
-                 pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
-                names=["doc_id", "content", "lo", "n", "name_1", "name_2"])
+                 pa.array((base + lo).astype(np.int32)), pa.array((base + hi).astype(np.int32)), batch.column("n").take(take),
+                 pa.array(core.view(np.int64)), *(pa.array(h.view(np.int64)) for h in whole), *names],
+                names=["doc_id", "content", "lo", "hi", "n", "core", "whole_1", "whole_2", "name_1", "name_2"])
     return run
 
 
+def _two(hashes: Hashes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of stretches, of which the second tells their halves apart."""
+    middle = (start + end) // 2
+    return hashes.of(start, end), _mix(hashes.of(start, middle) ^ _mix(hashes.of(middle, end) + np.uint64(1)))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", id_col: str = "doc_id",
                    text_col: str = "text", with_bytes: bool = False) -> DataFrame:
     """Each text without its repeated bytes: ``doc_id``, ``n_bytes``,
