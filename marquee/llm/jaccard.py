@@ -33,10 +33,12 @@ from marquee.session import materialize
 SLICE_BYTES = 4 << 20
 #: Share of documents from which a token counts as frequent in the order, and
 #: the number of documents after which a task counts anew.
-FREQUENT_SHARE, FREQUENT_CHUNK = 0.005, 4096
+FREQUENT_SHARE, FREQUENT_CHUNK = 0.0005, 8192
+#: Tokens that a task holds at most before it counts, besides one document's.
+CHUNK_TOKENS = 1 << 22
 #: Sets in a group from which its token is used in combinations only.
 LARGE_GROUP = 64
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -124,7 +126,7 @@ def frequent_tokens(docs: DataFrame, words: int = 5, share: float = FREQUENT_SHA
     the tasks.  The class only orders tokens; any class gives right results.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, held, n = Shingler(words), [], 0
+        shingler, held, n, size = Shingler(words), [], 0, 0
 
         def told() -> pa.RecordBatch:
             tokens, counts = np.unique(np.concatenate(held) >> np.uint64(1), return_counts=True)
@@ -137,10 +139,10 @@ def frequent_tokens(docs: DataFrame, words: int = 5, share: float = FREQUENT_SHA
             shingles, to = shingler(batch.column("text"))
             for i in range(batch.num_rows):
                 held.append(np.unique(shingles[to[i]:to[i + 1]]))
-                n += 1
-                if n == chunk:
+                n, size = n + 1, size + len(held[-1])
+                if n == chunk or size >= CHUNK_TOKENS:
                     yield told()
-                    held, n = [], 0
+                    held, n, size = [], 0, 0
         if n:
             yield told()
 
@@ -149,8 +151,8 @@ def frequent_tokens(docs: DataFrame, words: int = 5, share: float = FREQUENT_SHA
     total = counts.filter("token = -1").first()
     if total is None:
         return np.zeros(0, np.uint64)
-    rows = counts.filter((F.col("token") >= 0) & (F.col("n") >= max(2, share * total["n"] / 2))).collect()
-    return np.sort(np.array([r["token"] for r in rows], np.int64).view(np.uint64))
+    often = counts.filter((F.col("token") >= 0) & (F.col("n") >= max(2, share * total["n"] / 2)))
+    return np.sort(often.select("token").toArrow().column(0).to_numpy().view(np.uint64))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -199,15 +201,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
             .withColumn("lo", F.first("sid").over(every)).withColumn("hi", F.last("sid").over(every))
             .filter("lo < hi and (before is null or before <> sid)").select("sid", "n", "token"))
     often = rows.filter("token < 0").distinct()
+    often = materialize(often, "jaccard-often")
     kept = often.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo < hi")
-    often = often.join(kept.select("token"), "token").select("sid", "n", "token")
+    often = often.join(materialize(kept.select("token"), "jaccard-kept"), "token").select("sid", "n", "token")
     groups = materialize(rare.unionByName(often), "jaccard-groups")
 
-    inside = groups.select("sid").distinct()
-    readers = materialize(sets.select("sid", "doc_id").join(inside, "sid", "left_semi")
-                          .groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "jaccard-readers")
-    texts = join_small_side(own, readers, "doc_id")
-
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in slices(batches, "text", SLICE_BYTES):
@@ -221,11 +219,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
             yield pa.RecordBatch.from_arrays([pa.array(kept_rows, pa.int64()), pa.array(out, pa.binary())],
                                              names=["sid", "tokens"])
 
-    contents = materialize(texts.select("sid", "text").mapInArrow(whole, "sid long, tokens binary")
-                           .dropDuplicates(["sid"]), "jaccard-contents")
-
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs that link."""
+        """The pairs that link, by the whole sets of those that occur in any."""
+        pairs = materialize(pairs, "jaccard-pairs")
+        inside = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        readers = materialize(sets.select("sid", "doc_id").join(inside, "sid", "left_semi")
+                              .groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "jaccard-readers")
+        texts = join_small_side(own, readers, own["doc_id"].eqNullSafe(readers["doc_id"]))
+        contents = materialize(texts.select("sid", "text").mapInArrow(whole, "sid long, tokens binary"), "jaccard-contents")
         left = contents.select(F.col("sid").alias("a"), F.col("tokens").alias("x"))
         right = contents.select(F.col("sid").alias("b"), F.col("tokens").alias("y"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
@@ -244,6 +245,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                                                  names=["a", "b"])
         return both.mapInArrow(run, "a long, b long")
 
+    def needed(x: Column, y: Column) -> Column:
+        """Tokens that the extended prefixes of sets of these sizes must share.
+
+        A token of both sets that is not in both prefixes comes after the end
+        of the prefix that ends first, so no more of them can be than that
+        set has tokens after its prefix.
+        """
+        total = F.ceil((x + y) * F.lit(percent) / F.lit(100 + percent))
+        after = [F.greatest(F.ceil(n * F.lit(percent) / F.lit(100)) - 2, F.lit(0)) for n in (x, y)]
+        return total - F.greatest(*after)
+
     def sizes_fit(x: Column, y: Column) -> Column:
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
@@ -252,9 +264,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     for turn in range(STAR_ROUNDS):
         # of each group the first set in an order of this round; each set tries the one it shares the most tokens with
         order = F.struct(F.xxhash64("root", F.lit(turn)).alias("h"), "root", "sid", "n")
-        centre = open_groups.groupBy("token").agg(F.min(order).alias("c"))
+        centre = materialize(open_groups.groupBy("token").agg(F.min(order).alias("c")), "jaccard-centres")
         tries = (open_groups.join(centre, "token").filter("c.root <> root").filter(sizes_fit(F.col("n"), F.col("c.n")))
-                 .groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).count()
+                 .groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(
+                     F.count("*").alias("count"), F.first(needed(F.col("n"), F.col("c.n"))).alias("needed"))
+                 .filter(F.col("count") * 2 >= F.col("needed"))  # a first look; what it misses comes below
                  .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
         found = materialize(verified(tries), "jaccard-links")
         links = found if links is None else links.unionByName(found)
@@ -264,19 +278,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
             break
 
     # what is left: groups with several components.  Pairs across them, by single tokens where
-    # the group is small and by combinations of two where it is large.
-    size = open_groups.groupBy("token").agg(F.count("*").alias("size"))
+    # the group is small and by combinations of two where it is large.  Only pairs that share
+    # enough tokens of their prefixes can link.
+    size = materialize(open_groups.groupBy("token").agg((F.count("*") > LARGE_GROUP).alias("large")), "jaccard-sizes")
     sized = materialize(open_groups.join(size, "token"), "jaccard-sized")
-    single = sized.filter(F.col("size") <= LARGE_GROUP).select(F.array("token").alias("key"), "sid", "n", "root")
-    large = sized.filter(F.col("size") > LARGE_GROUP).groupBy("sid", "n", "root").agg(
-        F.sort_array(F.collect_set("token")).alias("t"))
-    two = large.select("sid", "n", "root", F.explode(F.expr(
-        "flatten(transform(t, (x, i) -> transform(slice(t, i + 2, size(t)), y -> array(x, y))))")).alias("key"))
-    keyed = single.unionByName(two.select("key", "sid", "n", "root"))
-    other = keyed.select("key", F.col("sid").alias("sid_2"), F.col("n").alias("n_2"), F.col("root").alias("root_2"))
-    pairs = (keyed.join(other, "key").filter((F.col("sid") < F.col("sid_2")) & (F.col("root") != F.col("root_2")))
-             .filter(sizes_fit(F.col("n"), F.col("n_2")))
-             .select(F.col("sid").alias("a"), F.col("sid_2").alias("b")).distinct())
+    many = sized.filter("large").groupBy("sid").agg(F.collect_set("token").alias("t"))
+    # equal heads of all rows of a set: its large tokens, of which any may be shared
+    small = sized.filter("not large").join(many.select("sid", F.size("t").alias("l")), "sid", "left") \
+        .select("token", "sid", "n", "root", F.coalesce("l", F.lit(0)).alias("l"))
+    two = (many.join(sized.filter("large").select("sid", "n", "root").distinct(), "sid")
+           .select("sid", "n", "root", F.size("t").alias("l"), F.array_sort("t").alias("t"))
+           .select("sid", "n", "root", "l", F.explode(F.expr(
+               "flatten(transform(t, (x, i) -> transform(slice(t, i + 2, size(t)), y -> xxhash64(x, y))))")).alias("token")))
+
+    def across(rows: DataFrame, shared: Column) -> DataFrame:
+        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "l")])
+        return (rows.join(other, "token").filter("sid < sid_2 and root <> root_2")
+                .filter(sizes_fit(F.col("n"), F.col("n_2")))
+                .groupBy(F.col("sid").alias("a"), F.col("sid_2").alias("b"))
+                .agg(shared.alias("shared"), F.first(needed(F.col("n"), F.col("n_2")) - F.least("l", "l_2")).alias("needed")))
+
+    pairs = across(small, F.count("*")).unionByName(across(two, F.lit(0).cast("long"))) \
+        .groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")) \
+        .filter("shared >= needed").select("a", "b")
     component = connected_components(links.unionByName(materialize(verified(pairs), "jaccard-links")))
 
     rooted = materialize(
@@ -293,5 +317,6 @@ def _still_open(groups: DataFrame, component: DataFrame) -> DataFrame:
     than one component."""
     rooted = (groups.join(component.select(F.col("node").alias("sid"), "root"), "sid", "left")
               .select("token", "sid", "n", F.coalesce("root", "sid").alias("root")))
+    rooted = materialize(rooted, "jaccard-rooted")
     mixed = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    return rooted.join(mixed.select("token"), "token")
+    return rooted.join(materialize(mixed.select("token"), "jaccard-mixed"), "token")
