@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,14 +77,15 @@ def safe_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Encodes texts piece by piece, each different piece once.
+    """Encodes texts piece by piece, each different piece of a batch once.
 
     ``encode`` maps a list of piece texts to a list of id lists.  Pieces come
     from :func:`safe_cuts`, so joining their ids gives the ids of the text.
-    At most ``keep`` pieces are remembered between calls.
+    The first ``keep`` different pieces, which the frequent ones are among, are
+    remembered between batches, as packed ids.
     """
 
-    def __init__(self, encode, keep: int = 300_000):
+    def __init__(self, encode, keep: int = 700_000):
         self.encode, self.keep, self.known = encode, keep, {}
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -93,20 +95,25 @@ class PieceEncoder:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         data = np.ascontiguousarray(data)
-        pieces = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1,
+        pieces = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1,
                                        [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
         words = coded.dictionary.to_pylist()
-        if len(self.known) > self.keep:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self.encode([w.decode("utf-8") for w in new])))
-        got = [self.known[w] for w in words]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for ids in got for i in ids), np.uint32, int(lengths.sum()))
+        got = list(map(self.known.get, words))
+        missing = [i for i, ids in enumerate(got) if ids is None]
+        new = [words[i] for i in missing]
+        packed = [array("I", ids).tobytes() for ids in self.encode(new)] if new else []
+        for i, ids in zip(missing, packed):
+            got[i] = ids
+        room = self.keep - len(self.known)
+        if room > 0:
+            self.known.update(zip(new[:room], packed))
+        lengths = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        flat = np.frombuffer(b"".join(got), np.uint32)
         first = np.cumsum(lengths) - lengths
         per_piece = lengths[index]
         ends = np.concatenate(([0], np.cumsum(per_piece)))
-        where = np.repeat(first[index] - ends[:-1], per_piece) + np.arange(ends[-1])
+        where = np.repeat(first[index] - ends[:-1], per_piece)
+        where += np.arange(ends[-1])
         return flat[where], ends[np.searchsorted(cuts, offsets)]
