@@ -24,10 +24,11 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     seen = _checksum(edges)
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # written first, so that the join deals both sides anew and a hub's links can be split
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "components")
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = materialize(_downward(large), "components")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "components")
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .unionByName(least.select("a", F.col("m").alias("b")))
         edges = materialize(_downward(small), "components")

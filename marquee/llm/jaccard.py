@@ -30,12 +30,12 @@ from marquee.llm.text_arrow import slices, text_bytes
 from marquee.operators.joins import join_small_side
 from marquee.session import materialize
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Share of documents from which a token counts as frequent in the order, and
 #: the number of documents after which a task counts anew.
 FREQUENT_SHARE, FREQUENT_CHUNK = 0.0005, 8192
 #: Tokens that a task holds at most before it counts, besides one document's.
-CHUNK_TOKENS = 1 << 22
+CHUNK_TOKENS = 1 << 21
 #: Sets in a group from which its token is used in combinations only.
 LARGE_GROUP = 64
 STAR_ROUNDS = 2
@@ -222,6 +222,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that link, by the whole sets of those that occur in any."""
         pairs = materialize(pairs, "jaccard-pairs")
+        if pairs.isEmpty():
+            return pairs.select("a", "b")
         inside = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
         readers = materialize(sets.select("sid", "doc_id").join(inside, "sid", "left_semi")
                               .groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "jaccard-readers")
@@ -271,11 +273,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                  .filter(F.col("count") * 2 >= F.col("needed"))  # a first look; what it misses comes below
                  .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
         found = materialize(verified(tries), "jaccard-links")
+        if turn and found.isEmpty():
+            break
         links = found if links is None else links.unionByName(found)
         component = connected_components(links)
         open_groups = materialize(_still_open(groups, component), "jaccard-open")
-        if turn and found.isEmpty():
-            break
 
     # what is left: groups with several components.  Pairs across them, by single tokens where
     # the group is small and by combinations of two where it is large.  Only pairs that share
@@ -301,7 +303,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     pairs = across(small, F.count("*")).unionByName(across(two, F.lit(0).cast("long"))) \
         .groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")) \
         .filter("shared >= needed").select("a", "b")
-    component = connected_components(links.unionByName(materialize(verified(pairs), "jaccard-links")))
+    found = materialize(verified(pairs), "jaccard-links")
+    if not found.isEmpty():
+        component = connected_components(links.unionByName(found))
 
     rooted = materialize(
         sets.select("doc_id", "n", "sid").join(component.select(F.col("node").alias("sid"), "root"), "sid", "left")
