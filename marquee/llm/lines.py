@@ -35,7 +35,7 @@ def _ranked(suffixes: DataFrame, by: list[str]) -> DataFrame:
     the size of its interval and the first place in it."""
     place = F.struct(*_KEY, "line")
     shared = suffixes.groupBy(*by).agg(F.count("*").alias("size"), F.min(place).alias("first")).filter("size > 1")
-    order = materialize(shared.orderBy(*by).withColumn("next_rank", F.monotonically_increasing_id()), "lines-intervals")
+    order = shared.orderBy(*by).withColumn("next_rank", F.monotonically_increasing_id())
     out = suffixes.join(order, by).select(*_KEY, "line", F.col("next_rank").alias("rank"), "size", "first")
     return materialize(out, "lines-suffixes")
 
