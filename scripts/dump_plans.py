@@ -1,9 +1,9 @@
-"""Write PLANS.md: the final (post-AQE) physical plan of every registered query.
+"""Write PLANS.md: the final (post-AQE) physical plan of every query of the library.
 
 usage: python scripts/dump_plans.py [sf_dir]
 
-The library's queries are planned twice: as they are, and with automatic
-broadcasting off, which is what larger inputs get.
+Each query is planned twice: as it is, and with automatic broadcasting off,
+which is what larger inputs get.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
 from marquee.plans import catalog  # noqa: E402
 from marquee.session import local_session  # noqa: E402
 
@@ -24,7 +23,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, 16)
     out = ["# Physical plans", "",
-           f"Final adaptive plans of every registered query on `{os.path.basename(sf_dir)}`, "
+           f"Final adaptive plans of every query of the library on `{os.path.basename(sf_dir)}`, "
            "`local[8]`, 16 shuffle partitions (generated by `scripts/dump_plans.py`). "
            "`FileScan parquet` over `marquee-staging/topk-input-…` marks a materialized input; "
            "`FileScan parquet` lines show the pruned `ReadSchema`.", ""]
@@ -33,7 +32,7 @@ def main() -> None:
         if threshold:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
-        for name, fn in (E.queries() if not threshold else catalog.queries()).items():
+        for name, fn in catalog.queries().items():
             df = fn(spark, sf_dir)
             df.collect()
             plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
