@@ -18,6 +18,7 @@ that join different ones.  Every link is verified on whole sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -247,16 +248,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                                                  names=["a", "b"])
         return both.mapInArrow(run, "a long, b long")
 
-    def needed(x: Column, y: Column) -> Column:
-        """Tokens that the extended prefixes of sets of these sizes must share.
-
-        A token of both sets that is not in both prefixes comes after the end
-        of the prefix that ends first, so no more of them can be than that
-        set has tokens after its prefix.
-        """
-        total = F.ceil((x + y) * F.lit(percent) / F.lit(100 + percent))
-        after = [F.greatest(F.ceil(n * F.lit(percent) / F.lit(100)) - 2, F.lit(0)) for n in (x, y)]
-        return total - F.greatest(*after)
+    def shared_at_least(x: Column, y: Column, first: Column) -> Column:
+        """Tokens that the extended prefixes of sets of sizes x and y must
+        share, if the prefix of the set of size ``first`` ends first: a token
+        of both sets that is not in both prefixes comes after that end, where
+        that set has so many tokens."""
+        after = F.greatest(F.ceil(first * F.lit(percent) / F.lit(100)) - 2, F.lit(0))
+        return F.ceil((x + y) * F.lit(percent) / F.lit(100 + percent)) - after
 
     def sizes_fit(x: Column, y: Column) -> Column:
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
@@ -269,7 +267,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         centre = materialize(open_groups.groupBy("token").agg(F.min(order).alias("c")), "jaccard-centres")
         tries = (open_groups.join(centre, "token").filter("c.root <> root").filter(sizes_fit(F.col("n"), F.col("c.n")))
                  .groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(
-                     F.count("*").alias("count"), F.first(needed(F.col("n"), F.col("c.n"))).alias("needed"))
+                     F.count("*").alias("count"), F.first(shared_at_least(F.col("n"), F.col("c.n"), F.greatest("n", "c.n"))).alias("needed"))
                  .filter(F.col("count") * 2 >= F.col("needed"))  # a first look; what it misses comes below
                  .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
         found = materialize(verified(tries), "jaccard-links")
@@ -280,27 +278,37 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         open_groups = materialize(_still_open(groups, component), "jaccard-open")
 
     # what is left: groups with several components.  Pairs across them, by single tokens where
-    # the group is small and by combinations of two where it is large.  Only pairs that share
-    # enough tokens of their prefixes can link.
+    # the group is small and by combinations of two where it is large.  Only pairs that may share
+    # enough tokens of their prefixes are made.
     size = materialize(open_groups.groupBy("token").agg((F.count("*") > LARGE_GROUP).alias("large")), "jaccard-sizes")
     sized = materialize(open_groups.join(size, "token"), "jaccard-sized")
-    many = sized.filter("large").groupBy("sid").agg(F.collect_set("token").alias("t"))
-    # equal heads of all rows of a set: its large tokens, of which any may be shared
-    small = sized.filter("not large").join(many.select("sid", F.size("t").alias("l")), "sid", "left") \
-        .select("token", "sid", "n", "root", F.coalesce("l", F.lit(0)).alias("l"))
-    two = (many.join(sized.filter("large").select("sid", "n", "root").distinct(), "sid")
-           .select("sid", "n", "root", F.size("t").alias("l"), F.array_sort("t").alias("t"))
-           .select("sid", "n", "root", "l", F.explode(F.expr(
-               "flatten(transform(t, (x, i) -> transform(slice(t, i + 2, size(t)), y -> xxhash64(x, y))))")).alias("token")))
+    # of each set: tokens in open groups (t), those in large ones (l), and the end of its prefix
+    ends = sets.filter("n > 0").select("sid", F.element_at("prefix", -1).bitwiseXOR(F.lit(-(1 << 63))).alias("last"))
+    heads = sized.groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("root").alias("root"), F.count("*").alias("t"),
+        F.sum(F.col("large").cast("long")).alias("l"),
+        F.array_sort(F.collect_list(F.when(F.col("large"), F.col("token")))).alias("tokens"))
+    heads = materialize(heads.join(ends, "sid").dropDuplicates(["sid"]), "jaccard-heads")
+    step = F.lit(math.log(100 / percent))
+    heads = heads.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
+    single = sized.filter("not large").select("sid", "token").join(heads.drop("tokens"), "sid")
+    two = heads.filter("l > 1").select("*", F.explode(F.expr(
+        "flatten(transform(tokens, (x, i) -> transform(slice(tokens, i + 2, size(tokens)), y -> xxhash64(x, y))))"))
+        .alias("token")).drop("tokens")
 
     def across(rows: DataFrame, shared: Column) -> DataFrame:
-        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "l")])
-        return (rows.join(other, "token").filter("sid < sid_2 and root <> root_2")
-                .filter(sizes_fit(F.col("n"), F.col("n_2")))
+        """Pairs of different components with a token: sizes that fit are of
+        the same size class or of neighbouring ones."""
+        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "t", "l", "last")],
+                            F.explode(F.array(*[F.col("class") + F.lit(d) for d in (-1, 0, 1)])).alias("class"))
+        n, m = F.col("n"), F.col("n_2")
+        needs = shared_at_least(n, m, F.when(F.col("last") <= F.col("last_2"), n).otherwise(m))
+        return (rows.join(other, ["token", "class"]).filter("sid < sid_2 and root <> root_2").filter(sizes_fit(n, m))
+                .filter(needs <= F.least("t", "t_2"))
                 .groupBy(F.col("sid").alias("a"), F.col("sid_2").alias("b"))
-                .agg(shared.alias("shared"), F.first(needed(F.col("n"), F.col("n_2")) - F.least("l", "l_2")).alias("needed")))
+                .agg(shared.alias("shared"), F.first(needs - F.least("l", "l_2")).alias("needed")))
 
-    pairs = across(small, F.count("*")).unionByName(across(two, F.lit(0).cast("long"))) \
+    pairs = across(single, F.count("*")).unionByName(across(two, F.lit(0).cast("long"))) \
         .groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")) \
         .filter("shared >= needed").select("a", "b")
     found = materialize(verified(pairs), "jaccard-links")
