@@ -47,8 +47,8 @@ LENGTH = 200
 GRAM = 64
 GROUP_STRETCHES = 256
 BLOCK = 16
-SLICE_BYTES = 2 << 20
-BUFFER_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+BUFFER_BYTES = 1 << 20
 _POSITION = np.uint64((1 << 31) - 1)
 _BYTE = np.random.default_rng(977).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -343,7 +343,7 @@ def _blocks(length: int, gram: int):
     starts at hand cover, and two of each start's string."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
-        for batch in slices(batches, "bytes", SLICE_BYTES // 16):
+        for batch in slices(batches, "bytes", SLICE_BYTES // 8):
             stretches = batch.column("bytes").to_pylist()
             size = np.array([len(x) for x in stretches])
             begin = np.cumsum(size) - size
