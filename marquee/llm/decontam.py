@@ -4,8 +4,9 @@ Words are runs of letters and digits (with ``.`` and ``,`` between digits),
 lower-cased.  A template puts typed placeholders for numbers, names (words
 with a capital first letter) and units (a known unit after a number); the
 replaced words are the template's slot values.  Windows of ``window`` words of
-the benchmark are indexed twice: as they are, and as templates.  A template
-window counts if at least half of its words are literal, and if its slots are
+the benchmark are indexed twice: as they are, and as templates; items with
+fewer words are one window each, and documents make windows of those lengths
+too.  A template window counts if at least half of its words are literal, and if its slots are
 consistent with the benchmark's: one value always becomes the same other value
 and no two become the same one, over all matched windows of a document and an
 item, so a question with other numbers or names is found and unrelated text
@@ -103,14 +104,14 @@ def cut_between(cut: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> np.nda
     return count[starts[1:]] != count[np.maximum(ends[:-1] - 1, 0)]
 
 
-def windows(words: Words, data: np.ndarray, offsets: np.ndarray, size: int):
-    """(text, first word, number of words, literal hash, template hash,
-    whether the template may be used) of all windows; a text with fewer words
-    has one window of all of them."""
-    starts, ends, low, literal, template = words(data, offsets)
+def windows(found, offsets: np.ndarray, size: int, whole: bool):
+    """(text, first word, place, number of words, literal hash, template hash,
+    whether the template may be used) of all windows of the ``found`` words; a
+    text with fewer words has one window of all of them if ``whole``, or none."""
+    starts, _, _, literal, template = found
     first = np.searchsorted(starts, offsets)
     count = np.diff(first)
-    made = np.where(count >= size, count - size + 1, np.minimum(count, 1))
+    made = np.where(count >= size, count - size + 1, np.minimum(count, int(whole)))
     to = np.cumsum(made)
     text = np.repeat(np.arange(len(count)), made)
     at = first[:-1][text] + np.arange(to[-1] if len(to) else 0) - (to - made)[text]
@@ -125,16 +126,24 @@ def windows(words: Words, data: np.ndarray, offsets: np.ndarray, size: int):
         b += np.where(inside, tem[at + j], 0) * steps[j]
         slots += inside & slot[at + j]
     mark = own.astype(np.uint64)
-    return (starts, ends, low, literal != template), text, at, at - first[:-1][text], own, _mix(a + mark), \
+    return text, at, at - first[:-1][text], own, _mix(a + mark), \
         _mix(b + mark + np.uint64(1 << 20)), (slots > 0) & (2 * slots <= own)
 
 
-def _rows(words: Words, batch: pa.RecordBatch, size: int, passes) -> pa.RecordBatch:
-    """Windows of a batch's texts that pass, as rows."""
+def _rows(words: Words, batch: pa.RecordBatch, sizes: list[int], whole: bool, passes) -> Iterator[pa.RecordBatch]:
+    """Windows of each of the sizes of a batch's texts that pass, as rows."""
     data, offsets = text_bytes(batch.column("text"))
-    (starts, ends, low, slot), text, at, place, own, a, b, usable = windows(words, data, offsets, size)
+    found = words(data, offsets)
+    low = found[2].tobytes()
+    for size in sizes:
+        yield _passed(batch, found, low, windows(found, offsets, size, whole), passes)
+
+
+def _passed(batch: pa.RecordBatch, found, low: bytes, made, passes) -> pa.RecordBatch:
+    starts, ends, _, literal, template = found
+    slot = literal != template
+    text, at, place, own, a, b, usable = made
     one, two = np.flatnonzero(passes(a)), np.flatnonzero(usable & passes(b))
-    low = low.tobytes()
     slots: list[list[str]] = [[] for _ in one]
     for i in two.tolist():
         slots.append([low[starts[k]:ends[k]].decode("utf-8", "replace")
@@ -156,7 +165,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in slices(batches, "text", SLICE_BYTES):
-            yield _rows(words, batch, window, lambda h: np.ones(len(h), bool))
+            yield from _rows(words, batch, [window], True, lambda h: np.ones(len(h), bool))
     own = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return own.mapInArrow(run, _ROW).withColumnsRenamed({"id": "item_id", "place": "item_place", "slots": "item_slots"})
 
@@ -169,8 +178,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
     of which a document has a passage.
 
     A passage is ``window`` consecutive words, or the whole item if it has
-    fewer, but at least ``min_words`` // 2 of them: an item of one or two words
-    is no evidence.  Null and empty texts have no windows; rows with equal ids
+    fewer, anywhere in the document, but at least half of ``min_words``: an
+    item of three words is no evidence.  Null and empty texts have no windows; rows with equal ids
     are taken together; null ids are their own; other columns are not read;
     empty tables on either side give an empty result.
     """
@@ -183,6 +192,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
     for r in bits:
         table[r["w"]] = r["b"] & 0xFFFFFFFFFFFFFFFF
     shared = docs.sparkSession.sparkContext.broadcast(table)
+    # whole items of fewer words: windows of their lengths, less than ``window`` different ones
+    sizes = [window, *sorted(r["n_words"] for r in index.filter(F.col("n_words") < window).select("n_words").distinct().collect())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, table = Words(), shared.value
@@ -191,7 +202,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
             own = h & np.uint64(mask)
             return (table[own >> np.uint64(6)] >> (own & np.uint64(63)) & np.uint64(1)).astype(bool)
         for batch in slices(batches, "text", SLICE_BYTES):
-            yield _rows(words, batch, window, passes)
+            yield from _rows(words, batch, sizes, False, passes)
 
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     hits = own.mapInArrow(run, _ROW).withColumnRenamed("id", "doc_id")

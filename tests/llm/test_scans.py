@@ -110,3 +110,26 @@ def test_leak_edges(spark):
 def test_common_passage(spark):
     docs = [(i, f"own{i} text " + QUESTION + f" end{i}") for i in range(200)]
     assert len(leaks(spark, docs, [(1, QUESTION), (2, "other words that nobody has written down anywhere yet")])) == 200
+
+
+def test_short_items_inside_documents(spark):
+    lead, tail = " ".join(f"lead{i}x" for i in range(40)), " ".join(f"tail{i}x" for i in range(40))
+    four, five, seven = "zero one two three", "boil 3 eggs for dinner", "the river runs past seven old mills"
+    docs = [(1, f"{lead} {five}. {tail}"), (2, f"{lead}, {four}"), (3, f"{seven} {tail}"), (4, f"{lead} boil 20 eggs for dinner {tail}"),
+            (5, f"{lead} zero one two {tail}"), (6, f"{lead} the river runs past seven old barns {tail}"), (7, five), (8, "one two three")]
+    items = [(1, four), (2, five), (3, seven), (4, "one two three"), (5, QUESTION)]
+    assert leaks(spark, docs, items) == [(1, 2, True), (2, 1, True), (3, 3, True), (4, 2, False), (7, 2, True)]
+
+
+def test_short_items_against_plain(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(6)]
+    items = [(j, [rng.choice(words) for _ in range(rng.randrange(1, 12))]) for j in range(30)]
+    docs = [(i, [rng.choice(words) for _ in range(rng.randrange(60))]) for i in range(60)]
+
+    def has(w, v):
+        n = min(len(v), 8)
+        own = {tuple(w[k:k + n]) for k in range(len(w) - n + 1)}
+        return n >= 4 and any(tuple(v[k:k + n]) in own for k in range(len(v) - n + 1))
+    want = [(i, j, True) for i, w in docs for j, v in items if has(w, v)]
+    assert leaks(spark, [(i, " ".join(w)) for i, w in docs], [(j, " ".join(v)) for j, v in items]) == sorted(want)
