@@ -45,6 +45,117 @@ def test_licence_edges(spark):
     assert licences.find_licences(table(spark, [])).collect() == []
 
 
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+ASF = """Licensed to the Apache Software Foundation (ASF) under one or more
+contributor license agreements.  See the NOTICE file distributed with
+this work for additional information regarding copyright ownership.
+The ASF licenses this file to You under the Apache License, Version 2.0
+(the "License"); you may not use this file except in compliance with
+the License.  You may obtain a copy of the License at
+
+   http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD2 = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+CC = """This work is licensed under a Creative Commons
+Attribution-ShareAlike 4.0 International License.
+"""
+
+
+def test_wrapped_notices(spark):
+    notices = [(APACHE, "Apache-2.0"), (ASF, "Apache-2.0"), (MIT, "MIT"), (BSD2, "BSD-2-Clause"), (BSD3, "BSD-3-Clause"),
+               (GPL, "GPL-3.0-or-later"), (GPL.replace("version 3", "version 2"), "GPL-2.0-or-later"), (MPL, "MPL-2.0"),
+               (CC, "CC-BY-SA-4.0")]
+    shapes = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: t.replace("\n", "\r"),
+              lambda t: "".join(f"# {x}".rstrip() + "\n" for x in t.splitlines()) + "import os\n",
+              lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.splitlines()) + " */\nint x;\n",
+              lambda t: "".join(f"// {x}\n" for x in t.splitlines()),
+              lambda t: "Some words before it\n" + t + "and after it\n",
+              lambda t: "\n\n".join(" ".join(x.split("\n")) for x in t.split("\n\n"))]
+    rows, want = [], []
+    for n, (text, name) in enumerate(notices):
+        for k, shape in enumerate(shapes):
+            rows.append((100 * n + k, shape(text)))
+            want.append((100 * n + k, name, 1))
+    assert sorted(map(tuple, licences.find_licences(table(spark, rows)).collect())) == want
+
+
+def test_sentences_end(spark):
+    rows = [(1, "Released under\n\nthe MIT License."), (2, "It was released under. The MIT License"), (3, "Released under. The MIT License."),
+            (4, "not released under\nthe MIT License"), (5, "Released under\nthe MIT License\u0001 of old"),
+            (6, "Released under\n * the MIT\n * License."), (7, "\u0002Released under the MIT License")]
+    assert sorted(map(tuple, licences.find_licences(table(spark, rows)).collect())) == [(6, "MIT", 1), (7, "MIT", 1)]
+
+
 def benchmark(spark, rows):
     return spark.createDataFrame(rows, "item_id long, text string")
 
