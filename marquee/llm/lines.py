@@ -22,6 +22,7 @@ from marquee.operators.joins import join_small_side
 from marquee.session import materialize
 
 MIN_LINES = 2
+LONG_WORDS = 50  # for ``min_words``: words (between white space) with which one line is a passage by itself
 _KEY = ["doc", "content"]
 
 
@@ -69,12 +70,25 @@ def suffix_intervals(docs: DataFrame, min_lines: int = MIN_LINES) -> tuple[DataF
     return (current if wanted is None else wanted), rounds
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def _long_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """Ids of the lines of at least ``min_words`` words."""
+    words = F.size(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ", -1))
+    return (docs.select(*_KEY, F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+            .filter(F.length("text") >= 2 * min_words - 1).filter(words >= min_words)
+            .select(*_KEY, "line", F.xxhash64("text").alias("rank")))
+
+
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """Runs of lines to delete: ``doc``, ``content``, ``start``, ``end``
     (exclusive), ``longest``: the longest prefix of whole doublings that the
     run's suffixes share with another place."""
     shared, rounds = suffix_intervals(docs, min_lines)
-    later = shared.filter(F.struct(*_KEY, "line") != F.col("first")).select(*_KEY, "line")
+    is_later = F.struct(*_KEY, "line") != F.col("first")
+    later = shared.filter(is_later).select(*_KEY, "line", (F.col("line") + min_lines).alias("end"))
+    if min_words is not None:
+        alone = _ranked(_long_lines(docs, min_words), ["rank"]).filter(is_later)
+        later = later.unionByName(alone.select(*_KEY, "line", (F.col("line") + 1).alias("end")))
+        later = later.groupBy(*_KEY, "line").agg(F.max("end").alias("end"))
     depth = None
     for have, suffixes in rounds:
         own = suffixes.select(*_KEY, "line", F.lit(have).alias("depth"))
@@ -82,19 +96,22 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     depth = depth.groupBy(*_KEY, "line").agg(F.max("depth").alias("depth"))
     near = Window.partitionBy(*_KEY).orderBy("line")
     later = later.join(depth, [*_KEY, "line"], "left")
-    later = later.withColumn("new", (F.col("line") > F.coalesce(F.lag("line").over(near), F.lit(-(1 << 30))) + min_lines).cast("int"))
+    before = F.max("end").over(near.rowsBetween(Window.unboundedPreceding, -1))
+    later = later.withColumn("new", (F.col("line") > F.coalesce(before, F.lit(-1))).cast("int"))
     later = later.withColumn("run", F.sum("new").over(near))
     return later.groupBy(*_KEY, "run").agg(
-        F.min("line").alias("start"), (F.max("line") + min_lines).alias("end"), F.max("depth").alias("longest")).drop("run")
+        F.min("line").alias("start"), F.max("end").alias("end"), F.max("depth").alias("longest")).drop("run")
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", min_words: int | None = None) -> DataFrame:
     """``docs`` without the later copies of repeated runs of lines.
 
     A line goes if a run of ``min_lines`` lines that covers it also stands at
     an earlier place: in a document with a smaller id (nulls first; ties by a
-    hash of the text), or higher up in the same one.  Lines end at ``\\n`` and
+    hash of the text), or higher up in the same one.  With ``min_words``, a
+    line of at least so many words is a run by itself; without, a single line
+    stays in every copy, however long it is.  Lines end at ``\\n`` and
     are equal if their bytes are (told by 64-bit hashes).  The remaining lines
     are joined by ``\\n``.
 
@@ -109,7 +126,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_
         "__content": F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0).cast("long"))})
     slim = keyed.filter(F.col(text_col).isNotNull()).select(
         F.col("__doc").alias("doc"), F.col("__content").alias("content"), F.col(text_col).alias("text"))
-    runs = materialize(repeated_runs(slim, min_lines).groupBy(*_KEY).agg(
+    runs = materialize(repeated_runs(slim, min_lines, min_words).groupBy(*_KEY).agg(
         F.collect_list(F.struct("start", "end")).alias("__runs"), F.max("longest").cast("long").alias("longest_shared")), "lines-runs")
     runs = runs.withColumnsRenamed({"doc": "__doc", "content": "__content"})
     joined = join_small_side(keyed, runs, ["__doc", "__content"], "left")

@@ -71,3 +71,14 @@ def test_main_path_has_no_python(spark):
 
 def test_digest_of_kept_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_long_single_lines(spark):
+    long, other = " ".join(f"w{i}" for i in range(50)), "  ".join(f"v{i}" for i in range(50))
+    short = " ".join(f"w{i}" for i in range(49)) + " " * 60
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd\n{short}"), (3, long), (4, long), (5, f"{short}\ne\n{other}"),
+            (6, f"{other}\nf\n{other}\ng"), (7, f"a\n{long}\nx\n{long}\n{other}\ny"), (8, f"c\n{long}\nd")]
+    got = {r["doc_id"]: r for r in lines.dedup_lines(table(spark, rows), min_words=lines.LONG_WORDS).collect()}
+    assert {i: r["text"] for i, r in got.items()} == {
+        1: rows[0][1], 2: f"c\nd\n{short}", 3: "", 4: "", 5: rows[4][1], 6: "f\ng", 7: "x\ny", 8: ""}
+    assert [(got[i]["removed_lines"], got[i]["removed_runs"]) for i in (3, 6, 7, 8)] == [(1, 1), (2, 2), (4, 2), (3, 1)]
