@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import (bpe, chat, decontam, jaccard, langid, licences, lines, repeats,
-                         token_files, topk)
+from marquee.llm import (alignment, bpe, chat, decontam, jaccard, langid, licences, lines, packing,
+                         periods, repeats, token_files, topk)
+from marquee.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -191,12 +192,108 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 """
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document's tokens of two tokenizers, aligned by bytes."""
+    groups = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    aligned = alignment.align_texts(table(spark, sf_dir, "documents")).withColumn("groups_sha256", groups).drop("groups")
+    return alignment.score_links(materialize(aligned, "alignment")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def repetitive_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``: every document, the words of a tenth of them (by
+    crc32 of the id) repeated with some period from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size("words")
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    cut = docs.select("doc_id", "text", words.alias("words"), g.alias("g")) \
+        .withColumn("a", F.when(n > 0, F.col("g") % n)) \
+        .withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    head, rest = F.slice("words", 1, F.col("a").cast("int")), n - F.col("a")
+    period = F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    again = F.slice(F.flatten(F.array_repeat(period, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest.cast("int"))
+    return cut.select("doc_id", F.when(n > 0, F.array_join(F.concat(head, again), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in whole documents, a tenth of which were made
+    repetitive."""
+    found = periods.periodic_runs(repetitive_documents(table(spark, sf_dir, "documents")))
+    shown = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    return found.withColumn("best", periods.greatest_run()).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(shown, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE bits(byte, step, c) AS (
+    SELECT byte, 0, byte FROM range(256) AS t(byte)
+    UNION ALL
+    SELECT byte, step + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM bits WHERE step < 8
+), bytes AS (
+    SELECT list(c ORDER BY byte) AS crc FROM bits WHERE step = 8
+), hashed AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(text, '[ 	-]+'), lambda w: w <> '') AS w,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                        lambda x, y: xor(x >> 8, crc[1 + (xor(x, y) & 255)])), 4294967295) AS h
+    FROM documents, bytes
+), placed AS (
+    SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS made, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a
+    FROM hashed
+), shaped AS (
+    SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed
+), texts AS (
+    SELECT doc_id, n, CASE WHEN made THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+                           ELSE w END AS w
+    FROM shaped
+), words AS (
+    SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM texts WHERE n > 0
+), steps AS (
+    -- a run of period q and at least 4 q words has equal words q apart at two multiples of q
+    SELECT doc_id, w, n, q, unnest(range(0, n - 2 * q, q)) AS i
+    FROM (SELECT doc_id, w, n, unnest(range(1, n // 4 + 1)) AS q FROM texts WHERE n >= 6)
+), periods AS (
+    SELECT DISTINCT doc_id, n, q FROM steps WHERE w[1 + i] = w[1 + i + q] AND w[1 + i + q] = w[1 + i + 2 * q]
+), equal AS (
+    SELECT periods.doc_id, q, x.i, x.i - row_number() OVER (PARTITION BY periods.doc_id, q ORDER BY x.i) AS island
+    FROM periods JOIN words AS x ON x.doc_id = periods.doc_id JOIN words AS y ON y.doc_id = x.doc_id AND y.i = x.i + q AND y.word = x.word
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM equal GROUP BY doc_id, q, island
+    HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), best AS (
+    SELECT doc_id, arg_min(struct_pack(start, length, period), struct_pack(k, start, period)) AS r, count(*) AS n_runs,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS shown
+    FROM (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC) AS k FROM runs) GROUP BY doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), collapsed AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT documents.doc_id, coalesce(n_runs, 0) AS n_runs, r.start, r.length, r.period,
+    (1000 * r.length) // r.period AS exponent_milli,
+    sha256(coalesce(shown, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN collapsed USING (doc_id)
+"""
+
+
+def op13_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document's pieces in sequences of 4096 ids, packed along a
+    Hilbert curve."""
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_chat_format, op3_language_id, op4_byte_bpe, op5_ngram_jaccard, op6_suffix_repeats,
-        op7_licence_scan, op8_decontamination, op9_token_files, op10_exact_top_k)}
+        op7_licence_scan, op8_decontamination, op9_token_files, op10_exact_top_k, op11_token_alignment,
+        op12_periodic_runs, op13_curve_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_line_dedup": OP1_SQL, "op2_chat_format": OP2_SQL, "op7_licence_scan": _op7_sql(),
-            "op10_exact_top_k": OP10_SQL}
+            "op10_exact_top_k": OP10_SQL, "op12_periodic_runs": OP12_SQL}

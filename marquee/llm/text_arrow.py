@@ -82,16 +82,17 @@ class PieceEncoder:
     ``encode`` maps a list of piece texts to a list of id lists.  Pieces come
     from :func:`safe_cuts`, so joining their ids gives the ids of the text.
     The first ``keep`` different pieces, which the frequent ones are among, are
-    remembered between batches, as packed ids.
+    remembered between batches, as packed ids.  ``cuts`` may be another
+    function like :func:`safe_cuts`.
     """
 
-    def __init__(self, encode, keep: int = 700_000):
-        self.encode, self.keep, self.known = encode, keep, {}
+    def __init__(self, encode, keep: int = 700_000, cuts=safe_cuts):
+        self.encode, self.keep, self.cuts, self.known = encode, keep, cuts, {}
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the n + 1 offsets of the texts."""
         data, offsets = text_bytes(column)
-        cuts = safe_cuts(data, offsets)
+        cuts = self.cuts(data, offsets)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         data = np.ascontiguousarray(data)
