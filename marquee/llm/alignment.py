@@ -31,14 +31,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.text_arrow import PieceEncoder, safe_cuts, slices
+from marquee.llm.text_arrow import safe_cuts, slices, text_bytes
+from marquee.llm.token_files import byte_letters
 from marquee.operators.joins import BROADCAST_MAX_BYTES, measured_bytes
 from marquee.session import materialize
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
-SLICE_BYTES = 1 << 20
-#: Pieces that a worker remembers for each tokenizer.
-KEEP = 200_000
+SLICE_BYTES = 2 << 20
+#: Pieces that a worker remembers, and pieces that are encoded together.
+KEEP, JOINED = 300_000, 512
 #: Share of documents from which a link of the pair counts as frequent.
 FREQUENT_SHARE = 0.001
 #: Stands for a piece whose decoded bytes are not its text.
@@ -50,22 +51,14 @@ def default_paths() -> tuple[str, str]:
     return public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES)
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in byte-level vocabularies: printable
-    Latin-1 characters for themselves, the others from U+0100 on, in order."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 def piece_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """:func:`safe_cuts` before a U+0020 only, and not before one that ends
     its text.
 
     B's pieces hold a space at their front or throughout (its vocabulary is
-    checked when it is loaded), so no merge reaches over such a cut either; it
-    adds the space that a piece begins with, and has no token for an empty
-    rest."""
+    checked when it is loaded), so no merge reaches over such a cut either; B
+    adds the space that a text begins with, and has no token for a text without
+    more."""
     cuts = safe_cuts(data, offsets)
     edge = np.zeros(len(data) + 2, bool)  # texts' ends, and the places before them
     edge[offsets] = True
@@ -77,85 +70,142 @@ def piece_cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def _refined(pieces: list[bytes], counts: np.ndarray, begins: np.ndarray, ends: np.ndarray, ids: np.ndarray,
-             table: list[bytes]) -> list[list[int]]:
-    """Each piece's tokens as id, bytes, id, bytes, ...  ``begins`` and
-    ``ends`` are the tokens' spans, counted in bytes over all pieces.
-
-    A token has its span's bytes where the span starts at a coarse cut and
-    ends at one with no other token between; else those of its decoded form.
-    """
-    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    decoded = [table[i] for i in ids.tolist()]
-    length = np.fromiter(map(len, decoded), np.int64, len(decoded))
-    after = np.cumsum(counts)
+def _token_ends(begins: np.ndarray, ends: np.ndarray, decoded: np.ndarray) -> np.ndarray:
+    """Ends of tokens in bytes.  ``begins`` and ``ends`` are their spans,
+    ``decoded`` the lengths of their bytes.  A token that is alone between two
+    coarse cuts has its span's length, others that of their bytes."""
     # a coarse cut lies behind a token with a span of its own, whose end the next one's goes beyond
     cut = ends > begins
     cut[:-1] &= (begins[1:] >= ends[:-1]) & (ends[1:] > ends[:-1])
     alone = cut & np.concatenate(([True], cut[:-1]))
-    length = np.where(alone, ends - np.concatenate(([0], ends[:-1])), length)
-    packed = np.empty(2 * len(ids), np.int64)
-    packed[::2], packed[1::2] = ids, length
-    flat, out, a = packed.tolist(), [], 0
-    sums = np.bincount(np.repeat(np.arange(len(pieces)), counts), weights=length, minlength=len(pieces)) == sizes
-    for piece, b, right in zip(pieces, after.tolist(), sums.tolist()):
-        out.append(flat[2 * a:2 * b] if right and b"".join(decoded[a:b]) == piece else [_BROKEN, len(piece)])
-        a = b
-    return out
+    return np.cumsum(np.where(alone, ends - np.concatenate(([0], ends[:-1])), decoded))
 
 
-@functools.lru_cache(maxsize=2)
-def byte_level_encoder(path: str, keep: int = KEEP) -> PieceEncoder:
-    """Pieces to A's ids and byte lengths."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    letters = _byte_letters()
-    table = [b""] * tokenizer.get_vocab_size()
-    for token, i in tokenizer.get_vocab().items():
-        table[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        found = tokenizer.encode_batch(texts, add_special_tokens=False)
-        pieces = [t.encode() for t in texts]
-        counts = np.fromiter((len(e.ids) for e in found), np.int64, len(found))
-        # character offsets to byte offsets over all pieces
-        lead = np.flatnonzero((np.frombuffer(b"".join(pieces), np.uint8) & 0xC0) != 0x80)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        lead = np.concatenate((lead, [sizes.sum()]))
-        chars = np.fromiter(map(len, texts), np.int64, len(texts))
-        base = np.repeat(np.cumsum(chars) - chars, counts)
-        spans = np.array([s for e in found for s in e.offsets], np.int64).reshape(-1, 2)
-        ids = np.array([i for e in found for i in e.ids], np.int64)
-        return _refined(pieces, counts, lead[spans[:, 0] + base], lead[spans[:, 1] + base], ids, table)
-    return PieceEncoder(encode, keep, piece_cuts)
+def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``flat[start[i]:start[i] + length[i]]`` for each i of ``index``, end to
+    end, and the ends."""
+    own = length[index]
+    ends = np.cumsum(own)
+    where = np.repeat(start[index] - ends + own, own)
+    where += np.arange(len(where))
+    return flat[where], ends
+
+
+class PairEncoder:
+    """Ids of both tokenizers for texts that begin with a space.
+
+    Remembers the first ``keep`` different pieces of a worker, each as packed
+    numbers: how many ids A has for it, A's ids, B's ids.
+    """
+
+    def __init__(self, byte_level_path: str, sentence_path: str, keep: int = KEEP):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from sentencepiece import SentencePieceProcessor
+        from tokenizers import Tokenizer
+        self.a = Tokenizer.from_file(byte_level_path)
+        self.a.encode_special_tokens = True  # their strings in a text are ordinary text
+        letters = {letter: b for b, letter in enumerate(byte_letters())}
+        self.a_bytes = [b""] * self.a.get_vocab_size()
+        for token, i in self.a.get_vocab().items():
+            self.a_bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.b = SentencePieceProcessor(model_file=sentence_path)
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        if any("▁" in name.lstrip("▁") for name in names):
+            raise ValueError(f"{sentence_path}: a piece reaches over the start of a word")
+        self.b_bytes = [bytes([int(name[3:5], 16)]) if self.b.is_byte(i) else name.replace("▁", " ").encode()
+                        for i, name in enumerate(names)]
+        self.a_sizes, self.b_sizes = (np.fromiter(map(len, t), np.int64, len(t)) for t in (self.a_bytes, self.b_bytes))
+        self.size = max(len(self.a_bytes), len(self.b_bytes))
+        #: Ids as they are shown, followed by a comma, a bar or a semicolon.
+        self.shown = pa.array([f"{i}{mark}" for mark in ",|;" for i in range(self.size)], pa.large_string())
+        self.keep, self.known = keep, {}
+
+    def _a_tokens(self, text: str, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        found = self.a.encode(text, add_special_tokens=False)
+        ids, spans = np.array(found.ids, np.int64), np.array(found.offsets, np.int64).reshape(-1, 2)
+        if len(raw) != len(text):  # offsets of characters to those of bytes
+            spans = np.append(np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw))[spans]
+        return ids, _token_ends(spans[:, 0], spans[:, 1], self.a_sizes[ids])
+
+    def _b_tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        found = self.b.encode(text[1:], return_type="proto", num_threads=1)
+        rows = np.array([(x.id, x.begin, x.end) for x in found.pieces], np.int64).reshape(-1, 3)
+        begins, ends = rows[:, 1] + 1, rows[:, 2] + 1  # spans do not count the added space
+        begins[:1] = 0
+        return rows[:, 0], _token_ends(begins, ends, self.b_sizes[rows[:, 0]])
+
+    def _packed(self, pieces: list[str]) -> list[bytes]:
+        """Pieces' ids.  They are encoded as one text: cutting between them
+        changes no token.  If the tokens are not that text's, its halves are
+        looked at; one piece that its tokens do not spell is ``_BROKEN``."""
+        text = "".join(pieces)
+        raw = text.encode()
+        a_ids, a_ends = self._a_tokens(text, raw)
+        b_ids, b_ends = self._b_tokens(text)
+        bounds = np.cumsum(np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces)))
+        a_to, b_to = np.searchsorted(a_ends, bounds) + 1, np.searchsorted(b_ends, bounds) + 1
+        whole = (a_to[-1] == len(a_ids) and b_to[-1] == len(b_ids) and (a_ends[a_to - 1] == bounds).all()
+                 and (b_ends[b_to - 1] == bounds).all() and b"".join(map(self.a_bytes.__getitem__, a_ids.tolist())) == raw
+                 and b"".join(map(self.b_bytes.__getitem__, b_ids.tolist())) == raw)
+        if not whole:
+            half = len(pieces) // 2
+            return self._packed(pieces[:half]) + self._packed(pieces[half:]) if half else [np.uint32(_BROKEN).tobytes()]
+        a_n = np.diff(a_to, prepend=0)
+        b_first = np.concatenate(([0], b_to[:-1]))
+        numbers = np.empty(len(pieces) + len(a_ids) + len(b_ids), np.uint32)
+        heads = np.arange(len(pieces)) + np.concatenate(([0], a_to[:-1])) + b_first
+        numbers[heads] = a_n
+        numbers[np.arange(len(a_ids)) + np.repeat(np.arange(1, len(pieces) + 1) + b_first, a_n)] = a_ids
+        numbers[np.arange(len(b_ids)) + np.repeat(np.arange(1, len(pieces) + 1) + a_to, np.diff(b_to, prepend=0))] = b_ids
+        data, at = numbers.tobytes(), (4 * heads).tolist()
+        return [data[i:j] for i, j in zip(at, [*at[1:], len(data)])]
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """A piece that ends in white space, or has the letter that B shows
+        spaces as, is encoded alone."""
+        alone = [p[-1].isspace() or "▁" in p for p in pieces]
+        joined = [p for p, x in zip(pieces, alone) if not x]
+        found: list[bytes] = []
+        for k in range(0, len(joined), JOINED):
+            found += self._packed(joined[k:k + JOINED])
+        rest = iter(found)
+        return [self._packed([p])[0] if x else next(rest) for p, x in zip(pieces, alone)]
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, ...]:
+        """For texts, or "" for none: A's ids, each one's text, B's ids, each
+        one's text; of whole texts only."""
+        data, offsets = text_bytes(column)
+        none = np.zeros(0, np.int64)
+        if not len(data):
+            return none, none, none, none
+        cuts = piece_cuts(data, offsets)
+        pieces = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [
+            None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        index, words = pieces.indices.to_numpy(zero_copy_only=False), pieces.dictionary.to_pylist()
+        got = list(map(self.known.get, words))
+        missing = [i for i, x in enumerate(got) if x is None]
+        packed = self._encode([words[i] for i in missing])
+        for i, x in zip(missing, packed):
+            got[i] = x
+        room = self.keep - len(self.known)
+        if room > 0:
+            self.known.update((words[i], x) for i, x in zip(missing[:room], packed))
+        flat = np.frombuffer(b"".join(got), np.uint32).astype(np.int64)
+        length = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        first = np.cumsum(length) - length
+        a_n = flat[first]
+        text = np.searchsorted(offsets, cuts[:-1], side="right") - 1
+        broken = np.zeros(len(offsets), bool)
+        broken[text[(a_n == _BROKEN)[index]]] = True
+        index, text = index[~broken[text]], text[~broken[text]]
+        a, a_ends = _gathered(flat, first + 1, a_n, index)
+        b, b_ends = _gathered(flat, first + 1 + a_n, length - 1 - a_n, index)
+        return a, np.repeat(text, np.diff(a_ends, prepend=0)), b, np.repeat(text, np.diff(b_ends, prepend=0))
 
 
 @functools.lru_cache(maxsize=2)
-def sentence_encoder(path: str, keep: int = KEEP) -> PieceEncoder:
-    """Pieces, each with its first space, to B's ids and byte lengths."""
-    from sentencepiece import SentencePieceProcessor
-    model = SentencePieceProcessor(model_file=path)
-    names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
-    if any("▁" in name.lstrip("▁") for name in names):
-        raise ValueError(f"{path}: a piece reaches over the start of a word")
-    table = [bytes([int(name[3:5], 16)]) if model.is_byte(i) else name.replace("▁", " ").encode()
-             for i, name in enumerate(names)]
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        found = model.encode([t[1:] for t in texts], return_type="proto", num_threads=1)
-        pieces = [t.encode() for t in texts]
-        spans = [[(x.id, x.begin, x.end) for x in p.pieces] for p in found]
-        counts = np.fromiter(map(len, spans), np.int64, len(spans))
-        rows = np.array([s for own in spans for s in own], np.int64).reshape(-1, 3)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        base = np.repeat(np.cumsum(sizes) - sizes + 1, counts)  # spans do not count the added space
-        begins, ends = rows[:, 1] + base, rows[:, 2] + base
-        first = (np.cumsum(counts) - counts)[counts > 0]
-        begins[first] -= 1
-        return _refined(pieces, counts, begins, ends, rows[:, 0], table)
-    return PieceEncoder(encode, keep, piece_cuts)
+def pair_encoder(byte_level_path: str, sentence_path: str) -> PairEncoder:
+    return PairEncoder(byte_level_path, sentence_path)
 
 
 def align_texts(docs: DataFrame, byte_level_path: str | None = None, sentence_path: str | None = None,
@@ -179,14 +229,13 @@ def align_texts(docs: DataFrame, byte_level_path: str | None = None, sentence_pa
     a_path, b_path = byte_level_path or a_path, sentence_path or b_path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_encode, b_encode = byte_level_encoder(a_path), sentence_encoder(b_path)
-        shown = pa.array([f"{i}{mark}" for mark in ",|;" for i in range(_vocabulary(a_path, b_path))], pa.large_string())
+        encoder = pair_encoder(a_path, b_path)
         row = TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text", SLICE_BYTES):
             text = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
             spaced = pc.if_else(pc.equal(pc.binary_length(text), 0), "",
                                 pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), text, pa.scalar("", pa.large_string())))
-            out = _aligned(*a_encode(spaced), *b_encode(spaced), shown, _vocabulary(a_path, b_path))
+            out = _aligned(encoder, spaced)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.arange(row, row + batch.num_rows)), *out],
                 names=["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups", "links"])
@@ -197,32 +246,12 @@ def align_texts(docs: DataFrame, byte_level_path: str | None = None, sentence_pa
                                "groups string, links array<struct<pair: long, times: long>>")
 
 
-@functools.lru_cache(maxsize=2)
-def _vocabulary(a_path: str, b_path: str) -> int:
-    """A size that ids of both tokenizers are below."""
-    from sentencepiece import SentencePieceProcessor
-    from tokenizers import Tokenizer
-    return max(Tokenizer.from_file(a_path).get_vocab_size(),
-               SentencePieceProcessor(model_file=b_path).get_piece_size())
-
-
-def _aligned(a: np.ndarray, a_to: np.ndarray, b: np.ndarray, b_to: np.ndarray, shown: pa.Array, size: int) -> list[pa.Array]:
-    """Columns of a slice from both encoders' ids and byte lengths."""
-    texts = len(a_to) - 1
-    broken = [np.repeat(np.arange(texts), np.diff(to) // 2)[x[::2] == _BROKEN] for x, to in ((a, a_to), (b, b_to))]
-    whole = np.ones(texts, bool)
-    whole[np.concatenate(broken).astype(np.int64)] = False
-
-    def tokens(x: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, ends in bytes and text of the tokens of whole texts."""
-        text = np.repeat(np.arange(texts), np.diff(to) // 2)
-        ends = np.cumsum(x[1::2], dtype=np.int64)
-        own = whole[text]
-        return x[::2][own].astype(np.int64), ends[own], text[own]
-
-    a_ids, a_ends, a_text = tokens(a, a_to)
-    b_ids, b_ends, b_text = tokens(b, b_to)
-    total = int(a[1::2].sum(dtype=np.int64))
+def _aligned(encoder: PairEncoder, spaced: pa.Array) -> list[pa.Array]:
+    """The columns of :func:`align_texts` for texts with a space before them."""
+    a_ids, a_text, b_ids, b_text = encoder(spaced)
+    texts, size = len(spaced), encoder.size
+    a_ends, b_ends = np.cumsum(encoder.a_sizes[a_ids]), np.cumsum(encoder.b_sizes[b_ids])
+    total = int(a_ends[-1]) if len(a_ends) else 0
     a_cut, b_cut = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
     a_cut[a_ends] = b_cut[b_ends] = True
     cuts = np.flatnonzero(a_cut | b_cut)
@@ -237,7 +266,7 @@ def _aligned(a: np.ndarray, a_to: np.ndarray, b: np.ndarray, b_to: np.ndarray, s
     order = np.empty(len(a_ids) + len(b_ids), np.int64)
     order[np.arange(len(a_ids)) + np.concatenate(([0], b_by))[a_group]] = a_ids + size * a_last
     order[np.arange(len(b_ids)) + a_by[b_group]] = b_ids + 2 * size * b_last
-    spelled = shown.take(pa.array(order))
+    spelled = encoder.shown.take(pa.array(order))
     at = np.frombuffer(spelled.buffers()[1], np.int64, len(spelled) + 1, 8 * spelled.offset)
     letters = memoryview(spelled.buffers()[2] or b"")
     first = np.searchsorted(a_text, np.arange(texts + 1)) + np.searchsorted(b_text, np.arange(texts + 1))

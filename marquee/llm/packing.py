@@ -16,6 +16,8 @@ two, which need no padding.
 
 from __future__ import annotations
 
+import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.text_arrow import slices
 from marquee.llm.token_files import piece_encoder
+from marquee.operators.joins import join_small_side
 from marquee.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -33,7 +36,7 @@ LENGTH = 4096
 END_ID = 2
 SLICE_BYTES = 4 << 20
 #: Hashed vectors' dimensions, those of the projection, bits of each, and rows handled at once.
-VECTOR, DIMENSIONS, BITS, ROWS = 256, 4, 15, 2048
+VECTOR, DIMENSIONS, BITS, ROWS = 256, 4, 15, 1024
 
 
 def default_tokenizer() -> str:
@@ -87,26 +90,45 @@ def curve_keys(ids: np.ndarray, ends: np.ndarray, projection: np.ndarray) -> np.
     return np.concatenate(out)
 
 
-def encoded_documents(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id``, ``key``, ``row`` (tells repeated rows apart), ``n``, and
-    ``ids`` as little-endian unsigned 32-bit integers, the end id included."""
+def encoded_documents(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str,
+                      width: str) -> DataFrame:
+    """``doc_id``, ``key``, ``row`` (tells repeated rows apart), ``n``,
+    ``ids`` as packed integers of the NumPy type ``width``, the end id
+    included, and their ``hash``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, projection = piece_encoder(tokenizer_path), _projection()
-        tail = np.array([end_id], "<u4").tobytes()
+        tail = np.array([end_id], width).tobytes()
         row = TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text", SLICE_BYTES):
             ids, ends = encode(batch.column("text"))
-            data = memoryview(np.ascontiguousarray(ids, "<u4").view(np.uint8))
-            at = (4 * ends).tolist()
+            data = ids.astype(width).tobytes()
+            at = (np.dtype(width).itemsize * ends).tolist()
+            packed = [data[a:b] + tail for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(curve_keys(ids, ends, projection)),
                  pa.array(np.arange(row, row + batch.num_rows)), pa.array(np.diff(ends) + 1),
-                 pa.array([bytes(data[a:b]) + tail for a, b in zip(at[:-1], at[1:])], pa.binary())],
-                names=["doc_id", "key", "row", "n", "ids"])
+                 pa.array(packed, pa.binary()), pa.array(map(zlib.crc32, packed), pa.int64())],
+                names=["doc_id", "key", "row", "n", "ids", "hash"])
             row += batch.num_rows
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return own.mapInArrow(run, "doc_id long, key long, row long, n long, ids binary")
+    return own.mapInArrow(run, "doc_id long, key long, row long, n long, ids binary, hash long")
+
+
+def id_width(tokenizer_path: str, end_id: int) -> str:
+    """The narrowest type that holds every id."""
+    from tokenizers import Tokenizer
+    return "<u2" if max(Tokenizer.from_file(tokenizer_path).get_vocab_size() - 1, end_id) < 1 << 16 else "<u4"
+
+
+def sequence_bounds(total: int, length: int) -> list[int]:
+    """Where the sequences after the full ones begin, and the end: steps are
+    different powers of two, the largest first."""
+    bounds = [total // length * length]
+    for b in range(length.bit_length() - 2, -1, -1):
+        if total % length >> b & 1:
+            bounds.append(bounds[-1] + (1 << b))
+    return bounds
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGTH,
@@ -131,9 +153,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, length: i
     """
     if length < 1 or length & (length - 1):
         raise ValueError("the length of a sequence must be a power of two")
-    encoded = materialize(encoded_documents(docs, tokenizer_path or default_tokenizer(), end_id, id_col, text_col),
-                          "packing-encoded")
-    order = ["key", "doc_id", F.xxhash64("ids"), "row"]  # splits a large group of copies between ranges
+    tokenizer_path = tokenizer_path or default_tokenizer()
+    width = id_width(tokenizer_path, end_id)
+    encoded = materialize(encoded_documents(docs, tokenizer_path, end_id, id_col, text_col, width), "packing-encoded")
+    order = ["key", "doc_id", "hash", "row"]  # splits a large group of copies between ranges
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, total = TaskContext.get().partitionId(), 0
@@ -141,46 +164,51 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, length: i
             n = batch.column("n").to_numpy()
             before = total + np.cumsum(n) - n
             total += int(n.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), shard, np.int32)), pa.array(before), *batch.columns],
-                names=["shard", "before", *batch.schema.names])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard, np.int32)), pa.array(before), *batch.columns],
+                                             names=["shard", "before", "row", "n"])
 
-    ordered = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n", "ids")
-    ordered = materialize(ordered.mapInArrow(place, "shard int, before long, doc_id long, n long, ids binary"),
-                          "packing-ordered")
+    ordered = encoded.select(*order, "n").repartitionByRange(*order).sortWithinPartitions(*order).select("row", "n")
+    ordered = materialize(ordered.mapInArrow(place, "shard int, before long, row long, n long"), "packing-order")
     shards = materialize(ordered.groupBy("shard").agg(F.sum("n").alias("own")), "packing-shards")
     total = shards.agg(F.sum("own")).first()[0] or 0
     starts = shards.select("shard", (F.sum("own").over(Window.orderBy("shard")) - F.col("own")).alias("shard_start"))
-    placed = ordered.join(F.broadcast(starts), "shard").select(  # a row for each shuffle partition
-        "doc_id", "n", "ids", (F.col("shard_start") + F.col("before")).alias("at"))
+    places = materialize(ordered.join(F.broadcast(starts), "shard")  # a row for each shuffle partition
+                         .select("row", (F.col("shard_start") + F.col("before")).alias("at")), "packing-places")
+    placed = join_small_side(encoded.select("doc_id", "row", "ids"), places, "row")
 
-    full = total // length * length
-    tail = [full]  # where the sequences after the full ones begin
-    for b in range(length.bit_length() - 2, -1, -1):
-        if (total - full) >> b & 1:
-            tail.append(tail[-1] + (1 << b))
-    at, end = F.col("at"), F.col("at") + F.col("n")
-    regular = F.greatest(F.least(F.floor((end - 1) / length), F.lit(full // length)) - F.floor(at / length), F.lit(0))
-    cuts = F.when(regular > 0, F.transform(F.sequence(F.lit(1).cast("long"), regular),
-                                           lambda i: (F.floor(at / length) + i) * length)) \
-        .otherwise(F.array().cast("array<bigint>"))
-    last = F.when(end > full, F.filter(F.array(*[F.lit(x).cast("long") for x in tail[1:]] or [F.lit(-1).cast("long")]),
-                                       lambda x: (x > at) & (x < end))).otherwise(F.array().cast("array<bigint>"))
-    bounds = placed.withColumn("bounds", F.concat(F.array(at), cuts, last, F.array(end)))
-    of_tail = sum([F.when(F.col("p.at") >= x, 1).otherwise(0) for x in tail[1:]], F.lit(0))
-    of_tail_start = F.greatest(*[F.when(F.col("p.at") >= x, F.lit(x)).otherwise(F.lit(full)) for x in tail], F.lit(full))
-    in_tail = F.col("p.at") >= full
-    pieces = bounds.select("doc_id", F.col("n").alias("doc_tokens"), F.explode(F.transform(
-        F.sequence(F.lit(1), F.size("bounds") - 1), lambda i: F.struct(
-            F.element_at("bounds", i).alias("at"), (F.element_at("bounds", i) - at).alias("start"),
-            (F.element_at("bounds", i + 1) - F.element_at("bounds", i)).alias("length"),
-            F.substring("ids", (4 * (F.element_at("bounds", i) - at) + 1).cast("int"),
-                        (4 * (F.element_at("bounds", i + 1) - F.element_at("bounds", i))).cast("int")).alias("ids"))))
-        .alias("p"))
-    return pieces.select(
-        "doc_id", "p.start", "p.length", "p.ids", "doc_tokens",
-        F.when(in_tail, F.lit(full // length) + of_tail).otherwise(F.floor(F.col("p.at") / length)).cast("long").alias("sequence_id"),
-        F.when(in_tail, F.col("p.at") - of_tail_start).otherwise(F.col("p.at") % length).cast("long").alias("offset"))
+    bounds = sequence_bounds(total, length)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, held = [], 0
+            for doc_id, start, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "at", "ids"))):
+                ids = np.frombuffer(raw, width).astype("<u4").tobytes()
+                n, x = len(ids) // 4, start
+                while x < start + n:
+                    if x < bounds[0]:
+                        sequence, begin, end = x // length, x // length * length, (x // length + 1) * length
+                    else:
+                        k = bisect_right(bounds, x) - 1
+                        sequence, begin, end = bounds[0] // length + k, bounds[k], bounds[k + 1]
+                    end = min(end, start + n)
+                    rows.append((doc_id, x - start, end - x, ids[4 * (x - start):4 * (end - start)], n, sequence, x - begin))
+                    held, x = held + end - x, end
+                    if held >= ROWS * length:
+                        yield _piece_rows(rows)
+                        rows, held = [], 0
+            if rows:
+                yield _piece_rows(rows)
+
+    return placed.select("doc_id", "at", "ids").mapInArrow(cut, _PIECES)
+
+
+_PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+
+
+def _piece_rows(rows: list[tuple]) -> pa.RecordBatch:
+    names = [c.split()[0] for c in _PIECES.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), pa.binary() if name == "ids" else pa.int64()) for c, name in zip(zip(*rows), names)], names=names)
 
 
 def sequences(pieces: DataFrame, length: int = LENGTH, pad_id: int = END_ID) -> DataFrame:

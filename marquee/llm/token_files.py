@@ -52,16 +52,25 @@ def default_tokenizer() -> str:
 
 @functools.lru_cache(maxsize=4)
 def piece_encoder(path: str) -> PieceEncoder:
+    """The library's plain call without added special tokens.  A special
+    token's string has no white space, so no cut is within it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
     return PieceEncoder(encode)
 
 
+def byte_letters() -> list[str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable
+    Latin-1 characters for themselves, the others from U+0100 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
+
+
 # -- planes ------------------------------------------------------------------
 
 def to_planes(ids: np.ndarray, kind: str = "byte") -> list[bytes]:
@@ -179,7 +188,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
 
     Returns the manifest, kept as a table: ``shard`` and ``part`` (their order
     is the files' order), ``name``, ``n_docs``, ``n_ids``.  ``end_id`` is
-    appended to each document.  Rows are dealt by ranges of the id column;
+    appended to each document.  Texts are encoded as the tokenizer's plain call
+    without added special tokens does; the string of a special token in a text
+    becomes that token.  Rows are dealt by ranges of the id column;
     equal ids are ordered by text; null ids come first.  Null texts are
     empty; an empty table gives an empty manifest.  Other columns are not
     read.
