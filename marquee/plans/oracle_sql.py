@@ -66,6 +66,7 @@ raw_meta AS (
          WHEN {hit(K, 'genres_quoted_id')} THEN '[{{"id":"1","name":"URGENT"}}]'
          WHEN {hit(K, 'genres_float_id')} THEN '[{{"id":1.5,"name":"URGENT"}}]'
          WHEN {hit(K, 'genres_long_id')} THEN '[{{"id":12345678901234567890,"name":"URGENT"}}]'
+         WHEN {hit(K, 'genres_overflow')} THEN NULL
          ELSE to_json([{{'id': CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT),
                          'name': split_part(o.o_orderpriority, '-', 2)}},
                        {{'id': CAST(10 AS BIGINT), 'name': o.o_orderstatus}}]) END AS genres_json,
@@ -85,6 +86,7 @@ raw_meta AS (
          WHEN {hit(K, 'companies_junk')} THEN NULL
          WHEN {hit(K, 'companies_trailing')} THEN NULL
          WHEN {hit(K, 'companies_slash')} THEN '[{{"id":1,"name":"a\\\\/b"}}]'
+         WHEN {hit(K, 'companies_surrogate')} THEN NULL
          WHEN {hit(K, 'companies_apostrophe')} THEN to_json([{{'id': CAST(n.n_nationkey AS BIGINT), 'name': n.n_name || '''s Films'}}])
          WHEN {hit(K, 'companies_escape')} THEN to_json([{{'id': CAST(n.n_nationkey AS BIGINT), 'name': 'café ' || n.n_name}}])
          ELSE to_json([{{'id': CAST(n.n_nationkey AS BIGINT), 'name': n.n_name}},
@@ -108,12 +110,12 @@ meta_ann AS (
     {_bu_v} AS budget, {date_sql('release_date')} AS release_date, {_re_v} AS revenue,
     companies_json AS production_companies,
     list_filter([{_tm_r}, {_im_r},
-                 CASE WHEN genres_json IS NULL THEN 'genres:not_a_list' END,
+                 CASE WHEN genres_json IS NULL THEN 'genres:' ||
+                      CASE WHEN {hit('order_key', 'genres_object')} THEN 'not_a_list' ELSE 'unparseable' END END,
                  CASE WHEN original_title IS NULL THEN 'original_title:null' END,
                  {_bu_r}, {_re_r},
                  CASE WHEN companies_json IS NULL THEN 'production_companies:' ||
-                      CASE WHEN {hit('order_key', 'companies_trailing')} AND NOT {hit('order_key', 'companies_junk')}
-                           THEN 'unparseable' ELSE 'not_a_list' END END],
+                      CASE WHEN {hit('order_key', 'companies_junk')} THEN 'not_a_list' ELSE 'unparseable' END END],
                 lambda x: x IS NOT NULL) AS reasons
   FROM raw_meta
 )"""

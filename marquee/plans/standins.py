@@ -49,13 +49,16 @@ DIRT = {
     "date_padded": 149, "date_unpadded": 151,
     "revenue_zero": 157, "revenue_null": 163,
     "companies_empty": 167, "companies_none": 173, "companies_junk": 179,
-    "companies_apostrophe": 181, "companies_escape": 191, "companies_trailing": 193, "companies_slash": 197,
-    "genres_extra_key": 83, "genres_quoted_id": 89, "genres_float_id": 79, "genres_long_id": 73,
+    "companies_apostrophe": 181, "companies_escape": 191, "companies_trailing": 193, "companies_slash": 197, "companies_surrogate": 199,
+    "genres_extra_key": 83, "genres_quoted_id": 89, "genres_float_id": 79, "genres_long_id": 73, "genres_overflow": 241,
     "link_imdb_float": 53, "link_tmdb_null": 59, "link_tmdb_text": 61,
     "rating_text": 97, "rating_id_long": 71,
     "feed_prefix_space": 7, "feed_title_padded": 5,
 }
 
+# So many signs before a number overflow the stack of Python's parser.
+PARSER_OVERFLOW = 7000
+
 # Added to an id, it does not fit an INT any more.
 LONG_ID = 3_000_000_000
 
@@ -96,6 +99,7 @@ def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_hit(k, "companies_junk"), F.lit("junk"))
         .when(_hit(k, "companies_trailing"), F.lit("[{'name': 'A', 'id': 1}] and more"))
         .when(_hit(k, "companies_slash"), F.lit("[{'name': 'a\\/b', 'id': 1}]"))
+        .when(_hit(k, "companies_surrogate"), F.lit("[{'name': '\\ud800', 'id': 1}]"))
         .when(_hit(k, "companies_apostrophe"),
               F.concat(F.lit("[{'name': \""), nn, F.lit("'s Films\", 'id': "), nk, F.lit("}]")))
         .when(_hit(k, "companies_escape"),
@@ -118,6 +122,7 @@ def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(_hit(k, "genres_quoted_id"), F.lit("[{'id': '1', 'name': 'URGENT'}]"))
          .when(_hit(k, "genres_float_id"), F.lit("[{'id': 1.5, 'name': 'URGENT'}]"))
          .when(_hit(k, "genres_long_id"), F.lit("[{'id': 12345678901234567890, 'name': 'URGENT'}]"))
+         .when(_hit(k, "genres_overflow"), F.concat(F.lit("["), F.repeat(F.lit("-"), F.lit(PARSER_OVERFLOW)), F.lit("1]")))
          .otherwise(genres).alias("genres"),
         F.when(_hit(k, "original_title_null"), F.lit(None).cast("string"))
          .otherwise(F.col("c_name")).alias("original_title"),

@@ -6,9 +6,10 @@
   files).
 * Rows with more or fewer cells than the header are kept, on request with
   their text in ``MALFORMED``; cleaning then rejects them.
-* ``multiLine`` + ``escape='"'`` reads doubled quotes and embedded newlines
-  the way the CSV writer of the source system produced them.  multiLine files
-  cannot be split, so the reader repartitions once after the scan.
+* Doubled quotes and line breaks inside cells are read the way the CSV writer
+  of the source system produced them.  Such files are split too: whether a line
+  begins inside a cell is found by a scan over the byte ranges' quote states
+  (:mod:`marquee.sources.records`), and whole records are parsed.
 * Files whose headers may differ are grouped by header line (read from the
   first bytes of each file) and each group is read in one scan; the groups
   are combined with ``unionByName``.  A single read would take one file's
@@ -20,11 +21,12 @@ from __future__ import annotations
 import csv
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee.operators.dedup import union_by_name
+from marquee.sources.records import identity, joined_records
 
 # Text a CSV cell may hold for "missing" (pandas' default set).
 NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -60,15 +62,15 @@ def list_data_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
 
 def header_line(spark: SparkSession, path: str) -> str:
     """First line of a (possibly compressed) text file, read by the driver:
-    a few bytes per file, never the data."""
+    a few bytes per file, never the data.  A carriage return at its end stays."""
     jvm, conf = _hadoop(spark)
     p = jvm.org.apache.hadoop.fs.Path(path)
     stream = p.getFileSystem(conf).open(p)
     try:
         codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
         raw = codec.createInputStream(stream) if codec is not None else stream
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8"))
-        return (reader.readLine() or "").lstrip("\ufeff")
+        lines = jvm.java.util.Scanner(raw, "UTF-8").useDelimiter("\n")
+        return (lines.next() if lines.hasNext() else "").lstrip("\ufeff")
     finally:
         stream.close()
 
@@ -98,18 +100,62 @@ def null_tokens_to_null(df: DataFrame, columns: list[str] | None = None,
         for c in df.columns])
 
 
-def _read_group(spark: SparkSession, header: str, files: list[str], multiline: bool) -> DataFrame:
-    """Files of one header, read in one scan."""
-    names = next(csv.reader([header]))
+_ROW_END, _MID_CELL, _QUOTED, _AFTER_QUOTE = 1, 0, 2, 3
+
+
+def _quote_code(line: Column) -> Column:
+    """A line's code for :func:`records.joined_records`: state 1 is inside a
+    quoted cell.
+
+    The quotes of a line are walked through.  A quote at a cell's start opens
+    it; in a quoted cell two are one of its characters, a single one closes
+    it; other quotes are characters.  What follows a closing quote belongs to
+    the cell up to the next comma."""
+    after = F.split(line, '"', -1)
+
+    def text(state: Column, between: Column) -> Column:
+        return (F.when((between == "") | (state == _QUOTED), state)
+                .when(between.endswith(","), F.lit(_ROW_END)).otherwise(F.lit(_MID_CELL)))
+
+    def step(state: Column, between: Column) -> Column:
+        quote = (F.when(state == _ROW_END, F.lit(_QUOTED)).when(state == _QUOTED, F.lit(_AFTER_QUOTE))
+                 .when(state == _AFTER_QUOTE, F.lit(_QUOTED)).otherwise(state))
+        return text(quote, between)
+
+    def folded(start: int) -> Column:
+        return F.reduce(F.slice(after, F.lit(2), F.size(after)), text(F.lit(start), F.get(after, F.lit(0))), step)
+
+    code = ((folded(_ROW_END) == _QUOTED).cast("int") + (folded(_QUOTED) == _QUOTED).cast("int") * 2)
+    return F.when(line.contains('"'), code).otherwise(F.lit(identity(2)))
+
+
+def _read_group(spark: SparkSession, header: str, files: list[str], multiline: bool, malformed: bool) -> tuple[DataFrame, int]:
+    """Files of one header line, read in one scan, and the number of its tasks.  As in the built-in reader,
+    the line break behind the header is the file's: where that is CR LF, one
+    inside a cell reads as LF.  Files with CR alone are not split."""
+    line, windows = header.rstrip("\r"), header.endswith("\r")
+    mac, line = "\r" in line, line.split("\r")[0]
+    names = next(csv.reader([line]))
     if len(set(names)) < len(names):
         raise ValueError(f"{files[0]}: the header repeats a column")
     schema = StructType([StructField(n, StringType()) for n in [*names, MALFORMED]])
-    return (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
-            .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", MALFORMED)
-            .option("columnPruning", False)  # else cells beyond the chosen columns are not looked at
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .csv(files))
+    # without pruning, cells beyond the chosen columns are looked at: needed to tell wrong cell counts
+    options = {"multiLine": str(multiline).lower(), "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+               "columnNameOfCorruptRecord": MALFORMED, "columnPruning": str(not malformed).lower(),
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    if not multiline or mac:
+        df = spark.read.schema(schema).options(header=True, **options).csv(files)
+        return df, df.rdd.getNumPartitions()
+    records, ranges = joined_records(spark, files, "\n", 2, _quote_code)
+    records = records.filter(~F.col("first"))
+    text = F.regexp_replace("value", r"\r$", "")
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` STRING" for f in schema.fields)
+    rows = records.select(text.alias("value")).filter("value <> ''") \
+        .select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
+    own = [F.col(f"`{n}`") for n in names]
+    if windows:
+        rows = rows.select(*[F.replace(c, F.lit("\r\n"), F.lit("\n")).alias(n) for c, n in zip(own, names)], MALFORMED)
+    return rows, ranges
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
@@ -124,18 +170,20 @@ def read_csv_text(spark: SparkSession, path: str | list[str], columns: list[str]
     NULL if it is one of ``defaults`` (cleaning gives it its default), else an
     error.
 
-    With ``multiline`` a file is one task; when the scan yields fewer than half
-    the cluster's cores worth of tasks the rows are spread right after the scan
-    (round-robin, deterministic on retry), unless ``partitions`` says
-    otherwise.  Files without line breaks inside cells are split: pass
-    ``multiline=False`` for those.
+    Files are split in either case.  With ``multiline`` cells may hold line
+    breaks; the files' byte ranges are then scanned once when this is called,
+    which ``multiline=False`` saves for files without any.  When the scan
+    yields fewer than half the cluster's cores worth of tasks (small files, or
+    compressed ones) the rows are spread right after it, unless ``partitions``
+    says otherwise.
     """
-    groups = {h: f for h, f in files_by_header(spark, path).items() if h}
+    groups = {h: f for h, f in files_by_header(spark, path).items() if h.strip("\r")}
     if not groups:
         raise FileNotFoundError(f"no CSV matched {path}")
-    frames = []
+    frames, tasks = [], 0
     for header, files in sorted(groups.items()):
-        df = _read_group(spark, header, files, multiline)
+        df, own_tasks = _read_group(spark, header, files, multiline, malformed)
+        tasks += own_tasks
         if columns is not None:
             missing = [c for c in columns if c not in df.columns]
             if set(missing) - set(defaults or ()):
@@ -148,7 +196,7 @@ def read_csv_text(spark: SparkSession, path: str | list[str], columns: list[str]
         df = null_tokens_to_null(df, [c for c in df.columns if c != MALFORMED])
     if partitions is None and multiline:
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() * 2 < cores:
+        if tasks * 2 < cores:
             partitions = cores
     return df.repartition(partitions) if partitions else df
 

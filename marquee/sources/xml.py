@@ -1,29 +1,60 @@
 """XML feed source (one row per ``<doc>`` under ``<feed>``).
 
 The built-in ``xml`` source reads a file in one task.  ``read_xml_feed`` with
-``split=True`` reads the file as text records that end at ``</doc>`` — the
+``split=True`` reads the file as text chunks that end at ``</doc>`` — the
 text source splits a file by byte ranges, so a large dump is read by many
-tasks — keeps each record from its ``<doc`` on, and parses it with
-``from_xml`` against an explicit schema (one pass, no inference scan).
-Compressed input (gzip) cannot be split by any reader, so its text records are
+tasks.  A ``</doc>`` inside CDATA, a comment or a processing instruction ends
+no record: :mod:`marquee.sources.records` finds the state at each chunk's end
+and puts such chunks together.  Each record is kept from its ``<doc`` on and
+parsed with ``from_xml`` against an explicit schema (no inference scan).
+Compressed input (gzip) cannot be split by any reader, so its records are
 spread over the cluster before they are parsed.
 
-The split form assumes what an escaped feed guarantees: no record holds a
-literal ``</doc>`` inside CDATA, and rows are not self-closing ``<doc/>``.  A
-record that ends inside CDATA fails the job with a message; read such files
-with ``split=False`` (the built-in reader, one task per file).
+The split form assumes that rows are not self-closing ``<doc/>``.  Comments
+are no content and are taken out before parsing.  A section that is never
+closed takes the rest of its file into one record, which cannot be parsed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.sources.csv import list_data_files
+from marquee.sources.records import end_states, identity, joined_records
+
 FEED_SCHEMA = "title STRING, url STRING, abstract STRING"
 # Values must come back exactly as written: no trimming by the parser.
 _XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
 
 
+# States at the end of a chunk: content, and inside CDATA, a comment, an instruction.
+_CONTENT, _CDATA, _COMMENT, _INSTRUCTION = range(4)
+# What each mark opens, and what it closes.  Marks that hold another one's characters are marks of their own.
+_MARKS = {"<![CDATA[": (_CDATA, None), "]]>": (None, _CDATA), "<!--": (_COMMENT, None), "-->": (None, _COMMENT),
+          "<!-->": (_COMMENT, _COMMENT), "<!--->": (_COMMENT, _COMMENT), "<?": (_INSTRUCTION, None),
+          "?>": (None, _INSTRUCTION), "<?>": (_INSTRUCTION, _INSTRUCTION)}
+_MARK = r"<!\[CDATA\[|\]\]>|<!--->|<!-->|<!--|-->|<\?>|<\?|\?>"
+# Sections that are kept (first group) or taken out.
+_SECTION = r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->|<\?.*?\?>"
+
+
+def _section_code(chunk: Column) -> Column:
+    """A chunk's code for :func:`records.joined_records`: its marks are walked
+    through; one opens a section in content only, and closes only its own."""
+    def step(state: Column, mark: Column) -> Column:
+        opens, closes = F.when(F.lit(False), 0), F.when(F.lit(False), 0)
+        for text, (o, c) in _MARKS.items():
+            opens = opens.when(mark == text, o) if o is not None else opens
+            closes = closes.when(mark == text, c) if c is not None else closes
+        return (F.when(state == _CONTENT, F.coalesce(opens, state))
+                .when(closes == state, F.lit(_CONTENT)).otherwise(state))
+
+    marks = F.regexp_extract_all(chunk, F.lit(f"({_MARK})"), F.lit(1))
+    marked = chunk.contains("<!") | chunk.contains("<?") | chunk.contains("]]>") | chunk.contains("-->") | chunk.contains("?>")
+    return F.when(marked, end_states(4, step, marks, F.lit)).otherwise(F.lit(identity(4)))
+
+
 def read_xml_feed(spark: SparkSession, path: str, schema: str = FEED_SCHEMA,
                   row_tag: str = "doc", split: bool = True,
                   partitions: int | None = None, raw_col: str | None = None) -> DataFrame:
@@ -36,16 +67,14 @@ def read_xml_feed(spark: SparkSession, path: str, schema: str = FEED_SCHEMA,
         df = reader.load(path)
     else:
         end = f"</{row_tag}>"
-        records = spark.read.option("lineSep", end).text(path)
+        records, ranges = joined_records(spark, list_data_files(spark, path), end, 4, _section_code)
         cores = spark.sparkContext.defaultParallelism
-        if partitions is None and records.rdd.getNumPartitions() * 2 < cores:
+        if partitions is None and ranges * 2 < cores:
             partitions = cores
         if partitions:
             records = records.repartition(partitions)
-        cut = F.length(F.replace(F.col("value"), F.lit("<![CDATA["), F.lit(""))) + 9 * F.regexp_count("value", F.lit(r"\]\]>")) \
-            != F.length("value")
-        whole = F.when(cut, F.raise_error(F.lit(f"a record holds {end} inside CDATA: read this feed with split=False"))) \
-            .otherwise(F.col("value"))
+        value = F.col("value")
+        whole = F.when(value.contains("<!--") | value.contains("<?"), F.regexp_replace(value, _SECTION, "$1")).otherwise(value)
         body = F.regexp_extract(whole, rf"(?s)<{row_tag}[\s>/].*$", 0)
         frags = records.select(body.alias("frag")).filter(F.col("frag") != "")
         parsed = frags.select("frag", F.from_xml(F.concat("frag", F.lit(end)), schema, _XML_OPTIONS).alias("r"))
