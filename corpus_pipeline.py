@@ -43,28 +43,41 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
                           .otherwise(F.col("n_chars"))).select(*own.columns).toDF(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number ``place`` of each row that follows the order of
+    the ids (null last) and tells rows with a null or repeated id apart.  Only
+    ids and hashes of the texts are sorted."""
+    rows = materialize(_carried(docs).withColumn("row_", F.monotonically_increasing_id()), "pipeline-rows")
+    keys = rows.select("doc_id", "row_", F.xxhash64("text").alias("hash"))
+    order = [F.col("doc_id").asc_nulls_last(), F.col("hash"), F.col("row_")]
+    dealt = keys.repartitionByRange(*order).sortWithinPartitions(*order)
+    places = materialize(dealt.select("row_", F.monotonically_increasing_id().alias("place")), "pipeline-places")
+    return join_small_side(rows, places, "row_").drop("row_")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near
-    duplicates."""
-    others = jaccard.near_duplicates(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = join_small_side(docs, materialize(others, "pipeline-copies"), "doc_id", "left_anti")
-    again = materialize(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
-    if again.isEmpty():
-        return kept
-    # an id that occurs repeatedly: rows of one text are one document
-    rows = join_small_side(kept, again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return join_small_side(kept, again, "doc_id", "left_anti").unionByName(rows)
+    """One document of each group of near duplicates: the one with the
+    smallest id (a null id comes last), and of those the first in the table.
+    Null and empty texts are no copies.  Ids may be null or repeated."""
+    rows = numbered(docs)
+    groups = jaccard.near_duplicates(rows.select("place", "text"), id_col="place")
+    others = materialize(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("place")), "pipeline-copies")
+    return join_small_side(rows, others, "place", "left_anti").drop("place").toDF(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontam.find_leaks(docs, benchmark).select("doc_id").distinct()
-    return join_small_side(docs, materialize(leaks, "pipeline-leaks"), "doc_id", "left_anti")
+    """Documents without passages of the benchmark.  A row goes for its own
+    text only, whatever its id; ids may be null or repeated."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    rows = numbered(docs)
+    leaks = decontam.find_leaks(rows.select(F.col("place").alias("doc_id"), "text"), benchmark)
+    leaks = materialize(leaks.select(F.col("doc_id").alias("place")).distinct(), "pipeline-leaks")
+    return join_small_side(rows, leaks, "place", "left_anti").drop("place").toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token ids, counted and hashed, and decoded again."""
+    """The documents' token ids, counted and hashed, and decoded again; one row
+    for each row, null texts as empty ones, null and repeated ids as they are."""
     return bpe.encode_documents(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

@@ -6,9 +6,9 @@ is known add the mean of their log frequencies, from ``max_n`` characters down
 to single ones.  Words without any known character add nothing.
 
 The model is fitted on a bounded sample of labelled texts: about
-``sample_docs`` texts of each language, chosen by a hash of the text, and at
-most ``max_words`` words and ``max_grams`` n-grams, the most frequent ones.
-These bounds are parameters; prediction reads every text whole.
+``sample_docs`` different texts of each language, chosen by a hash of the text,
+and at most ``max_words`` words and ``max_grams`` n-grams, the most frequent
+ones.  These bounds are parameters; prediction reads every text whole.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from marquee.llm.text_arrow import slices
 from marquee.session import materialize
 
 UNKNOWN = "und"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -44,19 +44,26 @@ class Model:
 
 
 def fit(labelled: DataFrame, sample_docs: int = 4000, max_words: int = 200_000,
-        max_grams: int = 200_000, max_n: int = 4, smoothing: float = 0.5) -> Model:
-    """Fit on ``text`` and ``lang``; rows with a null in either are left out.
+        max_grams: int = 200_000, max_n: int = 4, smoothing: float = 0.5, max_langs: int = 200) -> Model:
+    """Fit on ``text`` and ``lang``; rows with a null in either are left out,
+    and copies of a text in a language count once.
 
     What comes to the driver is one row for each language, and at most
-    ``max_words`` + ``max_grams`` counts.
+    ``max_words`` + ``max_grams`` counts.  More than ``max_langs`` different
+    labels are an error: the model has a column for each.  An empty table
+    gives a model without languages.
     """
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).dropna()
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.withColumn("copy", F.xxhash64("text"))
+    sizes = {r["lang"]: r["count"] for r in rows.select("lang", "copy").distinct().groupBy("lang").count()
+             .limit(max_langs + 1).collect()}
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than {max_langs} languages: clean the labels, or raise max_langs")
     langs = sorted(sizes)
     if not langs:
         return Model([], {}, {}, np.zeros((0, 0)), max_n)
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, sample_docs / sizes[lang]))])
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    sample = rows.filter(F.pmod("copy", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).dropDuplicates(["lang", "copy"])
     words = materialize(
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("term"))
         .groupBy("lang", "term").count(), "language-words")
@@ -93,11 +100,20 @@ def fit(labelled: DataFrame, sample_docs: int = 4000, max_words: int = 200_000,
 
 
 class Scorer:
-    """Scores texts; remembers at most ``keep`` unseen words of a worker."""
+    """Scores texts.  Known words are looked up in the model itself; at most
+    ``keep`` unseen words of a worker are remembered besides."""
 
-    def __init__(self, model: Model, keep: int = 200_000):
+    def __init__(self, model: Model, keep: int = 100_000):
         self.model, self.keep = model, keep
-        self.table, self.known = model.table, dict(model.words)
+        self.unseen: dict[str, int] = {}
+        self.rows = np.zeros((1024, len(model.langs)))  # of unseen words; grown by doubling
+
+    @staticmethod
+    def of(model: Model) -> "Scorer":
+        """The one scorer of a worker's model."""
+        if not hasattr(model, "scorer"):
+            model.scorer = Scorer(model)
+        return model.scorer
 
     def _fallback(self, word: str) -> np.ndarray:
         padded, m = f" {word} ", self.model
@@ -108,28 +124,40 @@ class Scorer:
         return np.zeros(len(m.langs))
 
     def _learn(self, words: list[str]) -> None:
-        at = len(self.table)
-        self.table = np.vstack([self.table, [self._fallback(w) for w in words]])
-        self.known.update((w, at + i) for i, w in enumerate(words))
+        if len(self.unseen) + len(words) > self.keep:
+            self.unseen = {}
+        need = len(self.unseen) + len(words)
+        if need > len(self.rows):
+            grown = np.zeros((max(need, 2 * len(self.rows)), self.rows.shape[1]))
+            grown[:len(self.unseen)] = self.rows[:len(self.unseen)]
+            self.rows = grown
+        for w in words:
+            self.rows[len(self.unseen)] = self._fallback(w)
+            self.unseen[w] = len(self.unseen)
+
+    def one(self, text: str | None) -> tuple[str, float]:
+        counts = Counter(_WORD.findall(text.lower())) if text else Counter()
+        if not self.model.langs or not any(ch.isalpha() for w in counts for ch in w):
+            return UNKNOWN, 0.0
+        known, total = self.model.words, np.zeros(len(self.model.langs))
+        seen = [w for w in counts if w in known]
+        new = [w for w in counts if w not in known]
+        if seen:
+            total += np.array([counts[w] for w in seen], float) @ self.model.table[[known[w] for w in seen]]
+        for k in range(0, len(new), 4096):  # a long text may have more words than are kept
+            own = new[k:k + 4096]
+            missing = [w for w in own if w not in self.unseen]
+            if missing and len(self.unseen) + len(missing) > self.keep:
+                missing = own  # all is forgotten first
+            if missing:
+                self._learn(missing)
+            total += np.array([counts[w] for w in own], float) @ self.rows[[self.unseen[w] for w in own]]
+        best = int(total.argmax())  # the first of equal ones: languages are in order
+        return self.model.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
     def batch(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        counts = [Counter(_WORD.findall(t.lower())) if t else Counter() for t in texts]
-        if len(self.known) > len(self.model.words) + self.keep:
-            self.known, self.table = dict(self.model.words), self.table[:len(self.model.table)]
-        new = {w for c in counts for w in c if w not in self.known} if self.model.langs else ()
-        if new:
-            self._learn(sorted(new))
-        langs, scores = [], []
-        for c in counts:
-            if not self.model.langs or not any(ch.isalpha() for w in c for ch in w):
-                langs.append(UNKNOWN)
-                scores.append(0.0)
-                continue
-            total = np.fromiter(c.values(), float, len(c)) @ self.table[[self.known[w] for w in c]]
-            best = int(total.argmax())  # the first of equal ones: languages are in order
-            langs.append(self.model.langs[best])
-            scores.append(float(1 / np.exp(np.minimum(total - total[best], 0)).sum()))
-        return langs, scores
+        found = [self.one(t) for t in texts]
+        return [f[0] for f in found], [f[1] for f in found]
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -138,14 +166,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     Only ``text`` decides.  A null text, or one without a letter, is ``und``
     with score 0, as is everything if no language was learned.  Ties go to the
-    first language in order.  Every text is read whole.
+    first language in order.  Every text is read whole; a task holds one slice
+    of texts, or one text if that is longer.  Repeated rows give repeated rows,
+    an empty table an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words + max_grams
     others = docs.drop("lang_pred", "score")
     out = StructType([*others.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer.of(shared.value)
         for batch in slices(batches, "text", SLICE_BYTES):
             langs, scores = scorer.batch(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
