@@ -9,11 +9,19 @@ a token of a small group (one set of rows per single token), or k tokens that
 all have large groups: those are indexed by combinations of k = 2.
 
 Documents with equal sets share one set id throughout, so copies are never
-expanded.  Candidates are not expanded into all pairs either.  Near copies are
-joined first, each set with the one that it shares the most tokens with of
-those that come first in a group (a star: as many pairs as sets).  After that,
-only groups that still hold several components are looked at, and only pairs
-that join different ones.  Every link is verified on whole sets.
+expanded.  Candidates are not expanded into all pairs either:
+
+* A set is looked at only while it can link.  For each class of sizes, the
+  tokens that it has in groups with sets of that class and another component
+  must be as many as a pair of such sizes has to share.  Sets that fall short
+  leave their groups, which may leave others short.
+* Near copies are joined by stars, each set with the centre that it shares the
+  most tokens with (as many pairs as sets).  A group has a centre for each
+  class of sizes: in the first round the set with the fewest tokens of its own,
+  which the others are copies of if any, later one by chance.
+* Pairs are made of what is left: sets that can link with another component.
+
+Every link is verified on whole sets.
 """
 
 from __future__ import annotations
@@ -39,7 +47,9 @@ FREQUENT_SHARE, FREQUENT_CHUNK = 0.0005, 8192
 CHUNK_TOKENS = 1 << 21
 #: Sets in a group from which its token is used in combinations only.
 LARGE_GROUP = 64
-STAR_ROUNDS = 2
+STAR_ROUNDS = 4
+#: Rounds in which sets that cannot link leave their groups, and classes of sizes in one factor of the threshold.
+PRUNE_ROUNDS, SIZE_CLASSES = 2, 12
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -259,23 +269,61 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     def sizes_fit(x: Column, y: Column) -> Column:
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
+    fine = max(math.log(100 / percent), 0.02) / SIZE_CLASSES
+
+    def size_class(n: Column, step: float = fine, shift: float = 0.0) -> Column:
+        return F.floor(F.log(n.cast("double")) / F.lit(step) + F.lit(shift)).cast("int")
+
+    def can_link(rooted: DataFrame) -> DataFrame:
+        """``sid`` and ``least`` of the sets that share enough tokens, over all
+        sets of other components in a class of sizes, to link with one: least
+        is the number that a pair must share."""
+        rooted = rooted.withColumn("class", size_class(F.col("n")))
+        present = rooted.groupBy("token", "class").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        present = materialize(present.groupBy("token").agg(F.collect_list(F.struct("class", "lo", "hi")).alias("others")), "jaccard-classes")
+        other = F.explode(F.filter("others", lambda o: (F.abs(o["class"] - F.col("class")) <= SIZE_CLASSES + 1)
+                                   & ((o["lo"] != F.col("root")) | (o["hi"] != F.col("root")))))
+        n, c = F.col("n"), F.col("other")
+        low, high = F.floor(F.exp(c * fine)), F.ceil(F.exp((c + 1) * fine))
+        least = F.least(shared_at_least(n, low, n), shared_at_least(n, high, high))
+        counts = (rooted.join(present, "token").select("sid", "n", other.alias("o")).select("sid", "n", F.col("o.class").alias("other"))
+                  .groupBy("sid", "n", "other").agg(F.count("*").alias("t")).filter(F.col("t") >= least))
+        return counts.groupBy("sid").agg(F.min(least).alias("least"))
+
+    def pruned(rooted: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of groups with several components, of sets that can link, and
+        those sets."""
+        for _ in range(PRUNE_ROUNDS):
+            able = materialize(can_link(rooted), "jaccard-able")
+            rooted = materialize(_mixed(rooted.join(able.select("sid"), "sid", "left_semi")), "jaccard-open")
+        return rooted, able
+
     links, component = None, None
-    open_groups = groups.withColumn("root", F.col("sid"))
+    open_groups, able = pruned(groups.withColumn("root", F.col("sid")))
+    # of each set, the share of its extended prefix that no other set has
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 2
+    rare = materialize(groups.groupBy("sid").agg((10 - F.floor(10 * F.count("*") / F.first(length))).cast("int").alias("rare")),
+                       "jaccard-rare")
     for turn in range(STAR_ROUNDS):
-        # of each group the first set in an order of this round; each set tries the one it shares the most tokens with
-        order = F.struct(F.xxhash64("root", F.lit(turn)).alias("h"), "root", "sid", "n")
-        centre = materialize(open_groups.groupBy("token").agg(F.min(order).alias("c")), "jaccard-centres")
-        tries = (open_groups.join(centre, "token").filter("c.root <> root").filter(sizes_fit(F.col("n"), F.col("c.n")))
+        if open_groups.isEmpty():
+            break
+        # a group's centres, one for each class of sizes, whose borders lie elsewhere in every other round
+        placed = open_groups.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES, turn % 2 / 2))
+        if turn == 0:
+            placed = placed.join(rare, "sid")
+        order = F.struct(*(["rare"] if turn == 0 else []), F.xxhash64("root", F.lit(turn)).alias("h"), "root", "sid", "n")
+        centre = materialize(placed.groupBy("token", "class").agg(F.min(order).alias("c")), "jaccard-centres")
+        tries = (placed.join(centre, ["token", "class"]).filter("c.root <> root").filter(sizes_fit(F.col("n"), F.col("c.n")))
                  .groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(
                      F.count("*").alias("count"), F.first(shared_at_least(F.col("n"), F.col("c.n"), F.greatest("n", "c.n"))).alias("needed"))
                  .filter(F.col("count") * 2 >= F.col("needed"))  # a first look; what it misses comes below
                  .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
         found = materialize(verified(tries), "jaccard-links")
-        if turn and found.isEmpty():
+        if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
         component = connected_components(links)
-        open_groups = materialize(_still_open(groups, component), "jaccard-open")
+        open_groups, able = pruned(_rooted(open_groups, component))
 
     # what is left: groups with several components.  Pairs across them, by single tokens where
     # the group is small and by combinations of two where it is large.  Only pairs that may share
@@ -288,13 +336,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         F.first("n").alias("n"), F.first("root").alias("root"), F.count("*").alias("t"),
         F.sum(F.col("large").cast("long")).alias("l"),
         F.array_sort(F.collect_list(F.when(F.col("large"), F.col("token")))).alias("tokens"))
-    heads = materialize(heads.join(ends, "sid").dropDuplicates(["sid"]), "jaccard-heads")
-    step = F.lit(math.log(100 / percent))
-    heads = heads.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
+    heads = materialize(heads.join(able, "sid").join(ends, "sid").dropDuplicates(["sid"]), "jaccard-heads")
+    heads = heads.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES))
     single = sized.filter("not large").select("sid", "token").join(heads.drop("tokens"), "sid")
-    two = heads.filter("l > 1").select("*", F.explode(F.expr(
-        "flatten(transform(tokens, (x, i) -> transform(slice(tokens, i + 2, size(tokens)), y -> xxhash64(x, y))))"))
-        .alias("token")).drop("tokens")
+    # a pair without a single token shares `least` of a set's l large groups: two of those are among its first l - least + 2
+    first = F.slice("tokens", F.lit(1), (F.col("l") - F.greatest("least", F.lit(2)) + 2).cast("int"))
+    two = heads.filter("l > 1 and l >= least").withColumn("tokens", first).select("*", F.posexplode("tokens").alias("i", "x")) \
+        .select("*", F.explode(F.slice("tokens", F.col("i") + 2, F.size("tokens"))).alias("y")) \
+        .withColumn("token", F.xxhash64("x", "y")).drop("tokens", "i", "x", "y")
 
     def across(rows: DataFrame, shared: Column) -> DataFrame:
         """Pairs of different components with a token: sizes that fit are of
@@ -313,7 +362,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         .filter("shared >= needed").select("a", "b")
     found = materialize(verified(pairs), "jaccard-links")
     if not found.isEmpty():
-        component = connected_components(links.unionByName(found))
+        component = connected_components(found if links is None else links.unionByName(found))
+    if component is None:
+        component = connected_components(found)
 
     rooted = materialize(
         sets.select("doc_id", "n", "sid").join(component.select(F.col("node").alias("sid"), "root"), "sid", "left")
@@ -324,11 +375,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         "doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
 
 
-def _still_open(groups: DataFrame, component: DataFrame) -> DataFrame:
-    """Groups' rows, with their component's root, of groups that hold more
-    than one component."""
-    rooted = (groups.join(component.select(F.col("node").alias("sid"), "root"), "sid", "left")
+def _rooted(groups: DataFrame, component: DataFrame) -> DataFrame:
+    """Groups' rows with their component's root."""
+    rooted = (groups.drop("root").join(component.select(F.col("node").alias("sid"), "root"), "sid", "left")
               .select("token", "sid", "n", F.coalesce("root", "sid").alias("root")))
-    rooted = materialize(rooted, "jaccard-rooted")
+    return _mixed(materialize(rooted, "jaccard-rooted"))
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """The rows of groups that hold more than one component."""
     mixed = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
     return rooted.join(materialize(mixed.select("token"), "jaccard-mixed"), "token")

@@ -84,9 +84,9 @@ def test_file_round_trip(kind):
 
 def test_token_files(spark, tmp_path):
     from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(token_files.default_tokenizer())
-    tokenizer.encode_special_tokens = True
-    rows = [*EDGES, *[(100 + i, t) for i, t in enumerate(wild_texts(150))]]
+    tokenizer = Tokenizer.from_file(token_files.default_tokenizer())  # the plain call: nothing is set
+    assert len(tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids) == 4
+    rows = [*EDGES, (90, "a <|endoftext|> b"), (91, "<|endoftext|>x <|endoftext|"), *[(100 + i, t) for i, t in enumerate(wild_texts(150))]]
     got = token_files.token_files(spark, table(spark, rows, extra=("start", "shard")), str(tmp_path / "files"),
                                   block_ids=128, file_ids=1000, kind="bit").collect()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
