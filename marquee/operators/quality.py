@@ -11,8 +11,10 @@ checked (and the offenders quarantined) before it is published:
 * CHECK        -> rows where the predicate is false (NULL passes)
 
 Output columns: ``constraint`` STRING, ``key`` STRING, ``num_rows`` BIGINT.
-All row-level checks share one pass over the table; each key check is one
-partial+final aggregation on the key.
+All row-level checks share one pass over the table.  All key checks share one
+shuffle: each row is expanded to (constraint, 128-bit hash of the key), which
+are counted, partially in tasks; only rows whose hash occurs repeatedly are
+looked at again, with their real keys.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.contracts import TableContract
+from marquee.operators.joins import join_small_side
+from marquee.session import materialize
 
 
 def key_text(cols: list[str]) -> Column:
@@ -30,11 +34,32 @@ def key_text(cols: list[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
 
 
-def _duplicates(df: DataFrame, cols: list[str], label: str) -> DataFrame:
-    not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    counted = df.filter(not_null).groupBy(*cols).agg(F.count(F.lit(1)).alias("num_rows"))
-    return counted.filter(F.col("num_rows") > 1).select(
-        F.lit(label).alias("constraint"), key_text(cols).alias("key"), "num_rows")
+def declared_keys(contract: TableContract) -> list[tuple[str, list[str]]]:
+    """(label, columns) of the primary key and the unique keys."""
+    primary = [("primary_key_duplicate", list(contract.primary_key))] if contract.primary_key else []
+    return primary + [("unique:" + ",".join(cols), list(cols)) for cols in contract.unique]
+
+
+def key_rows(df: DataFrame, contract: TableContract, text: bool = True) -> DataFrame:
+    """A row for each row and declared key without a NULL part: ``constraint``,
+    the key's hash ``h1``, ``h2`` and, with ``text``, the key as it is shown
+    (``key``) and as text that no other key has (``exact``)."""
+    own = []
+    for i, (label, cols) in enumerate(declared_keys(contract)):
+        parts = [F.lit(label).alias("constraint"), F.xxhash64(F.lit(i), *cols).alias("h1"), F.xxhash64(*cols, F.lit(-1 - i)).alias("h2")]
+        if text:
+            parts += [key_text(cols).alias("key"), F.to_json(F.struct(*cols)).alias("exact")]
+        own.append(F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]), F.struct(*parts)))
+    return df.select(F.explode(F.array_compact(F.array(*own))).alias("k")).select("k.*")
+
+
+def _duplicates(df: DataFrame, contract: TableContract) -> DataFrame:
+    same = ["constraint", "h1", "h2"]
+    counted = key_rows(df, contract, text=False).groupBy(*same).agg(F.count(F.lit(1)).alias("n"))
+    repeated = materialize(counted.filter("n > 1").select(*same), "repeated-keys")
+    rows = join_small_side(key_rows(df, contract), repeated, same, "left_semi")
+    return (rows.groupBy("constraint", "exact").agg(F.first("key").alias("key"), F.count(F.lit(1)).alias("num_rows"))
+            .filter(F.col("num_rows") > 1).select("constraint", "key", "num_rows"))
 
 
 def _row_level(df: DataFrame, checks: list[tuple[str, Column]], key_cols: list[str]) -> DataFrame:
@@ -48,21 +73,23 @@ def _row_level(df: DataFrame, checks: list[tuple[str, Column]], key_cols: list[s
         F.explode("labels").alias("constraint"), "key", F.lit(1).cast("bigint").alias("num_rows"))
 
 
-def constraint_violations(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Union of every violated constraint of ``contract`` found in ``df``."""
+def row_violations(df: DataFrame, contract: TableContract) -> DataFrame | None:
+    """Violations that a row has by itself; None if the contract has no such
+    constraint."""
     pk = list(contract.primary_key) or [contract.columns[0].name]
-    row_checks: list[tuple[str, Column]] = []
-    parts: list[DataFrame] = []
+    checks: list[tuple[str, Column]] = []
     if contract.primary_key:
-        row_checks.append(("primary_key_null",
-                           reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])))
-        parts.append(_duplicates(df, pk, "primary_key_duplicate"))
-    for cols in contract.unique:
-        parts.append(_duplicates(df, list(cols), "unique:" + ",".join(cols)))
-    row_checks += [(f"not_null:{c.name}", F.col(c.name).isNull())
-                   for c in contract.columns if not c.nullable]
-    row_checks += [(f"check:{chk.name}", F.coalesce(~F.expr(chk.sql), F.lit(False)))
-                   for chk in contract.checks]
-    if row_checks:
-        parts.insert(0, _row_level(df, row_checks, pk))
+        checks.append(("primary_key_null", reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])))
+    checks += [(f"not_null:{c.name}", F.col(c.name).isNull()) for c in contract.columns if not c.nullable]
+    checks += [(f"check:{chk.name}", F.coalesce(~F.expr(chk.sql), F.lit(False))) for chk in contract.checks]
+    return _row_level(df, checks, pk) if checks else None
+
+
+def constraint_violations(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Union of every violated constraint of ``contract`` found in ``df``.
+    Keys are counted when this is called."""
+    rows = row_violations(df, contract)
+    parts = [rows] if rows is not None else []
+    if declared_keys(contract):
+        parts.append(_duplicates(df, contract))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from marquee import contracts as K
 from marquee.functions.ratio import guarded_ratio
@@ -100,7 +101,11 @@ def read_clean_feed(spark: SparkSession, path: str, split: bool = True) -> DataF
 def feed_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Text and reason of the feed's unreadable records."""
     feed = read_xml_feed(spark, path, raw_col="raw_record")
-    return feed.filter(unreadable(feed)).select("raw_record", F.array(F.lit("record:unreadable")).alias(REASONS))
+    return _feed_rejects(feed.filter(unreadable(feed)))
+
+
+def _feed_rejects(unread: DataFrame) -> DataFrame:
+    return unread.select("raw_record", F.array(F.lit("record:unreadable")).alias(REASONS))
 
 
 def linked_movies(links: DataFrame, metadata: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -201,12 +206,11 @@ def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: lis
             csv_dir: str | None = None) -> FilmTables:
     """Stage every table, then build ``top_movies`` from the written tables.
 
-    The links and metadata are parsed once: the annotated rows (typed values,
-    raw text, reasons) are written first, valid rows and rejects apart, and
-    the table and its quarantine each read their part; that copy is deleted at
-    the end.  Rating rows, the largest input and cheap to parse, are read
-    again for their quarantine instead.  Later steps read written tables, so a
-    lost executor never re-runs the parsing and the lineage stays short.
+    Every input is parsed once: the annotated rows (typed values, reasons, raw
+    text of rejects) are written first, valid rows and rejects apart, and the
+    table and its quarantine each read their part; that copy is deleted at the
+    end.  Later steps read written tables, so a lost executor never re-runs the
+    parsing and the lineage stays short.
     ``csv_dir`` also exports every table as CSV.
 
     With ``enforce_constraints`` every table is loaded all-or-nothing
@@ -221,21 +225,33 @@ def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: lis
         else:
             write_table(df, path, contract)
 
-    staged = {"movie_links": (raw_links(spark, link_csvs), K.MOVIE_LINKS),
-              "movies_metadata": (raw_metadata(spark, metadata_csv), K.MOVIES_METADATA)}
-    for name, (raw, contract) in staged.items():
-        halves = f"{out}/_annotated/{name}"
-        annotate(raw, contract).withColumn("is_reject", (F.size(REASONS) > 0).cast("int")) \
-            .write.mode("overwrite").partitionBy("is_reject").parquet(halves)
-        ann = spark.read.parquet(halves)
-        publish(split_annotated(ann.filter("is_reject = 0"), contract).valid, f"{out}/{name}", contract)
-        split_annotated(ann.filter("is_reject = 1"), contract).rejects.write.mode("overwrite").parquet(
-            f"{out}/quarantine/{name}")
-    rows = stage_rating_rows(spark, ratings_glob)
-    publish(ratings_mean(rows.valid), f"{out}/movie_ratings", K.MOVIE_RATINGS)
-    rows.rejects.write.mode("overwrite").parquet(f"{out}/quarantine/movie_ratings")
-    read_clean_feed(spark, feed_xml).write.mode("overwrite").parquet(f"{out}/wiki_feed")
-    feed_rejects(spark, feed_xml).write.mode("overwrite").parquet(f"{out}/quarantine/wiki_feed")
+    def halves(name: str, rows: DataFrame, is_reject: Column) -> tuple[DataFrame, DataFrame]:
+        """Valid rows and rejects of an input that is parsed once: both are
+        written, apart, with the raw columns of rejects only."""
+        raw = {c: F.when(F.col("is_reject") == 1, F.col(c)) for c in rows.columns if c.startswith("raw_")}
+        path = f"{out}/_annotated/{name}"
+        rows.withColumn("is_reject", is_reject.cast("int")).withColumns(raw).write.mode("overwrite") \
+            .partitionBy("is_reject").parquet(path)
+        schema = StructType([*rows.schema.fields, StructField("is_reject", IntegerType())])
+        kept = spark.read.schema(schema).parquet(path)  # a schema, as an input may be without rows
+        return kept.filter("is_reject = 0"), kept.filter("is_reject = 1")
+
+    def quarantine(rejects: DataFrame, name: str) -> None:
+        rejects.write.mode("overwrite").parquet(f"{out}/quarantine/{name}")
+
+    for name, raw, contract in (("movie_links", raw_links(spark, link_csvs), K.MOVIE_LINKS),
+                                ("movies_metadata", raw_metadata(spark, metadata_csv), K.MOVIES_METADATA)):
+        good, bad = halves(name, annotate(raw, contract), F.size(REASONS) > 0)
+        publish(split_annotated(good, contract).valid, f"{out}/{name}", contract)
+        quarantine(split_annotated(bad, contract).rejects, name)
+    rows = stage_rating_rows(spark, ratings_glob).annotated
+    good, bad = halves("movie_ratings", rows, F.size(REASONS) > 0)
+    publish(ratings_mean(split_annotated(good, K.RATING_ROWS, distinct=False).valid), f"{out}/movie_ratings", K.MOVIE_RATINGS)
+    quarantine(split_annotated(bad, K.RATING_ROWS, distinct=False).rejects, "movie_ratings")
+    feed = read_xml_feed(spark, feed_xml, raw_col="raw_record")
+    good, bad = halves("wiki_feed", feed, unreadable(feed))
+    write_table(clean_feed(good), f"{out}/wiki_feed")
+    quarantine(_feed_rejects(bad), "wiki_feed")
     delete_path(spark, f"{out}/_annotated")
     t = read_tables(spark, out)
     movies = linked_movies(t.links, t.metadata, t.ratings)

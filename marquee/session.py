@@ -97,6 +97,11 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """A hash of the names, sizes and times of all files under ``paths``: what
     is kept for one set of inputs is not used for another."""

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from marquee import contracts as K
 from marquee import session
+from marquee.operators import quality
 from marquee.operators.rank import BOUND_PARTS, dense_top_k, dense_top_k_window
 from marquee.plans import jobs as J
+from marquee.sources import tables
 from marquee.sources.csv import list_data_files, read_csv_union
 from marquee.sources.tables import ConstraintError, discard_refused, load_table
 from marquee.sources.xml import read_xml_feed
@@ -132,6 +134,59 @@ def test_load_publishes_the_checked_copy(spark, tmp_dir):
     assert not [d for d in os.listdir(tmp_dir) if d.endswith("-old")]
 
 
+def ids(spark, *values):
+    return spark.createDataFrame([(i, i, i) for i in values], "movie_id int, imdb_id int, tmdb_id int")
+
+
+def test_append_reads_keys_and_no_data(spark, tmp_dir):
+    """An append looks keys up in the index: only the parts of the batch's
+    keys, and none of the table's files."""
+    path = f"{tmp_dir}/t"
+    load_table(spark, ids(spark, *range(500)), path, K.MOVIE_LINKS)
+    new = ids(spark, 7, 9000)
+    keys = session.materialize(tables._indexed(new, K.MOVIE_LINKS), "batch")
+    found = tables.append_violations(spark, new, keys, path, K.MOVIE_LINKS)
+    read = found.inputFiles()
+    assert any(f"{path}__keys/" in f for f in read) and not any(f"{path}/" in f for f in read)
+    assert "PartitionFilters: [part" in tables.known_keys(spark, path, keys)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert {(r.constraint, r.key, r.num_rows) for r in found.collect()} == {
+        ("primary_key_duplicate", "7|7", 2), ("unique:movie_id", "7", 2), ("unique:movie_id,imdb_id,tmdb_id", "7|7|7", 2)}
+
+
+def test_index_that_is_behind_is_built_anew(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    load_table(spark, ids(spark, 1, 2), path, K.MOVIE_LINKS)
+    tables.write_table(ids(spark, 3), path, K.MOVIE_LINKS, mode="append")  # past the index
+    with pytest.raises(ConstraintError):
+        load_table(spark, ids(spark, 3), path, K.MOVIE_LINKS)
+    load_table(spark, ids(spark, 4), path, K.MOVIE_LINKS)
+    with pytest.raises(ConstraintError):
+        load_table(spark, ids(spark, 4, 5), path, K.MOVIE_LINKS)
+    assert sorted(r.movie_id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
+
+
+def test_failed_overwrite_leaves_the_old_table(spark, tmp_dir):
+    path = f"{tmp_dir}/deep/er/t"
+    tables.write_table(spark.range(3), path)
+    bad = F.when(F.col("id") == 4, F.raise_error(F.lit("no luck")).cast("long")).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="no luck"):
+        tables.write_table(spark.range(5).select(bad.alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    tables.write_table(spark.read.parquet(path).filter("id > 0"), path)  # a table may be replaced by what is read from it
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+    assert os.listdir(f"{tmp_dir}/deep/er") == ["t"]
+
+
+def test_constraints_take_one_shuffle(spark):
+    rows = spark.createDataFrame([(1, 1, 1), (1, 2, 3), (2, 2, 2), (None, 4, 4), (2, 2, 2)], "movie_id int, imdb_id int, tmdb_id int")
+    counted = quality.key_rows(rows, K.MOVIE_LINKS, text=False).groupBy("constraint", "h1", "h2").count()
+    assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = {(r.constraint, r.key, r.num_rows) for r in quality.constraint_violations(rows, K.MOVIE_LINKS).collect()}
+    assert got == {("primary_key_null", "NULL|4", 1), ("primary_key_duplicate", "2|2", 2), ("unique:movie_id", "1", 2),
+                   ("unique:movie_id", "2", 2), ("unique:movie_id,imdb_id,tmdb_id", "2|2|2", 2)}
+
+
 @pytest.mark.parametrize("descending", [True, False])
 @pytest.mark.parametrize("kind", ["bigint", "decimal(20,3)", "string", "double"])
 def test_top_k_with_a_bound(spark, descending, kind):
