@@ -37,7 +37,7 @@ from marquee.sources.csv import read_csv_positional, read_csv_text, read_csv_uni
 from marquee.sources.tables import load_table, write_table
 from marquee.session import delete_path, path_exists
 from marquee.session import materialize as keep
-from marquee.sources.xml import read_xml_feed
+from marquee.sources.xml import feed_records, parse_records, read_xml_feed, simple_child
 
 TOP_K = 1000
 TABLES = ("movie_links", "movies_metadata", "movie_ratings", "wiki_feed", "top_movies")
@@ -134,7 +134,58 @@ def movie_ratios(movies: DataFrame, ratio_mode: str = "decimal",
         "production_companies")
 
 
-def top_movies(movies: DataFrame, feed: DataFrame, k: int = TOP_K,
+class ParsedFeed:
+    """A feed whose entries are rows (title, wiki_url, wiki_abstract)."""
+
+    def __init__(self, entries: DataFrame):
+        self.rows = entries.select("title", "wiki_url", "wiki_abstract")
+
+    def titles(self) -> DataFrame:
+        return self.rows.select("title").distinct()
+
+    def entries(self, titles: DataFrame, measure: bool) -> DataFrame:
+        """Entries of some titles."""
+        if measure:
+            return join_small_side(self.rows, titles, "title", "left_semi")
+        return self.rows.join(titles, "title", "left_semi")
+
+
+class RawFeed:
+    """A feed file, of which only entries of wanted titles are parsed.
+
+    A record's title is taken from its text where that is plain; records whose
+    title has entities, sections or attributes are parsed for it, and count as
+    wanted until then.  ``unread`` are titles of which no record could be
+    parsed: found when they are wanted (:func:`top_movies`).
+    """
+
+    def __init__(self, records: DataFrame, unread: DataFrame | None = None):
+        self.records, self.unread = records, unread
+
+    @classmethod
+    def of(cls, spark: SparkSession, path: str) -> RawFeed:
+        return cls(feed_records(spark, path).withColumn("plain", clean_feed_title(simple_child(F.col("frag"), "title"))))
+
+    def without(self, titles: DataFrame) -> RawFeed:
+        return RawFeed(self.records, titles if self.unread is None else self.unread.unionByName(titles))
+
+    def titles(self) -> DataFrame:
+        parsed = clean_feed(parse_records(self.records.filter("plain IS NULL").select("frag")))
+        found = self.records.filter("plain IS NOT NULL").select(F.col("plain").alias("title")) \
+            .unionByName(parsed.select("title")).distinct()
+        return found if self.unread is None else found.join(self.unread, "title", "left_anti")
+
+    def wanted(self, titles: DataFrame) -> DataFrame:
+        """Records that may be entries of some titles, unparsed."""
+        plain = join_small_side(self.records.filter("plain IS NOT NULL"), titles.select(F.col("title").alias("plain")),
+                                "plain", "left_semi")
+        return plain.select("frag").unionByName(self.records.filter("plain IS NULL").select("frag"))
+
+    def entries(self, titles: DataFrame, measure: bool = True) -> DataFrame:
+        return join_small_side(clean_feed(parse_records(self.wanted(titles))), titles, "title", "left_semi")
+
+
+def top_movies(movies: DataFrame, feed: DataFrame | RawFeed, k: int = TOP_K,
                ratio_mode: str = "decimal", materialize: bool = True,
                numerator: str = "budget", denominator: str = "revenue") -> DataFrame:
     """E5: films matched to the feed by title whose ratio is among the ``k``
@@ -144,9 +195,10 @@ def top_movies(movies: DataFrame, feed: DataFrame, k: int = TOP_K,
     has at least one feed entry (semi-join on the distinct feed titles), and
     ``dense_top_k`` does not depend on how many entries a title has.  So the
     many-to-many title join runs only for the winners, not the whole table.
+    Of a ``RawFeed`` only the winners' entries are parsed.
     """
-    titles = feed.select("title").distinct()
-    candidates = movie_ratios(movies.join(titles, "title", "left_semi"), ratio_mode,
+    feed = feed if isinstance(feed, RawFeed) else ParsedFeed(feed)
+    candidates = movie_ratios(movies.join(feed.titles(), "title", "left_semi"), ratio_mode,
                               numerator, denominator)
     winners = dense_top_k(candidates, "ratio", k, materialize_input=materialize)
     winners = distinct_rows(winners.select(
@@ -156,14 +208,18 @@ def top_movies(movies: DataFrame, feed: DataFrame, k: int = TOP_K,
         F.col("ratio").cast("double").alias("ratio"), "production_companies"))
     # both sides without repeated rows, so the join has none: abstracts are
     # no part of a distinct over the fanned-out rows
-    entries = feed.select("title", "wiki_url", "wiki_abstract")
     if materialize:
         winners = keep(winners, "top-winners")
-        entries = join_small_side(entries, winners.select("title").distinct(), "title", "left_semi")
-        out = join_small_side(distinct_rows(entries), winners, "title", "inner")
+        titles = keep(winners.select("title").distinct(), "top-titles")
+        entries = distinct_rows(feed.entries(titles, True))
+        if isinstance(feed, RawFeed):
+            entries = keep(entries, "top-entries")
+            lost = keep(titles.join(entries.select("title"), "title", "left_anti"), "top-unread")
+            if not lost.isEmpty():  # titles of unreadable records only: rank without them
+                return top_movies(movies, feed.without(lost), k, ratio_mode, materialize, numerator, denominator)
+        out = join_small_side(entries, winners, "title", "inner")
     else:
-        entries = entries.join(winners.select("title").distinct(), "title", "left_semi")
-        out = winners.join(distinct_rows(entries), "title", "inner")
+        out = winners.join(distinct_rows(feed.entries(winners.select("title").distinct(), False)), "title", "inner")
     return out.select("title", "budget", "year", "revenue", "rating", "ratio", "production_companies",
                       "wiki_url", "wiki_abstract")
 

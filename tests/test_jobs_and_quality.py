@@ -124,3 +124,28 @@ def test_driver_tables_by_name(spark):
     n = spark.sql("SELECT count(*) AS n FROM orders o JOIN lineitem l "
                   "ON l.l_orderkey = o.o_orderkey").first().n
     assert n == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+
+
+def test_raw_feed_parses_winners_only(spark, tmp_dir):
+    """E5 from the feed file: same rows as from the parsed feed, and of 400
+    records only the winners' and those with a title that is not plain are
+    parsed; a title whose only record is unreadable takes no part."""
+    docs = [f"<doc><title>Wikipedia: T{i}</title><url>u{i}</url><abstract>a &amp; {i}</abstract></doc>" for i in range(400)]
+    docs[7] = "<doc><title>Wikipedia: T7</title><url>u</doc>"
+    docs[8] = "<doc><title>Wikipedia: <![CDATA[T8]]></title><url>u8</url><abstract>x</abstract></doc>"
+    docs[9] = "<doc><title lang='x'>Wikipedia: T9</title><url>u9</url><abstract>&lt;title></abstract></doc>"
+    docs += ["<doc><title>Wikipedia: T5</title><url>again</url><abstract><![CDATA[<title>T1</title>]]></abstract></doc>"]
+    with open(f"{tmp_dir}/f.xml", "w") as f:
+        f.write("<feed>\n" + "\n".join(docs) + "</feed>")
+    movies = spark.createDataFrame(
+        [(i, i, f"T{i}", float(1000 - i), None, 1.0, "[]", 3.0) for i in range(390)],
+        "movie_id int, imdb_id int, title string, budget double, release_date date, revenue double, production_companies string, rating double")
+    feed = J.RawFeed.of(spark, f"{tmp_dir}/f.xml")
+    got = J.top_movies(movies, feed, 12)
+    want = J.top_movies(movies, J.read_clean_feed(spark, f"{tmp_dir}/f.xml"), 12)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert {r.title for r in got.collect()} == {f"T{i}" for i in range(13)} - {"T7"}
+    titles = want.select("title").distinct()
+    assert feed.wanted(titles).count() < 20
+    plan = feed.entries(titles)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("from_xml") < plan.rindex("Join")  # the join on plain titles is below the parse
