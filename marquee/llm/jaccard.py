@@ -15,10 +15,10 @@ expanded.  Candidates are not expanded into all pairs either:
   tokens that it has in groups with sets of that class and another component
   must be as many as a pair of such sizes has to share.  Sets that fall short
   leave their groups, which may leave others short.
-* Near copies are joined by stars, each set with the centre that it shares the
-  most tokens with (as many pairs as sets).  A group has a centre for each
-  class of sizes: in the first round the set with the fewest tokens of its own,
-  which the others are copies of if any, later one by chance.
+* Near copies are joined by stars: sets with one least-hashed token try one
+  centre, by several hashes (as many pairs as sets for each).  Centres are
+  chosen for each class of sizes; for half of the hashes they are sets with the
+  fewest tokens of their own, which the others are copies of if any.
 * Pairs are made of what is left: sets that can link with another component.
 
 Every link is verified on whole sets.
@@ -47,9 +47,10 @@ FREQUENT_SHARE, FREQUENT_CHUNK = 0.0005, 8192
 CHUNK_TOKENS = 1 << 21
 #: Sets in a group from which its token is used in combinations only.
 LARGE_GROUP = 64
-STAR_ROUNDS = 4
+#: Rounds of stars, and hashes in each.
+STAR_ROUNDS, STARS = 2, 8
 #: Rounds in which sets that cannot link leave their groups, and classes of sizes in one factor of the threshold.
-PRUNE_ROUNDS, SIZE_CLASSES = 2, 12
+PRUNE_ROUNDS, SIZE_CLASSES = 1, 12
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -271,8 +272,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
 
     fine = max(math.log(100 / percent), 0.02) / SIZE_CLASSES
 
-    def size_class(n: Column, step: float = fine, shift: float = 0.0) -> Column:
-        return F.floor(F.log(n.cast("double")) / F.lit(step) + F.lit(shift)).cast("int")
+    def size_class(n: Column, step: float = fine, shift: Column | float = 0.0) -> Column:
+        return F.floor(F.log(n.cast("double")) / F.lit(step) + shift).cast("int")
 
     def can_link(rooted: DataFrame) -> DataFrame:
         """``sid`` and ``least`` of the sets that share enough tokens, over all
@@ -290,16 +291,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                   .groupBy("sid", "n", "other").agg(F.count("*").alias("t")).filter(F.col("t") >= least))
         return counts.groupBy("sid").agg(F.min(least).alias("least"))
 
-    def pruned(rooted: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows of groups with several components, of sets that can link, and
-        those sets."""
-        for _ in range(PRUNE_ROUNDS):
-            able = materialize(can_link(rooted), "jaccard-able")
-            rooted = materialize(_mixed(rooted.join(able.select("sid"), "sid", "left_semi")), "jaccard-open")
-        return rooted, able
-
     links, component = None, None
-    open_groups, able = pruned(groups.withColumn("root", F.col("sid")))
+    open_groups = groups.withColumn("root", F.col("sid"))
     # of each set, the share of its extended prefix that no other set has
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 2
     rare = materialize(groups.groupBy("sid").agg((10 - F.floor(10 * F.count("*") / F.first(length))).cast("int").alias("rare")),
@@ -307,23 +300,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     for turn in range(STAR_ROUNDS):
         if open_groups.isEmpty():
             break
-        # a group's centres, one for each class of sizes, whose borders lie elsewhere in every other round
-        placed = open_groups.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES, turn % 2 / 2))
-        if turn == 0:
-            placed = placed.join(rare, "sid")
-        order = F.struct(*(["rare"] if turn == 0 else []), F.xxhash64("root", F.lit(turn)).alias("h"), "root", "sid", "n")
-        centre = materialize(placed.groupBy("token", "class").agg(F.min(order).alias("c")), "jaccard-centres")
-        tries = (placed.join(centre, ["token", "class"]).filter("c.root <> root").filter(sizes_fit(F.col("n"), F.col("c.n")))
-                 .groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(
-                     F.count("*").alias("count"), F.first(shared_at_least(F.col("n"), F.col("c.n"), F.greatest("n", "c.n"))).alias("needed"))
-                 .filter(F.col("count") * 2 >= F.col("needed"))  # a first look; what it misses comes below
-                 .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
+        # a set's least-hashed tokens, by several hashes: sets much alike have many of them in common
+        seeds = range(turn * STARS, (turn + 1) * STARS)
+        least_hashed = [F.struct(F.lit(i).alias("seed"), F.min_by("token", F.xxhash64("token", F.lit(i))).alias("token")) for i in seeds]
+        signed = (open_groups.groupBy("sid").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.array(*least_hashed).alias("s"))
+                  .join(rare, "sid").select("sid", "n", "root", "rare", F.explode("s").alias("s")).select("sid", "n", "root", "rare", "s.*"))
+        # one centre for each token and class of sizes, whose borders lie elsewhere for every other hash
+        placed = materialize(signed.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES, F.col("seed") % 2 / 2)), "jaccard-signed")
+        order = F.struct(F.when(F.col("seed") % 4 < 2, F.col("rare")).otherwise(0).alias("rare"),
+                         F.xxhash64("sid", "seed").alias("h"), "root", "sid", "n")
+        centre = placed.groupBy("seed", "token", "class").agg(F.min(order).alias("c"))
+        tries = (placed.join(materialize(centre, "jaccard-centres"), ["seed", "token", "class"])
+                 .filter("c.root <> root").filter(sizes_fit(F.col("n"), F.col("c.n")))
+                 .select(F.least("sid", "c.sid").alias("a"), F.greatest("sid", "c.sid").alias("b")).distinct())
         found = materialize(verified(tries), "jaccard-links")
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
         component = connected_components(links)
-        open_groups, able = pruned(_rooted(open_groups, component))
+        open_groups = materialize(_rooted(open_groups, component), "jaccard-open")
+    for _ in range(PRUNE_ROUNDS):
+        able = materialize(can_link(open_groups), "jaccard-able")
+        open_groups = materialize(_mixed(open_groups.join(able.select("sid"), "sid", "left_semi")), "jaccard-open")
 
     # what is left: groups with several components.  Pairs across them, by single tokens where
     # the group is small and by combinations of two where it is large.  Only pairs that may share

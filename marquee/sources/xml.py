@@ -55,30 +55,47 @@ def _section_code(chunk: Column) -> Column:
     return F.when(marked, end_states(4, step, marks, F.lit)).otherwise(F.lit(identity(4)))
 
 
+def feed_records(spark: SparkSession, path: str, row_tag: str = "doc", partitions: int | None = None) -> DataFrame:
+    """The records of a feed as text, unparsed: ``frag``."""
+    end = f"</{row_tag}>"
+    records, ranges = joined_records(spark, list_data_files(spark, path), end, 4, _section_code)
+    cores = spark.sparkContext.defaultParallelism
+    if partitions is None and ranges * 2 < cores:
+        partitions = cores
+    if partitions:
+        records = records.repartition(partitions)
+    value = F.col("value")
+    whole = F.when(value.contains("<!--") | value.contains("<?"), F.regexp_replace(value, _SECTION, "$1")).otherwise(value)
+    body = F.regexp_extract(whole, rf"(?s)<{row_tag}[\s>/].*$", 0)
+    return records.select(body.alias("frag")).filter(F.col("frag") != "").select(F.concat("frag", F.lit(end)).alias("frag"))
+
+
+def simple_child(frag: Column, tag: str) -> Column:
+    """The text of a record's child ``tag`` where it can be told without
+    parsing: the tag occurs once, without attributes, and its text has no
+    entity or tag in it.  Else NULL."""
+    text = F.substring_index(F.substring_index(frag, f"<{tag}>", -1), f"</{tag}>", 1)
+    once = F.length(frag) - F.length(F.replace(frag, F.lit(f"<{tag}"), F.lit(""))) == len(tag) + 1
+    return F.when(once & frag.contains(f"<{tag}>") & frag.contains(f"</{tag}>") & ~text.rlike("[&<]"), text)
+
+
+def parse_records(records: DataFrame, schema: str = FEED_SCHEMA, raw_col: str | None = None) -> DataFrame:
+    """Rows of :func:`feed_records`, each parsed once."""
+    parsed = records.select("frag", F.from_xml("frag", schema, _XML_OPTIONS).alias("r"))
+    return parsed.select("r.*", *([F.col("frag").alias(raw_col)] if raw_col else []))
+
+
 def read_xml_feed(spark: SparkSession, path: str, schema: str = FEED_SCHEMA,
                   row_tag: str = "doc", split: bool = True,
                   partitions: int | None = None, raw_col: str | None = None) -> DataFrame:
     """Rows of a feed.  ``raw_col`` names a column for each record's text (split
     form only)."""
-    if not split:
-        reader = spark.read.format("xml").option("rowTag", row_tag).schema(schema)
-        for k, v in _XML_OPTIONS.items():
-            reader = reader.option(k, v)
-        df = reader.load(path)
-    else:
-        end = f"</{row_tag}>"
-        records, ranges = joined_records(spark, list_data_files(spark, path), end, 4, _section_code)
-        cores = spark.sparkContext.defaultParallelism
-        if partitions is None and ranges * 2 < cores:
-            partitions = cores
-        if partitions:
-            records = records.repartition(partitions)
-        value = F.col("value")
-        whole = F.when(value.contains("<!--") | value.contains("<?"), F.regexp_replace(value, _SECTION, "$1")).otherwise(value)
-        body = F.regexp_extract(whole, rf"(?s)<{row_tag}[\s>/].*$", 0)
-        frags = records.select(body.alias("frag")).filter(F.col("frag") != "")
-        parsed = frags.select("frag", F.from_xml(F.concat("frag", F.lit(end)), schema, _XML_OPTIONS).alias("r"))
-        return parsed.select("r.*", *([F.concat("frag", F.lit(end)).alias(raw_col)] if raw_col else []))
+    if split:
+        return parse_records(feed_records(spark, path, row_tag, partitions), schema, raw_col)
+    reader = spark.read.format("xml").option("rowTag", row_tag).schema(schema)
+    for k, v in _XML_OPTIONS.items():
+        reader = reader.option(k, v)
+    df = reader.load(path)
     return df.repartition(partitions) if partitions else df
 
 
