@@ -20,6 +20,28 @@ def mean_rating(ratings: DataFrame, key: str = "movie_id", value: str = "rating"
     return ratings.groupBy(key).agg(*aggs)
 
 
+#: Holds any sum of ratings exactly, so merging parts in any order gives the same mean.
+TOTAL_TYPE = "decimal(38,6)"
+
+
+def mean_state(ratings: DataFrame, key: str = "movie_id", value: str = "rating") -> DataFrame:
+    """What means of parts can be merged from: ``key``, the exact ``total`` and
+    the number ``n`` of its ratings (NULLs counted as none)."""
+    return ratings.groupBy(key).agg(
+        F.coalesce(F.sum(F.col(value).cast("decimal(24,6)")), F.lit(0)).cast(TOTAL_TYPE).alias("total"), F.count(value).alias("n"))
+
+
+def merged_states(a: DataFrame, b: DataFrame, key: str = "movie_id") -> DataFrame:
+    """The state of both parts' rows."""
+    return a.unionByName(b).groupBy(key).agg(F.sum("total").cast(TOTAL_TYPE).alias("total"), F.sum("n").alias("n"))
+
+
+def state_means(state: DataFrame, digits: int = 1, out: str = "rating") -> DataFrame:
+    """Means of a state, rounded half-up; NULL for keys without a rating."""
+    mean = F.when(F.col("n") > 0, F.round(F.col("total").cast("double") / F.col("n"), digits))
+    return state.select(*[c for c in state.columns if c not in ("total", "n")], mean.alias(out))
+
+
 def row_count(df: DataFrame, out: str = "num_rows") -> DataFrame:
     """``SELECT count(1)`` — one row."""
     return df.agg(F.count(F.lit(1)).alias(out))

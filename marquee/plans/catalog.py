@@ -174,6 +174,18 @@ def csv_glob_union_mean(spark, sf_dir):
     return _ratings(spark, sf_dir)
 
 
+@register("csv_folded_mean", W(O.RATINGS) + """
+SELECT CAST(movie_id AS INTEGER) AS movie_id, rating FROM ratings
+""")
+def csv_folded_mean(spark, sf_dir):
+    """The full file's state is stored, the small file is folded into it,
+    and folding in both again adds nothing."""
+    f, state = _files(spark, sf_dir), staging_dir(spark, "rating-state")
+    J.fold_ratings(spark, state, f.ratings_full)
+    J.fold_ratings(spark, state, f.ratings_small)
+    return J.fold_ratings(spark, state, f.ratings_glob)
+
+
 @register("csv_concat_distinct", W(O.LINKS) + """
 SELECT movie_id, imdb_id, tmdb_id FROM links
 """)

@@ -28,13 +28,13 @@ from marquee import contracts as K
 from marquee.functions.ratio import guarded_ratio
 from marquee.functions.text import clean_feed_title
 from marquee.functions.validators import INT_SENTINEL
-from marquee.operators.aggregate import mean_rating
+from marquee.operators.aggregate import mean_rating, mean_state, merged_states, state_means
 from marquee.operators.clean import REASONS, Cleaned, annotate, apply_contract, split_annotated
 from marquee.operators.dedup import distinct_rows
 from marquee.operators.joins import join_small_side
 from marquee.operators.rank import dense_top_k, dense_top_k_window
-from marquee.sources.csv import read_csv_positional, read_csv_text, read_csv_union, write_csv
-from marquee.sources.tables import load_table, write_table
+from marquee.sources.csv import data_files, read_csv_positional, read_csv_text, read_csv_union, write_csv
+from marquee.sources.tables import load_table, replace_tables, write_table
 from marquee.session import delete_path, path_exists
 from marquee.session import materialize as keep
 from marquee.sources.xml import feed_records, parse_records, read_xml_feed, simple_child
@@ -80,6 +80,37 @@ def stage_ratings(spark: SparkSession, path_glob: str | list[str]) -> DataFrame:
     return ratings_mean(stage_rating_rows(spark, path_glob).valid)
 
 
+def fold_ratings(spark: SparkSession, state_path: str, paths: str | list[str]) -> DataFrame:
+    """E3 kept up to date: mean ratings of all rating files folded in so far.
+
+    ``state_path`` holds, for each film, the exact total and the number of its
+    ratings, and the names and sizes of the files that are counted.  Only files
+    of ``paths`` that are not among those are read; their state is merged into
+    the old one, and both tables are replaced at once, so a failed run counts
+    nothing and a repeated one nothing twice.  A counted file that changed its
+    size is an error: what it added cannot be taken back.
+    """
+    path = state_path.rstrip("/")
+    files = spark.createDataFrame(data_files(spark, paths), "name string, size long")
+    held = path_exists(spark, path)
+    if held:
+        counted = spark.read.parquet(f"{path}/files")
+        changed = files.join(counted.withColumnRenamed("size", "was"), "name").filter("size <> was").limit(1).collect()
+        if changed:
+            raise ValueError(f"{changed[0]['name']} was counted with {changed[0]['was']} bytes and now has {changed[0]['size']}")
+        files = files.join(counted, "name", "left_anti")
+    new = [r["name"] for r in files.collect()]  # names of files given by this call
+    if new or not held:
+        rows = stage_rating_rows(spark, new).valid if new else \
+            spark.createDataFrame([], "movie_id int, rating double")
+        state = mean_state(rows)
+        if held:
+            state = merged_states(spark.read.parquet(f"{path}/state"), state)
+            files = counted.unionByName(files)
+        replace_tables(spark, path, {"state": state, "files": files})
+    return state_means(spark.read.parquet(f"{path}/state")).select("movie_id", "rating")
+
+
 def clean_feed(feed: DataFrame) -> DataFrame:
     """(url, title, abstract) -> (title, wiki_url, wiki_abstract)."""
     return feed.select(

@@ -41,11 +41,11 @@ def _hadoop(spark: SparkSession):
     return spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
 
 
-def list_data_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
-    """Files behind paths, globs and folders at any depth (hidden ``_``/``.``
-    files and folders skipped)."""
+def data_files(spark: SparkSession, paths: list[str] | str) -> list[tuple[str, int]]:
+    """(name, size) of the files behind paths, globs and folders at any depth
+    (hidden ``_``/``.`` files and folders skipped), by name."""
     jvm, conf = _hadoop(spark)
-    out = []
+    out = {}
     for path in [paths] if isinstance(paths, str) else paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(conf)
@@ -53,11 +53,17 @@ def list_data_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
             top = st.getPath().toString()
             files = fs.listFiles(st.getPath(), True)
             while files.hasNext():
-                f = files.next().getPath().toString()
+                status = files.next()
+                f = status.getPath().toString()
                 below = f[len(top):].split("/") if f != top else [f.rsplit("/", 1)[-1]]
                 if not any(part.startswith(("_", ".")) for part in below if part):
-                    out.append(f)
-    return sorted(set(out))
+                    out[f] = status.getLen()
+    return sorted(out.items())
+
+
+def list_data_files(spark: SparkSession, paths: list[str] | str) -> list[str]:
+    """The names of :func:`data_files`."""
+    return [name for name, _ in data_files(spark, paths)]
 
 
 def header_line(spark: SparkSession, path: str) -> str:

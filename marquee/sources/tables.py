@@ -69,6 +69,20 @@ def _put(spark: SparkSession, successor: str, path: str) -> None:
     delete_path(spark, old)
 
 
+def replace_tables(spark: SparkSession, path: str, tables: dict[str, DataFrame]) -> None:
+    """Replace a folder of tables by others at once: all are written beside it
+    before any takes its place."""
+    path = path.rstrip("/")
+    successor = f"{path}__incoming-{uuid.uuid4().hex[:8]}"
+    try:
+        for name, df in tables.items():
+            df.write.parquet(f"{successor}/{name}")
+    except Exception:
+        delete_path(spark, successor)
+        raise
+    _put(spark, successor, path)
+
+
 # ---- keys beside a table ----------------------------------------------------
 
 #: Parts of a table's key index, by hash.

@@ -261,3 +261,22 @@ spark.stop()
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=180)
     assert 'GOT [{"id":null}]' in out.stdout, out.stderr[-2000:]
+
+
+def test_rating_files_are_folded_in_once(spark, tmp_dir):
+    head = "userId,movieId,rating,timestamp\n"
+    write(f"{tmp_dir}/r/a.csv", head + "1,1,0.1,1\n1,1,0.2,1\n1,2,x,1\n1,3000000000,5,1\n")
+    write(f"{tmp_dir}/r/b.csv", head + "1,1,3.45,1\n1,3,4,1\n")
+    state = f"{tmp_dir}/state"
+    means = lambda df: sorted((r.movie_id, r.rating) for r in df.collect())
+    assert means(J.fold_ratings(spark, state, f"{tmp_dir}/r/a.csv")) == [(1, 0.2), (2, None)]
+    want = [(1, 1.3), (2, None), (3, 4.0)]
+    for paths in (f"{tmp_dir}/r/b.csv", f"{tmp_dir}/r", [f"{tmp_dir}/r/a.csv", f"{tmp_dir}/r/b.csv"]):
+        assert means(J.fold_ratings(spark, state, paths)) == want
+    assert means(J.stage_ratings(spark, f"{tmp_dir}/r/*.csv")) == want
+    write(f"{tmp_dir}/r/b.csv", head + "1,1,3.45,1\n1,3,4,1\n1,3,1,1\n")
+    with pytest.raises(ValueError, match="was counted"):
+        J.fold_ratings(spark, state, f"{tmp_dir}/r")
+    write(f"{tmp_dir}/r/c.csv", head + "1,2,5,1\n")
+    assert means(J.fold_ratings(spark, state, f"{tmp_dir}/r/c.csv")) == [(1, 1.3), (2, 5.0), (3, 4.0)]
+    assert means(J.fold_ratings(spark, f"{tmp_dir}/none", f"{tmp_dir}/nothing")) == []
