@@ -20,15 +20,17 @@ from marquee.functions.dates import parse_ymd_date
 from marquee.functions.jsoncols import with_json_lists
 from marquee.functions.text import strip_leading_chars
 from marquee.functions.validators import numeric_int, signed_int, strict_float, strict_int
-from marquee.sources.csv import MALFORMED
+from marquee.sources.csv import BLOCK, FILE, MALFORMED
 
 REASONS = "reject_reasons"
+# A reject's file and the byte range of it that the row begins in, where the reader told them.
+PLACE = {FILE: "file", BLOCK: "block"}
 
 
 @dataclass
 class Cleaned:
     valid: DataFrame     # contract columns, typed
-    rejects: DataFrame   # raw source columns + reject_reasons (non-empty)
+    rejects: DataFrame   # raw source columns + file and block, if known + reject_reasons (non-empty)
     annotated: DataFrame  # typed columns + raw columns + reasons, every row
 
 
@@ -77,7 +79,8 @@ def annotate(df: DataFrame, contract: K.TableContract) -> DataFrame:
     # array_except drops the NULLs (no lambda, so the select stays codegen'd);
     # reasons are distinct by construction, so its de-duplication is moot.
     no_reason = F.array(F.lit(None).cast("string"))
-    return df.select(*typed, *raw, F.array_except(F.array(*reasons), no_reason).alias(REASONS))
+    place = [F.col(c).alias(name) for c, name in PLACE.items() if c in df.columns]
+    return df.select(*typed, *raw, *place, F.array_except(F.array(*reasons), no_reason).alias(REASONS))
 
 
 def add_missing_columns(df: DataFrame, contract: K.TableContract) -> DataFrame:
@@ -112,11 +115,13 @@ def split_annotated(ann: DataFrame, contract: K.TableContract, distinct: bool =
     if distinct:
         valid = valid.dropDuplicates()
     raw_cols = [f"raw_{c}" for c in dict.fromkeys(contract.sources)]
-    rejects = ann.filter(F.size(REASONS) > 0).select(*raw_cols, REASONS)
+    place = [c for c in PLACE.values() if c in ann.columns and c not in contract.names]
+    rejects = ann.filter(F.size(REASONS) > 0).select(*raw_cols, *place, REASONS)
     return Cleaned(valid=valid, rejects=rejects, annotated=ann)
 
 
 def reject_rows(cleaned: Cleaned, key: str) -> DataFrame:
-    """One row per (raw key, reason) — the quarantine report."""
-    return cleaned.rejects.select(
-        F.col(f"raw_{key}").alias("raw_key"), F.explode(REASONS).alias("reason"))
+    """One row per (raw key, reason), with the row's file where it is known —
+    the quarantine report."""
+    place = [c for c in PLACE.values() if c in cleaned.rejects.columns]
+    return cleaned.rejects.select(F.col(f"raw_{key}").alias("raw_key"), F.explode(REASONS).alias("reason"), *place)

@@ -8,6 +8,7 @@ Output columns carry the same names and types on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -203,28 +204,31 @@ def clean_valid_rows(spark, sf_dir):
 
 
 @register("reject_reasons", W(O.RAW_META, O.META_ANN, O.LINKS, O.RATING_LINES) + f"""
-SELECT 'movies_metadata' AS table_name, raw_id AS raw_key, unnest(reasons) AS reason
+SELECT 'movies_metadata' AS table_name, 'movies_metadata' AS folder, raw_id AS raw_key, unnest(reasons) AS reason
 FROM meta_ann WHERE len(reasons) > 0
 UNION ALL
-SELECT 'movie_links' AS table_name, movie_raw AS raw_key, unnest(reasons) AS reason
+SELECT 'movie_links' AS table_name, folder, movie_raw AS raw_key, unnest(reasons) AS reason
 FROM links_ann WHERE len(reasons) > 0
 UNION ALL
-SELECT 'movie_ratings' AS table_name, CAST(movie_id + {S.LONG_ID} AS VARCHAR) AS raw_key,
+SELECT 'movie_ratings' AS table_name, folder, CAST(movie_id + {S.LONG_ID} AS VARCHAR) AS raw_key,
        'movie_id:out_of_range' AS reason
 FROM rating_lines WHERE id_long
 """)
 def reject_reasons(spark, sf_dir):
-    """The quarantine, one row per (raw key, reason)."""
-    m = reject_rows(_meta(spark, sf_dir), "id").select(
-        F.lit("movies_metadata").alias("table_name"), "raw_key", "reason")
-    lk = reject_rows(_links(spark, sf_dir), "movieId").select(
-        F.lit("movie_links").alias("table_name"), "raw_key", "reason")
-    rt = reject_rows(J.stage_rating_rows(spark, _files(spark, sf_dir).ratings_glob), "movie_id").select(
-        F.lit("movie_ratings").alias("table_name"), "raw_key", "reason")
-    feed = J.feed_rejects(spark, _files(spark, sf_dir).feed).select(
-        F.lit("wiki_feed").alias("table_name"), F.col("raw_record").alias("raw_key"),
-        F.explode(REASONS).alias("reason"))
-    return m.unionByName(lk).unionByName(rt).unionByName(feed)
+    """The quarantine, one row per (raw key, reason), with the folder of
+    the file that the row was read from."""
+    f = _files(spark, sf_dir)
+
+    def shown(table_name: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(table_name).alias("table_name"), F.regexp_extract("file", "([^/]+)/[^/]+$", 1).alias("folder"),
+                           "raw_key", "reason")
+
+    parts = [shown("movies_metadata", reject_rows(_meta(spark, sf_dir), "id")),
+             shown("movie_links", reject_rows(_links(spark, sf_dir), "movieId")),
+             shown("movie_ratings", reject_rows(J.stage_rating_rows(spark, f.ratings_glob), "movie_id")),
+             shown("wiki_feed", J.feed_rejects(spark, f.feed).select(
+                 "file", F.col("raw_record").alias("raw_key"), F.explode(REASONS).alias("reason")))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("date_parse_coerce", W(O.RAW_META) + f"""

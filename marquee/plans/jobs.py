@@ -29,7 +29,7 @@ from marquee.functions.ratio import guarded_ratio
 from marquee.functions.text import clean_feed_title
 from marquee.functions.validators import INT_SENTINEL
 from marquee.operators.aggregate import mean_rating, mean_state, merged_states, state_means
-from marquee.operators.clean import REASONS, Cleaned, annotate, apply_contract, split_annotated
+from marquee.operators.clean import PLACE, REASONS, Cleaned, annotate, apply_contract, split_annotated
 from marquee.operators.dedup import distinct_rows
 from marquee.operators.joins import join_small_side
 from marquee.operators.rank import dense_top_k, dense_top_k_window
@@ -44,12 +44,12 @@ TABLES = ("movie_links", "movies_metadata", "movie_ratings", "wiki_feed", "top_m
 
 
 def raw_links(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    return read_csv_union(spark, paths, K.MOVIE_LINKS.sources, defaults=K.MOVIE_LINKS.defaulted, malformed=True)
+    return read_csv_union(spark, paths, K.MOVIE_LINKS.sources, defaults=K.MOVIE_LINKS.defaulted, malformed=True, origin=True)
 
 
 def raw_metadata(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> DataFrame:
     return read_csv_text(spark, path, K.MOVIES_METADATA.sources, partitions,
-                         defaults=K.MOVIES_METADATA.defaulted, malformed=True)
+                         defaults=K.MOVIES_METADATA.defaulted, malformed=True, origin=True)
 
 
 def stage_links(spark: SparkSession, paths: list[str] | str) -> Cleaned:
@@ -72,7 +72,7 @@ def stage_rating_rows(spark: SparkSession, path_glob: str | list[str]) -> Cleane
     """Rows of all rating files (a glob: every matching file counts, duplicates
     too).  Rows without a film id that fits the table are rejects; a rating
     that is no number is NULL and its row counts."""
-    return apply_contract(read_csv_positional(spark, path_glob, K.RATINGS_FILE_DDL), K.RATING_ROWS, distinct=False)
+    return apply_contract(read_csv_positional(spark, path_glob, K.RATINGS_FILE_DDL, origin=True), K.RATING_ROWS, distinct=False)
 
 
 def stage_ratings(spark: SparkSession, path_glob: str | list[str]) -> DataFrame:
@@ -130,13 +130,14 @@ def read_clean_feed(spark: SparkSession, path: str, split: bool = True) -> DataF
 
 
 def feed_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Text and reason of the feed's unreadable records."""
-    feed = read_xml_feed(spark, path, raw_col="raw_record")
+    """Text, file and reason of the feed's unreadable records."""
+    feed = parse_records(feed_records(spark, path, origin=True), raw_col="raw_record")
     return _feed_rejects(feed.filter(unreadable(feed)))
 
 
 def _feed_rejects(unread: DataFrame) -> DataFrame:
-    return unread.select("raw_record", F.array(F.lit("record:unreadable")).alias(REASONS))
+    return unread.select("raw_record", *[F.col(c).alias(name) for c, name in PLACE.items()],
+                         F.array(F.lit("record:unreadable")).alias(REASONS))
 
 
 def linked_movies(links: DataFrame, metadata: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -315,7 +316,8 @@ def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: lis
     def halves(name: str, rows: DataFrame, is_reject: Column) -> tuple[DataFrame, DataFrame]:
         """Valid rows and rejects of an input that is parsed once: both are
         written, apart, with the raw columns of rejects only."""
-        raw = {c: F.when(F.col("is_reject") == 1, F.col(c)) for c in rows.columns if c.startswith("raw_")}
+        own = (*PLACE, *PLACE.values())
+        raw = {c: F.when(F.col("is_reject") == 1, F.col(c)) for c in rows.columns if c.startswith("raw_") or c in own}
         path = f"{out}/_annotated/{name}"
         rows.withColumn("is_reject", is_reject.cast("int")).withColumns(raw).write.mode("overwrite") \
             .partitionBy("is_reject").parquet(path)
@@ -335,7 +337,7 @@ def run_all(spark: SparkSession, out_dir: str, metadata_csv: str, link_csvs: lis
     good, bad = halves("movie_ratings", rows, F.size(REASONS) > 0)
     publish(ratings_mean(split_annotated(good, K.RATING_ROWS, distinct=False).valid), f"{out}/movie_ratings", K.MOVIE_RATINGS)
     quarantine(split_annotated(bad, K.RATING_ROWS, distinct=False).rejects, "movie_ratings")
-    feed = read_xml_feed(spark, feed_xml, raw_col="raw_record")
+    feed = parse_records(feed_records(spark, feed_xml, origin=True), raw_col="raw_record")
     good, bad = halves("wiki_feed", feed, unreadable(feed))
     write_table(clean_feed(good), f"{out}/wiki_feed")
     quarantine(_feed_rejects(bad), "wiki_feed")

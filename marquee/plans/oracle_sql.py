@@ -139,12 +139,12 @@ _lt_v, _lt_r = numeric_int_sql("tmdb_raw", "tmdb_id")
 
 LINKS = f"""
 raw_links AS (
-  SELECT {_RAW_LINK_COLS} FROM orders
+  SELECT 'links' AS folder, {_RAW_LINK_COLS} FROM orders
   UNION ALL
-  SELECT {_RAW_LINK_COLS} FROM orders WHERE o_orderpriority = '1-URGENT'
+  SELECT 'links_small' AS folder, {_RAW_LINK_COLS} FROM orders WHERE o_orderpriority = '1-URGENT'
 ),
 links_ann AS (
-  SELECT movie_raw, {_mv_v} AS movie_id, {_li_v} AS imdb_id, {_lt_v} AS tmdb_id,
+  SELECT folder, movie_raw, {_mv_v} AS movie_id, {_li_v} AS imdb_id, {_lt_v} AS tmdb_id,
     list_filter([{_mv_r}, {_li_r}, {_lt_r}], lambda x: x IS NOT NULL) AS reasons
   FROM raw_links
 ),
@@ -157,7 +157,9 @@ _RATING_ROWS = f"""SELECT l_orderkey AS movie_id, {hit(RK, 'rating_id_long')} AS
 RATINGS_FULL_FILE = f"""
 rating_rows AS (SELECT * FROM ({_RATING_ROWS}) WHERE NOT id_long)"""
 RATING_LINES = f"""
-rating_lines AS ({_RATING_ROWS} UNION ALL {_RATING_ROWS} WHERE l_returnflag = 'R')"""
+rating_lines AS (
+  SELECT *, 'ratings' AS folder FROM ({_RATING_ROWS})
+  UNION ALL SELECT *, 'ratings_small' AS folder FROM ({_RATING_ROWS} WHERE l_returnflag = 'R'))"""
 RATINGS = RATING_LINES + """,
 rating_rows AS (SELECT * FROM rating_lines WHERE NOT id_long),
 ratings AS (SELECT movie_id, ROUND(AVG(rating), 1) AS rating FROM rating_rows GROUP BY movie_id)"""

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee.operators.dedup import union_by_name
+from marquee.operators.joins import join_small_side
 from marquee.sources.records import identity, joined_records
 
 # Text a CSV cell may hold for "missing" (pandas' default set).
@@ -35,6 +36,9 @@ NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 
 # Holds the text of a row whose number of cells is not the header's, else NULL.
 MALFORMED = "__malformed"
+# Where a row was read: its file, and where the byte range begins in which it does.
+FILE, BLOCK = "__file", "__block"
+ORIGIN = [FILE, BLOCK]
 
 
 def _hadoop(spark: SparkSession):
@@ -135,7 +139,16 @@ def _quote_code(line: Column) -> Column:
     return F.when(line.contains('"'), code).otherwise(F.lit(identity(2)))
 
 
-def _read_group(spark: SparkSession, header: str, files: list[str], multiline: bool, malformed: bool) -> tuple[DataFrame, int]:
+def with_paths(spark: SparkSession, df: DataFrame, files: list[str]) -> DataFrame:
+    """``df``, whose ``file`` is the hash of a file's path, with that path as
+    ``FILE``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = spark.createDataFrame([(path(f).toUri().toString(), f) for f in files], f"uri string, {FILE} string")
+    return join_small_side(df, names.select(F.xxhash64("uri").alias("file"), FILE), "file").drop("file")
+
+
+def _read_group(spark: SparkSession, header: str, files: list[str], multiline: bool, malformed: bool,
+                origin: bool = False) -> tuple[DataFrame, int]:
     """Files of one header line, read in one scan, and the number of its tasks.  As in the built-in reader,
     the line break behind the header is the file's: where that is CR LF, one
     inside a cell reads as LF.  Files with CR alone are not split."""
@@ -151,25 +164,30 @@ def _read_group(spark: SparkSession, header: str, files: list[str], multiline: b
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     if not multiline or mac:
         df = spark.read.schema(schema).options(header=True, **options).csv(files)
-        return df, df.rdd.getNumPartitions()
+        tasks = df.rdd.getNumPartitions()
+        return (_with_origin(df) if origin else df), tasks
     records, ranges = joined_records(spark, files, "\n", 2, _quote_code)
     records = records.filter(~F.col("first"))
     text = F.regexp_replace("value", r"\r$", "")
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` STRING" for f in schema.fields)
-    rows = records.select(text.alias("value")).filter("value <> ''") \
-        .select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
+    kept = []
+    if origin:
+        records, kept = with_paths(spark, records.withColumnRenamed("block", BLOCK), files), ORIGIN
+    rows = records.select(text.alias("value"), *kept).filter("value <> ''") \
+        .select(F.from_csv("value", ddl, options).alias("r"), *kept).select("r.*", *kept)
     own = [F.col(f"`{n}`") for n in names]
     if windows:
-        rows = rows.select(*[F.replace(c, F.lit("\r\n"), F.lit("\n")).alias(n) for c, n in zip(own, names)], MALFORMED)
+        rows = rows.select(*[F.replace(c, F.lit("\r\n"), F.lit("\n")).alias(n) for c, n in zip(own, names)], MALFORMED, *kept)
     return rows, ranges
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
                   partitions: int | None = None, null_tokens: bool = True,
                   multiline: bool = True, defaults: list[str] | None = None,
-                  malformed: bool = False) -> DataFrame:
+                  malformed: bool = False, origin: bool = False) -> DataFrame:
     """CSV files (paths, globs or folders) as STRING columns chosen by header
-    name, all files appended (union all).  ``malformed`` adds ``MALFORMED``.
+    name, all files appended (union all).  ``malformed`` adds ``MALFORMED``,
+    ``origin`` the columns of ``ORIGIN``.
 
     Files are grouped by header line: one scan per distinct header, so inputs
     that mix column orders are read right.  A column that a header lacks is
@@ -188,18 +206,18 @@ def read_csv_text(spark: SparkSession, path: str | list[str], columns: list[str]
         raise FileNotFoundError(f"no CSV matched {path}")
     frames, tasks = [], 0
     for header, files in sorted(groups.items()):
-        df, own_tasks = _read_group(spark, header, files, multiline, malformed)
+        df, own_tasks = _read_group(spark, header, files, multiline, malformed, origin)
         tasks += own_tasks
         if columns is not None:
             missing = [c for c in columns if c not in df.columns]
             if set(missing) - set(defaults or ()):
                 raise ValueError(f"{files[0]}: header lacks {missing}")
             df = df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
-            df = df.select(*[F.col(f"`{c}`") for c in columns], MALFORMED)
+            df = df.select(*[F.col(f"`{c}`") for c in columns], MALFORMED, *(ORIGIN if origin else []))
         frames.append(df if malformed else df.drop(MALFORMED))
     df = union_by_name(frames)
     if null_tokens:
-        df = null_tokens_to_null(df, [c for c in df.columns if c != MALFORMED])
+        df = null_tokens_to_null(df, [c for c in df.columns if c not in (MALFORMED, *ORIGIN)])
     if partitions is None and multiline:
         cores = spark.sparkContext.defaultParallelism
         if tasks * 2 < cores:
@@ -209,20 +227,28 @@ def read_csv_text(spark: SparkSession, path: str | list[str], columns: list[str]
 
 def read_csv_union(spark: SparkSession, paths: list[str] | str,
                    columns: list[str] | None = None, partitions: int | None = None,
-                   defaults: list[str] | None = None, malformed: bool = False) -> DataFrame:
+                   defaults: list[str] | None = None, malformed: bool = False, origin: bool = False) -> DataFrame:
     """``read_csv_text`` for files without line breaks inside cells, which are
     read by many tasks each."""
     return read_csv_text(spark, paths, columns, partitions, multiline=False, defaults=defaults,
-                         malformed=malformed)
+                         malformed=malformed, origin=origin)
+
+
+def _with_origin(df: DataFrame) -> DataFrame:
+    """A file scan's rows with ``ORIGIN``."""
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    return df.select("*", path.alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
 
 
-def read_csv_positional(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
-    """Fixed-layout CSV(s) with a header line, bound by position to ``ddl``.
+def read_csv_positional(spark: SparkSession, path: str | list[str], ddl: str, origin: bool = False) -> DataFrame:
+    """Fixed-layout CSV(s) with a header line, bound by position to ``ddl``;
+    ``origin`` adds the columns of ``ORIGIN``.
 
     Malformed cells become NULL (the row is kept).  Splittable, so a large
     file is read by many tasks.
     """
-    return spark.read.schema(ddl).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    df = spark.read.schema(ddl).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return _with_origin(df) if origin else df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 0) -> None:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.sources.csv import list_data_files
+from marquee.sources.csv import BLOCK, ORIGIN, list_data_files, with_paths
 from marquee.sources.records import end_states, identity, joined_records
 
 FEED_SCHEMA = "title STRING, url STRING, abstract STRING"
@@ -55,10 +55,15 @@ def _section_code(chunk: Column) -> Column:
     return F.when(marked, end_states(4, step, marks, F.lit)).otherwise(F.lit(identity(4)))
 
 
-def feed_records(spark: SparkSession, path: str, row_tag: str = "doc", partitions: int | None = None) -> DataFrame:
-    """The records of a feed as text, unparsed: ``frag``."""
-    end = f"</{row_tag}>"
-    records, ranges = joined_records(spark, list_data_files(spark, path), end, 4, _section_code)
+def feed_records(spark: SparkSession, path: str, row_tag: str = "doc", partitions: int | None = None,
+                 origin: bool = False) -> DataFrame:
+    """The records of a feed as text, unparsed: ``frag``, and with ``origin``
+    the columns of ``ORIGIN``."""
+    end, files = f"</{row_tag}>", list_data_files(spark, path)
+    records, ranges = joined_records(spark, files, end, 4, _section_code)
+    kept = ORIGIN if origin else []
+    if origin:
+        records = with_paths(spark, records.withColumnRenamed("block", BLOCK), files)
     cores = spark.sparkContext.defaultParallelism
     if partitions is None and ranges * 2 < cores:
         partitions = cores
@@ -67,7 +72,8 @@ def feed_records(spark: SparkSession, path: str, row_tag: str = "doc", partition
     value = F.col("value")
     whole = F.when(value.contains("<!--") | value.contains("<?"), F.regexp_replace(value, _SECTION, "$1")).otherwise(value)
     body = F.regexp_extract(whole, rf"(?s)<{row_tag}[\s>/].*$", 0)
-    return records.select(body.alias("frag")).filter(F.col("frag") != "").select(F.concat("frag", F.lit(end)).alias("frag"))
+    return records.select(body.alias("frag"), *kept).filter(F.col("frag") != "") \
+        .select(F.concat("frag", F.lit(end)).alias("frag"), *kept)
 
 
 def simple_child(frag: Column, tag: str) -> Column:
@@ -81,8 +87,9 @@ def simple_child(frag: Column, tag: str) -> Column:
 
 def parse_records(records: DataFrame, schema: str = FEED_SCHEMA, raw_col: str | None = None) -> DataFrame:
     """Rows of :func:`feed_records`, each parsed once."""
-    parsed = records.select("frag", F.from_xml("frag", schema, _XML_OPTIONS).alias("r"))
-    return parsed.select("r.*", *([F.col("frag").alias(raw_col)] if raw_col else []))
+    kept = [c for c in ORIGIN if c in records.columns]
+    parsed = records.select("frag", F.from_xml("frag", schema, _XML_OPTIONS).alias("r"), *kept)
+    return parsed.select("r.*", *([F.col("frag").alias(raw_col)] if raw_col else []), *kept)
 
 
 def read_xml_feed(spark: SparkSession, path: str, schema: str = FEED_SCHEMA,

@@ -280,3 +280,15 @@ def test_rating_files_are_folded_in_once(spark, tmp_dir):
     write(f"{tmp_dir}/r/c.csv", head + "1,2,5,1\n")
     assert means(J.fold_ratings(spark, state, f"{tmp_dir}/r/c.csv")) == [(1, 1.3), (2, 5.0), (3, 4.0)]
     assert means(J.fold_ratings(spark, f"{tmp_dir}/none", f"{tmp_dir}/nothing")) == []
+
+
+def test_rejects_tell_their_file_and_place(spark, tmp_dir):
+    name = f"{tmp_dir}/m/a b+1%20.csv"
+    write(name, META + "\n1,tt1,[],A,A,10,1995-10-30,5,[]\nx,tt1,\"[]\n\",A,A,10,1995-10-30,5,[]\n")
+    write(f"{tmp_dir}/m/b.csv", META + "\ny,tt1,[],A,A,10,1995-10-30,5,[]\n")
+    got = {r.raw_id: (r.file, r.block) for r in J.stage_metadata(spark, f"{tmp_dir}/m").rejects.collect()}
+    assert got == {"x": (f"file:{name}", 0), "y": (f"file:{tmp_dir}/m/b.csv", 0)}
+    write(f"{tmp_dir}/l/a b+1%20.csv", "movieId,imdbId,tmdbId\n1,1,x\n")
+    assert [(r.file, r.block) for r in J.stage_links(spark, f"{tmp_dir}/l").rejects.collect()] == [(f"file:{tmp_dir}/l/a b+1%20.csv", 0)]
+    write(f"{tmp_dir}/f.xml", "<feed><doc><title>b</url></doc></feed>")
+    assert [r.file for r in J.feed_rejects(spark, f"{tmp_dir}/f.xml").collect()] == [f"file:{tmp_dir}/f.xml"]
