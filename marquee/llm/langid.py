@@ -74,14 +74,15 @@ def fit(labelled: DataFrame, sample_docs: int = 4000, max_words: int = 200_000,
              .groupBy("lang", "term").agg(F.sum("count").alias("count")))
 
     def top(counts: DataFrame, n: int) -> tuple[dict[str, int], np.ndarray]:
-        best = counts.orderBy(F.desc("count"), "term", "lang").limit(n).collect()
+        best = counts.orderBy(F.desc("count"), "term", "lang").limit(n).select("term", "lang", "count").toArrow()
+        rows = list(zip(*(best.column(c).to_pylist() for c in ("term", "lang", "count"))))
         index: dict[str, int] = {}
-        for r in best:
-            index.setdefault(r["term"], len(index))
+        for term, _, _ in rows:
+            index.setdefault(term, len(index))
         table = np.full((len(index), len(langs)), smoothing)
         at = {lang: i for i, lang in enumerate(langs)}
-        for r in best:
-            table[index[r["term"]], at[r["lang"]]] += r["count"]
+        for term, lang, count in rows:
+            table[index[term], at[lang]] += count
         return index, table
 
     def logs(index: dict[str, int], table: np.ndarray) -> np.ndarray:
