@@ -48,7 +48,7 @@ CHUNK_TOKENS = 1 << 21
 #: Sets in a group from which its token is used in combinations only.
 LARGE_GROUP = 64
 #: Rounds of stars, and hashes in each.
-STAR_ROUNDS, STARS = 2, 8
+STAR_ROUNDS, STARS = 1, 16
 #: Rounds in which sets that cannot link leave their groups, and classes of sizes in one factor of the threshold.
 PRUNE_ROUNDS, SIZE_CLASSES = 1, 12
 
@@ -293,18 +293,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
 
     links, component = None, None
     open_groups = groups.withColumn("root", F.col("sid"))
-    # of each set, the share of its extended prefix that no other set has
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 2
-    rare = materialize(groups.groupBy("sid").agg((10 - F.floor(10 * F.count("*") / F.first(length))).cast("int").alias("rare")),
-                       "jaccard-rare")
     for turn in range(STAR_ROUNDS):
         if open_groups.isEmpty():
             break
         # a set's least-hashed tokens, by several hashes: sets much alike have many of them in common
         seeds = range(turn * STARS, (turn + 1) * STARS)
         least_hashed = [F.struct(F.lit(i).alias("seed"), F.min_by("token", F.xxhash64("token", F.lit(i))).alias("token")) for i in seeds]
-        signed = (open_groups.groupBy("sid").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.array(*least_hashed).alias("s"))
-                  .join(rare, "sid").select("sid", "n", "root", "rare", F.explode("s").alias("s")).select("sid", "n", "root", "rare", "s.*"))
+        # the share of a set's extended prefix that no other set has, while all groups are there
+        length = F.first("n") - F.ceil(F.first("n") * percent / 100) + 2
+        rare = F.floor(F.lit(10) - 10 * F.count("*") / length).cast("int") if turn == 0 else F.lit(0)
+        # narrow rows are dealt by set first: partial results of so many hashes are larger than the rows
+        signed = (open_groups.select("sid", "n", "root", "token").repartition("sid").groupBy("sid")
+                  .agg(F.first("n").alias("n"), F.first("root").alias("root"), rare.alias("rare"), F.array(*least_hashed).alias("s"))
+                  .select("sid", "n", "root", "rare", F.explode("s").alias("s")).select("sid", "n", "root", "rare", "s.*"))
         # one centre for each token and class of sizes, whose borders lie elsewhere for every other hash
         placed = materialize(signed.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES, F.col("seed") % 2 / 2)), "jaccard-signed")
         order = F.struct(F.when(F.col("seed") % 4 < 2, F.col("rare")).otherwise(0).alias("rare"),

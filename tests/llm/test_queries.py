@@ -1,6 +1,7 @@
 """Registered queries against SQL, and the pipeline against plain Python."""
 
 import hashlib
+import zlib
 
 import duckdb
 import numpy as np
@@ -10,6 +11,7 @@ import test_lines
 import test_repeats
 
 import corpus_pipeline
+from tokenizers import Tokenizer
 from marquee.llm import bpe, queries, token_files
 
 SF = "/root/testdata/sf0.001"
@@ -61,13 +63,14 @@ def test_token_queries(spark, documents):
     one = bpe.encoding(bpe.default_ranks(), bpe.default_pattern()).encode_ordinary
     got = {r["doc_id"]: r for r in queries.queries()["op4_byte_bpe"](spark, SF).collect()}
     files = {r["doc_id"]: r for r in queries.queries()["op9_token_files"](spark, SF).collect()}
-    encode = token_files.piece_encoder(token_files.default_tokenizer()).encode
+    plain = Tokenizer.from_file(token_files.default_tokenizer())  # the plain call: nothing is set
     start = 0
-    for (i, t), other in zip(sorted(documents), encode([t for _, t in sorted(documents)])):
-        ids = one(t)
+    for i, t in sorted(documents):
+        ids, other = one(t), plain.encode(t, add_special_tokens=False).ids
         assert got[i]["n_tokens"] == len(ids)
         assert got[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert (files[i]["start"], files[i]["n_tokens"]) == (start, len(other) + 1)
+        assert files[i]["ids_crc32"] == zlib.crc32(np.array([*other, 2], "<u4").tobytes())
         start += len(other) + 1
 
 
@@ -114,3 +117,22 @@ def test_pipeline_stages_on_edges(spark):
     assert sorted(str(r["doc_id"]) for r in left["near_duplicates"]) == sorted(
         map(str, [1, 2, 3, 4, None, 5, 7, 9, 10, 11]))  # 6 and 8 are copies, 7 is there once
     assert len(left["encode"]) == len(EDGES)
+
+
+def test_rows_with_null_and_repeated_ids_are_their_own(spark):
+    """Decisions are about rows: a clean text stays whatever another row with
+    its id (or without one) holds, and copies and passages go without an id."""
+    from helpers import table
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    base = " ".join(f"word{i}" for i in range(60))
+    near = base.replace("word30", "other")
+    clean = " ".join(f"clean{i}" for i in range(40))
+    docs = table(spark, [(1, base), (None, near), (None, near + " more"), (2, near), (2, clean), (None, None), (None, ""), (3, None)])
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, base), (2, clean), (None, None), (None, ""), (3, None)]))
+    docs = table(spark, [(None, clean + " " + item), (None, clean), (2, item), (2, clean), (None, None), (4, "")])
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.decontaminate(spark, docs, SF).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(None, clean), (2, clean), (None, None), (4, "")]))
+    docs = table(spark, [(None, "a\nb\nc"), (None, "a\nb\nd"), (7, "x\ny"), (7, "z"), (None, None)])
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.repeated_lines(spark, docs, SF).collect()]
+    assert len(kept) == 5 and (7, "z") in kept and (None, None) in kept
