@@ -15,10 +15,11 @@ expanded.  Candidates are not expanded into all pairs either:
   tokens that it has in groups with sets of that class and another component
   must be as many as a pair of such sizes has to share.  Sets that fall short
   leave their groups, which may leave others short.
-* Near copies are joined by stars: sets with one least-hashed token try one
-  centre, by several hashes (as many pairs as sets for each).  Centres are
-  chosen for each class of sizes; for half of the hashes they are sets with the
-  fewest tokens of their own, which the others are copies of if any.
+* Near copies are joined by stars: sets with one least-hashed token have one
+  centre, by several hashes, and each set tries the centre that most of them
+  agree on (as many pairs as sets at most).  Centres are chosen for each class
+  of sizes: the sets with the fewest tokens of their own, which the others are
+  copies of if any.
 * Pairs are made of what is left: sets that can link with another component.
 
 Every link is verified on whole sets.
@@ -308,12 +309,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                   .select("sid", "n", "root", "rare", F.explode("s").alias("s")).select("sid", "n", "root", "rare", "s.*"))
         # one centre for each token and class of sizes, whose borders lie elsewhere for every other hash
         placed = materialize(signed.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES, F.col("seed") % 2 / 2)), "jaccard-signed")
-        order = F.struct(F.when(F.col("seed") % 4 < 2, F.col("rare")).otherwise(0).alias("rare"),
-                         F.xxhash64("sid", "seed").alias("h"), "root", "sid", "n")
+        # one order for all hashes, so that sets of one family agree on their centre
+        order = F.struct("rare", F.xxhash64("sid").alias("h"), "root", "sid", "n")
         centre = placed.groupBy("seed", "token", "class").agg(F.min(order).alias("c"))
         tries = (placed.join(materialize(centre, "jaccard-centres"), ["seed", "token", "class"])
                  .filter("c.root <> root").filter(sizes_fit(F.col("n"), F.col("c.n")))
-                 .select(F.least("sid", "c.sid").alias("a"), F.greatest("sid", "c.sid").alias("b")).distinct())
+                 .groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(F.count("*").alias("count"))
+                 .filter("count > 1")  # a first look; what it misses comes below
+                 .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
         found = materialize(verified(tries), "jaccard-links")
         if found.isEmpty():
             break
@@ -342,17 +345,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     first = F.slice("tokens", F.lit(1), (F.col("l") - F.greatest("least", F.lit(2)) + 2).cast("int"))
     two = heads.filter("l > 1 and l >= least").withColumn("tokens", first).select("*", F.posexplode("tokens").alias("i", "x")) \
         .select("*", F.explode(F.slice("tokens", F.col("i") + 2, F.size("tokens"))).alias("y")) \
-        .withColumn("token", F.xxhash64("x", "y")).drop("tokens", "i", "x", "y")
+        .withColumn("token", F.xxhash64("x", "y")).drop("i")
 
     def across(rows: DataFrame, shared: Column) -> DataFrame:
         """Pairs of different components with a token: sizes that fit are of
         the same size class or of neighbouring ones."""
-        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "t", "l", "last")],
+        both = "x" in rows.columns
+        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "t", "l", "last", *(["tokens"] if both else []))],
                             F.explode(F.array(*[F.col("class") + F.lit(d) for d in (-1, 0, 1)])).alias("class"))
+        # of all combinations that a pair shares, the first makes it
+        first = (F.slice(F.array_intersect("tokens", "tokens_2"), 1, 2) == F.array("x", "y")) if both else F.lit(True)
         n, m = F.col("n"), F.col("n_2")
         needs = shared_at_least(n, m, F.when(F.col("last") <= F.col("last_2"), n).otherwise(m))
         return (rows.join(other, ["token", "class"]).filter("sid < sid_2 and root <> root_2").filter(sizes_fit(n, m))
-                .filter(needs <= F.least("t", "t_2"))
+                .filter(needs <= F.least("t", "t_2")).filter(first)
                 .groupBy(F.col("sid").alias("a"), F.col("sid_2").alias("b"))
                 .agg(shared.alias("shared"), F.first(needs - F.least("l", "l_2")).alias("needed")))
 
