@@ -180,8 +180,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
     A passage is ``window`` consecutive words, or the whole item if it has
     fewer, anywhere in the document, but at least half of ``min_words``: an
     item of three words is no evidence.  Null and empty texts have no windows; rows with equal ids
-    are taken together; null ids are their own; other columns are not read;
-    empty tables on either side give an empty result.
+    are taken together; null ids are their own; other columns of either table,
+    whatever their names, are not read; empty tables on either side give an
+    empty result.  A long text is looked at as a whole: a task holds one slice
+    of texts, or one text if that is longer.
     """
     index = materialize(benchmark_windows(benchmark, window, item_col, item_text_col)
                         .filter(F.col("n_words") * 2 >= min_words), "leak-index")

@@ -178,8 +178,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     ``percent`` * union; a component's id is its smallest ``doc_id``.  Null
     and empty texts have empty sets, linked with nothing, so each row is a
     component of its own.  Repeated ids are rows of their own; a null id is
-    no component's smallest unless all are null.  Other columns are not read.
-    Sets are known by 64-bit hashes of their contents.
+    no component's smallest unless all are null.  Other columns are not read;
+    an empty table gives an empty result.  A long text is shingled as a whole
+    by the task that holds it.  Sets are known by 64-bit hashes of their
+    contents.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession

@@ -123,8 +123,9 @@ def find_licences(docs: DataFrame, sentences=(*SENTENCES, *STANDARD), rules=(*ST
 
     Null and empty texts have none; a null id stays null; rows with equal id
     and text are one document; other columns are not read; an empty table gives
-    an empty result.  A document's known
-    sentences are one string of a letter each, bounded by its own text.
+    an empty result.  Long texts are read
+    whole, by patterns that keep no state for each character; a document's
+    known sentences are one string of a letter each, bounded by its own text.
     """
     ids = (licence_sentences(docs, sentences, id_col, text_col).groupBy("doc_id", "content")
            .agg(F.array_sort(F.collect_set(F.struct("place", "sentence"))).alias("found")))

@@ -395,7 +395,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", id
     of a string stays; rows equal in id and text are then one and the same
     place.  Null ids come before others; repeated ids with different texts
     are different documents; an empty table gives an empty result.  Other
-    columns are not read.
+    columns are not read.  A long text is looked at as a whole: a task holds
+    one slice of texts, or one text if that is longer.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
