@@ -8,7 +8,9 @@ to single ones.  Words without any known character add nothing.
 The model is fitted on a bounded sample of labelled texts: about
 ``sample_docs`` different texts of each language, chosen by a hash of the text,
 and at most ``max_words`` words and ``max_grams`` n-grams, the most frequent
-ones.  These bounds are parameters; prediction reads every text whole.
+ones.  These bounds are parameters; prediction reads every text whole.  The
+model knows its terms by 64-bit hashes, in sorted arrays: a worker holds no
+text of them.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from marquee.llm.text_arrow import slices
+from marquee.llm.text_arrow import slices, text_bytes
 from marquee.session import materialize
 
 UNKNOWN = "und"
@@ -32,13 +34,42 @@ SLICE_BYTES = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+_random = np.random.default_rng(20261203)
+_BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = np.uint64(0xD1342543DE82EF95)
+
+
+def term_keys(terms: list[str]) -> np.ndarray:
+    """64-bit hashes of terms, none of which is empty."""
+    data, offsets = text_bytes(pa.array(terms, pa.string()))
+    if not len(data):
+        return np.zeros(0, np.uint64)
+    size = np.diff(offsets)
+    powers = np.full(int(size.max()), _BASE, np.uint64)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], size)
+    x = np.add.reduceat(_BYTE[data] * powers[place], offsets[:-1]) + size.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _places(keys: np.ndarray, terms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Where terms are in sorted keys, and which of them are there."""
+    own = term_keys(terms)
+    if not len(keys):
+        return np.zeros(len(own), np.int64), np.zeros(len(own), bool)
+    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+    return at, keys[at] == own
+
+
 @dataclass
 class Model:
-    """Log frequencies: ``words[w]`` and ``grams[g]`` are rows of ``table``,
-    which has a column for each of ``langs``."""
+    """Log frequencies: the sorted ``words``, then the sorted ``grams`` are the
+    rows of ``table``, which has a column for each of ``langs``."""
     langs: list[str]
-    words: dict[str, int]
-    grams: dict[str, int]
+    words: np.ndarray
+    grams: np.ndarray
     table: np.ndarray
     max_n: int
 
@@ -61,7 +92,7 @@ def fit(labelled: DataFrame, sample_docs: int = 4000, max_words: int = 200_000,
         raise ValueError(f"more than {max_langs} languages: clean the labels, or raise max_langs")
     langs = sorted(sizes)
     if not langs:
-        return Model([], {}, {}, np.zeros((0, 0)), max_n)
+        return Model([], np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros((0, 0)), max_n)
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, sample_docs / sizes[lang]))])
     sample = rows.filter(F.pmod("copy", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).dropDuplicates(["lang", "copy"])
     words = materialize(
@@ -96,15 +127,18 @@ def fit(labelled: DataFrame, sample_docs: int = 4000, max_words: int = 200_000,
     word_index, word_table = top(words, max_words)
     gram_index, gram_table = top(grams, max_grams)
     total = word_table.sum(axis=0)
-    table = np.vstack([np.log(word_table / total) if len(word_index) else word_table, logs(gram_index, gram_table)])
-    return Model(langs, word_index, {g: len(word_index) + i for g, i in gram_index.items()}, table, max_n)
+    words_, grams_ = term_keys(list(word_index)), term_keys(list(gram_index))
+    by_word, by_gram = np.argsort(words_), np.argsort(grams_)
+    table = np.vstack([(np.log(word_table / total) if len(word_index) else word_table)[by_word],
+                       logs(gram_index, gram_table)[by_gram]])
+    return Model(langs, words_[by_word], grams_[by_gram], table, max_n)
 
 
 class Scorer:
     """Scores texts.  Known words are looked up in the model itself; at most
     ``keep`` unseen words of a worker are remembered besides."""
 
-    def __init__(self, model: Model, keep: int = 100_000):
+    def __init__(self, model: Model, keep: int = 50_000):
         self.model, self.keep = model, keep
         self.unseen: dict[str, int] = {}
         self.rows = np.zeros((1024, len(model.langs)))  # of unseen words; grown by doubling
@@ -116,13 +150,25 @@ class Scorer:
             model.scorer = Scorer(model)
         return model.scorer
 
-    def _fallback(self, word: str) -> np.ndarray:
-        padded, m = f" {word} ", self.model
-        for n in range(min(m.max_n, len(padded)), 0, -1):
-            own = [m.grams[g] for i in range(len(padded) - n + 1) if (g := padded[i:i + n]) in m.grams and g != " "]
-            if own:
-                return m.table[own].mean(axis=0)
-        return np.zeros(len(m.langs))
+    def _fallback(self, words: list[str]) -> np.ndarray:
+        m = self.model
+        out, left = np.zeros((len(words), len(m.langs))), list(range(len(words)))
+        for n in range(m.max_n, 0, -1):
+            grams, owners = [], []
+            for i in left:
+                padded = f" {words[i]} "
+                own = [g for j in range(len(padded) - n + 1) if (g := padded[j:j + n]) != " "]
+                grams.extend(own)
+                owners.extend([i] * len(own))
+            at, known = _places(m.grams, grams)
+            owner = np.array(owners, np.int64)[known]
+            np.add.at(out, owner, m.table[len(m.words) + at[known]])
+            count = np.bincount(owner, minlength=len(words))
+            out[count > 0] /= count[count > 0, None]
+            left = [i for i in left if not count[i]]
+            if not left:
+                break
+        return out
 
     def _learn(self, words: list[str]) -> None:
         if len(self.unseen) + len(words) > self.keep:
@@ -132,19 +178,19 @@ class Scorer:
             grown = np.zeros((max(need, 2 * len(self.rows)), self.rows.shape[1]))
             grown[:len(self.unseen)] = self.rows[:len(self.unseen)]
             self.rows = grown
+        self.rows[len(self.unseen):need] = self._fallback(words)
         for w in words:
-            self.rows[len(self.unseen)] = self._fallback(w)
             self.unseen[w] = len(self.unseen)
 
     def one(self, text: str | None) -> tuple[str, float]:
         counts = Counter(_WORD.findall(text.lower())) if text else Counter()
         if not self.model.langs or not any(ch.isalpha() for w in counts for ch in w):
             return UNKNOWN, 0.0
-        known, total = self.model.words, np.zeros(len(self.model.langs))
-        seen = [w for w in counts if w in known]
-        new = [w for w in counts if w not in known]
-        if seen:
-            total += np.array([counts[w] for w in seen], float) @ self.model.table[[known[w] for w in seen]]
+        total, found = np.zeros(len(self.model.langs)), list(counts)
+        at, known = _places(self.model.words, found)
+        if known.any():
+            total += np.fromiter(counts.values(), float, len(found))[known] @ self.model.table[at[known]]
+        new = [w for w, k in zip(found, known.tolist()) if not k]
         for k in range(0, len(new), 4096):  # a long text may have more words than are kept
             own = new[k:k + 4096]
             missing = [w for w in own if w not in self.unseen]

@@ -26,7 +26,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Batches cut into runs of whole rows with about ``max_bytes`` of text
     each, so that a task's memory does not follow the batch size.  A text
-    longer than that is a run of its own."""
+    longer than that is a run of its own.  What Arrow keeps of batches that
+    are done goes back when they are all read: an idle worker holds none."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -38,6 +39,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iter
                 start, total = i, 0
             total += size
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 _SPACE = np.zeros(256, bool)
