@@ -40,7 +40,7 @@ from marquee.llm.text_arrow import slices, text_bytes
 from marquee.operators.joins import join_small_side
 from marquee.session import materialize
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Share of documents from which a token counts as frequent in the order, and
 #: the number of documents after which a task counts anew.
 FREQUENT_SHARE, FREQUENT_CHUNK = 0.0005, 8192
@@ -127,6 +127,18 @@ def set_id(tokens: np.ndarray) -> int:
     return int(_mix(own.sum(dtype=np.uint64, keepdims=True) + np.uint64(len(own))).view(np.int64)[0]) if len(own) else 0
 
 
+def repeated(tokens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values that occur at least ``least`` times, and how often.  Sorts
+    the tokens in their place: no copy of them is made."""
+    tokens.sort()
+    n = max(len(tokens) - least + 1, 0)
+    first = tokens[:n] == tokens[least - 1:least - 1 + n]
+    first[1:] &= tokens[1:n] != tokens[:n - 1] if n else first[1:]
+    starts = np.flatnonzero(first)
+    found = tokens[starts]
+    return found, np.searchsorted(tokens, found, "right") - starts
+
+
 def frequent_tokens(docs: DataFrame, words: int = 5, share: float = FREQUENT_SHARE,
                     chunk: int = FREQUENT_CHUNK) -> np.ndarray:
     """Sorted tokens of the frequent class.
@@ -142,11 +154,13 @@ def frequent_tokens(docs: DataFrame, words: int = 5, share: float = FREQUENT_SHA
         shingler, held, n, size = Shingler(words), [], 0, 0
 
         def told() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held) >> np.uint64(1), return_counts=True)
-            often = counts >= max(2, share * n)
+            every = np.concatenate(held)
+            held.clear()
+            every >>= np.uint64(1)
+            tokens, counts = repeated(every, math.ceil(max(2, share * n)))
             return pa.RecordBatch.from_pydict({
-                "token": np.concatenate((tokens[often].view(np.int64), [-1])),
-                "n": np.concatenate((counts[often], [n])).astype(np.int64)})
+                "token": np.concatenate((tokens.view(np.int64), [-1])),
+                "n": np.concatenate((counts, [n])).astype(np.int64)})
 
         for batch in slices(batches, "text", SLICE_BYTES):
             shingles, to = shingler(batch.column("text"))
