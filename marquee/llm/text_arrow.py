@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,11 +84,13 @@ class PieceEncoder:
     ``encode`` maps a list of piece texts to a list of id lists.  Pieces come
     from :func:`safe_cuts`, so joining their ids gives the ids of the text.
     The first ``keep`` different pieces, which the frequent ones are among, are
-    remembered between batches, as packed ids.
+    remembered between batches: one array of their texts and one of their ids.
     """
 
-    def __init__(self, encode, keep: int = 700_000):
-        self.encode, self.keep, self.known = encode, keep, {}
+    def __init__(self, encode, keep: int = 300_000):
+        self.encode, self.keep = encode, keep
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the n + 1 offsets of the texts."""
@@ -100,22 +102,25 @@ class PieceEncoder:
         pieces = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1,
                                        [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        words = coded.dictionary.to_pylist()
-        got = list(map(self.known.get, words))
-        missing = [i for i, ids in enumerate(got) if ids is None]
-        new = [words[i] for i in missing]
-        packed = [array("I", ids).tobytes() for ids in self.encode(new)] if new else []
-        for i, ids in zip(missing, packed):
-            got[i] = ids
-        room = self.keep - len(self.known)
-        if room > 0:
-            self.known.update(zip(new[:room], packed))
-        lengths = np.fromiter(map(len, got), np.int64, len(got)) // 4
-        flat = np.frombuffer(b"".join(got), np.uint32)
+        words, n = coded.dictionary, len(self.known)
+        at = pc.index_in(words, value_set=self.known)
+        new = words.filter(at.is_null())
+        row = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        row[row < 0] = np.arange(n, n + len(new))
+        flat, lengths = self.ids, self.lengths
+        if len(new):
+            lists = self.encode(new.to_pylist())
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            own = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+            flat, lengths = np.concatenate((flat, own)), np.concatenate((lengths, sizes))
         first = np.cumsum(lengths) - lengths
-        per_piece = lengths[index]
+        row = row[coded.indices.to_numpy()]
+        per_piece = lengths[row]
         ends = np.concatenate(([0], np.cumsum(per_piece)))
-        where = np.repeat(first[index] - ends[:-1], per_piece)
+        where = np.repeat(first[row] - ends[:-1], per_piece)
         where += np.arange(ends[-1])
+        if room := min(self.keep - n, len(new)):
+            self.known = pa.concat_arrays([self.known, new.slice(0, room)])
+            self.lengths = lengths[:n + room].copy()
+            self.ids = flat[:self.lengths.sum()].copy()
         return flat[where], ends[np.searchsorted(cuts, offsets)]

@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -50,16 +51,64 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+#: Steps before the model (normalizer, pre-tokenizer) after which a space, Latin-1
+#: letters and a full stop or comma are one word and one of that mark, in byte
+#: letters; what stands for the space, and whether letters become small.
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+_ONE_WORD = [
+    ((None, _BYTES | {"use_regex": True}), ("\u0120", False)),
+    (({"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+      {"type": "Sequence", "pretokenizers": [
+          {"type": "Split", "behavior": "Removed", "invert": True, "pattern": {
+              "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}},
+          _BYTES | {"use_regex": False}]}), ("", True)),
+]
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+
+
 @functools.lru_cache(maxsize=4)
 def piece_encoder(path: str) -> PieceEncoder:
     """The library's plain call without added special tokens.  A special
-    token's string has no white space, so no cut is within it."""
+    token's string has no white space, so no cut is within it.
+
+    Most pieces are a space and a word of Latin-1 letters, maybe with a full
+    stop or comma.  Where the steps before the model are known to make one
+    word of it and no added token is in it, the model gets the word at once.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
+    spec = json.loads(tokenizer.to_str())
+    known = next((how for steps, how in _ONE_WORD if steps == (spec["normalizer"], spec["pre_tokenizer"])), None)
+    if any(re.fullmatch(f"[{_LETTERS} .,]*", t["content"]) or t["normalized"] for t in spec["added_tokens"]):
+        known = None
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    def plain(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    if known is None:
+        return PieceEncoder(plain)
+    (space, small), tokenize = known, tokenizer.model.tokenize
+    match, letters = re.compile(f" ([{_LETTERS}]+)([.,]?)").fullmatch, byte_letters()
+    as_bytes = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(128, 256)}
+    marks = {"": [], **{m: [x.id for x in tokenize(m)] for m in ".,"}}
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        out, other = [], []
+        for i, t in enumerate(texts):
+            if m := match(t):
+                word, mark = m.groups()
+                if small:
+                    word = word.lower()
+                if not word.isascii():
+                    word = word.translate(as_bytes)
+                out.append([x.id for x in tokenize(space + word)] + marks[mark])
+            else:
+                out.append(None)
+                other.append(i)
+        for i, ids in zip(other, plain([texts[i] for i in other])):
+            out[i] = ids
+        return out
     return PieceEncoder(encode)
 
 

@@ -113,3 +113,36 @@ def test_cuts_keep_matches():
         cuts = text_arrow.safe_cuts(data, offsets)
         parts = [data[a:b].tobytes().decode() for a, b in zip(cuts[:-1], cuts[1:])]
         assert [m for p in parts for m in pattern.findall(p)] == pattern.findall(t)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_given_to_the_model(name):
+    """Each Latin-1 letter, marks, and what only looks like a plain word."""
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(name)
+    letters = [chr(c) for c in range(65, 256) if chr(c).isalpha()]
+    texts = [f" {c}{d}tion{e}" for c in letters for d in ("", "é", "X") for e in ("", ".", ",", "..", "'s", "́", "1")]
+    texts += ["", " ", "a", "É.", " .", ".a", "  ab", "\nAb.", " İx", " xẞ.", " ǅa", " ab<|endoftext|>", " <|startoftext|>ab.", " ªb", " µm", " ×a"]
+    whole = Tokenizer.from_file(path)
+    encoder = token_files.piece_encoder(path)
+    for _ in range(2):  # new pieces, then known ones
+        ids, ends = encoder(pa.array(texts))
+        for i, t in enumerate(texts):
+            assert ids[ends[i]:ends[i + 1]].tolist() == whole.encode(t, add_special_tokens=False).ids, t
+
+
+def test_known_pieces_take_little_memory():
+    """Fails where each known piece is objects of its own (over 200 bytes)."""
+    import tracemalloc
+
+    import pyarrow as pa
+    one = list(range(3))
+    e = text_arrow.PieceEncoder(lambda ts: [one] * len(ts))
+    tracemalloc.start()
+    for k in range(10):
+        e(pa.array([" ".join(f"w{k}x{i}" for i in range(10_000))]))
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(e.known) == 100_000 and held < 100_000 * 60
