@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from marquee.llm.graph import connected_components
 from marquee.llm.text_arrow import slices, text_bytes
 from marquee.operators.joins import join_small_side
-from marquee.session import materialize
+from marquee.session import discard, materialize
 
 SLICE_BYTES = 1 << 18
 #: Share of documents from which a token counts as frequent in the order, and
@@ -249,10 +249,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                                              names=["sid", "tokens"])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs that link, by the whole sets of those that occur in any."""
+        """A table of the pairs that link, by the whole sets of those that occur in any."""
         pairs = materialize(pairs, "jaccard-pairs")
         if pairs.isEmpty():
-            return pairs.select("a", "b")
+            return materialize(pairs.select("a", "b"), "jaccard-links")
         inside = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
         readers = materialize(sets.select("sid", "doc_id").join(inside, "sid", "left_semi")
                               .groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "jaccard-readers")
@@ -274,7 +274,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                 mask = pa.array(keep, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)],
                                                  names=["a", "b"])
-        return both.mapInArrow(run, "a long, b long")
+        found = materialize(both.mapInArrow(run, "a long, b long"), "jaccard-links")
+        for table in (contents, readers, pairs):
+            discard(table)
+        return found
 
     def shared_at_least(x: Column, y: Column, first: Column) -> Column:
         """Tokens that the extended prefixes of sets of sizes x and y must
@@ -321,19 +324,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         rare = F.floor(F.lit(10) - 10 * F.count("*") / length).cast("int") if turn == 0 else F.lit(0)
         # narrow rows are dealt by set first: partial results of so many hashes are larger than the rows
         signed = (open_groups.select("sid", "n", "root", "token").repartition("sid").groupBy("sid")
-                  .agg(F.first("n").alias("n"), F.first("root").alias("root"), rare.alias("rare"), F.array(*least_hashed).alias("s"))
-                  .select("sid", "n", "root", "rare", F.explode("s").alias("s")).select("sid", "n", "root", "rare", "s.*"))
+                  .agg(F.first("n").alias("n"), F.first("root").alias("root"), F.count("*").alias("t"), rare.alias("rare"), F.array(*least_hashed).alias("s"))
+                  .select("sid", "n", "root", "t", "rare", F.explode("s").alias("s")).select("sid", "n", "root", "t", "rare", "s.*"))
         # one centre for each token and class of sizes, whose borders lie elsewhere for every other hash
         placed = materialize(signed.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES, F.col("seed") % 2 / 2)), "jaccard-signed")
         # one order for all hashes, so that sets of one family agree on their centre
-        order = F.struct("rare", F.xxhash64("sid").alias("h"), "root", "sid", "n")
+        order = F.struct("rare", F.xxhash64("sid").alias("h"), "root", "sid", "n", "t")
         centre = placed.groupBy("seed", "token", "class").agg(F.min(order).alias("c"))
-        tries = (placed.join(materialize(centre, "jaccard-centres"), ["seed", "token", "class"])
-                 .filter("c.root <> root").filter(sizes_fit(F.col("n"), F.col("c.n")))
-                 .groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(F.count("*").alias("count"))
-                 .filter("count > 1")  # a first look; what it misses comes below
+        # tokens that the two have to share, and as many hashes as a third of that share lets expect
+        need = shared_at_least(F.col("n"), F.col("c.n"), F.greatest("n", "c.n"))
+        agree = F.lit(STARS / 3) * need / (F.col("t") + F.col("c.t") - need)
+        centre = materialize(centre, "jaccard-centres")
+        tries = (placed.join(centre, ["seed", "token", "class"])
+                 .filter("c.root <> root").filter(sizes_fit(F.col("n"), F.col("c.n"))).filter(need <= F.least("t", "c.t"))
+                 .groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(F.count("*").alias("count"), F.first(agree).alias("agree"))
+                 .filter("count > 1 and count >= agree")  # a first look; what it misses comes below
                  .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
-        found = materialize(verified(tries), "jaccard-links")
+        found = verified(tries)
+        discard(placed)
+        discard(centre)
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
@@ -364,24 +373,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         .withColumn("token", F.xxhash64("x", "y")).drop("i")
 
     def across(rows: DataFrame, shared: Column) -> DataFrame:
-        """Pairs of different components with a token: sizes that fit are of
-        the same size class or of neighbouring ones."""
+        """Pairs of different components with a token: the larger set (of
+        equal ones, that of the larger id) is of the smaller one's size class
+        or of the next."""
         both = "x" in rows.columns
-        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "t", "l", "last", *(["tokens"] if both else []))],
-                            F.explode(F.array(*[F.col("class") + F.lit(d) for d in (-1, 0, 1)])).alias("class"))
-        # of all combinations that a pair shares, the first makes it
-        first = (F.slice(F.array_intersect("tokens", "tokens_2"), 1, 2) == F.array("x", "y")) if both else F.lit(True)
+        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "t", "l", "last", *(["tokens", "least"] if both else []))],
+                            F.explode(F.array(F.col("class") - 1, F.col("class"))).alias("class"))
         n, m = F.col("n"), F.col("n_2")
         needs = shared_at_least(n, m, F.when(F.col("last") <= F.col("last_2"), n).otherwise(m))
-        return (rows.join(other, ["token", "class"]).filter("sid < sid_2 and root <> root_2").filter(sizes_fit(n, m))
-                .filter(needs <= F.least("t", "t_2")).filter(first)
-                .groupBy(F.col("sid").alias("a"), F.col("sid_2").alias("b"))
+        first = F.lit(True)
+        if both:
+            # of all combinations that a pair shares, the first makes it; a token of both sets in large groups
+            # that is not among both sets' first ones comes after the end of one's: of that set, least - 2 do
+            common = F.array_intersect("tokens", "tokens_2")
+            most = F.size(common) + F.greatest("least", "least_2", F.lit(2)) - 2 + F.least(F.col("t") - F.col("l"), F.col("t_2") - F.col("l_2"))
+            first = (F.slice(common, 1, 2) == F.array("x", "y")) & (needs <= most)
+        return (rows.join(other, ["token", "class"]).filter("root <> root_2 and (n < n_2 or (n = n_2 and sid < sid_2))")
+                .filter(sizes_fit(n, m)).filter(needs <= F.least("t", "t_2")).filter(first)
+                .groupBy(F.least("sid", "sid_2").alias("a"), F.greatest("sid", "sid_2").alias("b"))
                 .agg(shared.alias("shared"), F.first(needs - F.least("l", "l_2")).alias("needed")))
 
     pairs = across(single, F.count("*")).unionByName(across(two, F.lit(0).cast("long"))) \
         .groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")) \
         .filter("shared >= needed").select("a", "b")
-    found = materialize(verified(pairs), "jaccard-links")
+    found = verified(pairs)
     if not found.isEmpty():
         component = connected_components(found if links is None else links.unionByName(found))
     if component is None:

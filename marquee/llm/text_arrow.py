@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,8 +27,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Batches cut into runs of whole rows with about ``max_bytes`` of text
     each, so that a task's memory does not follow the batch size.  A text
-    longer than that is a run of its own.  What Arrow keeps of batches that
-    are done goes back when they are all read: an idle worker holds none."""
+    longer than that is a run of its own.  What Arrow and the C library keep
+    of memory that is done with goes back when all batches are read: an idle
+    worker holds none."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -39,7 +41,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iter
                 start, total = i, 0
             total += size
         yield batch.slice(start)
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system (the C library's only where it can)."""
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 _SPACE = np.zeros(256, bool)

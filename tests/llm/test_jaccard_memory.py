@@ -41,3 +41,49 @@ def test_shingling_a_batch_of_texts_is_bounded():
     _, peak = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert peak < 40 << 20
+
+
+def _resident_mb() -> float:
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * 4096 / 2**20
+
+
+def test_memory_that_is_done_with_goes_back():
+    """Fails where only Arrow's memory goes back after the last batch."""
+    batch = pa.RecordBatch.from_pydict({"text": ["a", None]})
+    read = slices(iter([batch]), "text", 100)
+    next(read)
+    held = [np.ones(8000) for _ in range(3000)]  # 190 MB in pieces below the size of a mapping of their own
+    kept = held[::100]
+    full = _resident_mb()
+    del held
+    assert list(read) == []
+    assert len(kept) == 30 and _resident_mb() < full - 120
+
+
+def test_little_in_common_is_not_compared(spark, monkeypatch):
+    """Documents that share a passage, but too little of it to link, are no
+    pairs of a star and a centre; tables that nothing reads are deleted."""
+    import glob
+
+    from marquee.session import ensure_checkpoint_dir
+    names, own = [], jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: (names.append(name), own(df, name))[1])
+    rng = random.Random(5)
+
+    def words(n: int) -> str:
+        return " ".join("w%x" % rng.getrandbits(48) for _ in range(n))
+    rows = []
+    for i in range(40):
+        shared = words(14)
+        rows += [(2 * i, f"{words(90)} {shared} {words(90)}"), (2 * i + 1, f"{words(90)} {shared} {words(90)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r.component_id == r.doc_id for r in jaccard.near_duplicates(docs).collect())
+    assert "jaccard-pairs" in names and "jaccard-contents" not in names
+    text = words(100)
+    docs = spark.createDataFrame([(101, text), (102, f"{text} end"), *rows[2:]], "doc_id long, text string")
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:") + "/marquee-staging/jaccard-contents-*"
+    before = set(glob.glob(folder))
+    names.clear()
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).filter("doc_id > 100").collect()} == {101: 101, 102: 101}
+    assert "jaccard-contents" in names and set(glob.glob(folder)) == before
