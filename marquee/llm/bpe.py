@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from marquee.llm.text_arrow import PieceEncoder, slices
 
 RANKS = "byte_bpe_50k.tiktoken"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 512 << 10
+#: Different pieces that a worker remembers: they are indexed anew for each slice.
+KEEP = 50_000
 
 
 def default_ranks() -> str:
@@ -44,7 +46,7 @@ def encoding(ranks_path: str, pattern: str):
 @functools.lru_cache(maxsize=4)
 def piece_encoder(ranks_path: str, pattern: str) -> PieceEncoder:
     one = encoding(ranks_path, pattern).encode_ordinary
-    return PieceEncoder(lambda texts: [one(t) for t in texts])
+    return PieceEncoder(lambda texts: [one(t) for t in texts], KEEP)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None,

@@ -54,6 +54,23 @@ def test_piece_memory_is_bounded():
         assert len(e.known) <= 5
 
 
+def test_encoding_a_batch_of_texts_is_bounded():
+    """Fails where a task encodes 4 MB of text at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = random.Random(5)
+    words = ["w%x" % rng.getrandbits(40) for _ in range(70_000)]
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(rng.choices(words, k=200)) for _ in range(1800)]})
+    encode = bpe.piece_encoder.__wrapped__(bpe.default_ranks(), bpe.default_pattern())
+    tracemalloc.start()
+    for own in text_arrow.slices(iter([batch]), "text", bpe.SLICE_BYTES):
+        encode(own.column("text"))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 40 << 20 and len(encode.known) <= 50_000
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_planes(kind):
     rng = np.random.default_rng(1)
