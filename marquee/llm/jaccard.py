@@ -21,8 +21,13 @@ expanded.  Candidates are not expanded into all pairs either:
   of sizes: the sets with the fewest tokens of their own, which the others are
   copies of if any.
 * Pairs are made of what is left: sets that can link with another component.
+  Tokens of small groups go first there: a set is looked up by the first of its
+  open tokens only, as many as leave fewer behind them than a pair must share.
 
-Every link is verified on whole sets.
+Each set has a sketch: the parities of its tokens by some bits of their hash.
+Two sketches differ in no more places than the sets differ in tokens, so pairs
+whose sketches differ in too many cannot link.  Every link is verified on whole
+sets.
 """
 
 from __future__ import annotations
@@ -52,6 +57,8 @@ LARGE_GROUP = 64
 STAR_ROUNDS, STARS = 1, 16
 #: Rounds in which sets that cannot link leave their groups, and classes of sizes in one factor of the threshold.
 PRUNE_ROUNDS, SIZE_CLASSES = 1, 12
+#: Bits of a sketch: the power of two from a set's size on, within these.
+SKETCH_BITS = 256, 1 << 14
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -127,6 +134,22 @@ def set_id(tokens: np.ndarray) -> int:
     return int(_mix(own.sum(dtype=np.uint64, keepdims=True) + np.uint64(len(own))).view(np.int64)[0]) if len(own) else 0
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """The parity of the tokens at each of some places, which their low bits
+    tell.  Places that two sketches differ in hold a token of one set only."""
+    bits = min(max(1 << max(len(tokens) - 1, 0).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    places = (tokens & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> int:
+    """In how many places two sketches (as bytes) differ; the longer one is
+    folded to the length of the other."""
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def repeated(tokens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The values that occur at least ``least`` times, and how often.  Sorts
     the tokens in their place: no copy of them is made."""
@@ -205,21 +228,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         shingler = Shingler(words)
         for batch in slices(batches, "text", SLICE_BYTES):
             shingles, to = shingler(batch.column("text"))
-            sizes, ids, parts = [], [], []
+            sizes, ids, parts, sketches = [], [], [], []
             tokens = _tokens(shingles, frequent.value)
             for i in range(batch.num_rows):
                 mine = np.unique(tokens[to[i]:to[i + 1]])
                 sizes.append(len(mine))
                 ids.append(set_id(mine))
+                sketches.append(sketch(mine))
                 extended = len(mine) + (-percent * len(mine)) // 100 + 2  # the prefix and one token more
                 parts.append(mine[:extended].view(np.int64))
             lengths = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(parts)))],
-                names=["doc_id", "n", "sid", "prefix"])
+                 pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(parts))), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n", "sid", "prefix", "sketch"])
 
-    sets = materialize(own.mapInArrow(prefixes, "doc_id long, n long, sid long, prefix array<long>"), "jaccard-sets")
+    sets = materialize(own.mapInArrow(prefixes, "doc_id long, n long, sid long, prefix array<long>, sketch binary"), "jaccard-sets")
     rows = sets.filter("n > 0").select("sid", "n", F.explode("prefix").alias("token"))
 
     # groups of two sets or more.  Tokens outside the frequent class: one shuffle and a look at the neighbours.
@@ -248,12 +272,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
             yield pa.RecordBatch.from_arrays([pa.array(kept_rows, pa.int64()), pa.array(out, pa.binary())],
                                              names=["sid", "tokens"])
 
+    def members(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("sid")).distinct().unionByName(pairs.select(F.col("b").alias("sid")).distinct()).distinct()
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, n, m in zip(batch.column("x"), batch.column("y"), batch.column("n").to_pylist(), batch.column("m").to_pylist()):
+                most = n + m + 2 * (-percent * (n + m) // (100 + percent))  # tokens of one set only, if the two link
+                keep.append(differing(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)) <= most)
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
     def verified(pairs: DataFrame) -> DataFrame:
-        """A table of the pairs that link, by the whole sets of those that occur in any."""
-        pairs = materialize(pairs, "jaccard-pairs")
+        """A table of the pairs that link: by their sketches first, then by the whole sets of those that occur in any."""
+        tried = materialize(pairs.select("a", "b"), "jaccard-tried")
+        signs = materialize(sets.select("sid", "n", "sketch").join(members(tried), "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-signs")
+        left = signs.select(F.col("sid").alias("a"), "n", F.col("sketch").alias("x"))
+        right = signs.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+        pairs = materialize(tried.join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(close, "a long, b long"), "jaccard-pairs")
+        discard(tried)
+        discard(signs)
         if pairs.isEmpty():
             return materialize(pairs.select("a", "b"), "jaccard-links")
-        inside = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        inside = members(pairs)
         readers = materialize(sets.select("sid", "doc_id").join(inside, "sid", "left_semi")
                               .groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "jaccard-readers")
         texts = join_small_side(own, readers, own["doc_id"].eqNullSafe(readers["doc_id"]))
@@ -306,9 +348,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                                    & ((o["lo"] != F.col("root")) | (o["hi"] != F.col("root")))))
         n, c = F.col("n"), F.col("other")
         low, high = F.floor(F.exp(c * fine)), F.ceil(F.exp((c + 1) * fine))
-        least = F.least(shared_at_least(n, low, n), shared_at_least(n, high, high))
+        # only sizes that fit: above the smallest one (if this set's prefix ends first) and below the largest one (else);
+        # two, besides, wherever the threshold asks a set of this size for two tokens
+        low = F.greatest(low, F.ceil(n * percent / 100))
+        high = F.least(high, F.floor(n * 100 / percent))
+        least = F.least(shared_at_least(n, low, n), F.floor((n + high) * F.lit(percent / (100 + percent)) - high * F.lit(percent / 100) - 1e-6) + 2)
+        least = F.greatest(least, F.least(F.ceil(n * percent / 100), F.lit(2)))
         counts = (rooted.join(present, "token").select("sid", "n", other.alias("o")).select("sid", "n", F.col("o.class").alias("other"))
-                  .groupBy("sid", "n", "other").agg(F.count("*").alias("t")).filter(F.col("t") >= least))
+                  .groupBy("sid", "n", "other").agg(F.count("*").alias("t")).filter((low <= high) & (F.col("t") >= least)))
         return counts.groupBy("sid").agg(F.min(least).alias("least"))
 
     links, component = None, None
@@ -347,42 +394,49 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
             break
         links = found if links is None else links.unionByName(found)
         component = connected_components(links)
-        open_groups = materialize(_rooted(open_groups, component), "jaccard-open")
+        open_groups = _rooted(open_groups, component)
     for _ in range(PRUNE_ROUNDS):
         able = materialize(can_link(open_groups), "jaccard-able")
-        open_groups = materialize(_mixed(open_groups.join(able.select("sid"), "sid", "left_semi")), "jaccard-open")
+        before, open_groups = open_groups, _mixed(open_groups.join(able.select("sid"), "sid", "left_semi"))
+        discard(before)
 
     # what is left: groups with several components.  Pairs across them, by single tokens where
     # the group is small and by combinations of two where it is large.  Only pairs that may share
     # enough tokens of their prefixes are made.
-    size = materialize(open_groups.groupBy("token").agg((F.count("*") > LARGE_GROUP).alias("large")), "jaccard-sizes")
-    sized = materialize(open_groups.join(size, "token"), "jaccard-sized")
-    # of each set: tokens in open groups (t), those in large ones (l), and the end of its prefix
+    size = materialize(open_groups.groupBy("token").agg(F.count("*").alias("size")), "jaccard-sizes")
+    # of each set: open tokens, those of small groups first (t), those in large ones (l), and the end of its prefix
     ends = sets.filter("n > 0").select("sid", F.element_at("prefix", -1).bitwiseXOR(F.lit(-(1 << 63))).alias("last"))
-    heads = sized.groupBy("sid").agg(
+    heads = open_groups.join(size, "token").groupBy("sid").agg(
         F.first("n").alias("n"), F.first("root").alias("root"), F.count("*").alias("t"),
-        F.sum(F.col("large").cast("long")).alias("l"),
-        F.array_sort(F.collect_list(F.when(F.col("large"), F.col("token")))).alias("tokens"))
+        F.array_sort(F.collect_list(F.struct("size", "token"))).alias("own"))
     heads = materialize(heads.join(able, "sid").join(ends, "sid").dropDuplicates(["sid"]), "jaccard-heads")
-    heads = heads.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES))
-    single = sized.filter("not large").select("sid", "token").join(heads.drop("tokens"), "sid")
+    heads = heads.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES)) \
+        .withColumn("tokens", F.transform(F.filter("own", lambda o: o["size"] > LARGE_GROUP), lambda o: o["token"])) \
+        .withColumn("l", F.size("tokens").cast("long")).filter("t >= least")
+    # of the tokens that a pair shares, the first one has least - 1 more behind it, in both sets
+    single = heads.withColumn("own", F.slice("own", F.lit(1), F.greatest(F.col("t") - F.greatest("least", F.lit(1)) + 1, F.lit(0)).cast("int"))) \
+        .select("sid", "n", "root", "t", "last", "class", F.posexplode("own").alias("i", "o")) \
+        .filter(F.col("o.size") <= LARGE_GROUP).withColumn("token", F.col("o.token")).drop("o")
+    heads = heads.drop("own")
     # a pair without a single token shares `least` of a set's l large groups: two of those are among its first l - least + 2
-    first = F.slice("tokens", F.lit(1), (F.col("l") - F.greatest("least", F.lit(2)) + 2).cast("int"))
+    first = F.slice("tokens", F.lit(1), F.greatest(F.col("l") - F.greatest("least", F.lit(2)) + 2, F.lit(0)).cast("int"))
     two = heads.filter("l > 1 and l >= least").withColumn("tokens", first).select("*", F.posexplode("tokens").alias("i", "x")) \
         .select("*", F.explode(F.slice("tokens", F.col("i") + 2, F.size("tokens"))).alias("y")) \
         .withColumn("token", F.xxhash64("x", "y")).drop("i")
 
-    def across(rows: DataFrame, shared: Column) -> DataFrame:
+    def across(rows: DataFrame) -> DataFrame:
         """Pairs of different components with a token: the larger set (of
         equal ones, that of the larger id) is of the smaller one's size class
         or of the next."""
         both = "x" in rows.columns
-        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "t", "l", "last", *(["tokens", "least"] if both else []))],
+        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "t", "last", *(["l", "tokens", "least"] if both else ["i"]))],
                             F.explode(F.array(F.col("class") - 1, F.col("class"))).alias("class"))
         n, m = F.col("n"), F.col("n_2")
         needs = shared_at_least(n, m, F.when(F.col("last") <= F.col("last_2"), n).otherwise(m))
-        first = F.lit(True)
-        if both:
+        if not both:
+            # all that the two share follows the first such token, in both sets
+            first = needs <= F.least(F.col("t") - F.col("i"), F.col("t_2") - F.col("i_2"))
+        else:
             # of all combinations that a pair shares, the first makes it; a token of both sets in large groups
             # that is not among both sets' first ones comes after the end of one's: of that set, least - 2 do
             common = F.array_intersect("tokens", "tokens_2")
@@ -390,13 +444,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
             first = (F.slice(common, 1, 2) == F.array("x", "y")) & (needs <= most)
         return (rows.join(other, ["token", "class"]).filter("root <> root_2 and (n < n_2 or (n = n_2 and sid < sid_2))")
                 .filter(sizes_fit(n, m)).filter(needs <= F.least("t", "t_2")).filter(first)
-                .groupBy(F.least("sid", "sid_2").alias("a"), F.greatest("sid", "sid_2").alias("b"))
-                .agg(shared.alias("shared"), F.first(needs - F.least("l", "l_2")).alias("needed")))
+                .select(F.least("sid", "sid_2").alias("a"), F.greatest("sid", "sid_2").alias("b")).distinct())
 
-    pairs = across(single, F.count("*")).unionByName(across(two, F.lit(0).cast("long"))) \
-        .groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")) \
-        .filter("shared >= needed").select("a", "b")
-    found = verified(pairs)
+    found = verified(across(single).unionByName(across(two)).distinct())
     if not found.isEmpty():
         component = connected_components(found if links is None else links.unionByName(found))
     if component is None:
@@ -415,10 +465,16 @@ def _rooted(groups: DataFrame, component: DataFrame) -> DataFrame:
     """Groups' rows with their component's root."""
     rooted = (groups.drop("root").join(component.select(F.col("node").alias("sid"), "root"), "sid", "left")
               .select("token", "sid", "n", F.coalesce("root", "sid").alias("root")))
-    return _mixed(materialize(rooted, "jaccard-rooted"))
+    rooted = materialize(rooted, "jaccard-rooted")
+    mixed = _mixed(rooted)
+    discard(rooted)
+    return mixed
 
 
 def _mixed(rooted: DataFrame) -> DataFrame:
-    """The rows of groups that hold more than one component."""
+    """A table of the rows of groups that hold more than one component."""
     mixed = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    return rooted.join(materialize(mixed.select("token"), "jaccard-mixed"), "token")
+    mixed = materialize(mixed.select("token"), "jaccard-mixed")
+    out = materialize(rooted.join(mixed, "token"), "jaccard-open")
+    discard(mixed)
+    return out

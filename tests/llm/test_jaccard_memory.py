@@ -87,3 +87,39 @@ def test_little_in_common_is_not_compared(spark, monkeypatch):
     names.clear()
     assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).filter("doc_id > 100").collect()} == {101: 101, 102: 101}
     assert "jaccard-contents" in names and set(glob.glob(folder)) == before
+
+
+def test_sketches_differ_in_no_more_than_the_sets():
+    rng = np.random.default_rng(8)
+    for n, m, common in ((0, 3, 0), (1, 1, 0), (300, 300, 260), (255, 260, 255), (900, 300, 300), (40_000, 30_000, 29_000)):
+        every = np.unique(rng.integers(0, 1 << 63, n + m, dtype=np.uint64))
+        rng.shuffle(every)
+        x, y = every[:n], every[n - common:n - common + m]
+        if common == 0:
+            y = every[n:n + m]
+        found = jaccard.differing(*(np.frombuffer(jaccard.sketch(z), np.uint8) for z in (x, y)))
+        assert found <= len(np.setxor1d(x, y)) and found % 2 == len(np.setxor1d(x, y)) % 2
+
+
+def test_a_family_below_the_threshold_is_not_compared_whole(spark, monkeypatch):
+    """Many copies of one text, each changed so much that no two link, though
+    their prefixes do not tell: few pairs go to the whole sets."""
+    compared, own = [], jaccard.materialize
+
+    def counted(df, name):
+        out = own(df, name)
+        if name == "jaccard-pairs":
+            compared.append(out.count())
+        return out
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    rng = random.Random(6)
+    base = ["b%d" % i for i in range(300)]
+    rows = []
+    for i in range(30):
+        words = list(base)
+        for place in rng.sample(range(5, 295, 5), 7):
+            words[place] = "c%d_%d" % (i, place)
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r.component_id == r.doc_id for r in jaccard.near_duplicates(docs).collect())
+    assert sum(compared) < 40, compared
