@@ -4,9 +4,7 @@ Tokens are 64-bit hashes of five-word shingles.  Their global order puts the
 frequent class last (tokens in more than a small share of all documents, found
 in one pass), and is by hash otherwise.  Two sets that reach the threshold
 share a token within their prefixes, and k tokens within prefixes that are
-k - 1 tokens longer.  So each such pair shares, within extended prefixes,
-a token of a small group (one set of rows per single token), or k tokens that
-all have large groups: those are indexed by combinations of k = 2.
+k - 1 tokens longer (k = 2 here: extended prefixes).
 
 Documents with equal sets share one set id throughout, so copies are never
 expanded.  Candidates are not expanded into all pairs either:
@@ -20,14 +18,20 @@ expanded.  Candidates are not expanded into all pairs either:
   agree on (as many pairs as sets at most).  Centres are chosen for each class
   of sizes: the sets with the fewest tokens of their own, which the others are
   copies of if any.
-* Pairs are made of what is left: sets that can link with another component.
-  Tokens of small groups go first there: a set is looked up by the first of its
-  open tokens only, as many as leave fewer behind them than a pair must share.
+* What is left are sets that can link with another component.  A token's
+  group is led by its member of the least hash, and all groups of one leader
+  make one block: two sets with a token in common are both in its leader's
+  block.  The sets of a block are compared in a task, by their sketches, so a
+  family of many sets costs rows of its sets, not of its pairs.  Large blocks
+  are cut by sizes and into parts of which each two meet in a task.  A set is
+  in the blocks of the first of its open tokens only, those of small groups
+  first, as many as leave fewer behind them than a pair must share.
 
 Each set has a sketch: the parities of its tokens by some bits of their hash.
 Two sketches differ in no more places than the sets differ in tokens, so pairs
 whose sketches differ in too many cannot link.  Every link is verified on whole
-sets.
+sets, which go to the tasks once for each block; pairs of one component that
+others have joined are left out.
 """
 
 from __future__ import annotations
@@ -51,8 +55,12 @@ SLICE_BYTES = 1 << 18
 FREQUENT_SHARE, FREQUENT_CHUNK = 0.0005, 8192
 #: Tokens that a task holds at most before it counts, besides one document's.
 CHUNK_TOKENS = 1 << 21
-#: Sets in a group from which its token is used in combinations only.
-LARGE_GROUP = 64
+#: Sets in a block from which it is dealt to several tasks.
+LARGE_GROUP = 4096
+#: Bytes of whole sets in a block from which it is dealt to several tasks.
+BLOCK_BYTES = 1 << 24
+#: Bytes of sketches compared at a time, and pairs that a task holds.
+COMPARED_BYTES, PAIRS_HELD = 1 << 22, 1 << 16
 #: Rounds of stars, and hashes in each.
 STAR_ROUNDS, STARS = 1, 16
 #: Rounds in which sets that cannot link leave their groups, and classes of sizes in one factor of the threshold.
@@ -142,6 +150,36 @@ def sketch(tokens: np.ndarray) -> bytes:
     return np.packbits(np.bincount(places, minlength=bits) & 1, bitorder="little").tobytes()
 
 
+def distinct(values: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of each row, in order, and the offsets of the rows.
+    Sorts the values in their place."""
+    for i in range(len(to) - 1):
+        values[to[i]:to[i + 1]].sort()
+    keep = np.ones(len(values), bool)
+    keep[1:] = values[1:] != values[:-1]
+    keep[to[:-1][to[:-1] < len(values)]] = True  # a row begins
+    return values[keep], np.concatenate(([0], np.cumsum(keep)))[to]
+
+
+def set_ids(tokens: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """:func:`set_id` of each row's distinct tokens."""
+    own = _mix((tokens & np.uint64((1 << 63) - 1)) ^ np.uint64(0x5851F42D4C957F2D))
+    total = np.concatenate(([np.uint64(0)], np.cumsum(own, dtype=np.uint64)))
+    n = np.diff(to)
+    return np.where(n > 0, _mix(total[to[1:]] - total[to[:-1]] + n.astype(np.uint64)).view(np.int64), 0)
+
+
+def sketches(tokens: np.ndarray, to: np.ndarray) -> pa.Array:
+    """:func:`sketch` of each row's distinct tokens."""
+    n = np.diff(to)
+    bits = np.clip(1 << np.frexp(np.maximum(n - 1, 0).astype(float))[1].astype(np.int64), *SKETCH_BITS)
+    starts = np.concatenate(([0], np.cumsum(bits)))
+    row = np.repeat(np.arange(len(n)), n)
+    places = starts[row] + (tokens & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    data = np.packbits(np.bincount(places, minlength=starts[-1]) & 1, bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((starts // 8).astype(np.int32)), pa.py_buffer(data)])
+
+
 def differing(x: np.ndarray, y: np.ndarray) -> int:
     """In how many places two sketches (as bytes) differ; the longer one is
     folded to the length of the other."""
@@ -150,6 +188,92 @@ def differing(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def most_differing(n, m, percent: int):
+    """Tokens of one set only, at most, if sets of n and m tokens link."""
+    return n + m + 2 * (-percent * (n + m) // (100 + percent))
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    z = np.sort(np.concatenate((x, y)), kind="stable")
+    common = int((z[1:] == z[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def close_in_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of sets of a block with different roots whose sketches are close,
+    from rows in the order of their blocks and sizes.  The smaller set is one of
+    the block's ``own``; with sides, the two are of different ones."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        blocks = batch.column("block").to_numpy()
+        last = int(np.searchsorted(blocks, blocks[-1]))  # the last block may go on
+        if held and (last or held[-1].column("block")[-1].as_py() != blocks[0]):
+            held.append(batch.slice(0, last))
+            yield from _close_pairs(pa.Table.from_batches(held), percent)
+            held = []
+        elif last:
+            yield from _close_pairs(pa.Table.from_batches([batch.slice(0, last)]), percent)
+        held.append(batch.slice(last))
+    if held:
+        yield from _close_pairs(pa.Table.from_batches(held), percent)
+
+
+def _close_pairs(rows: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    block, sid, n, root, side = (rows.column(c).to_numpy() for c in ("block", "sid", "n", "root", "side"))
+    own, sketches = rows.column("own").to_numpy(), rows.column("sketch").to_pylist()
+    # the rows after each one up to which sizes fit
+    number = np.concatenate(([0], np.cumsum(block[1:] != block[:-1])))
+    most = n * 100 // percent
+    step = int(most.max()) + 1
+    ends = np.searchsorted(number * step + n, number * step + most, "right")
+    # sketches by their length, with the longer ones that sets of fitting sizes have, folded
+    length = np.array([len(x) for x in sketches]) // 8
+    fold = 1 << (-(-100 // percent) - 1).bit_length()
+    folded = {}
+    for size in np.unique(length).tolist():
+        place, parts = np.full(len(n), -1), []
+        for longer in np.unique(length[(length >= size) & (length <= size * fold)]).tolist():
+            at = np.flatnonzero(length == longer)
+            place[at] = sum(map(len, parts)) + np.arange(len(at))
+            whole = np.frombuffer(b"".join([sketches[i] for i in at]), np.uint64).reshape(len(at), longer // size, size)
+            parts.append(np.bitwise_xor.reduce(whole, axis=1))
+        folded[size] = place, np.concatenate(parts)
+    out, held = [], 0
+    first, apart = np.flatnonzero(own & (ends > np.arange(len(n)) + 1)), 1
+    while len(first):
+        second = first + apart
+        fit = (root[first] != root[second]) & ((side[first] < 0) | (side[first] != side[second]))
+        i, j = first[fit], second[fit]
+        for size, (place, words) in folded.items():
+            mine = length[i] == size
+            if not mine.any():
+                continue
+            x, y = i[mine], j[mine]
+            for at in range(0, len(x), many := max(1, COMPARED_BYTES // (8 * size))):
+                a, b = x[at:at + many], y[at:at + many]
+                differ = np.bitwise_count(words[place[a]] ^ words[place[b]]).sum(axis=1, dtype=np.int64)
+                near = differ <= most_differing(n[a], n[b], percent)
+                if near.any():
+                    a, b = a[near], b[near]
+                    out.append((block[a], np.minimum(sid[a], sid[b]), np.maximum(sid[a], sid[b]), np.where(sid[a] < sid[b], root[a], root[b]),
+                                np.where(sid[a] < sid[b], root[b], root[a]), differ[near]))
+                    held += len(a)
+        if held >= PAIRS_HELD:
+            yield _pair_rows(out)
+            out, held = [], 0
+        apart += 1
+        first = first[ends[first] > first + apart]
+    if out:
+        yield _pair_rows(out)
+
+
+def _pair_rows(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found)],
+                                      names=["block", "a", "b", "root_a", "root_b", "apart"])
+
+
 def repeated(tokens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The values that occur at least ``least`` times, and how often.  Sorts
     the tokens in their place: no copy of them is made."""
@@ -186,9 +310,9 @@ def frequent_tokens(docs: DataFrame, words: int = 5, share: float = FREQUENT_SHA
                 "n": np.concatenate((counts, [n])).astype(np.int64)})
 
         for batch in slices(batches, "text", SLICE_BYTES):
-            shingles, to = shingler(batch.column("text"))
+            shingles, to = distinct(*shingler(batch.column("text")))
             for i in range(batch.num_rows):
-                held.append(np.unique(shingles[to[i]:to[i + 1]]))
+                held.append(shingles[to[i]:to[i + 1]])
                 n, size = n + 1, size + len(held[-1])
                 if n == chunk or size >= CHUNK_TOKENS:
                     yield told()
@@ -228,19 +352,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         shingler = Shingler(words)
         for batch in slices(batches, "text", SLICE_BYTES):
             shingles, to = shingler(batch.column("text"))
-            sizes, ids, parts, sketches = [], [], [], []
-            tokens = _tokens(shingles, frequent.value)
-            for i in range(batch.num_rows):
-                mine = np.unique(tokens[to[i]:to[i + 1]])
-                sizes.append(len(mine))
-                ids.append(set_id(mine))
-                sketches.append(sketch(mine))
-                extended = len(mine) + (-percent * len(mine)) // 100 + 2  # the prefix and one token more
-                parts.append(mine[:extended].view(np.int64))
-            lengths = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
+            tokens, to = distinct(_tokens(shingles, frequent.value), to)
+            n = np.diff(to)
+            extended = np.minimum(n, n + (-percent * n) // 100 + 2)  # the prefix and one token more
+            ends = np.concatenate(([0], np.cumsum(extended)))
+            prefix = tokens[np.repeat(to[:-1] - ends[:-1], extended) + np.arange(ends[-1])].view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(parts))), pa.array(sketches, pa.binary())],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(set_ids(tokens, to), pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(prefix)), sketches(tokens, to)],
                 names=["doc_id", "n", "sid", "prefix", "sketch"])
 
     sets = materialize(own.mapInArrow(prefixes, "doc_id long, n long, sid long, prefix array<long>, sketch binary"), "jaccard-sets")
@@ -263,61 +382,66 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         shingler = Shingler(words)
         for batch in slices(batches, "text", SLICE_BYTES):
             shingles, to = shingler(batch.column("text"))
-            kept_rows, out = [], []
-            for i, sid in enumerate(batch.column("sid").to_pylist()):
-                mine = np.unique(shingles[to[i]:to[i + 1]] >> np.uint64(1))
-                if set_id(mine) == sid:  # a repeated id may have other texts
-                    kept_rows.append(sid)
-                    out.append(mine.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(kept_rows, pa.int64()), pa.array(out, pa.binary())],
-                                             names=["sid", "tokens"])
-
-    def members(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.col("a").alias("sid")).distinct().unionByName(pairs.select(F.col("b").alias("sid")).distinct()).distinct()
+            tokens, to = distinct(shingles >> np.uint64(1), to)
+            kept = np.flatnonzero(set_ids(tokens, to) == batch.column("sid").to_numpy())  # a repeated id may have other texts
+            out = [tokens[to[i]:to[i + 1]].tobytes() for i in kept]
+            yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(kept)), pa.array(out, pa.binary())], names=["sid", "tokens"])
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y, n, m in zip(batch.column("x"), batch.column("y"), batch.column("n").to_pylist(), batch.column("m").to_pylist()):
-                most = n + m + 2 * (-percent * (n + m) // (100 + percent))  # tokens of one set only, if the two link
-                keep.append(differing(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)) <= most)
+                found = differing(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8))
+                keep.append(found <= most_differing(n, m, percent))
             mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """A table of the pairs that link: by their sketches first, then by the whole sets of those that occur in any."""
-        tried = materialize(pairs.select("a", "b"), "jaccard-tried")
-        signs = materialize(sets.select("sid", "n", "sketch").join(members(tried), "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-signs")
+    def close_to_centre(tries: DataFrame) -> DataFrame:
+        """A table of the pairs of a set and a centre (b) whose sketches are close; the centre is their block."""
+        tried = materialize(tries.select("a", "b"), "jaccard-tried")
+        inside = tried.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        signs = materialize(sets.select("sid", "n", "sketch").join(inside, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-signs")
         left = signs.select(F.col("sid").alias("a"), "n", F.col("sketch").alias("x"))
         right = signs.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
-        pairs = materialize(tried.join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(close, "a long, b long"), "jaccard-pairs")
+        near = tried.join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(close, "a long, b long")
+        pairs = materialize(near.selectExpr("b as block", "a", "b", "a as root_a", "b as root_b", "0L as apart"), "jaccard-pairs")
         discard(tried)
         discard(signs)
+        return pairs
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """A table of the pairs that link, without those of components that others of them join.  A set is read
+        once and goes to each of its blocks, not to each of its pairs; large blocks go to several tasks."""
         if pairs.isEmpty():
             return materialize(pairs.select("a", "b"), "jaccard-links")
-        inside = members(pairs)
-        readers = materialize(sets.select("sid", "doc_id").join(inside, "sid", "left_semi")
-                              .groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "jaccard-readers")
-        texts = join_small_side(own, readers, own["doc_id"].eqNullSafe(readers["doc_id"]))
+        inside = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        readers = materialize(sets.select("sid", "doc_id", "n").join(inside, "sid", "left_semi")
+                              .groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "jaccard-readers")
+        texts = join_small_side(own, readers.select("sid", F.col("doc_id").alias("reader")), F.col("doc_id").eqNullSafe(F.col("reader")))
         contents = materialize(texts.select("sid", "text").mapInArrow(whole, "sid long, tokens binary"), "jaccard-contents")
-        left = contents.select(F.col("sid").alias("a"), F.col("tokens").alias("x"))
-        right = contents.select(F.col("sid").alias("b"), F.col("tokens").alias("y"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = []
-                for i in range(batch.num_rows):
-                    x = np.frombuffer(batch.column("x")[i].as_buffer(), np.uint64)
-                    y = np.frombuffer(batch.column("y")[i].as_buffer(), np.uint64)
-                    z = np.sort(np.concatenate((x, y)), kind="stable")
-                    common = int((z[1:] == z[:-1]).sum())
-                    keep.append(100 * common >= percent * (len(x) + len(y) - common))
-                mask = pa.array(keep, pa.bool_())
-                yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)],
-                                                 names=["a", "b"])
-        found = materialize(both.mapInArrow(run, "a long, b long"), "jaccard-links")
-        for table in (contents, readers, pairs):
+        in_blocks = pairs.select("block", F.explode(F.array("a", "b")).alias("sid")).distinct()
+        parts = in_blocks.join(readers.select("sid", "n"), "sid").groupBy("block").agg(F.ceil(F.sum(F.col("n") * 8) / BLOCK_BYTES).alias("parts"))
+        part = [F.pmod(F.xxhash64(c), "parts") for c in ("a", "b")]
+        dealt = materialize(pairs.join(parts, "block").withColumn("part", F.xxhash64("block", *part)).select("part", *pairs.columns[1:]), "jaccard-dealt")
+        needed = dealt.select(F.col("part").alias("at"), F.explode(F.array("a", "b")).alias("sid")).distinct().join(contents.dropDuplicates(["sid"]), "sid")
+
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            tokens = {sid: np.frombuffer(x.as_buffer(), np.uint64) for sid, x in zip(right.column("sid").to_pylist(), right.column("tokens"))}
+            parent, links = {}, []
+
+            def find(x: int) -> int:
+                while parent.get(x, x) != x:
+                    parent[x] = parent.get(parent[x], parent[x])
+                    x = parent[x]
+                return x
+            for a, b, i, j in zip(*(left.sort_by("apart").column(c).to_pylist() for c in ("a", "b", "root_a", "root_b"))):
+                i, j = find(i), find(j)
+                if i != j and a in tokens and b in tokens and similar(tokens[a], tokens[b], percent):
+                    parent[i] = j
+                    links.append((a, b))
+            return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        found = materialize(dealt.groupBy("part").cogroup(needed.groupBy("at")).applyInArrow(run, "a long, b long"), "jaccard-links")
+        for table in (contents, readers, dealt):
             discard(table)
         return found
 
@@ -387,9 +511,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                  .groupBy(F.col("sid").alias("a"), F.col("c.sid").alias("b")).agg(F.count("*").alias("count"), F.first(agree).alias("agree"))
                  .filter("count > 1 and count >= agree")  # a first look; what it misses comes below
                  .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b")))
-        found = verified(tries)
+        pairs = close_to_centre(tries)
         discard(placed)
         discard(centre)
+        found = verified(pairs)
+        discard(pairs)
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
@@ -400,53 +526,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         before, open_groups = open_groups, _mixed(open_groups.join(able.select("sid"), "sid", "left_semi"))
         discard(before)
 
-    # what is left: groups with several components.  Pairs across them, by single tokens where
-    # the group is small and by combinations of two where it is large.  Only pairs that may share
-    # enough tokens of their prefixes are made.
-    size = materialize(open_groups.groupBy("token").agg(F.count("*").alias("size")), "jaccard-sizes")
-    # of each set: open tokens, those of small groups first (t), those in large ones (l), and the end of its prefix
-    ends = sets.filter("n > 0").select("sid", F.element_at("prefix", -1).bitwiseXOR(F.lit(-(1 << 63))).alias("last"))
+    # what is left: groups with several components.  All groups with one leader, their member of the least hash,
+    # make one block: sets that share a token are in its leader's block.
+    size = materialize(open_groups.groupBy("token").agg(F.count("*").alias("size"), F.min(F.xxhash64("sid")).alias("block")), "jaccard-sizes")
     heads = open_groups.join(size, "token").groupBy("sid").agg(
-        F.first("n").alias("n"), F.first("root").alias("root"), F.count("*").alias("t"),
-        F.array_sort(F.collect_list(F.struct("size", "token"))).alias("own"))
-    heads = materialize(heads.join(able, "sid").join(ends, "sid").dropDuplicates(["sid"]), "jaccard-heads")
-    heads = heads.withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES)) \
-        .withColumn("tokens", F.transform(F.filter("own", lambda o: o["size"] > LARGE_GROUP), lambda o: o["token"])) \
-        .withColumn("l", F.size("tokens").cast("long")).filter("t >= least")
-    # of the tokens that a pair shares, the first one has least - 1 more behind it, in both sets
-    single = heads.withColumn("own", F.slice("own", F.lit(1), F.greatest(F.col("t") - F.greatest("least", F.lit(1)) + 1, F.lit(0)).cast("int"))) \
-        .select("sid", "n", "root", "t", "last", "class", F.posexplode("own").alias("i", "o")) \
-        .filter(F.col("o.size") <= LARGE_GROUP).withColumn("token", F.col("o.token")).drop("o")
-    heads = heads.drop("own")
-    # a pair without a single token shares `least` of a set's l large groups: two of those are among its first l - least + 2
-    first = F.slice("tokens", F.lit(1), F.greatest(F.col("l") - F.greatest("least", F.lit(2)) + 2, F.lit(0)).cast("int"))
-    two = heads.filter("l > 1 and l >= least").withColumn("tokens", first).select("*", F.posexplode("tokens").alias("i", "x")) \
-        .select("*", F.explode(F.slice("tokens", F.col("i") + 2, F.size("tokens"))).alias("y")) \
-        .withColumn("token", F.xxhash64("x", "y")).drop("i")
-
-    def across(rows: DataFrame) -> DataFrame:
-        """Pairs of different components with a token: the larger set (of
-        equal ones, that of the larger id) is of the smaller one's size class
-        or of the next."""
-        both = "x" in rows.columns
-        other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("sid", "n", "root", "t", "last", *(["l", "tokens", "least"] if both else ["i"]))],
-                            F.explode(F.array(F.col("class") - 1, F.col("class"))).alias("class"))
-        n, m = F.col("n"), F.col("n_2")
-        needs = shared_at_least(n, m, F.when(F.col("last") <= F.col("last_2"), n).otherwise(m))
-        if not both:
-            # all that the two share follows the first such token, in both sets
-            first = needs <= F.least(F.col("t") - F.col("i"), F.col("t_2") - F.col("i_2"))
-        else:
-            # of all combinations that a pair shares, the first makes it; a token of both sets in large groups
-            # that is not among both sets' first ones comes after the end of one's: of that set, least - 2 do
-            common = F.array_intersect("tokens", "tokens_2")
-            most = F.size(common) + F.greatest("least", "least_2", F.lit(2)) - 2 + F.least(F.col("t") - F.col("l"), F.col("t_2") - F.col("l_2"))
-            first = (F.slice(common, 1, 2) == F.array("x", "y")) & (needs <= most)
-        return (rows.join(other, ["token", "class"]).filter("root <> root_2 and (n < n_2 or (n = n_2 and sid < sid_2))")
-                .filter(sizes_fit(n, m)).filter(needs <= F.least("t", "t_2")).filter(first)
-                .select(F.least("sid", "sid_2").alias("a"), F.greatest("sid", "sid_2").alias("b")).distinct())
-
-    found = verified(across(single).unionByName(across(two)).distinct())
+        F.first("n").alias("n"), F.first("root").alias("root"), F.array_sort(F.collect_list(F.struct("size", "token", "block"))).alias("own"))
+    # of the tokens that a pair shares, those of small groups first, the first one has least - 1 more behind it, in both sets
+    first = F.slice("own", F.lit(1), F.greatest(F.size("own") - F.greatest("least", F.lit(1)) + 1, F.lit(0)).cast("int"))
+    heads = heads.join(able, "sid").select("sid", "n", "root", F.array_distinct(F.transform(first, lambda o: o["block"])).alias("blocks"))
+    heads = materialize(heads.filter(F.size("blocks") > 0).join(sets.select("sid", "sketch"), "sid").dropDuplicates(["sid"]), "jaccard-heads")
+    placed = heads.select("sid", "n", "root", "sketch", F.explode("blocks").alias("block"))
+    mixed = placed.groupBy("block").agg(F.count("*").alias("sets"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    mixed = materialize(mixed.select("block", F.ceil(F.col("sets") / LARGE_GROUP).cast("int").alias("parts")), "jaccard-blocks")
+    # a large block by classes of sizes, in which the smaller set of a pair is (the larger one is of that class or
+    # the next), and by two of its parts
+    placed = placed.join(mixed, "block").withColumn("class", size_class(F.col("n"), fine * SIZE_CLASSES)) \
+        .withColumn("side", F.pmod(F.xxhash64("sid", F.lit(1)), "parts").cast("int"))
+    cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("side", o).alias("i"), F.greatest("side", o).alias("j")))
+    cells = F.flatten(F.transform(F.array(F.col("class"), F.col("class") - 1), lambda c: F.transform(cells, lambda o: F.struct(c.alias("class"), o["i"].alias("i"), o["j"].alias("j")))))
+    cells = F.when(F.col("parts") > 1, cells).otherwise(F.array(F.struct(F.col("class").alias("class"), F.lit(0).alias("i"), F.lit(0).alias("j"))))
+    celled = placed.withColumn("cell", F.explode(cells)).select(
+        F.when(F.col("parts") > 1, F.xxhash64("block", "cell.class", "cell.i", "cell.j")).otherwise(F.col("block")).alias("block"), "sid", "n", "root",
+        (F.col("class") == F.col("cell.class")).alias("own"), F.when(F.col("cell.i") < F.col("cell.j"), F.col("side")).otherwise(-1).alias("side"), "sketch")
+    near = celled.repartition("block").sortWithinPartitions("block", "n").mapInArrow(
+        lambda batches: close_in_blocks(batches, percent), "block long, a long, b long, root_a long, root_b long, apart long")
+    found = verified(materialize(near.dropDuplicates(["a", "b"]), "jaccard-pairs"))
     if not found.isEmpty():
         component = connected_components(found if links is None else links.unionByName(found))
     if component is None:

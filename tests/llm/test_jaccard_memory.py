@@ -123,3 +123,71 @@ def test_a_family_below_the_threshold_is_not_compared_whole(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert all(r.component_id == r.doc_id for r in jaccard.near_duplicates(docs).collect())
     assert sum(compared) < 40, compared
+
+
+def test_pairs_of_a_large_family_are_no_rows(spark, monkeypatch):
+    """Each set of a family goes to a few blocks in which it is compared; the
+    pairs of the family are in no table, with large blocks cut or not."""
+    rng = random.Random(9)
+    base = ["b%d" % i for i in range(300)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for place in rng.sample(range(5, 295, 5), 7):
+            words[place] = "c%d_%d" % (i, place)
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, f"{rows[i][1]} another end") for i in range(0, 150, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for large in (jaccard.LARGE_GROUP, 40):
+        monkeypatch.setattr(jaccard, "LARGE_GROUP", large)
+        tables, own = {}, jaccard.materialize
+
+        def counted(df, name, tables=tables, own=own):
+            out = own(df, name)
+            tables[name] = max(tables.get(name, 0), out.count())
+            return out
+        monkeypatch.setattr(jaccard, "materialize", counted)
+        found = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+        monkeypatch.setattr(jaccard, "materialize", own)
+        assert found == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
+        pairs = {name: n for name, n in tables.items() if name in ("jaccard-tried", "jaccard-pairs", "jaccard-dealt", "jaccard-links")}
+        assert pairs and max(pairs.values()) < 4 * len(rows), pairs
+
+
+def test_close_in_blocks_against_all_pairs():
+    rng = np.random.default_rng(4)
+    rows, sets = [], {}
+    for block in range(12):
+        base = rng.integers(0, 1 << 63, 60 if block < 8 else 700, dtype=np.uint64)
+        for _ in range(int(rng.integers(1, 30))):
+            gone = int(rng.integers(0, len(base) // 2))
+            mine = np.unique(np.concatenate((base[gone:], rng.integers(0, 1 << 63, int(rng.integers(0, 20)), dtype=np.uint64))))
+            sid = len(sets)
+            sets[sid] = mine
+            rows.append((block, sid, len(mine), int(rng.integers(0, 20)), bool(rng.integers(0, 4)), int(rng.integers(0, 2)) if block % 2 else -1, jaccard.sketch(mine)))
+    rows.sort(key=lambda r: (r[0], r[2], not r[4]))
+    wanted = set()
+    for i, x in enumerate(rows):
+        for y in rows[i + 1:]:
+            fits = x[0] == y[0] and x[3] != y[3] and x[4] and (x[5] < 0 or x[5] != y[5]) and 100 * x[2] >= 75 * y[2]
+            if fits and jaccard.differing(np.frombuffer(x[6], np.uint8), np.frombuffer(y[6], np.uint8)) <= jaccard.most_differing(x[2], y[2], 75):
+                wanted.add((x[0], min(x[1], y[1]), max(x[1], y[1])))
+    names = ["block", "sid", "n", "root", "own", "side", "sketch"]
+    for size in (1, 7, 1000):
+        batches = [pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows[i:i + size]))))) for i in range(0, len(rows), size)]
+        found = [(r["block"], r["a"], r["b"]) for b in jaccard.close_in_blocks(iter(batches), 75) for r in b.to_pylist()]
+        assert len(found) == len(set(found)) and set(found) == wanted and len(wanted) > 100
+
+
+def test_rows_of_a_slice_as_single_sets():
+    rng = np.random.default_rng(6)
+    sizes = [0, 1, 2, 300, 0, 256, 257, 40_000, 5, 0]
+    rows = [rng.integers(0, 50 if n == 5 else 1 << 64, n, dtype=np.uint64) for n in sizes]
+    to = np.concatenate(([0], np.cumsum(sizes)))
+    tokens, ends = jaccard.distinct(np.concatenate(rows), to)
+    own = [np.unique(r) for r in rows]
+    assert [x.tolist() for x in np.split(tokens, ends[1:-1])] == [x.tolist() for x in own]
+    assert jaccard.set_ids(tokens, ends).tolist() == [jaccard.set_id(x) for x in own]
+    assert jaccard.sketches(tokens, ends).to_pylist() == [jaccard.sketch(x) for x in own]
+    tokens, ends = jaccard.distinct(np.zeros(0, np.uint64), np.zeros(3, np.int64))
+    assert len(tokens) == 0 and jaccard.set_ids(tokens, ends).tolist() == [0, 0] and jaccard.sketches(tokens, ends).to_pylist() == [jaccard.sketch(tokens)] * 2
