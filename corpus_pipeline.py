@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import bpe, decontam, jaccard, langid, lines
 from marquee.operators.joins import join_small_side
-from marquee.session import materialize
+from marquee.session import delete_path, materialize, staged_tables
 
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -43,36 +43,44 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
                           .otherwise(F.col("n_chars"))).select(*own.columns).toDF(*docs.columns)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number ``place`` of each row that follows the order of
-    the ids (null last) and tells rows with a null or repeated id apart.  Only
-    ids and hashes of the texts are sorted."""
-    rows = materialize(_carried(docs).withColumn("row_", F.monotonically_increasing_id()), "pipeline-rows")
-    keys = rows.select("doc_id", "row_", F.xxhash64("text").alias("hash"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("hash"), F.col("row_")]
-    dealt = keys.repartitionByRange(*order).sortWithinPartitions(*order)
-    places = materialize(dealt.select("row_", F.monotonically_increasing_id().alias("place")), "pipeline-places")
-    return join_small_side(rows, places, "row_").drop("row_")
+def told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number ``row_`` of each row, as a table: rows with a
+    null or repeated id are their own."""
+    return materialize(_carried(docs).withColumn("row_", F.monotonically_increasing_id()), "pipeline-rows")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the
-    smallest id (a null id comes last), and of those the first in the table.
-    Null and empty texts are no copies.  Ids may be null or repeated."""
-    rows = numbered(docs)
-    groups = jaccard.near_duplicates(rows.select("place", "text"), id_col="place")
-    others = materialize(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("place")), "pipeline-copies")
-    return join_small_side(rows, others, "place", "left_anti").drop("place").toDF(*docs.columns)
+    smallest id (a null id comes last), and of those the first in the table
+    (by a hash of the text first).  Null and empty texts are no copies.  Ids
+    may be null or repeated.  Texts are joined with the rows of groups only."""
+    rows = told_apart(docs)
+    with staged_tables() as made:
+        groups = jaccard.near_duplicates(rows.select("row_", "text"), id_col="row_").filter("doc_id <> component_id")
+        groups = materialize(groups.select(F.col("doc_id").alias("row_"), "component_id"), "pipeline-groups")
+        members = materialize(groups.unionByName(groups.select(F.col("component_id").alias("row_"), "component_id").distinct()), "pipeline-members")
+        keys = join_small_side(rows.select("row_", "doc_id", "text"), members, "row_")
+        order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.xxhash64("text").alias("hash"), "row_")
+        keys = materialize(keys.select("component_id", "row_", order.alias("key")), "pipeline-keys")
+        first = keys.groupBy("component_id").agg(F.min("key").alias("first"))
+        others = keys.join(first, "component_id").filter(F.col("row_") != F.col("first.row_")).select("row_")
+    others = materialize(others, "pipeline-copies")
+    for path in made:
+        delete_path(spark, path)
+    return join_small_side(rows, others, "row_", "left_anti").drop("row_").toDF(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark.  A row goes for its own
     text only, whatever its id; ids may be null or repeated."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    rows = numbered(docs)
-    leaks = decontam.find_leaks(rows.select(F.col("place").alias("doc_id"), "text"), benchmark)
-    leaks = materialize(leaks.select(F.col("doc_id").alias("place")).distinct(), "pipeline-leaks")
-    return join_small_side(rows, leaks, "place", "left_anti").drop("place").toDF(*docs.columns)
+    rows = told_apart(docs)
+    with staged_tables() as made:
+        leaks = decontam.find_leaks(rows.select(F.col("row_").alias("doc_id"), "text"), benchmark)
+    leaks = materialize(leaks.select(F.col("doc_id").alias("row_")).distinct(), "pipeline-leaks")
+    for path in made:
+        delete_path(spark, path)
+    return join_small_side(rows, leaks, "row_", "left_anti").drop("row_").toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -95,7 +103,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's table.  A stage's input and the tables that it made on
+    its way are deleted when its output is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with staged_tables() as made:
+            out = stage(spark, docs, sf_dir)
+        with staged_tables() as written:
+            docs = materialize(out, f"pipeline-{name}")
+        for path in [*before, *made]:
+            delete_path(spark, path)
+        before = written
     return docs

@@ -326,7 +326,9 @@ def frequent_tokens(docs: DataFrame, words: int = 5, share: float = FREQUENT_SHA
     if total is None:
         return np.zeros(0, np.uint64)
     often = counts.filter((F.col("token") >= 0) & (F.col("n") >= max(2, share * total["n"] / 2)))
-    return np.sort(often.select("token").toArrow().column(0).to_numpy().view(np.uint64))
+    found = np.sort(often.select("token").toArrow().column(0).to_numpy().view(np.uint64))
+    discard(counts)
+    return found
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -375,8 +377,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     often = rows.filter("token < 0").distinct()
     often = materialize(often, "jaccard-often")
     kept = often.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo < hi")
-    often = often.join(materialize(kept.select("token"), "jaccard-kept"), "token").select("sid", "n", "token")
-    groups = materialize(rare.unionByName(often), "jaccard-groups")
+    kept = materialize(kept.select("token"), "jaccard-kept")
+    groups = materialize(rare.unionByName(often.join(kept, "token").select("sid", "n", "token")), "jaccard-groups")
+    for table in (often, kept):  # tables of tokens go when the next one is there
+        discard(table)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
@@ -461,10 +465,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     def size_class(n: Column, step: float = fine, shift: Column | float = 0.0) -> Column:
         return F.floor(F.log(n.cast("double")) / F.lit(step) + shift).cast("int")
 
-    def can_link(rooted: DataFrame) -> DataFrame:
+    def can_link(rooted: DataFrame) -> tuple[DataFrame, DataFrame]:
         """``sid`` and ``least`` of the sets that share enough tokens, over all
         sets of other components in a class of sizes, to link with one: least
-        is the number that a pair must share."""
+        is the number that a pair must share.  Also the table that they read."""
         rooted = rooted.withColumn("class", size_class(F.col("n")))
         present = rooted.groupBy("token", "class").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         present = materialize(present.groupBy("token").agg(F.collect_list(F.struct("class", "lo", "hi")).alias("others")), "jaccard-classes")
@@ -480,7 +484,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         least = F.greatest(least, F.least(F.ceil(n * percent / 100), F.lit(2)))
         counts = (rooted.join(present, "token").select("sid", "n", other.alias("o")).select("sid", "n", F.col("o.class").alias("other"))
                   .groupBy("sid", "n", "other").agg(F.count("*").alias("t")).filter((low <= high) & (F.col("t") >= least)))
-        return counts.groupBy("sid").agg(F.min(least).alias("least"))
+        return counts.groupBy("sid").agg(F.min(least).alias("least")), present
 
     links, component = None, None
     open_groups = groups.withColumn("root", F.col("sid"))
@@ -520,9 +524,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
             break
         links = found if links is None else links.unionByName(found)
         component = connected_components(links)
-        open_groups = _rooted(open_groups, component)
+        before, open_groups = open_groups, _rooted(open_groups, component)
+        discard(before)
     for _ in range(PRUNE_ROUNDS):
-        able = materialize(can_link(open_groups), "jaccard-able")
+        able, classes = can_link(open_groups)
+        able = materialize(able, "jaccard-able")
+        discard(classes)
         before, open_groups = open_groups, _mixed(open_groups.join(able.select("sid"), "sid", "left_semi"))
         discard(before)
 
@@ -535,6 +542,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     first = F.slice("own", F.lit(1), F.greatest(F.size("own") - F.greatest("least", F.lit(1)) + 1, F.lit(0)).cast("int"))
     heads = heads.join(able, "sid").select("sid", "n", "root", F.array_distinct(F.transform(first, lambda o: o["block"])).alias("blocks"))
     heads = materialize(heads.filter(F.size("blocks") > 0).join(sets.select("sid", "sketch"), "sid").dropDuplicates(["sid"]), "jaccard-heads")
+    for table in (open_groups, size, able):
+        discard(table)
     placed = heads.select("sid", "n", "root", "sketch", F.explode("blocks").alias("block"))
     mixed = placed.groupBy("block").agg(F.count("*").alias("sets"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
     mixed = materialize(mixed.select("block", F.ceil(F.col("sets") / LARGE_GROUP).cast("int").alias("parts")), "jaccard-blocks")
@@ -550,7 +559,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         (F.col("class") == F.col("cell.class")).alias("own"), F.when(F.col("cell.i") < F.col("cell.j"), F.col("side")).otherwise(-1).alias("side"), "sketch")
     near = celled.repartition("block").sortWithinPartitions("block", "n").mapInArrow(
         lambda batches: close_in_blocks(batches, percent), "block long, a long, b long, root_a long, root_b long, apart long")
-    found = verified(materialize(near.dropDuplicates(["a", "b"]), "jaccard-pairs"))
+    pairs = materialize(near.dropDuplicates(["a", "b"]), "jaccard-pairs")
+    for table in (heads, mixed):
+        discard(table)
+    found = verified(pairs)
+    discard(pairs)
     if not found.isEmpty():
         component = connected_components(found if links is None else links.unionByName(found))
     if component is None:
